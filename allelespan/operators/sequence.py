@@ -128,7 +128,7 @@ def region_sequences(
         F.array_sort(F.collect_list(F.when(F.col("variant_id").isNotNull(), piece))).alias("recs")
     )
     if ref is None:
-        seqs = [F.array_join(F.transform("recs", lambda r, t=t: r[t]), "") for t in ("t1", "t2")]
+        seqs = [F.array_join(F.col(f"recs.{t}"), "") for t in ("t1", "t2")]
         return rows.withColumn("seqs", F.array(*seqs)).drop("recs").join(regions, "iv_id")
     rows = rows.join(region_text(regions, ref), "iv_id")
     start = F.struct(F.lit(0).cast("long").alias("upto"))
@@ -137,24 +137,17 @@ def region_sequences(
     )
     rows = rows.withColumn("__ends", ends).withColumn("__tail", F.element_at("__ends", -1)["upto"])
     rest = F.substring(F.col("ref_seq"), (F.col("__tail") + 1).cast("int"), F.length("ref_seq"))
-    seqs = []
-    for t in ("t1", "t2"):
-        parts = F.zip_with(
-            "recs",
-            F.slice("__ends", F.lit(1), F.size("recs")),
-            lambda r, e, t=t: F.concat(
-                F.substring(
-                    F.col("ref_seq"),
-                    (e["upto"] + 1).cast("int"),
-                    F.greatest(r["off"] - e["upto"], F.lit(0).cast("long")).cast("int"),
-                ),
-                r[t],
-            ),
-        )
+
+    def spliced(t: str) -> Column:
+        def part(r, e):
+            gap = F.greatest(r["off"] - e["upto"], F.lit(0).cast("long")).cast("int")
+            return F.concat(F.substring(F.col("ref_seq"), (e["upto"] + 1).cast("int"), gap), r[t])
+
+        parts = F.zip_with("recs", F.slice("__ends", F.lit(1), F.size("recs")), part)
         seq = F.concat(F.array_join(parts, ""), rest)
-        if trim:
-            seq = F.substring(seq, F.lit(1), F.length("ref_seq"))
-        seqs.append(seq)
+        return F.substring(seq, F.lit(1), F.length("ref_seq")) if trim else seq
+
+    seqs = [spliced("t1"), spliced("t2")]
     return rows.withColumn("seqs", F.array(*seqs)).select(
         "iv_id", "pop_ix", "pop", "sample_ix", "sample", "seqs", "chrom", "start", "end"
     )

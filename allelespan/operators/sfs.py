@@ -188,7 +188,7 @@ def sfs_project(s: DataFrame, size: int, to: int) -> DataFrame:
     # cells beyond the ends carry no weight, so only 1..to-1 are produced
     cells = s.select("counts", "n", F.explode(F.sequence(F.lit(1), F.lit(to - 1))).alias("r"))
     w = F.col("n") * hypergeometric_weight(a, r, F.lit(size), F.lit(to))
-    out = cells.groupBy(F.array("r").alias("counts")).agg(F.sum(w).alias("n"))
+    out = cells.select("r", w.alias("w")).groupBy(F.array("r").alias("counts")).agg(F.sum("w").alias("n"))
     return out.select("counts", (F.col("n") / out.agg(F.sum("n")).scalar()).alias("n"))
 
 

@@ -1,3 +1,9 @@
 """Imports every module that registers queries."""
 
-from allelespan.plans import filter_queries  # noqa: F401
+from allelespan.plans import (  # noqa: F401
+    filter_queries,
+    interval_queries,
+    layout_queries,
+    pair_queries,
+    statistic_queries,
+)

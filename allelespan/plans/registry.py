@@ -14,6 +14,8 @@ from allelespan.plans.tables import VIEWS, Tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 DIGITS = 6
+# Added before rounding on both sides, so that values such as n/128 are not on a rounding edge.
+NUDGE = "1e-9"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -25,7 +27,7 @@ def plain(df: DataFrame) -> DataFrame:
             c = c.cast("long")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             # + 0.0 turns a negative zero into zero
-            c = F.round(c.cast("double"), DIGITS) + F.lit(0.0)
+            c = F.round(c.cast("double") + F.lit(float(NUDGE)), DIGITS) + F.lit(0.0)
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -48,6 +50,21 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     return f"WITH {', '.join(ctes)} {body.strip()}" if ctes else body.strip()
 
 
+def nudged(sql: str) -> str:
+    """``ROUND(x, 6)`` to ``ROUND(x + 1e-9, 6)``."""
+    out, at = [], 0
+    for found in re.finditer(r"ROUND\(", sql):
+        depth, i = 1, found.end()
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[i], 0)
+            i += 1
+        tail = f", {DIGITS})"
+        if sql[i - len(tail) : i] == tail:
+            out += [sql[at : i - len(tail)], f" + {NUDGE}"]
+            at = i - len(tail)
+    return "".join(out) + sql[at:]
+
+
 def query(key: str, sql: str | None = None, views: dict[str, str] | None = None):
     """Register a function of ``Tables`` under ``key`` with its checking SQL."""
 
@@ -62,7 +79,7 @@ def query(key: str, sql: str | None = None, views: dict[str, str] | None = None)
         run.__doc__ = fn.__doc__
         QUERIES[key] = run
         if sql is not None:
-            ORACLE[key] = with_views(sql, views)
+            ORACLE[key] = nudged(with_views(sql, views))
         return fn
 
     return wrap

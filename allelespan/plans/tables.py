@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 
 from allelespan.operators.intervals import make_windows
 
+# Given schemas: reading needs no inference job.
+SCHEMAS = {
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp, o_orderpriority string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
 LOCUS = 5000
 PATTERN = "GATTACACCT"
 
@@ -22,7 +32,7 @@ class Tables:
         self.spark, self.dir = spark, sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
 
     @cached_property
     def v(self) -> DataFrame:
