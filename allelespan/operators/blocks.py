@@ -38,7 +38,7 @@ def polymorphic_sites(
     the first 1000 informative sites of a region, as some tools do; the default keeps all.
     """
     plain = v.filter(P.all_alleles_plain()).select(*SITE)
-    packed = plain.join(pack_haplotypes(g).drop("chrom", "pos"), "variant_id")
+    packed = plain.join(pack_haplotypes(g, samples).drop("chrom", "pos"), "variant_id")
     if not include_missing:
         packed = packed.filter(F.col("n_haps") == 2 * n_samples(samples))
     n_bases = F.size("carriers")
@@ -131,10 +131,10 @@ def first_conflicts(sites: DataFrame, first_window: int = FIRST_WINDOW) -> DataF
             .groupBy("iv_id", F.col("rank_i").alias("rank"))
             .agg(F.min("rank_j").alias("conflict"))
         )
-        found = hits if found is None else found.unionByName(hits)
-        found = materialise(found, "conflicts")
-        ranked = s.select("iv_id", "rank", "pos").join(found, ["iv_id", "rank"], "left")
-        state = _at_or_after(ranked, F.col("conflict"), "reach")
+        known = hits if found is None else found.unionByName(hits)
+        ranked = s.select("iv_id", "rank", "pos").join(known, ["iv_id", "rank"], "left")
+        state = materialise(_at_or_after(ranked, F.col("conflict"), "reach"), "conflicts")
+        found = state.filter(F.col("conflict").isNotNull()).select("iv_id", "rank", "conflict")
         if longest is None or longest <= high:
             return state
         # settled: own conflict known, or one nested in the searched window
@@ -174,18 +174,18 @@ def compatible_intervals(
         there = at.select("iv_id", F.col("rank").alias("__r"), F.col("pos").alias(name))
         return df.withColumn("__r", rank).join(there, ["iv_id", "__r"], "left").drop("__r")
 
-    kept = look(kept, F.col("first"), "p_first")
-    kept = look(kept, F.col("last") + 1, "p_next")
     final = F.col("last") == F.col("final")
-    kept = look(kept, F.col("last"), "p_last")
+    # the site that ends the block: its own last one at the end of the region, else the next one
+    kept = look(kept, F.when(final, F.col("last")).otherwise(F.col("last") + 1), "p_end")
     if overlap_noninf:
-        kept = look(kept, F.col("first") - 1, "p_prev")
         # the first block starts at its own first site
-        start = F.when(F.col("first") == 0, F.col("p_first")).otherwise(F.col("p_prev") + 1)
-        end = F.when(final, F.col("p_last")).otherwise(F.col("p_next") - 1)
+        opening = F.col("first") == 0
+        kept = look(kept, F.when(opening, F.col("first")).otherwise(F.col("first") - 1), "p_start")
+        start = F.when(opening, F.col("p_start")).otherwise(F.col("p_start") + 1)
+        end = F.when(final, F.col("p_end")).otherwise(F.col("p_end") - 1)
     else:
-        start = F.col("p_first")
-        end = F.when(final, F.col("p_last")).otherwise(F.col("p_next")) - 1
+        kept = look(kept, F.col("first"), "p_start")
+        start, end = F.col("p_start"), F.col("p_end") - 1
     return kept.select("iv_id", start.alias("start"), end.alias("end"), "n_informative")
 
 

@@ -48,15 +48,17 @@ def ld_pairs(
     d: bool = False,
     in_phase: bool = False,
     maf: bool = False,
+    samples: DataFrame | None = None,
 ) -> DataFrame:
     """Genotype correlation of site pairs: ``r`` or ``r2`` over samples called at both.
 
     At least one window is required. ``window_snps = k`` keeps pairs with fewer than ``k - 1`` sites
     between them; ``window_cm`` needs a ``cm`` column on ``v``. ``snps`` (``variant_id``) restricts
     the first site of a pair. ``d`` adds D, D' and its sign from phased haplotypes, ``in_phase`` the
-    allele pairs that go together (needs ``v``), ``maf`` both minor frequencies.
+    allele pairs that go together (needs ``v``), ``maf`` both minor frequencies. ``samples`` spares a
+    scan of ``g`` for the list of samples.
     """
-    packed = pack_dosages(g)
+    packed = pack_dosages(g, samples)
     if window_snps is not None:
         packed = ordinal(packed, ["chrom"], "pos", ["variant_id"], "rank")
     extra_cols = []
@@ -77,7 +79,7 @@ def ld_pairs(
         near = F.abs(F.col(f"{c}_j") - F.col(f"{c}_i")) <= span
         extra = near if extra is None else extra & near
     if d:
-        haps = pack_haplotypes(g)
+        haps = pack_haplotypes(g, samples)
         alt = F.filter("carriers", lambda c: c["allele"] > 0)
         ref = F.filter("carriers", lambda c: c["allele"] == 0)
         haps = haps.select(

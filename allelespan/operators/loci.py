@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from allelespan.functions import predicates as P
 from allelespan.functions.genome import harmonic, region_name
-from allelespan.operators.counts import with_population
-from allelespan.operators.filters import check_record, pass_sites
+from allelespan.operators.counts import copies, is_invariant, n_samples, with_population
+from allelespan.operators.filters import pass_sites
 from allelespan.operators.intervals import min_length as longer
 from allelespan.operators.rangejoin import sites_with_regions
 from allelespan.operators.sampling import draw, take_lowest
@@ -71,21 +72,29 @@ def ima_priors(theta: DataFrame) -> DataFrame:
 def population_counts(
     v: DataFrame, g: DataFrame, m: DataFrame, pops: list[str], gated: bool = True, max_missing: int = 0
 ) -> DataFrame:
-    """Reference and first-alternate copies per population as arrays in ``pops`` order."""
+    """Reference and first-alternate copies per population as arrays in ``pops`` order.
+
+    The record gate and the counts share one aggregate over the genotypes.
+    """
     members = m.filter(F.col("pop").isin(pops))
     sub = with_population(g, members)
-    records = v
-    if gated:
-        records = check_record(v, sub, samples=members, remove_missing=max_missing)
     a1, a2 = F.col("a1"), F.col("a2")
     aggs = []
     for allele in (0, 1):
         for p in pops:
-            one = F.when((F.col("pop") == p) & (a1 == allele), 1).otherwise(0) + F.when(
-                (F.col("pop") == p) & (a2 == allele), 1
-            ).otherwise(0)
-            aggs.append(F.sum(one.cast("long")).alias(f"{allele}_{p}"))
-    n = sub.groupBy("variant_id").agg(*aggs)
+            here = F.col("pop") == p
+            aggs.append(copies(here & (a1 == allele), here & (a2 == allele)).alias(f"{allele}_{p}"))
+    n = sub.groupBy("variant_id").agg(
+        *aggs,
+        copies(a1.isNotNull(), a2.isNotNull()).alias("n_called"),
+        copies(a1 == 0, a2 == 0).alias("n_ref"),
+        copies(a1 > 0, a2 > 0).alias("n_alt"),
+    )
+    records = v
+    if gated:
+        n = n.withColumn("n_missing", 2 * n_samples(members) - F.col("n_called"))
+        n = n.filter((F.col("n_missing") <= max_missing) & ~is_invariant())
+        records = v.filter(P.is_snp())
     n = n.select(
         "variant_id",
         F.array(*[F.col(f"`0_{p}`") for p in pops]).alias("n_ref"),

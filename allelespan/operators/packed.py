@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from allelespan.operators.counts import SITE
 
 
-def sample_index(g: DataFrame) -> DataFrame:
+def sample_index(samples: DataFrame) -> DataFrame:
     """``sample, six``: dense order of the cohort. One row per sample, so one ordered task is fine."""
-    names = g.select("sample").distinct()
+    names = samples.select("sample").distinct()
     return names.select("sample", (F.row_number().over(W.orderBy("sample")) - 1).cast("int").alias("six"))
 
 
@@ -49,10 +49,14 @@ def _word(position: Column) -> Column:
     return F.floor(position / 64).cast("int")
 
 
-def pack_dosages(g: DataFrame) -> DataFrame:
-    """Per site the samples that are ``called``, ``het`` and homozygous alternate (``hom``)."""
+def pack_dosages(g: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """Per site the samples that are ``called``, ``het`` and homozygous alternate (``hom``).
+
+    A given ``samples`` table spares the scan of the genotypes that would list them.
+    """
     a1, a2 = F.col("a1"), F.col("a2")
-    x = g.filter(a1.isNotNull() & a2.isNotNull()).join(sample_index(g), "sample")
+    index = sample_index(g if samples is None else samples)
+    x = g.filter(a1.isNotNull() & a2.isNotNull()).join(index, "sample")
     bit, none = _bit(F.col("six")), F.lit(0).cast("long")
     alts = (a1 > 0).cast("int") + (a2 > 0).cast("int")
     words = x.groupBy(*SITE, _word(F.col("six")).alias("word")).agg(
@@ -66,10 +70,10 @@ def pack_dosages(g: DataFrame) -> DataFrame:
     return packed.select(*SITE, *[_dense("w", f).alias(f) for f in ("called", "het", "hom")])
 
 
-def pack_haplotypes(g: DataFrame) -> DataFrame:
+def pack_haplotypes(g: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """Per site one entry per allele present: ``carriers array<struct<allele, n, bits>>``, plus
     ``n_haps`` called. Haplotype ``2 * sample + h`` carries ``a1`` (h = 0) or ``a2`` (h = 1)."""
-    x = g.join(sample_index(g), "sample").select(
+    x = g.join(sample_index(g if samples is None else samples), "sample").select(
         *SITE,
         F.explode(
             F.array(

@@ -77,10 +77,6 @@ def check_ref(v: DataFrame, ref: DataFrame) -> DataFrame:
     )
 
 
-def _substr(text: Column, start: Column, length: Column) -> Column:
-    return F.substring(text, (start + 1).cast("int"), F.greatest(length, F.lit(0)).cast("int"))
-
-
 def region_sequences(
     v: DataFrame,
     g: DataFrame,
@@ -130,22 +126,32 @@ def region_sequences(
     if ref is None:
         seqs = [F.array_join(F.col(f"recs.{t}"), "") for t in ("t1", "t2")]
         return rows.withColumn("seqs", F.array(*seqs)).drop("recs").join(regions, "iv_id")
-    rows = rows.join(region_text(regions, ref), "iv_id")
-    start = F.struct(F.lit(0).cast("long").alias("upto"))
-    ends = F.concat(
-        F.array(start), F.transform("recs", lambda r: F.struct((r["off"] + r["ref_len"]).alias("upto")))
+    # the reference pieces are the same for every sample: cut them once per region
+    spots = hits.groupBy("iv_id").agg(
+        F.array_sort(F.collect_list(F.struct("off", "variant_id", "ref_len"))).alias("spots")
+    )
+    text = region_text(regions, ref).join(spots, "iv_id", "left")
+    nothing = F.array().cast("array<bigint>")
+    starts = F.coalesce(F.transform("spots", lambda s: s["off"]), nothing)
+    ends = F.coalesce(F.transform("spots", lambda s: s["off"] + s["ref_len"]), nothing)
+    text = text.withColumn("__from", F.concat(F.array(F.lit(0).cast("long")), ends)).withColumn(
+        "__to", F.concat(starts, F.array(F.length("ref_seq").cast("long")))
     )
-    rows = rows.withColumn("__ends", ends).withColumn("__tail", F.element_at("__ends", -1)["upto"])
-    rest = F.substring(F.col("ref_seq"), (F.col("__tail") + 1).cast("int"), F.length("ref_seq"))
+    pieces = F.zip_with(
+        "__from",
+        "__to",
+        lambda x, y: F.substring(
+            F.col("ref_seq"), (x + 1).cast("int"), F.greatest(y - x, F.lit(0).cast("long")).cast("int")
+        ),
+    )
+    text = text.select("iv_id", "chrom", "start", "end", F.length("ref_seq").alias("__len"), pieces.alias("pieces"))
+    rows = rows.join(text, "iv_id")
 
     def spliced(t: str) -> Column:
-        def part(r, e):
-            gap = F.greatest(r["off"] - e["upto"], F.lit(0).cast("long")).cast("int")
-            return F.concat(F.substring(F.col("ref_seq"), (e["upto"] + 1).cast("int"), gap), r[t])
-
-        parts = F.zip_with("recs", F.slice("__ends", F.lit(1), F.size("recs")), part)
-        seq = F.concat(F.array_join(parts, ""), rest)
-        return F.substring(seq, F.lit(1), F.length("ref_seq")) if trim else seq
+        # one piece more than records: the last pair is (rest of the reference, nothing)
+        both = F.zip_with("pieces", F.col(f"recs.{t}"), lambda p, x: F.concat(p, F.coalesce(x, F.lit(""))))
+        seq = F.array_join(both, "")
+        return F.substring(seq, F.lit(1), F.col("__len")) if trim else seq
 
     seqs = [spliced("t1"), spliced("t2")]
     return rows.withColumn("seqs", F.array(*seqs)).select(
@@ -166,9 +172,11 @@ def merge_diploid_iupac(seqs: DataFrame) -> DataFrame:
     return seqs.withColumn("merged", merge_iupac(F.col("seqs")[0], F.col("seqs")[1]))
 
 
-def drop_incomplete(seqs: DataFrame, complete: DataFrame) -> DataFrame:
-    """Keep the (region, sample) pairs listed in ``complete``; a region without records keeps all."""
-    with_records = complete.select("iv_id").distinct()
+def drop_incomplete(seqs: DataFrame, complete: DataFrame, v: DataFrame, iv: DataFrame) -> DataFrame:
+    """Keep the (region, sample) pairs listed in ``complete``; a region without records of ``v``
+    keeps all."""
+    records = sites_with_regions(v.select("chrom", "pos"), iv.select("iv_id", "chrom", "start", "end"))
+    with_records = records.select(F.col("r_iv_id").alias("iv_id")).distinct()
     full = seqs.join(complete.select("iv_id", "sample"), ["iv_id", "sample"], "left_semi")
     empty = seqs.join(with_records, "iv_id", "left_anti")
     return full.unionByName(empty.select(*full.columns))
@@ -261,11 +269,11 @@ def locus_length(v: DataFrame, iv: DataFrame, mutrate: float = 1e-9, scalar: flo
 def locus_table(loci: DataFrame, seqs: DataFrame, m: DataFrame, with_ref: bool) -> DataFrame:
     """Locus header line: name, sequences per population in model order, length, model, scalar, rate."""
     pops = m.select("pop", "pop_ix").distinct()
-    names = pops.agg(F.array_sort(F.collect_list(F.struct("pop_ix", "pop")))).scalar()
+    order = pops.agg(F.array_sort(F.collect_list("pop_ix"))).scalar()
     per_pop = seqs.groupBy("iv_id", "pop_ix").agg((2 * F.count("*")).alias("n"))
     have = per_pop.groupBy("iv_id").agg(F.map_from_entries(F.collect_list(F.struct("pop_ix", "n"))).alias("n"))
     counts = F.array_join(
-        F.transform(names, lambda p: F.coalesce(F.try_element_at("n", p["pop_ix"]), F.lit(0).cast("long")).cast("string")),
+        F.transform("pops", lambda p: F.coalesce(F.try_element_at("n", p), F.lit(0).cast("long")).cast("string")),
         " ",
     )
     length = F.col("locus_len") if with_ref else F.col("n_records")
@@ -279,7 +287,8 @@ def locus_table(loci: DataFrame, seqs: DataFrame, m: DataFrame, with_ref: bool)
         scalar,
         F.format_string("%.14f", "locus_rate"),
     )
-    return loci.join(have, "iv_id", "left").select("iv_id", header.alias("line"))
+    counted = loci.join(have, "iv_id", "left").withColumn("pops", order)
+    return counted.select("iv_id", header.alias("line"))
 
 
 def ima_loci(seqs: DataFrame, loci: DataFrame, iv: DataFrame, m: DataFrame, with_ref: bool = True) -> DataFrame:

@@ -56,48 +56,63 @@ def pop_sizes(m: DataFrame) -> DataFrame:
     return m.groupBy("pop", "pop_ix").agg((2 * F.countDistinct("sample")).cast("int").alias("size"))
 
 
-def _site_pops(
+def model_pops(m: DataFrame, downsample: dict[str, int] | None = None) -> Column:
+    """Scalar array ``struct<pop_ix, size, need>`` in model order, as small as the model."""
+    need = F.col("size")
+    if downsample is not None:
+        table = F.create_map(*[F.lit(x) for kv in downsample.items() for x in kv])
+        need = F.element_at(table, F.col("pop"))
+    entry = F.struct("pop_ix", "size", need.alias("need"))
+    return pop_sizes(m).agg(F.array_sort(F.collect_list(entry))).scalar()
+
+
+def pop_cells(
     v: DataFrame,
     g: DataFrame,
     m: DataFrame,
-    iv: DataFrame | None,
-    ref: DataFrame | None,
-    folded: bool,
-    downsample: dict[str, int] | None,
-    prop: float | None,
-    seed: int,
-    draw_col: Column | None,
+    iv: DataFrame | None = None,
+    ref: DataFrame | None = None,
+    folded: bool = False,
+    downsample: dict[str, int] | None = None,
+    prop: float | None = None,
+    seed: int = 0,
+    draw_col: Column | None = None,
 ) -> DataFrame:
-    """One row per (SNP occurrence, population): copies ``c`` of the counted allele, ``ok`` when the
-    population has enough called alleles, ``known`` when the outgroup is usable."""
-    sites = gated_sites(v, g, m)
+    """One row per gated SNP (and region that holds it): ``c`` copies of the counted allele per
+    population in model order, ``pops``, ``ok`` when every population has enough called alleles and
+    ``known`` when the outgroup is usable.
+
+    The genotypes are aggregated once, by site and population; the site gate and the counts both
+    come from those partial rows.
+    """
+    per_pop = site_counts(with_population(g, m), ["pop_ix"])
+    sites = per_pop.groupBy("variant_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("pop_ix", F.struct("n_ref", "n_alt")))).alias("by_pop"),
+        *[F.sum(c).alias(c) for c in ("n_ref", "n_alt", "n_missing", "n_full", "n_missing_samples")],
+    )
+    sites = with_absent_missing(sites, m).filter((F.col("n_missing") <= MAX_MISSING) & ~is_invariant())
+    records = v.filter(P.is_snp())
     if prop is not None:
-        sites = thin(sites, prop, seed, draw_col=draw_col)
-    sites = polarise(sites, ref) if ref is not None and not folded else sites.withColumn(
-        "swap", F.lit(False)
-    ).withColumn("known", F.lit(True))
-    sites = sites.select(*SITE, "swap", "known")
-    if iv is not None:  # a SNP in two overlapping regions counts twice
-        sites = sites_with_regions(sites, iv.select("chrom", "start", "end")).select(
-            *SITE, "swap", "known", F.struct("r_start", "r_end").alias("region")
-        )
-    else:
-        sites = sites.withColumn("region", F.lit(None).cast("struct<r_start:bigint,r_end:bigint>"))
-    pops = pop_sizes(m)
-    if downsample is not None:
-        need = F.create_map(*[F.lit(x) for kv in downsample.items() for x in kv])
-        pops = pops.withColumn("need", F.element_at(need, F.col("pop")))
+        records = thin(records, prop, seed, draw_col=draw_col)
+    if ref is not None and not folded:
+        records = polarise(records, ref)
     else:
-        pops = pops.withColumn("need", F.col("size"))
-    # every population of the model must show up for a site: left join from sites x model
-    per_pop = site_counts(with_population(g, m), ["pop"]).select("variant_id", "pop", "n_ref", "n_alt")
-    model = pops.agg(F.collect_list(F.struct("pop", "pop_ix", "size", "need"))).scalar()
-    grid = sites.select("*", F.explode(model).alias("p"))
-    grid = grid.select(*SITE, "region", "swap", "known", "p.*")
-    c = grid.join(per_pop, ["variant_id", "pop"], "left").na.fill(0, ["n_ref", "n_alt"])
-    chosen = F.least("n_ref", "n_alt") if folded else F.when(F.col("swap"), F.col("n_ref")).otherwise(F.col("n_alt"))
-    return c.withColumn("ok", F.col("n_ref") + F.col("n_alt") >= F.col("need")).withColumn(
-        "c", chosen.cast("int")
+        records = records.withColumn("swap", F.lit(False)).withColumn("known", F.lit(True))
+    rows = records.select(*SITE, "swap", "known").join(sites.select("variant_id", "by_pop"), "variant_id")
+    if iv is not None:  # a SNP in two overlapping regions counts twice
+        rows = sites_with_regions(rows, iv.select("chrom", "start", "end"))
+    rows = rows.withColumn("pops", model_pops(m, downsample))
+    none = F.struct(F.lit(0).cast("long").alias("n_ref"), F.lit(0).cast("long").alias("n_alt"))
+    at = F.transform("pops", lambda p: F.coalesce(F.try_element_at("by_pop", p["pop_ix"]), none))
+    rows = rows.withColumn("at", at)
+
+    def counted(x):
+        n = F.least(x["n_ref"], x["n_alt"]) if folded else F.when(F.col("swap"), x["n_ref"]).otherwise(x["n_alt"])
+        return n.cast("int")
+
+    enough = F.zip_with("at", "pops", lambda x, p: x["n_ref"] + x["n_alt"] >= p["need"])
+    return rows.select(
+        *SITE, "pops", "known", F.transform("at", counted).alias("c"), F.forall(enough, lambda x: x).alias("ok")
     )
 
 
@@ -117,45 +132,30 @@ def sfs(
     """Joint spectrum over the model's populations.
 
     ``folded`` counts the minor allele of each population on its own. ``downsample`` maps each
-    population to a smaller number of chromosomes and projects hypergeometrically: the outer
-    product over populations is a chain of explodes of per-population weights, and equal cells are
-    added up before the shuffle.
+    population to a smaller number of chromosomes and projects hypergeometrically: sites with equal
+    counts project alike and are added up first, then the outer product over populations is a chain
+    of explodes of per-population weights.
     """
-    rows = _site_pops(v, g, m, iv, ref, folded, downsample, prop, seed, draw_col)
-    occurrence = [*SITE, "region"]
+    rows = pop_cells(v, g, m, iv, ref, folded, downsample, prop, seed, draw_col).filter("ok AND known")
     if downsample is None:
-        cells = rows.groupBy(*occurrence).agg(
-            F.bool_and(F.col("ok") & F.col("known")).alias("ok"),
-            F.array_sort(F.collect_list(F.struct("pop_ix", "c"))).alias("s"),
-        )
-        counts = F.transform("s", lambda x: x["c"])
-        out = cells.filter("ok").groupBy(counts.alias("counts")).agg(F.count("*").cast("double").alias("n"))
+        out = rows.groupBy(F.col("c").alias("counts")).agg(F.count("*").cast("double").alias("n"))
     else:
-        cells = rows.groupBy(*occurrence).agg(
-            F.bool_and(F.col("ok") & F.col("known")).alias("ok"),
-            F.array_sort(F.collect_list(F.struct("pop_ix", "c", "size", "need"))).alias("s"),
-        )
-        # sites with equal counts project alike: aggregate them first
-        cells = cells.filter("ok").groupBy("s").agg(F.count("*").alias("n_sites"))
-        cells = cells.withColumn("counts", F.array().cast("array<int>")).withColumn(
-            "w", F.col("n_sites").cast("double")
-        )
+        cells = rows.groupBy("c").agg(F.first("pops").alias("pops"), F.count("*").cast("double").alias("w"))
+        cells = cells.withColumn("counts", F.array().cast("array<int>"))
         for i in range(len(downsample)):
-            e = F.element_at("s", i + 1)
-            top = F.floor(e["need"] / 2).cast("int") if folded else e["need"]
-            cells = cells.select(
-                "s", "counts", "w", F.explode(F.sequence(F.lit(0), top)).alias("r"), e.alias("e")
-            )
-            a, r, size, need = F.col("e.c"), F.col("r"), F.col("e.size"), F.col("e.need")
+            p = F.col("pops")[i]
+            top = F.floor(p["need"] / 2).cast("int") if folded else p["need"]
+            cells = cells.select("*", F.explode(F.sequence(F.lit(0), top)).alias("r"))
+            a, r, size, need = F.col("c")[i], F.col("r"), p["size"], p["need"]
             weight = hypergeometric_weight(a, r, size, need)
             if folded:
                 mirror = hypergeometric_weight(a, need - r, size, need)
                 weight = weight + F.when(need != 2 * r, mirror).otherwise(0.0)
             cells = (
                 cells.withColumn("w", F.col("w") * weight)
-                .withColumn("counts", F.array_append("counts", F.col("r")))
                 .filter(F.col("w") > 0)
-                .select("s", "counts", "w")
+                .withColumn("counts", F.array_append("counts", F.col("r")))
+                .drop("r")
             )
         out = cells.groupBy("counts").agg(F.sum("w").alias("n"))
     if round_int:
@@ -165,11 +165,7 @@ def sfs(
 
 def rejections(v, g, m, iv=None, ref=None, folded=False, downsample=None) -> DataFrame:
     """How many gated SNPs were dropped for too few alleles or an unusable outgroup."""
-    rows = _site_pops(v, g, m, iv, ref, folded, downsample, None, 0, None)
-    per_site = rows.groupBy(*SITE, "region").agg(
-        F.bool_and("ok").alias("ok"), F.bool_and("known").alias("known")
-    )
-    return per_site.agg(
+    return pop_cells(v, g, m, iv, ref, folded, downsample).agg(
         F.count("*").alias("n_sites"),
         copies(~F.col("ok")).alias("too_few"),
         copies(F.col("ok") & ~F.col("known")).alias("bad_outgroup"),

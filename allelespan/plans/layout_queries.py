@@ -107,13 +107,14 @@ def _(t):
 
 @query(
     "X08_drop_incomplete",
-    """SELECT iv_id, sample FROM who JOIN loci ON TRUE WHERE hap = 0 AND NOT EXISTS (SELECT 1 FROM recs r LEFT JOIN genotypes g ON g.variant_id = r.variant_id AND g.sample = who.sample
-        WHERE r.iv_id = loci.iv_id AND g.a1 IS NULL)""",
-    _SEQ,
+    """SELECT iv_id, sample FROM m3 JOIN iv_b b ON TRUE WHERE NOT EXISTS (
+         SELECT 1 FROM snps s LEFT JOIN (SELECT variant_id, sample AS who, a1 FROM genotypes) g ON g.variant_id = s.variant_id AND g.who = m3.sample
+         WHERE s.chrom = b.chrom AND b.start <= s.pos - 1 AND s.pos - 1 < b.end_ AND g.a1 IS NULL)""",
 )
 def _(t):
-    seqs = Q.region_sequences(t.snps, t.g, t.loci, t.m)
-    return Q.drop_incomplete(seqs, X.complete_samples(t.g, t.snps, t.loci, t.samples)).select("iv_id", "sample")
+    seqs = Q.region_sequences(t.snps, t.g, t.iv_b, t.m)
+    complete = X.complete_samples(t.g, t.snps, t.iv_b, t.samples)
+    return Q.drop_incomplete(seqs, complete, t.snps, t.iv_b).select("iv_id", "sample")
 
 
 _LINE = {
@@ -421,15 +422,11 @@ def _(t):
     return ST.read_stat(t.spark, path, window_size=1000)
 
 
-def _ped_files(t, recode12=False):
+def _ped_files(t, v, g):
     path = new_path(t.spark, "ped")
-    wide = t.snps.drop("cm")
-    sites = wide.join(t.g.select("variant_id").distinct(), "variant_id", "left_semi")
-    # one fileset: files x.ped and x.map come from one folder each, so write single blocks by chromosome
-    K.ped_lines(sites, t.g, recode12).select("chrom", "line").withColumnRenamed("chrom", "c").write.partitionBy("c").text(f"{path}/ped")
-    lines = K.map_lines(sites).repartition("chrom").sortWithinPartitions("chrom", "marker_ix")
-    lines.select(F.col("chrom").alias("c"), "line").write.partitionBy("c").text(f"{path}/map")
-    return path
+    called = v.join(g.filter("a1 is not null").select("variant_id").distinct(), "variant_id", "left_semi")
+    K.write_ped(called, g, path)
+    return f"{path}/ped", f"{path}/map"
 
 
 @query(
@@ -437,8 +434,8 @@ def _ped_files(t, recode12=False):
     "SELECT substr(v.chrom, 4) AS chrom, v.pos, s.sample, CASE g.a1 WHEN 0 THEN ref WHEN 1 THEN alt END AS b1, CASE g.a2 WHEN 0 THEN ref WHEN 1 THEN alt END AS b2 FROM snps v JOIN (SELECT DISTINCT sample FROM genotypes) s ON TRUE LEFT JOIN genotypes g ON g.variant_id = v.variant_id AND g.sample = s.sample WHERE v.variant_id IN (SELECT variant_id FROM genotypes)",
 )
 def _(t):
-    path = _ped_files(t)
-    return SG.read_ped(t.spark, f"{path}/ped", f"{path}/map").select("chrom", "pos", "sample", "b1", "b2")
+    paths = _ped_files(t, t.snps.drop("cm"), t.g)
+    return SG.read_ped(t.spark, *paths).select("chrom", "pos", "sample", "b1", "b2")
 
 
 def _eigenstrat_files(t):
@@ -474,12 +471,12 @@ def _(t):
     path = new_path(t.spark, "ima")
     seqs = Q.region_sequences(t.snps, t.g, t.loci, t.m, t.ref)
     lines = Q.ima_loci(seqs, _loci_lengths(t), t.loci, t.m)
-    n = t.loci.groupBy().agg(F.count("*").cast("string")).scalar()
+    n = t.loci.agg(F.count("*").cast("string")).scalar()
     pops = t.m.select("pop", "pop_ix").distinct().agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pop_ix", "pop"))), lambda p: p["pop"]), " ").alias("names"),
         F.count("*").cast("string").alias("k"),
-    )
-    head = pops.select(F.posexplode(F.array(F.lit("title"), F.lit("#Mutation rate: 1e-09"), "k", "names", n)).alias("o", "line"))
+    ).withColumn("n", n)
+    head = pops.select(F.posexplode(F.array(F.lit("title"), F.lit("#Mutation rate: 1e-09"), "k", "names", "n")).alias("o", "line"))
     head = head.select(F.lit(-1).cast("long").alias("locus_ix"), F.col("o").cast("long").alias("line_ix"), "line")
     # a locus file is one document: one part file, read back whole
     head.unionByName(lines).coalesce(1).sortWithinPartitions("locus_ix", "line_ix").select("line").write.text(path)
@@ -516,15 +513,11 @@ def _(t):
     """VCF to PED to EIGENSTRAT: heterozygosity survives whatever allele each format calls first."""
     v, g = SV.read_vcf(t.spark, vcf_path(t))
     v = v.filter(P.only_biallelic())
-    path = new_path(t.spark, "convert")
-    sites = v.join(g.filter("a1 is not null").select("variant_id").distinct(), "variant_id", "left_semi")
-    K.ped_lines(sites, g).select(F.col("chrom").alias("c"), "line").write.partitionBy("c").text(f"{path}/ped")
-    lines = K.map_lines(sites).repartition("chrom").sortWithinPartitions("chrom", "marker_ix")
-    lines.select(F.col("chrom").alias("c"), "line").write.partitionBy("c").text(f"{path}/map")
-    v2, g2 = SG.letters_to_callset(SG.read_ped(t.spark, f"{path}/ped", f"{path}/map"))
+    v2, g2 = SG.letters_to_callset(SG.read_ped(t.spark, *_ped_files(t, v, g)))
     two = v2.withColumn("alts", F.when(F.size("alts") > 0, F.col("alts")).otherwise(F.array(F.lit("N"))))
-    K.write_eigenstrat(two, g2, f"{path}/e")
-    _, g3, _ = SG.read_eigenstrat(t.spark, f"{path}/e")
+    prefix = new_path(t.spark, "convert")
+    K.write_eigenstrat(two, g2, prefix)
+    _, g3, _ = SG.read_eigenstrat(t.spark, prefix)
     return g3.select("chrom", "pos", "sample", ((F.col("a1") + F.col("a2")) * (2 - F.col("a1") - F.col("a2"))).alias("het"))
 
 

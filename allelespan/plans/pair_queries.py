@@ -29,12 +29,12 @@ _IJ = ["variant_id_i", "variant_id_j"]
 
 @query("L01_ld_r2", "SELECT vi AS variant_id_i, vj AS variant_id_j, n, ROUND(r*r, 6) AS r2 FROM stats", _KB)
 def _(t):
-    return LD.ld_pairs(t.g, stat="r2", window_kb=0.5).select(*_IJ, "n", "r2")
+    return LD.ld_pairs(t.g, samples=t.samples, stat="r2", window_kb=0.5).select(*_IJ, "n", "r2")
 
 
 @query("L01_ld_r", "SELECT vi AS variant_id_i, vj AS variant_id_j, ROUND(r, 6) + 0e0 AS r FROM stats", _KB)
 def _(t):
-    return LD.ld_pairs(t.g, stat="r", window_kb=0.5).select(*_IJ, "r")
+    return LD.ld_pairs(t.g, samples=t.samples, stat="r", window_kb=0.5).select(*_IJ, "r")
 
 
 @query(
@@ -43,7 +43,7 @@ def _(t):
     _ld_views("y.rk - x.rk <= 5 AND y.pos - x.pos <= 450"),
 )
 def _(t):
-    return LD.ld_pairs(t.g, window_snps=6, window_kb=0.45).select(*_IJ, "r2")
+    return LD.ld_pairs(t.g, samples=t.samples, window_snps=6, window_kb=0.45).select(*_IJ, "r2")
 
 
 @query(
@@ -52,7 +52,7 @@ def _(t):
     _ld_views("y.cm - x.cm <= 3e-2"),
 )
 def _(t):
-    return LD.ld_pairs(t.g, t.v, window_cm=0.03).select(*_IJ, "r2")
+    return LD.ld_pairs(t.g, t.v, samples=t.samples, window_cm=0.03).select(*_IJ, "r2")
 
 
 @query(
@@ -62,7 +62,7 @@ def _(t):
 )
 def _(t):
     chosen = t.v.filter("filter = 'q10'").select("variant_id")
-    return LD.ld_pairs(t.g, window_kb=0.5, min_r2=0.2, snps=chosen).select(*_IJ, "r2")
+    return LD.ld_pairs(t.g, samples=t.samples, window_kb=0.5, min_r2=0.2, snps=chosen).select(*_IJ, "r2")
 
 
 _HAPLO = {
@@ -79,7 +79,7 @@ _HAPLO = {
     _HAPLO,
 )
 def _(t):
-    return LD.ld_pairs(t.g, window_kb=0.5, d=True).select(*_IJ, "d", "d_prime", "d_prime_signed")
+    return LD.ld_pairs(t.g, samples=t.samples, window_kb=0.5, d=True).select(*_IJ, "d", "d_prime", "d_prime_signed")
 
 
 @query(
@@ -90,7 +90,7 @@ def _(t):
     _KB,
 )
 def _(t):
-    pairs = LD.ld_pairs(t.g, t.v, stat="r", window_kb=0.5, in_phase=True, maf=True)
+    pairs = LD.ld_pairs(t.g, t.v, samples=t.samples, stat="r", window_kb=0.5, in_phase=True, maf=True)
     return pairs.filter("abs(r) > 1e-9").select(*_IJ, "phase", "maf_i", "maf_j")
 
 
@@ -100,7 +100,7 @@ def _(t):
     _KB,
 )
 def _(t):
-    m = LD.ld_matrix(LD.ld_pairs(t.g, window_kb=0.5), _called(t), "triangle")
+    m = LD.ld_matrix(LD.ld_pairs(t.g, samples=t.samples, window_kb=0.5), _called(t), "triangle")
     return m.select("chrom", "row", "first_col", F.size(F.split("line", "\t")).alias("n_cells"))
 
 
@@ -118,7 +118,7 @@ def _called(t):
     _KB,
 )
 def _(t):
-    m = LD.ld_matrix(LD.ld_pairs(t.g, window_kb=0.5), _called(t), "square")
+    m = LD.ld_matrix(LD.ld_pairs(t.g, samples=t.samples, window_kb=0.5), _called(t), "square")
     return m.select("chrom", "row", "first_col", F.size(F.split("line", "\t")).alias("n_cells"))
 
 

@@ -303,7 +303,7 @@ _HAPS = {
     "site_loci": "SELECT l.iv_id AS locus, s.variant_id, s.ref, s.alt FROM loci l JOIN snps s ON s.chrom = l.chrom AND s.pos - 1 >= l.start AND s.pos - 1 < l.end_",
     "bases": "SELECT sl.locus, m.pop, sl.variant_id, CASE WHEN h.a IS NULL THEN 'N' WHEN h.a = 0 THEN sl.ref ELSE sl.alt END AS b FROM site_loci sl JOIN m3 m ON TRUE JOIN (SELECT 0 AS hap UNION ALL SELECT 1) k ON TRUE LEFT JOIN haps h ON h.variant_id = sl.variant_id AND h.sample = m.sample AND h.hap = k.hap",
     "segs": "SELECT locus, pop, COUNT(*) AS s FROM (SELECT locus, pop, variant_id FROM bases GROUP BY locus, pop, variant_id HAVING MIN(b) <> MAX(b)) GROUP BY locus, pop",
-    "pop_n": "SELECT pop, 2*COUNT(*) AS n_seqs, (SELECT SUM(1e0/i) FROM (SELECT unnest(range(1, GREATEST(2, COUNT(*)))) AS i)) AS a FROM m3 GROUP BY pop",
+    "pop_n": "SELECT pop, 2*COUNT(*) AS n_seqs, list_sum(list_transform(range(1, GREATEST(2, COUNT(*))), lambda i: 1e0/i)) AS a FROM m3 GROUP BY pop",
     "theta": "SELECT l.iv_id AS locus, p.pop, n_seqs, COALESCE(s, 0) AS segregating, COALESCE(s, 0)/a AS theta FROM loci l JOIN pop_n p ON TRUE LEFT JOIN segs g ON g.locus = l.iv_id AND g.pop = p.pop",
 }
 

@@ -11,8 +11,10 @@ PED_COLUMNS = 6  # fixed value: columns before the first allele
 MISSING_DOSAGE = 9  # fixed value
 
 
-def _file_stem(suffix: str):
-    return F.regexp_replace("file", rf"\.{suffix}$", "")
+def _fileset(suffix: str):
+    """What a map and a ped file share: the partition folders, or the name without its suffix."""
+    folders = F.regexp_extract("file", r"((?:[^/=]+=[^/=]+/)+)", 1)
+    return F.when(folders != "", folders).otherwise(F.regexp_replace("file", rf"\.{suffix}$", ""))
 
 
 def read_map(spark: SparkSession, path) -> DataFrame:
@@ -20,15 +22,16 @@ def read_map(spark: SparkSession, path) -> DataFrame:
     t = F.split(F.trim("value"), r"\s+")
     lines = numbered_lines(spark, path, F.trim("value") != "")
     return lines.select(
-        _file_stem("map").alias("fileset"), F.col("line_no").alias("marker_ix"), t[0].alias("chrom"),
-        t[1].alias("id"), t[2].cast("double").alias("cm"), t[3].cast("long").alias("pos"),
+        _fileset("map").alias("fileset"), F.col("line_no").alias("marker_ix"), F.get(t, F.lit(0)).alias("chrom"),
+        F.get(t, F.lit(1)).alias("id"), F.get(t, F.lit(2)).cast("double").alias("cm"), F.get(t, F.lit(3)).cast("long").alias("pos"),
     )
 
 
 def read_ped(spark: SparkSession, ped, map_path) -> DataFrame:
     """Long genotypes by letter: ``fid, sample, chrom, pos, id, b1, b2`` (null = missing).
 
-    ``x.ped`` goes with ``x.map``; several filesets may be read at once.
+    ``x.ped`` goes with ``x.map``, or the folders of ``write_ped`` with each other; several filesets
+    may be read at once.
     """
     t = F.split(F.trim("value"), r"\s+")
     rows = spark.read.text(ped).select(F.col("_metadata.file_path").alias("file"), t.alias("t")).filter(
@@ -42,7 +45,7 @@ def read_ped(spark: SparkSession, ped, map_path) -> DataFrame:
         ),
     )
     long = rows.select(
-        _file_stem("ped").alias("fileset"), F.col("t")[0].alias("fid"), F.col("t")[1].alias("sample"),
+        _fileset("ped").alias("fileset"), F.get("t", F.lit(0)).alias("fid"), F.get("t", F.lit(1)).alias("sample"),
         F.posexplode(pairs).alias("marker_ix", "b"),
     )
     out = long.withColumn("marker_ix", F.col("marker_ix").cast("long")).join(
@@ -73,13 +76,13 @@ def read_eigenstrat(spark: SparkSession, prefix: str) -> tuple[DataFrame, DataFr
     full = F.trim("value") != ""
     s = F.split(F.trim("value"), r"\s+")
     snp = numbered_lines(spark, f"{prefix}.snp", full).select(
-        "line_no", s[0].alias("id"), s[1].alias("chrom"), s[2].cast("double").alias("cm"),
-        s[3].cast("long").alias("pos"), s[4].alias("ref"), F.array(s[5]).alias("alts"),
+        "line_no", F.get(s, F.lit(0)).alias("id"), F.get(s, F.lit(1)).alias("chrom"), F.get(s, F.lit(2)).cast("double").alias("cm"),
+        F.get(s, F.lit(3)).cast("long").alias("pos"), F.get(s, F.lit(4)).alias("ref"), F.array(F.get(s, F.lit(5))).alias("alts"),
     )
     vid = F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", F.array_join("alts", ","))
     snp = snp.withColumn("variant_id", vid)
     ind = numbered_lines(spark, f"{prefix}.ind", full).select(
-        F.col("line_no").alias("sample_ix"), s[0].alias("sample"), s[1].alias("sex"), s[2].alias("pop")
+        F.col("line_no").alias("sample_ix"), F.get(s, F.lit(0)).alias("sample"), F.get(s, F.lit(1)).alias("sex"), F.get(s, F.lit(2)).alias("pop")
     )
     geno = numbered_lines(spark, f"{prefix}.geno", full).select(
         "line_no", F.posexplode(F.split(F.trim("value"), "")).alias("sample_ix", "d")

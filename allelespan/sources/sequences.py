@@ -23,7 +23,7 @@ def read_fasta(spark: SparkSession, path, width: int = CHUNK) -> DataFrame:
     lines = lines.withColumn("seg", F.sum(head.cast("long")).over(here)).withColumn(
         "len", F.when(head, 0).otherwise(F.length("value"))
     )
-    name = F.max(F.when(head, F.split(F.substring("value", 2, 1 << 20), r"\s+")[0]))
+    name = F.max(F.when(head, F.get(F.split(F.substring("value", 2, 1 << 20), r"\s+"), F.lit(0))))
     segs = lines.groupBy("file", "split", "seg").agg(F.sum("len").alias("len"), name.alias("name"))
     order = W.partitionBy("file").orderBy("split", "seg")
     segs = segs.withColumn("contig", F.count("name").over(order)).withColumn(
@@ -65,7 +65,7 @@ def read_aligned_fasta(spark: SparkSession, path) -> DataFrame:
     )
     rows = F.split("rec", r"\r?\n")
     return records.select(
-        "locus", "seq_ix", F.trim(rows[0]).alias("name"),
+        "locus", "seq_ix", F.trim(F.get(rows, F.lit(0))).alias("name"),
         F.array_join(F.transform(F.slice(rows, F.lit(2), F.size(rows)), lambda r: F.trim(r)), "").alias("seq"),
     )
 

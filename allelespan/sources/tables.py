@@ -44,9 +44,9 @@ def parse_region(df: DataFrame, column: str, cols: tuple[int, int, int] = (1, 2,
     """Add ``chrom, start, end`` from ``chrom:start:end`` text."""
     f = F.split(F.col(column), ":")
     return (
-        df.withColumn("chrom", f[cols[2]])
-        .withColumn("start", f[cols[0]].cast("long"))
-        .withColumn("end", f[cols[1]].cast("long"))
+        df.withColumn("chrom", F.get(f, F.lit(cols[2])))
+        .withColumn("start", F.get(f, F.lit(cols[0])).cast("long"))
+        .withColumn("end", F.get(f, F.lit(cols[1])).cast("long"))
     )
 
 

@@ -24,21 +24,26 @@ def variant_key() -> Column:
 
 def record_columns(value: Column | str = "value") -> list[Column]:
     """The fixed columns of a record line; shared with the streaming reader."""
-    f = F.split(F.col(value) if isinstance(value, str) else value, "\t")
+    line = F.col(value) if isinstance(value, str) else value
+    f = F.split(line, "\t")
+
+    def field(i: int) -> Column:  # get() is safe on lines that a filter has yet to drop
+        return F.get(f, F.lit(i))
 
     def text(i: int) -> Column:
-        return F.when(f[i] != ".", f[i])
+        return F.when(field(i) != ".", field(i))
 
     return [
-        f[0].alias("chrom"),
-        f[1].cast("long").alias("pos"),
+        field(0).alias("chrom"),
+        # guarded, because a pushed-down predicate may see a header line before it is dropped
+        F.when(~line.startswith("#"), field(1).cast("long")).alias("pos"),
         text(2).alias("id"),
-        f[3].alias("ref"),
-        F.when(f[4] == ".", F.array().cast("array<string>")).otherwise(F.split(f[4], ",")).alias("alts"),
-        F.try_to_number(f[5], F.lit("999999999.999999")).cast("double").alias("qual"),
-        f[6].alias("filter"),
-        F.when(f[7] == ".", F.lit(None).cast("map<string,string>"))
-        .otherwise(F.str_to_map(f[7], F.lit(";"), F.lit("=")))
+        field(3).alias("ref"),
+        F.when(field(4) == ".", F.array().cast("array<string>")).otherwise(F.split(field(4), ",")).alias("alts"),
+        F.try_to_number(field(5), F.lit("999999999.999999")).cast("double").alias("qual"),
+        field(6).alias("filter"),
+        F.when(field(7) == ".", F.lit(None).cast("map<string,string>"))
+        .otherwise(F.str_to_map(field(7), F.lit(";"), F.lit("=")))
         .alias("info"),
     ]
 
