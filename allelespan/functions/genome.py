@@ -143,3 +143,11 @@ def inheritance_scalar(chrom) -> Column:
 
 def is_dna(seq) -> Column:
     return col(seq).rlike(f"^(?i)[{DNA_LETTERS}]*$")
+
+
+def general_format(x) -> Column:
+    """Six significant digits without trailing zeros; null stays null."""
+    value = F.col(x) if isinstance(x, str) else x
+    text = F.when(value.isNotNull(), F.format_string("%.6g", value))
+    trimmed = F.when(text.contains("."), F.regexp_replace(text, r"(\.\d*?)0+(e|$)", "$1$2")).otherwise(text)
+    return F.regexp_replace(trimmed, r"\.(e|$)", "$1")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from allelespan.functions.genome import general_format
 from allelespan.operators.counts import SITE
 from allelespan.operators.ordered import ordinal
 from allelespan.operators.packed import both, pack_dosages, pack_haplotypes
@@ -170,7 +171,7 @@ def ld_matrix(pairs: DataFrame, sites: DataFrame, shape: str, value: str = "r2")
         .join(ranked.toDF("variant_id_i", "ri"), "variant_id_i")
         .join(ranked.toDF("variant_id_j", "rj"), "variant_id_j")
     )
-    val = F.coalesce(F.format_string("%.6g", F.round(value, 6)), F.lit("nan"))
+    val = F.coalesce(general_format(F.round(value, 6)), F.lit("nan"))
     lower = F.struct(F.col("rj").alias("row"), F.col("ri").alias("c"), val.alias("x"))
     upper = F.struct(
         F.col("ri").alias("row"),

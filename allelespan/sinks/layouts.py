@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from allelespan.functions.genome import ID_DELIMITERS, add_chr, natural_key, strip_chr, to_output_coordinates
+from allelespan.functions.genome import (
+    ID_DELIMITERS,
+    add_chr,
+    general_format,
+    natural_key,
+    strip_chr,
+    to_output_coordinates,
+)
 from allelespan.operators.counts import site_counts
 from allelespan.operators.ordered import ordinal
 
@@ -124,13 +131,6 @@ def write_bed(iv: DataFrame, path: str, header: str | None = None, **options) ->
     write_lines(lines, path, ["k", "start", "end"])
 
 
-def general_format(x) -> Column:
-    """Six significant digits without trailing zeros."""
-    text = F.format_string("%.6g", x)
-    trimmed = F.when(text.contains("."), F.regexp_replace(text, r"(\.\d*?)0+(e|$)", "$1$2")).otherwise(text)
-    return F.regexp_replace(trimmed, r"\.(e|$)", "$1")
-
-
 def stat_lines(st: DataFrame) -> DataFrame:
     """Tab-separated statistic rows; doubles with six significant digits, undefined as ``nan``."""
     cells = []
