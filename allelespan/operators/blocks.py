@@ -32,13 +32,16 @@ def polymorphic_sites(
     max_sites: int | None = None,
 ) -> DataFrame:
     """Polymorphic single-base sites per region, with ``informative`` and, for informative ones,
-    their ``rank`` in the region.
+    their ``rank`` in the region and the ``carriers`` of each allele.
+
+    Packing reads the genotypes once and writes the bit sets to the shared folder; placing and
+    ranking then work on the narrow site columns.
 
     A site is informative when at least two bases have two copies or more. ``max_sites=1000`` keeps
     the first 1000 informative sites of a region, as some tools do; the default keeps all.
     """
     plain = v.filter(P.all_alleles_plain()).select(*SITE)
-    packed = plain.join(pack_haplotypes(g, samples).drop("chrom", "pos"), "variant_id")
+    packed = plain.join(pack_haplotypes(g, samples), "variant_id")
     if not include_missing:
         packed = packed.filter(F.col("n_haps") == 2 * n_samples(samples))
     n_bases = F.size("carriers")
@@ -46,15 +49,18 @@ def polymorphic_sites(
     sites = packed.filter(n_bases > 1).withColumn("informative", twice > 1)
     if only_two:
         sites = sites.filter(n_bases == 2)
-    hit = sites_with_regions(sites, iv.select("iv_id", "chrom", "start", "end")).select(
-        F.col("r_iv_id").alias("iv_id"), *SITE, "informative", "n_haps", "carriers"
+    sites = materialise(sites.select(*SITE, "informative", "n_haps", "carriers"), "packed")
+    narrow = sites.select(*SITE, "informative")
+    hit = sites_with_regions(narrow, iv.select("iv_id", "chrom", "start", "end")).select(
+        F.col("r_iv_id").alias("iv_id"), *SITE, "informative"
     )
     ranked = running(
         hit, ["iv_id"], "pos", {"rank": ("sum_before", F.col("informative").cast("long"))}, ["variant_id"]
     )
     if max_sites is not None:
         ranked = ranked.filter(F.col("rank") < max_sites)
-    return ranked.withColumn("rank", F.when(F.col("informative"), F.col("rank")))
+    ranked = ranked.withColumn("rank", F.when(F.col("informative"), F.col("rank")))
+    return ranked.join(sites.select("variant_id", "n_haps", "carriers"), "variant_id")
 
 
 def informative_only(sites: DataFrame) -> DataFrame:

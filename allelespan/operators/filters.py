@@ -242,7 +242,7 @@ def complete_samples(g: DataFrame, v: DataFrame, iv: DataFrame, samples: DataFra
     """
     points = v.select("variant_id", "chrom", F.col("pos"), (F.col("pos") - 1).alias("p0"))
     hits = overlap_pairs(
-        points, iv.select("iv_id", "chrom", "start", "end"), ("chrom", "p0", "pos"), prefix="r_"
+        points, iv.select("iv_id", "chrom", "start", "end"), ("chrom", "p0", "pos"), prefix="r_", points=True
     ).select("variant_id", F.col("r_iv_id").alias("iv_id"))
     records = hits.groupBy("iv_id").agg(F.count("*").alias("n_records"))
     called = g.filter(F.col("a1").isNotNull()).select("variant_id", "sample")

@@ -61,7 +61,10 @@ def ld_pairs(
     """
     packed = pack_dosages(g, samples)
     if window_snps is not None:
-        packed = ordinal(packed, ["chrom"], "pos", ["variant_id"], "rank")
+        called = g.filter(F.col("a1").isNotNull() & F.col("a2").isNotNull())
+        sites = called.select(*SITE).dropDuplicates(["variant_id"])  # ranks need the narrow columns only
+        ranks = ordinal(sites, ["chrom"], "pos", ["variant_id"], "rank").select("variant_id", "rank")
+        packed = packed.join(ranks, "variant_id")
     extra_cols = []
     if v is not None:
         extra_cols = [c for c in ("ref", "alts", "cm") if c in v.columns]

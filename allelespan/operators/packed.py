@@ -59,22 +59,26 @@ def pack_dosages(g: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     x = g.filter(a1.isNotNull() & a2.isNotNull()).join(index, "sample")
     bit, none = _bit(F.col("six")), F.lit(0).cast("long")
     alts = (a1 > 0).cast("int") + (a2 > 0).cast("int")
-    words = x.groupBy(*SITE, _word(F.col("six")).alias("word")).agg(
+    words = x.groupBy("variant_id", _word(F.col("six")).alias("word")).agg(
+        F.first("chrom").alias("chrom"),
+        F.first("pos").alias("pos"),
         F.bit_or(bit).alias("called"),
         F.bit_or(F.when(alts == 1, bit).otherwise(none)).alias("het"),
         F.bit_or(F.when(alts == 2, bit).otherwise(none)).alias("hom"),
     )
-    packed = words.groupBy(*SITE).agg(
-        F.array_sort(F.collect_list(F.struct("word", "called", "het", "hom"))).alias("w")
+    packed = words.groupBy("variant_id").agg(
+        F.first("chrom").alias("chrom"),
+        F.first("pos").alias("pos"),
+        F.array_sort(F.collect_list(F.struct("word", "called", "het", "hom"))).alias("w"),
     )
     return packed.select(*SITE, *[_dense("w", f).alias(f) for f in ("called", "het", "hom")])
 
 
 def pack_haplotypes(g: DataFrame, samples: DataFrame | None = None) -> DataFrame:
-    """Per site one entry per allele present: ``carriers array<struct<allele, n, bits>>``, plus
-    ``n_haps`` called. Haplotype ``2 * sample + h`` carries ``a1`` (h = 0) or ``a2`` (h = 1)."""
+    """``variant_id`` with one entry per allele present: ``carriers array<struct<allele, n, bits>>``,
+    plus ``n_haps`` called. Haplotype ``2 * sample + h`` carries ``a1`` (h = 0) or ``a2`` (h = 1)."""
     x = g.join(sample_index(g if samples is None else samples), "sample").select(
-        *SITE,
+        "variant_id",
         F.explode(
             F.array(
                 F.struct((2 * F.col("six")).alias("hap"), F.col("a1").alias("allele")),
@@ -82,15 +86,15 @@ def pack_haplotypes(g: DataFrame, samples: DataFrame | None = None) -> DataFrame
             )
         ).alias("h"),
     )
-    x = x.select(*SITE, "h.*").filter(F.col("allele").isNotNull())
-    words = x.groupBy(*SITE, "allele", _word(F.col("hap")).alias("word")).agg(
+    x = x.select("variant_id", "h.*").filter(F.col("allele").isNotNull())
+    words = x.groupBy("variant_id", "allele", _word(F.col("hap")).alias("word")).agg(
         F.bit_or(_bit(F.col("hap"))).alias("bits")
     )
-    per_allele = words.groupBy(*SITE, "allele").agg(
+    per_allele = words.groupBy("variant_id", "allele").agg(
         F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("w"),
         F.sum(F.bit_count("bits")).alias("n"),
     )
-    per_allele = per_allele.select(*SITE, F.struct("allele", "n", _dense("w", "bits").alias("bits")).alias("e"))
-    return per_allele.groupBy(*SITE).agg(
+    per_allele = per_allele.select("variant_id", F.struct("allele", "n", _dense("w", "bits").alias("bits")).alias("e"))
+    return per_allele.groupBy("variant_id").agg(
         F.array_sort(F.collect_list("e")).alias("carriers"), F.sum("e.n").alias("n_haps")
     )

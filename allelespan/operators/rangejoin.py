@@ -38,18 +38,23 @@ def _width(level: Column) -> Column:
     return F.element_at(F.array(*[F.lit(w).cast("long") for w in WIDTHS]), level + 1)
 
 
-def _emit(df: DataFrame, side: str, start: str, end: str, other_levels: DataFrame) -> DataFrame:
-    """One row per (level, bin) at which this side takes part."""
+def _emit(df: DataFrame, side: str, start: str, end: str, other_levels: DataFrame | None) -> DataFrame:
+    """One row per (level, bin) at which this side takes part.
+
+    ``other_levels`` None: the other side consists of points, which all sit on the first level.
+    """
     own, lev, b = f"__own_{side}", "__level", "__bin"
-    levels = F.array(*[F.lit(i) for i in range(len(WIDTHS))])
-    out = df.withColumn(own, _level(F.col(start), F.col(end))).withColumn(
-        lev, F.explode(F.filter(levels, lambda i: i >= F.col(own)))
-    )
-    # at most len(WIDTHS) rows: a fixed size, so the broadcast is safe
-    present = F.broadcast(other_levels.withColumnRenamed("__own", lev).withColumn("__there", F.lit(True)))
-    out = out.join(present, lev, "left").filter((F.col(lev) == F.col(own)) | F.col("__there"))
+    out = df.withColumn(own, _level(F.col(start), F.col(end)))
+    if other_levels is None:
+        out = out.withColumn(lev, F.col(own))
+    else:
+        levels = F.array(*[F.lit(i) for i in range(len(WIDTHS))])
+        out = out.withColumn(lev, F.explode(F.filter(levels, lambda i: i >= F.col(own))))
+        # at most len(WIDTHS) rows: a fixed size, so the broadcast is safe
+        present = F.broadcast(other_levels.withColumnRenamed("__own", lev).withColumn("__there", F.lit(True)))
+        out = out.join(present, lev, "left").filter((F.col(lev) == F.col(own)) | F.col("__there")).drop("__there")
     width = _width(F.col(lev))
-    return out.drop("__there").withColumn(
+    return out.withColumn(
         b,
         F.explode(
             F.sequence(
@@ -67,16 +72,18 @@ def overlap_pairs(
     b_cols: tuple[str, str, str] = ("chrom", "start", "end"),
     prefix: str = "b_",
     salts: int = 1,
+    points: bool = False,
 ) -> DataFrame:
     """Every overlapping pair once: columns of ``a``, then those of ``b`` under ``prefix``.
 
-    Empty intervals match nothing.
+    Empty intervals match nothing. ``points`` says that every interval of ``a`` is one base long,
+    which spares the look at its lengths. ``b`` is read twice, once for its lengths only.
     """
     ac, as_, ae = a_cols
     b = b.select(*[F.col(c).alias(prefix + c) for c in b.columns])
     bc, bs, be = (prefix + c for c in b_cols)
     a, b = a.filter(F.col(ae) > F.col(as_)), b.filter(F.col(be) > F.col(bs))
-    a_levels = a.select(_level(F.col(as_), F.col(ae)).alias("__own")).distinct()
+    a_levels = None if points else a.select(_level(F.col(as_), F.col(ae)).alias("__own")).distinct()
     b_levels = b.select(_level(F.col(bs), F.col(be)).alias("__own")).distinct()
     left = _emit(a, "a", as_, ae, b_levels)
     right = _emit(b, "b", bs, be, a_levels)
@@ -173,4 +180,5 @@ def sites_outside(v: DataFrame, iv: DataFrame) -> DataFrame:
 def sites_with_regions(v: DataFrame, iv: DataFrame, prefix: str = "r_", salts: int = 1) -> DataFrame:
     """One row per (record, interval that contains it); interval columns under ``prefix``."""
     points = v.withColumn("__p0", F.col("pos") - 1)
-    return overlap_pairs(points, iv, ("chrom", "__p0", "pos"), prefix=prefix, salts=salts).drop("__p0")
+    at = ("chrom", "__p0", "pos")
+    return overlap_pairs(points, iv, at, prefix=prefix, salts=salts, points=True).drop("__p0")

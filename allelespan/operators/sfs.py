@@ -116,6 +116,18 @@ def pop_cells(
     )
 
 
+def _weights(a: Column, size: Column, need: Column, top: Column, folded: bool) -> Column:
+    """Chance of r = 0..top copies among ``need`` chromosomes, both allele labels if ``folded``."""
+
+    def weight(r):
+        w = hypergeometric_weight(a, r, size, need)
+        if not folded:
+            return w
+        return w + F.when(need != 2 * r, hypergeometric_weight(a, need - r, size, need)).otherwise(0.0)
+
+    return F.transform(F.sequence(F.lit(0), top), weight)
+
+
 def sfs(
     v: DataFrame,
     g: DataFrame,
@@ -141,21 +153,19 @@ def sfs(
         out = rows.groupBy(F.col("c").alias("counts")).agg(F.count("*").cast("double").alias("n"))
     else:
         cells = rows.groupBy("c").agg(F.first("pops").alias("pops"), F.count("*").cast("double").alias("w"))
-        cells = cells.withColumn("counts", F.array().cast("array<int>"))
+        # all weights of a row first, then the outer product is explodes and multiplications only
         for i in range(len(downsample)):
-            p = F.col("pops")[i]
+            p, a = F.col("pops")[i], F.col("c")[i]
             top = F.floor(p["need"] / 2).cast("int") if folded else p["need"]
-            cells = cells.select("*", F.explode(F.sequence(F.lit(0), top)).alias("r"))
-            a, r, size, need = F.col("c")[i], F.col("r"), p["size"], p["need"]
-            weight = hypergeometric_weight(a, r, size, need)
-            if folded:
-                mirror = hypergeometric_weight(a, need - r, size, need)
-                weight = weight + F.when(need != 2 * r, mirror).otherwise(0.0)
+            cells = cells.withColumn(f"w{i}", _weights(a, p["size"], p["need"], top, folded))
+        cells = cells.withColumn("counts", F.array().cast("array<int>"))
+        for i in range(len(downsample)):
             cells = (
-                cells.withColumn("w", F.col("w") * weight)
-                .filter(F.col("w") > 0)
+                cells.select("*", F.posexplode(f"w{i}").alias("r", "x"))
+                .filter(F.col("x") > 0)
+                .withColumn("w", F.col("w") * F.col("x"))
                 .withColumn("counts", F.array_append("counts", F.col("r")))
-                .drop("r")
+                .drop("r", "x", f"w{i}")
             )
         out = cells.groupBy("counts").agg(F.sum("w").alias("n"))
     if round_int:
