@@ -210,15 +210,16 @@ def windowed_weir_fst(g: DataFrame, m: DataFrame, size: int, step: int | None =
 def pop_pairs(m: DataFrame) -> DataFrame:
     """Unordered population pairs, one row per pair and member: ``pair, pop``.
 
-    Built by an equi-join on the model, over the small table of its populations.
+    Made inside one row per model, which lists its populations in order.
     """
-    pops = m.select("model", "pop", "pop_ix").distinct()
-    x = pops.select("model", F.col("pop").alias("p1"), F.col("pop_ix").alias("i1"))
-    y = pops.select("model", F.col("pop").alias("p2"), F.col("pop_ix").alias("i2"))
-    pairs = x.join(y, "model").filter("i1 < i2")
-    return pairs.select(
-        F.concat_ws("_", "p1", "p2").alias("pair"), F.explode(F.array("p1", "p2")).alias("pop")
-    )
+    pops = m.groupBy("model").agg(F.array_sort(F.collect_set(F.struct("pop_ix", "pop"))).alias("pops"))
+
+    def with_later(x):
+        later = F.filter("pops", lambda y: y["pop_ix"] > x["pop_ix"])
+        return F.transform(later, lambda y: F.array(x["pop"], y["pop"]))
+
+    pairs = pops.select(F.explode(F.flatten(F.transform("pops", with_later))).alias("two"))
+    return pairs.select(F.array_join("two", "_").alias("pair"), F.explode("two").alias("pop"))
 
 
 def pairwise_weir_fst(g: DataFrame, m: DataFrame) -> DataFrame:

@@ -82,7 +82,9 @@ def running(
         edges.append(F.row_number().over(inner).alias("__first"))
     if any(kind == "next" for kind, _ in specs.values()):
         edges.append(F.lead(F.lit(1)).over(inner).alias("__more"))
-    rows = base.select("*", *local, *edges).join(totals, [*by, _BLK])
+    # every row has its block's totals; a left join adds no null filter to one side only, so both
+    # sides read the same shuffle of the input
+    rows = base.select("*", *local, *edges).join(totals, [*by, _BLK], "left")
 
     out = [F.col(c) for c in df.columns if c not in specs]
     for name, (kind, _) in specs.items():

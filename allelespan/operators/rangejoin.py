@@ -122,7 +122,7 @@ def islands(iv: DataFrame, max_gap: int = 0, strict: bool = False) -> DataFrame:
     heads = seen.filter(F.col("prev_end").isNull() | gap)
     # the running maximum seen by the next head is the end of this island
     nxt = running(heads, ["chrom"], "start", {"next_prev": ("next", "prev_end")})
-    last = iv.groupBy("chrom").agg(F.max("end").alias("last_end"))
+    last = starts.groupBy("chrom").agg(F.max("end").alias("last_end"))
     return nxt.join(last, "chrom").select(
         "chrom", "start", F.coalesce("next_prev", "last_end").alias("end"), "prev_end"
     )

@@ -306,9 +306,3 @@ def ima_loci(seqs: DataFrame, loci: DataFrame, iv: DataFrame, m: DataFrame, with
         F.concat(F.rpad(name, F.greatest(F.lit(NAME_WIDTH), F.length(name)), F.lit(" ")), "seq").alias("line"),
     )
     return heads.unionByName(lines)
-
-
-def ima_header(m: DataFrame, n_loci: int, mutrate: float, title: str = "IMa input") -> list[str]:
-    """File header lines; the population list is as small as the model."""
-    pops = [r["pop"] for r in m.select("pop", "pop_ix").distinct().orderBy("pop_ix").collect()]
-    return [title, f"#Mutation rate: {mutrate}", str(len(pops)), " ".join(pops) + " ", str(n_loci)]

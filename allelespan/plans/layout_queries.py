@@ -155,11 +155,9 @@ def _(t):
     return K.vcf_lines(t.v, t.g).select("chrom", "pos", "line")
 
 
-@query("K02_bed_lines", "SELECT iv_id, concat_ws(chr(9), substr(chrom, 4), start + 1, end_) AS line FROM iv_b")
+@query("K02_bed_lines", 'SELECT chrom, start, end_ AS "end", concat_ws(chr(9), substr(chrom, 4), start + 1, end_) AS line FROM iv_b')
 def _(t):
-    return t.iv_b.select("iv_id", "chrom", "start", "end").transform(
-        lambda iv: K.bed_lines(iv, "one_based", remove_prefix=True).join(iv, ["chrom", "start", "end"])
-    ).select("iv_id", "line").distinct()
+    return K.bed_lines(t.iv_b, "one_based", remove_prefix=True)
 
 
 _PI = "SELECT chrom, pos, CASE WHEN n_called > 0 THEN ROUND(2e0*n_alt*n_ref/(n_called*(n_called-1)), 6) END AS PI FROM counts"
@@ -371,11 +369,20 @@ def _(t):
     return X.missing_samples(t.m.unionByName(extra), t.g).select("sample")
 
 
-@query("S04_read_bed", 'SELECT chrom, start, end_ AS "end" FROM iv_b WHERE chrom = \'chr2\'')
-def _(t):
+def _bed_file(t):
     path = new_path(t.spark, "bed")
     K.write_bed(t.iv_b, path, header="chromosome first last", mode="one_based")
-    return ST.read_bed(t.spark, path, one_based=True, chrom="chr2").select("chrom", "start", "end")
+    return path
+
+
+@query("S04_read_bed", 'SELECT chrom, start, end_ AS "end" FROM iv_b')
+def _(t):
+    return ST.read_bed(t.spark, _bed_file(t), one_based=True).select("chrom", "start", "end")
+
+
+@query("S04_read_bed_one_chromosome", 'SELECT chrom, start, end_ AS "end" FROM iv_b WHERE chrom = \'chr2\'')
+def _(t):
+    return ST.read_bed(t.spark, _bed_file(t), one_based=True, chrom="chr2").select("chrom", "start", "end")
 
 
 @query("S05_parse_region", 'SELECT iv_id, chrom, start, end_ AS "end" FROM iv_b')
@@ -470,41 +477,32 @@ def _(t):
 def _(t):
     path = new_path(t.spark, "ima")
     seqs = Q.region_sequences(t.snps, t.g, t.loci, t.m, t.ref)
-    lines = Q.ima_loci(seqs, _loci_lengths(t), t.loci, t.m)
-    n = t.loci.agg(F.count("*").cast("string")).scalar()
-    pops = t.m.select("pop", "pop_ix").distinct().agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pop_ix", "pop"))), lambda p: p["pop"]), " ").alias("names"),
-        F.count("*").cast("string").alias("k"),
-    ).withColumn("n", n)
-    head = pops.select(F.posexplode(F.array(F.lit("title"), F.lit("#Mutation rate: 1e-09"), "k", "names", "n")).alias("o", "line"))
-    head = head.select(F.lit(-1).cast("long").alias("locus_ix"), F.col("o").cast("long").alias("line_ix"), "line")
-    # a locus file is one document: one part file, read back whole
-    head.unionByName(lines).coalesce(1).sortWithinPartitions("locus_ix", "line_ix").select("line").write.text(path)
+    K.write_ima(Q.ima_loci(seqs, _loci_lengths(t), t.loci, t.m), t.m, path, loci_per_file=16)
     return SS.read_ima_loci(t.spark, path).select("locus", "pop", "name", "seq")
 
 
-@query("S14_read_sites_alignment", "SELECT concat('S', name) AS name, seq FROM (SELECT substr(sample, 2) AS name, string_agg(CASE WHEN a1 IS NULL THEN 'N' WHEN a1 = 0 THEN ref ELSE alt END, '' ORDER BY v.pos, v.variant_id) AS seq FROM snps v JOIN m3 ON TRUE LEFT JOIN (SELECT variant_id, sample AS s, a1 FROM genotypes) g ON g.variant_id = v.variant_id AND g.s = m3.sample WHERE v.chrom = 'chr1' GROUP BY sample)")
+@query(
+    "S14_read_sites_alignment",
+    "SELECT sample AS name, only_alleles AS seq FROM seqs WHERE hap = 0 AND EXISTS (SELECT 1 FROM recs WHERE recs.iv_id = seqs.iv_id)",
+    _SEQ,
+)
 def _(t):
-    seqs = _whole_chrom(t)
-    n, length = seqs.agg(F.count("*").cast("string")).scalar(), seqs.agg(F.max(F.length("seq")).cast("string")).scalar()
-    rows = seqs.select(F.lit(4).alias("o"), "sample", F.concat(F.rpad("sample", 10, " "), "seq").alias("line"))
-    one = t.spark.range(1)
-    heads = one.select(
-        F.posexplode(
-            F.array(F.lit("title"), F.lit("# comment"), F.concat_ws(" ", n, length), F.concat_ws(" ", F.lit("1"), length), F.lit("All"))
-        ).alias("o", "line")
-    ).select((F.col("o") - 10).alias("o"), F.lit("").alias("sample"), "line")
+    """One alignment file per locus that has sites."""
+    seqs = Q.haplotype_sequences(t.snps, t.g, t.loci, t.m, single=True).filter("seq <> ''")
+    rows = seqs.select(
+        "iv_id", F.lit(9).alias("o"), "sample", F.concat(F.rpad("sample", 10, " "), "seq").alias("line")
+    )
+    size = seqs.groupBy("iv_id").agg(F.count("*").cast("string").alias("n"), F.max(F.length("seq")).cast("string").alias("len"))
+    top = F.array(
+        F.lit("title"), F.lit("# comment"), F.concat_ws(" ", "n", "len"), F.concat_ws(" ", F.lit("1"), "len"), F.lit("All")
+    )
+    heads = size.select("iv_id", F.posexplode(top).alias("o", "line")).withColumn("sample", F.lit(""))
     path = new_path(t.spark, "sites")
-    heads.unionByName(rows).coalesce(1).sortWithinPartitions("o", "sample").select("line").write.text(path)
+    files = rows.unionByName(heads).repartition("iv_id").sortWithinPartitions("iv_id", "o", "sample")
+    files.select("iv_id", "line").write.partitionBy("iv_id").text(path)
     return SS.read_sites_alignment(t.spark, path).select("name", "seq")
 
 
-def _whole_chrom(t):
-    """First-haplotype SNP strings of one chromosome: one region, variants only."""
-    whole = t.sizes.filter("chrom = 'chr1'").select(F.col("chrom").alias("iv_id"), "chrom", F.lit(0).cast("long").alias("start"), F.col("size").alias("end"))
-    return Q.haplotype_sequences(t.snps, t.g, whole, t.m, single=True).select("sample", "seq")
-
-
 @query(
     "K15_convert_vcf_ped_eigenstrat",
     _BYNUMBER.replace("LEAST(2 - a1 - a2, 2)", "(a1 + a2) * (2 - a1 - a2)").replace("AS dose", "AS het"),

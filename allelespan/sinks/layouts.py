@@ -288,3 +288,30 @@ def sfs_lines(dense: DataFrame, dims: list[int]) -> DataFrame:
     return dense.groupBy(row.alias("row")).agg(F.array_join(F.transform(cells, lambda c: c["t"]), "\t").alias("line"))
 
 
+# ---- locus files --------------------------------------------------------------------------------------
+
+
+def ima_files(lines: DataFrame, m: DataFrame, mutrate: float = 1e-9, loci_per_file: int = 1000) -> DataFrame:
+    """Complete documents from the lines of ``ima_loci``: ``file_ix, locus_ix, line_ix, line``.
+
+    Every file has its own header with title, rate, populations and its number of loci.
+    """
+    body = lines.withColumn("file_ix", F.floor(F.col("locus_ix") / loci_per_file).cast("long"))
+    n = body.groupBy("file_ix").agg(F.countDistinct("locus_ix").cast("string").alias("n"))
+    pops = m.select("pop", "pop_ix").distinct()
+    names = pops.agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pop_ix", "pop"))), lambda p: p["pop"]), " ")
+    ).scalar()
+    k = pops.agg(F.count("*").cast("string")).scalar()
+    title, rate = F.lit("IMa input"), F.lit(f"#Mutation rate: {mutrate}")
+    heads = n.withColumn("names", names).withColumn("k", k)
+    heads = heads.select("file_ix", F.posexplode(F.array(title, rate, "k", "names", "n")).alias("line_ix", "line"))
+    heads = heads.withColumn("locus_ix", F.lit(-1).cast("long")).withColumn("line_ix", F.col("line_ix").cast("long"))
+    return body.unionByName(heads)
+
+
+def write_ima(lines: DataFrame, m: DataFrame, path: str, **options) -> None:
+    """One folder with one file per ``loci_per_file`` loci."""
+    files = ima_files(lines, m, **options).repartition("file_ix")
+    files = files.sortWithinPartitions("file_ix", "locus_ix", "line_ix")
+    files.select("file_ix", "line").write.partitionBy("file_ix").text(path)
