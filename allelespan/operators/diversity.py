@@ -358,5 +358,10 @@ def hardy_weinberg(g: DataFrame) -> DataFrame:
     )
 
 
+def drop_undefined(st: DataFrame, value: str) -> DataFrame:
+    """Rows of a statistic table where the statistic is defined."""
+    return st.dropna(subset=[value]).filter(~F.isnan(value))
+
+
 def manhattan_points(st: DataFrame, value: str = "fst") -> DataFrame:
-    return st.dropna(subset=[value]).filter(~F.isnan(value)).select("chrom", "pos", value)
+    return drop_undefined(st, value).select("chrom", "pos", value)

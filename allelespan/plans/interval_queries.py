@@ -298,7 +298,7 @@ _MIXED = "CASE WHEN iv_id % 3 = 0 THEN concat('chr', CAST(iv_id % 12 + 1 AS STRI
 
 
 @query(
-    "W01_natural_key",
+    "C01_natural_chrom_key",
     f"""SELECT iv_id, DENSE_RANK() OVER (ORDER BY CASE WHEN c = 'X' THEN 1 ELSE 0 END,
          CAST(COALESCE(NULLIF(regexp_replace(c, '[^0-9]', '', 'g'), ''), '0') AS INT), CASE WHEN c LIKE '%b' THEN 1 ELSE 0 END) AS r
         FROM (SELECT iv_id, {_MIXED} AS c FROM iv_b)""",
@@ -318,6 +318,11 @@ def _(t):
     return iv(I.sort_intervals(t.iv_a))
 
 
+@query("W01_natural_rank", "SELECT iv_id, ROW_NUMBER() OVER (ORDER BY chrom, start, end_, iv_id) - 1 AS locus_ix FROM iv_a")
+def _(t):
+    return Q.locus_index(t.iv_a).select("iv_id", "locus_ix")
+
+
 @query("W02_sort_string", f"SELECT iv_id, chrom, start, {END} FROM iv_a")
 def _(t):
     return iv(I.sort_intervals(t.iv_a, "string"))

@@ -206,6 +206,15 @@ def _(t):
     return D.hardy_weinberg(t.g).drop("chrom", "pos")
 
 
+@query("F34_drop_undefined", "SELECT chrom, bin_start, pi FROM (SELECT chrom, CAST(FLOOR(pos/1000) AS BIGINT) AS bin_start, ROUND(AVG(CASE WHEN n_called > 0 AND n_missing <= 2 THEN 2e0*n_alt*n_ref/(n_called*(n_called-1)) END), 6) AS pi FROM counts GROUP BY 1, 2) WHERE pi IS NOT NULL")
+def _(t):
+    c = C.site_counts(t.g)
+    pi = D.ratio(D.mismatches(F.col("n_alt"), F.col("n_called")), F.col("n_called") * (F.col("n_called") - 1))
+    start = F.floor(F.col("pos") / 1000).cast("long").alias("bin_start")
+    st = c.groupBy("chrom", start).agg(F.avg(F.when(F.col("n_missing") <= 2, pi)).alias("pi"))
+    return D.drop_undefined(st, "pi")
+
+
 # ---- admixture statistics ------------------------------------------------------------------------
 
 _FREQS = {

@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 FIXED_COLUMNS = 9  # fixed value: columns before the first sample
 
 
+def header_line(spark: SparkSession, path) -> str:
+    """The first ``#CHROM`` line; the search stops at the file split that has one."""
+    head = spark.read.text(path).filter(F.col("value").startswith("#CHROM")).first()
+    if head is None:
+        raise ValueError("no #CHROM header line")
+    return head["value"]
+
+
 def header_samples(spark: SparkSession, path) -> list[str]:
-    """Sample names of the ``#CHROM`` line. Files read together must have the same line."""
-    heads = (
-        spark.read.text(path).filter(F.col("value").startswith("#CHROM")).distinct().limit(2).collect()
-    )
-    if len(heads) != 1:
-        raise ValueError(f"expected one #CHROM header line, found {len(heads)}: read files apart and concatenate")
-    return heads[0]["value"].rstrip("\n").split("\t")[FIXED_COLUMNS:]
+    return header_line(spark, path).split("\t")[FIXED_COLUMNS:]
+
+
+def record_lines(lines: DataFrame, header: str) -> DataFrame:
+    """Record lines only. A file whose header differs raises in the same pass, so checking the
+    headers of many files costs no scan of its own."""
+    value = F.col("value")
+    other = F.raise_error(F.lit("files have different #CHROM lines: read them apart and concatenate"))
+    differs = value.startswith("#CHROM") & (value != F.lit(header))
+    return lines.filter(F.when(differs, other.cast("boolean")).otherwise(~value.startswith("#") & (value != "")))
 
 
 def variant_key() -> Column:
@@ -60,8 +71,9 @@ def read_vcf(
     A gzip file is one split; ``min_partitions`` spreads its records before they are parsed. Prefer one
     file per chromosome, written to Parquet once.
     """
-    names = header_samples(spark, path)
-    body = spark.read.text(path).filter(~F.col("value").startswith("#") & (F.col("value") != ""))
+    header = header_line(spark, path)
+    names = header.split("\t")[FIXED_COLUMNS:]
+    body = record_lines(spark.read.text(path), header)
     if min_partitions:
         body = body.repartition(min_partitions)
     rows = body.select(*record_columns(), F.split("value", "\t").alias("__f"))

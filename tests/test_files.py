@@ -32,6 +32,13 @@ def test_read_vcf(spark, tmp_path):
         SV.read_vcf(spark, str(tmp_path / "bad.vcf"))[1].collect()
 
 
+def test_files_with_other_samples_are_refused(spark, tmp_path):
+    (tmp_path / "a.vcf").write_text(VCF)
+    (tmp_path / "b.vcf").write_text(VCF.replace("\tA\tB\n", "\tA\tC\n"))
+    with pytest.raises(Exception, match="different #CHROM lines"):
+        SV.read_vcf(spark, str(tmp_path))[0].collect()
+
+
 def test_written_vcf_is_one_ordered_document(spark, callset, tmp_path):
     v, g = callset([("chr10", 5, "A", ["C"]), ("chr2", 9, "G", ["T"]), ("chr2", 3, "T", ["A"])], [["0|1", ".|."]] * 3)
     K.write_vcf(v, g, str(tmp_path / "out"))
