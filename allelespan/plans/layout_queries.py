@@ -20,6 +20,8 @@ from allelespan.sources import tables as ST
 from allelespan.sources import vcf as SV
 from allelespan.streaming.filters import stream_filter_variants
 
+STREAM_TIMEOUT = 300  # seconds
+
 # ---- sequences --------------------------------------------------------------------------------------
 
 
@@ -623,6 +625,8 @@ def _(t):
     out, checkpoint = new_path(t.spark, "stream"), new_path(t.spark, "stream-checkpoint")
     tests = [P.only_biallelic(), P.passed(), ~P.chrom_in(["chr4"]), ~P.at_positions(["chr2:1-2999"])]
     running = stream_filter_variants(t.spark, vcf_path(t), out, checkpoint, tests, once=True)
-    running.awaitTermination()
+    if not running.awaitTermination(STREAM_TIMEOUT):
+        running.stop()
+        raise TimeoutError("the stream did not finish")
     return t.spark.read.parquet(out).select("chrom", "pos", "id")
 
