@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from allelespan.llm.common import WORD, Stage
 
@@ -93,7 +94,7 @@ def mix(docs: DataFrame, *, seed: str = "mix", weights=WEIGHTS, share: float = S
     return out.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def cut_after(texts: pd.Series, words: pd.Series) -> pd.Series:
     """``texts`` up to the end of their n-th word; whole where n is null."""
 
