@@ -92,9 +92,9 @@ def alike(n: int, m: int, common: int, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (n + m - common)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs ``a, b`` of doc_ids whose full shingle sets are alike enough."""
-    texts = docs.select("doc_id", "text")
+def compared(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``a, b, common, linked`` of pairs ``a, b`` of doc_ids: common shingles of the full sets, and whether
+    these are alike enough."""
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -102,13 +102,12 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataF
         # rows come sorted by b, the hub of many pairs
         of = lru_cache(maxsize=8)(shingle_set)
         for f in frames:
-            keep = []
-            for x, y in zip(f.text_a, f.text_b, strict=True):
-                s, t = of(x), of(y)
-                keep.append(alike(len(s), len(t), len(np.intersect1d(s, t, True)), percent))
-            yield f.loc[keep, ["a", "b"]]
+            sets = [(of(x), of(y)) for x, y in zip(f.text_a, f.text_b, strict=True)]
+            common = [len(np.intersect1d(x, y, True)) for x, y in sets]
+            linked = [alike(len(x), len(y), c, percent) for (x, y), c in zip(sets, common, strict=True)]
+            yield pd.DataFrame({"a": f.a, "b": f.b, "common": common, "linked": linked})
 
-    return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long, common long, linked boolean")
 
 
 def components(edges: DataFrame, stage: Stage) -> DataFrame:
@@ -138,8 +137,8 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def shared_shingles(reps: DataFrame, docs: DataFrame, stage: Stage) -> DataFrame:
-    """``rep, common``: how many shingles of each document occur in any other of them. No two of them have
+def shared_shingles(reps: DataFrame, texts: DataFrame, stage: Stage) -> DataFrame:
+    """``rep, f``: how many shingles of each document occur in any other of them. No two of them have
     more in common than the smaller of their counts, which rules out most pairs of a group of copies with
     many edits of their own. Hashes are cut to 32 bits: a collision can only raise a count."""
 
@@ -148,18 +147,12 @@ def shared_shingles(reps: DataFrame, docs: DataFrame, stage: Stage) -> DataFrame
             cut = [shingle_set(t).astype(np.uint32).view(np.int32) for t in f.text]
             yield pd.DataFrame({"rep": f.doc_id, "shingles": [np.unique(c).tolist() for c in cut], "lost": [len(c) - len(np.unique(c)) for c in cut]})
 
-    texts = docs.select("doc_id", "text").join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    texts = texts.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     sets = stage.write(texts.mapInPandas(run, "rep long, shingles array<int>, lost long"), "shingles")
     each = sets.select("rep", F.explode("shingles").alias("s"))
     often = each.groupBy("s").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low != high").select("s")
     counts = each.join(often, "s", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("c"))
-    return sets.groupBy("rep").agg(F.max("lost").alias("lost")).join(counts, "rep", "left").select("rep", (F.coalesce("c", F.lit(0)) + F.col("lost")).alias("common"))
-
-
-def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return buckets.withColumn("label", F.col("rep"))
-    return buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    return sets.groupBy("rep").agg(F.max("lost").alias("lost")).join(counts, "rep", "left").select("rep", (F.coalesce("c", F.lit(0)) + F.col("lost")).alias("f"))
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
@@ -173,53 +166,58 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
 
     A pair of the least similarity shares no band with a probability of (1 - 0.85^5)^32, below 1e-8.
     """
-    spark = docs.sparkSession
-    stage = Stage(spark)
+    stage = Stage(docs.sparkSession)
     rows = stage.write(sketched(docs), "sketches")
     with_set = rows.where("set_key is not null and doc_id is not null")
-    classes = with_set.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    buckets = classes.select("rep", "n", F.explode("bands").alias("key"))
+    classes = with_set.groupBy("set_key").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    )
+    buckets = classes.select("rep", "n", "bands", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
-    buckets = stage.write(buckets.join(shared, "key", "left_semi"), "buckets")
+    buckets = stage.write(buckets.drop("bands").join(shared, "key", "left_semi"), "buckets")
+    # texts move once: those that have to be compared are kept aside
+    inside = buckets.select(F.col("rep").alias("doc_id")).distinct()
+    texts = stage.write(docs.select("doc_id", "text").join(inside, "doc_id", "left_semi"), "texts")
     fits = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("a") != F.col("b"))
-    links: DataFrame | None = None
-    labels: DataFrame | None = None
-    tested: DataFrame | None = None
-
-    def test(pairs: DataFrame) -> None:
-        """Verify new pairs of representatives and join their components."""
-        nonlocal links, labels, tested
-        pairs = pairs.where(fits).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage.write(pairs, "pairs")
-        found = stage.write(verified(pairs, docs, percent), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        old, labels = labels, stage.write(components(links, stage), "labels")
-        if old is not None:
-            stage.drop(old)
-
-    def member(d: DataFrame, a: str, n: str, *more: str) -> DataFrame:
-        return d.select("key", F.col("rep").alias(a), F.col("n").alias(n), F.col("label").alias(f"label_{a}"), *more)
+    pair = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
+
+    def member(d: DataFrame, a: str, n: str, *more) -> DataFrame:
+        return d.select("key", F.col("rep").alias(a), F.col("n").alias(n), *more)
 
     # a star per bucket
-    now = _labelled(buckets, labels)
-    hubs = now.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h"))
-    hubs = hubs.select("key", F.col("h.rep").alias("b"), F.col("h.n").alias("m"))
-    test(member(now, "a", "n").join(hubs, "key"))
+    hubs = buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h")).select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("m"))
+    star = member(buckets, "a", "n").join(hubs.withColumnRenamed("hub", "b"), "key").where(fits).select(*pair).distinct()
+    star = stage.write(compared(star, texts, percent), "star")
+    labels = stage.write(components(star.where("linked"), stage), "labels")
     # what is still in different components of a bucket
-    now = _labelled(buckets, labels)
+    now = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key")
-    now = stage.write(now.join(mixed, "key", "left_semi"), "open")
-    now = now.join(shared_shingles(now.select("rep").distinct(), docs, stage), "rep")
-    left, right = member(now, "a", "n", F.col("common").alias("f")), member(now, "b", "m", F.col("common").alias("g"))
-    bound = F.least("f", "g")
+    open_ = stage.write(now.join(mixed, "key", "left_semi"), "open")
+    reps = open_.select("rep").distinct()
+    open_ = open_.join(shared_shingles(reps, texts, stage), "rep").join(hubs.drop("m"), "key")
+    with_hub = star.select(F.col("a").alias("rep"), F.col("b").alias("hub"), F.col("common").alias("i"))
+    open_ = open_.join(with_hub, ["rep", "hub"], "left").withColumn("i", F.when(F.col("rep") == F.col("hub"), F.col("n")).otherwise(F.col("i")))
+    # all keys of the open documents, to take a pair in one of its buckets only
+    keys = open_.groupBy("rep").agg(F.collect_set("key").alias("keys"))
+    open_ = stage.write(open_.join(keys, "rep"), "open")
+    left = member(open_, "a", "n", "label", "f", "i", "keys")
+    right = member(open_, "b", "m", F.col("label").alias("label_b"), F.col("f").alias("g"), F.col("i").alias("j"), F.col("keys").alias("keys_b"))
+    # common shingles are at most those shared with anyone, and at most those shared with the hub and those
+    # outside the hub that are shared with anyone
+    by_all = F.least("f", "g")
+    by_hub = F.least("i", "j") + F.least(F.col("f") - F.col("i"), F.col("g") - F.col("j"))
+    bound = F.least(by_all, F.coalesce(by_hub, by_all))
     can_be = 100 * bound >= percent * (F.col("n") + F.col("m") - bound)
-    test(left.join(right, "key").where("label_a > label_b").where(can_be))
-    out = rows.join(classes.select("set_key", "rep"), "set_key", "left")
-    out = out.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("label", "rep", "doc_id"))
+    here = F.col("key") == F.array_min(F.array_intersect("keys", "keys_b"))
+    rest = left.join(right, "key").where("label > label_b").where(fits).where(can_be).where(here).select(*pair).distinct()
+    rest = stage.write(rest.join(star, ["a", "b"], "left_anti"), "pairs")
+    links = star.unionByName(stage.write(compared(rest, texts, percent), "rest")).where("linked")
+    labels = components(links, stage)
+    # copies and components are few: a third table brings them to the rows, any other row is its own component
+    found = classes.select("set_key", "rep", "copies").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    found = found.where("copies > 1 or label is not null").select("set_key", F.coalesce("label", "rep").alias("found"))
+    out = rows.select("doc_id", "n_shingles", "set_key").join(stage.write(found, "components"), "set_key", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
