@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from allelespan.llm.common import partitions, shingle_set
 
 FRACTION = 1 / 8
-#: Ids of one block are this many consecutive numbers; a block is read in order by one task.
+#: A block is read in order by one task: this many consecutive ids at least, more where the ids span more
+#: than ``BLOCKS`` blocks of that width. So one row per block is a table of a known size.
 BLOCK = 1024
+BLOCKS = 65_536
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double, containment_edited double, containment_next double"
@@ -108,9 +110,13 @@ def compare_with_next(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
     document is its own next one. An empty table gives an empty result.
 
     Texts move once: a block of consecutive ids goes to one partition in order, together with a copy of
-    the row that follows its last one, and is read as a stream of rows.
+    the row that follows its last one, and is read as a stream of rows. The broadcast heads of blocks are
+    at most ``BLOCKS`` rows of three numbers.
     """
-    rows = docs.select("doc_id", "text").withColumn("block", F.coalesce(F.floor(F.col("doc_id") / BLOCK), F.lit(-(2**62))))
+    rows = docs.select("doc_id", "text")
+    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    width = max(BLOCK, -(-((high or 0) - (low or 0) + 1) // BLOCKS))
+    rows = rows.withColumn("block", F.coalesce(F.expr(f"doc_id div {width} - if(doc_id % {width} < 0, 1, 0)"), F.lit(-(2**62))))
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
     # one row per block, so this window stays small: the head of each block also ends the block before it
     heads = rows.groupBy("block").agg(F.max("doc_id").alias("head"))
@@ -120,7 +126,7 @@ def compare_with_next(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
         F.col("block").alias("of"), "head", F.coalesce(F.lag("block").over(down), first_to_last).alias("ends")
     )
     same = F.col("head").eqNullSafe(F.col("doc_id"))
-    copies = rows.join(heads, (F.col("block") == F.col("of")) & same)
+    copies = rows.join(F.broadcast(heads), (F.col("block") == F.col("of")) & same)
     # of several rows with the head's id only the first one by text is needed
     copies = copies.groupBy("ends").agg(F.min(F.struct(F.col("text").isNotNull(), "text")).alias("t"))
     copies = copies.select(F.lit(None).cast("long").alias("doc_id"), F.col("t.text").alias("text"), F.col("ends").alias("block"), F.lit(1).alias("copy"))
