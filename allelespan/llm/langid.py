@@ -23,6 +23,8 @@ find_letters = re.compile(r"[^\W\d_]+").findall
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 #: Documents per language, and stretches per document, that the model is fitted on at most.
 SAMPLE_DOCS = 500
+#: Languages that the model tells apart at most, the most frequent ones.
+LANGS = 200
 STRETCHES = 3
 LENGTH = 40
 #: Features seen with fewer distinct words of the sample are left out, but for the lexicon.
@@ -245,8 +247,11 @@ def fit(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS
     stage = Stage(docs.sparkSession)
     rows = docs.select("doc_id", "lang", "text").where("lang is not null and text is not null").where(~held_out())
     draw = F.pmod(F.xxhash64("doc_id", F.md5("text")), F.lit(1 << 30)) / float(1 << 30)
-    sized = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    low = rows.join(sized, "lang").withColumn("draw", draw).where(F.col("draw") * F.col("n") < 2 * sample_docs)
+    sized = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGS).collect()
+    if not sized:
+        return None
+    share = F.create_map(*[F.lit(x) for r in sized for x in (r.lang, min(1.0, 2 * sample_docs / r.n))])
+    low = rows.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")])
 
     def stretches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
