@@ -53,7 +53,7 @@ def partitions(spark: SparkSession) -> int:
 class WordHashes(dict):
     """64-bit hash by word, remembered for up to ``limit`` words."""
 
-    limit = 300_000
+    limit = 150_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:

@@ -68,13 +68,14 @@ def _segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Model:
     """Feature weights and transitions; ``fit`` makes one, ``posteriors`` applies it."""
 
-    limit = 600_000
+    limit = 250_000
 
     def __init__(self, langs: list[str], index: dict[str, int], weights: np.ndarray, transitions: np.ndarray, start: np.ndarray):
         self.langs, self.index, self.weights, self.transitions, self.start = langs, index, weights, transitions, start
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Free the words seen; tasks do so at their end, as workers outlive them."""
         self.place = _Places()
         self.emission = np.zeros((1024, len(self.langs)), np.float32)
 
@@ -87,7 +88,7 @@ class Model:
     def rows(self, words: list[str]) -> np.ndarray:
         """Row of each word in ``emission``; new words are added."""
         if len(self.place) > self.limit:
-            self._forget()
+            self.forget()
         out = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         if new := self.place.new:
             get = self.index.get
@@ -333,6 +334,8 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
         for f in frames:
             langs, scores = identify_texts(m, list(f.text))
             yield pd.DataFrame({"doc_id": f.doc_id.astype("Int64"), "held_out": f.held_out, "lang_pred": langs, "score": scores})
+        if m is not None:
+            m.forget()
 
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(run, RESULT)
 
@@ -342,7 +345,10 @@ def keep_identified(docs: DataFrame, *, least: float = 0.5, model: Model | None
     known = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(identify_texts(known.value, list(texts))[1], dtype=float)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(identify_texts(known.value, list(texts))[1], dtype=float)
+        if known.value is not None:
+            known.value.forget()
 
     return docs.withColumn("__score", score("text")).where(F.col("__score") >= least).select(*docs.columns)
