@@ -25,8 +25,10 @@ def copies(*tests: Column) -> Column:
 
 def site_counts(g: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``n_called, n_ref, n_alt, n_missing`` in alleles; ``n_full, n_het, n_hom_ref, n_hom_alt,
-    n_missing_samples`` in samples. Alleles of a half-called genotype are counted individually."""
+    n_missing_samples`` in samples; ``alleles_seen`` (a bit per allele index) and ``allele_sum`` (of the
+    indexes). Alleles of a half-called genotype are counted individually."""
     a1, a2 = F.col("a1"), F.col("a2")
+    bits = [F.coalesce(F.expr(f"shiftleft(1L, cast({a} as int))"), F.lit(0).cast("long")) for a in ("a1", "a2")]
     full = a1.isNotNull() & a2.isNotNull()
     return g.groupBy(*SITE, *by).agg(
         copies(a1.isNotNull(), a2.isNotNull()).alias("n_called"),
@@ -38,9 +40,16 @@ def site_counts(g: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         copies((a1 == 0) & (a2 == 0)).alias("n_hom_ref"),
         copies((a1 > 0) & (a1 == a2)).alias("n_hom_alt"),
         copies(~full).alias("n_missing_samples"),
+        F.bit_or(bits[0].bitwiseOR(bits[1])).alias("alleles_seen"),
+        F.sum(F.coalesce(a1, F.lit(0)) + F.coalesce(a2, F.lit(0))).cast("long").alias("allele_sum"),
     )
 
 
+def of_samples(g: DataFrame, samples: DataFrame) -> DataFrame:
+    """The calls of the listed samples."""
+    return g.join(samples.select("sample").distinct(), "sample", "left_semi").select(*g.columns)
+
+
 def allele_counts(g: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Copies of every allele index per site (and group); missing alleles have a null index."""
     long = g.select(*SITE, *by, F.explode(F.array("a1", "a2")).alias("allele"))
@@ -69,16 +78,24 @@ def with_absent_missing(counts: DataFrame, samples: DataFrame) -> DataFrame:
     )
 
 
-def is_invariant() -> Column:
-    """One key in the allele count, where missing data counts as a key."""
-    keys = (
-        (F.col("n_ref") > 0).cast("int")
-        + (F.col("n_alt") > 0).cast("int")
-        + (F.col("n_missing") > 0).cast("int")
-    )
-    return keys == 1
+def is_invariant(pooled: bool = False) -> Column:
+    """One key in the allele count, where missing data counts as a key.
+
+    ``pooled`` takes all alternates as one allele, for counts that do not tell them apart.
+    """
+    alleles = (F.col("n_ref") > 0).cast("int") + (F.col("n_alt") > 0).cast("int")
+    if not pooled:
+        alleles = F.bit_count("alleles_seen")
+    return alleles + (F.col("n_missing") > 0).cast("int") == 1
 
 
 def is_informative(mincount: int = 2) -> Column:
-    """Both alleles present with at least ``mincount`` copies each; missing data is ignored."""
-    return (F.col("n_ref") > 0) & (F.col("n_alt") > 0) & (F.least("n_ref", "n_alt") >= mincount)
+    """Exactly two alleles present with at least ``mincount`` copies each; missing data is ignored.
+
+    The copies of two alleles x < y follow from their total and the sum of the allele indexes.
+    """
+    low = F.expr("bit_count((alleles_seen & -alleles_seen) - 1)")
+    high = F.expr("bit_count((alleles_seen ^ (alleles_seen & -alleles_seen)) - 1)")
+    of_high = (F.col("allele_sum") - low * F.col("n_called")) / (high - low)
+    enough = F.least(of_high, F.col("n_called") - of_high) >= mincount
+    return F.when(F.bit_count("alleles_seen") == 2, enough).otherwise(F.lit(False))

@@ -12,6 +12,7 @@ from allelespan.operators.counts import (
     allele_counts,
     copies,
     n_samples,
+    of_samples,
     site_counts,
     with_population,
 )
@@ -79,7 +80,7 @@ def in_windows(sites: DataFrame, size: int, step: int | None = None) -> DataFram
 def window_pi(g: DataFrame, samples: DataFrame, size: int, step: int | None = None) -> DataFrame:
     """Mismatching pairs over all pairs, positions without a variant counting as identical."""
     n, c = F.col("n_called"), F.col("n_alt")
-    sites = site_counts(g).select(
+    sites = site_counts(of_samples(g, samples)).select(
         "chrom", "pos", mismatches(c, n).alias("diff"), (n * (n - 1)).alias("pairs")
     )
     binned = in_windows(sites, size, step).groupBy("chrom", "bin_start", "bin_end").agg(
@@ -95,7 +96,7 @@ def tajima_d(g: DataFrame, samples: DataFrame, size: int) -> DataFrame:
     """Tajima's D per bin, with empty bins between the first and last filled in (0 SNPs, null D)."""
     n = D("nn")
     p = ratio("n_alt", "n_called")
-    seg = site_counts(g).filter((F.col("n_alt") > 0) & (F.col("n_ref") > 0))
+    seg = site_counts(of_samples(g, samples)).filter((F.col("n_alt") > 0) & (F.col("n_ref") > 0))
     start = F.floor(F.col("pos") / size).cast("long") * size
     binned = seg.groupBy("chrom", start.alias("bin_start")).agg(
         F.count("*").alias("n_snps"), F.sum(2 * p * (1 - p)).alias("het")

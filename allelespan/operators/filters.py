@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from allelespan.functions import predicates as P
 from allelespan.functions.genome import strip_chr
-from allelespan.operators.counts import is_informative, is_invariant, site_counts, with_absent_missing
+from allelespan.operators.counts import is_informative, is_invariant, of_samples, site_counts, with_absent_missing
 from allelespan.operators.rangejoin import overlap_pairs, sites_inside, sites_outside
 
 
@@ -96,7 +96,7 @@ def filter_missing(
     max_count: int | None = None,
 ) -> DataFrame:
     """Bounds on the share or number of samples without a call."""
-    c = with_absent_missing(site_counts(g), samples)
+    c = with_absent_missing(site_counts(of_samples(g, samples)), samples)
     ok = _between(F.col("n_missing_samples") / F.col("n_total"), None, max_proportion)
     return _keep(v, c.filter(ok & _between(F.col("n_missing_samples"), None, max_count)))
 
@@ -178,7 +178,7 @@ def cpg_sites(v: DataFrame, ref: DataFrame) -> DataFrame:
 
 
 def _gate(v, g, samples, ref, remove_cpg, remove_indels, remove_missing, inform: Column | None):
-    counts = site_counts(g)
+    counts = site_counts(g if samples is None else of_samples(g, samples))
     if samples is not None:
         counts = with_absent_missing(counts, samples)
     ok = F.lit(True)

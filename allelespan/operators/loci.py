@@ -93,7 +93,7 @@ def population_counts(
     records = v
     if gated:
         n = n.withColumn("n_missing", 2 * n_samples(members) - F.col("n_called"))
-        n = n.filter((F.col("n_missing") <= max_missing) & ~is_invariant())
+        n = n.filter((F.col("n_missing") <= max_missing) & ~is_invariant(pooled=True))
         records = v.filter(P.is_snp())
     n = n.select(
         "variant_id",

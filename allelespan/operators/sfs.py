@@ -90,7 +90,7 @@ def pop_cells(
         F.map_from_entries(F.collect_list(F.struct("pop_ix", F.struct("n_ref", "n_alt")))).alias("by_pop"),
         *[F.sum(c).alias(c) for c in ("n_ref", "n_alt", "n_missing", "n_full", "n_missing_samples")],
     )
-    sites = with_absent_missing(sites, m).filter((F.col("n_missing") <= MAX_MISSING) & ~is_invariant())
+    sites = with_absent_missing(sites, m).filter((F.col("n_missing") <= MAX_MISSING) & ~is_invariant(pooled=True))
     records = v.filter(P.is_snp())
     if prop is not None:
         records = thin(records, prop, seed, draw_col=draw_col)
