@@ -17,7 +17,7 @@ from allelespan.functions import predicates as P
 from allelespan.operators.rangejoin import sites_with_regions
 from allelespan.operators.sampling import thin
 
-MAX_MISSING = 10  # fixed value: missing alleles a site may have
+MAX_MISSING = 10  # default of ``max_missing``: missing alleles a site may have; raise it with the cohort
 
 
 def gated_sites(v: DataFrame, g: DataFrame, m: DataFrame, max_missing: int = MAX_MISSING) -> DataFrame:
@@ -77,6 +77,7 @@ def pop_cells(
     prop: float | None = None,
     seed: int = 0,
     draw_col: Column | None = None,
+    max_missing: int = MAX_MISSING,
 ) -> DataFrame:
     """One row per gated SNP (and region that holds it): ``c`` copies of the counted allele per
     population in model order, ``pops``, ``ok`` when every population has enough called alleles and
@@ -90,7 +91,7 @@ def pop_cells(
         F.map_from_entries(F.collect_list(F.struct("pop_ix", F.struct("n_ref", "n_alt")))).alias("by_pop"),
         *[F.sum(c).alias(c) for c in ("n_ref", "n_alt", "n_missing", "n_full", "n_missing_samples")],
     )
-    sites = with_absent_missing(sites, m).filter((F.col("n_missing") <= MAX_MISSING) & ~is_invariant(pooled=True))
+    sites = with_absent_missing(sites, m).filter((F.col("n_missing") <= max_missing) & ~is_invariant(pooled=True))
     records = v.filter(P.is_snp())
     if prop is not None:
         records = thin(records, prop, seed, draw_col=draw_col)
@@ -140,6 +141,7 @@ def sfs(
     seed: int = 0,
     round_int: bool = True,
     draw_col: Column | None = None,
+    max_missing: int = MAX_MISSING,
 ) -> DataFrame:
     """Joint spectrum over the model's populations.
 
@@ -148,7 +150,7 @@ def sfs(
     counts project alike and are added up first, then the outer product over populations is a chain
     of explodes of per-population weights.
     """
-    rows = pop_cells(v, g, m, iv, ref, folded, downsample, prop, seed, draw_col).filter("ok AND known")
+    rows = pop_cells(v, g, m, iv, ref, folded, downsample, prop, seed, draw_col, max_missing).filter("ok AND known")
     if downsample is None:
         out = rows.groupBy(F.col("c").alias("counts")).agg(F.count("*").cast("double").alias("n"))
     else:
@@ -173,9 +175,9 @@ def sfs(
     return out.filter(F.col("n") != 0)
 
 
-def rejections(v, g, m, iv=None, ref=None, folded=False, downsample=None) -> DataFrame:
+def rejections(v, g, m, iv=None, ref=None, folded=False, downsample=None, max_missing=MAX_MISSING) -> DataFrame:
     """How many gated SNPs were dropped for too few alleles or an unusable outgroup."""
-    return pop_cells(v, g, m, iv, ref, folded, downsample).agg(
+    return pop_cells(v, g, m, iv, ref, folded, downsample, max_missing=max_missing).agg(
         F.count("*").alias("n_sites"),
         copies(~F.col("ok")).alias("too_few"),
         copies(F.col("ok") & ~F.col("known")).alias("bad_outgroup"),
