@@ -16,6 +16,9 @@ from allelespan.session import new_path
 WORD = r"[^\x20\x09-\x0D]+"
 find_words = re.compile(r"[^ \t-\r]+").findall
 SHINGLE = 5
+#: Bytes of rows that a Python worker gets at a time.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,9 +96,12 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, through the shared folder.
 
-    Functions that run in tasks are imported by name there.
+    Functions that run in tasks are imported by name there. They get rows in batches of about
+    ``BATCH_BYTES``, however long the texts are, unless the application sets a size of its own.
     """
     context = spark.sparkContext
+    if not context.getConf().contains(_BATCH_CONF):
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
     if getattr(context, "_allelespan_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]
