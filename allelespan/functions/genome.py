@@ -50,7 +50,7 @@ def natural_key(chrom) -> Column:
     """
     runs = F.regexp_extract_all(F.lower(strip_chr(chrom)), F.lit(r"(\d+|\D+)"), F.lit(1))
     return F.array_join(
-        F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), F.lpad(r, 20, "0")).otherwise(r)),
+        F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), F.lpad(r, F.greatest(F.lit(20), F.length(r)), "0")).otherwise(r)),
         "",
     )
 

@@ -29,7 +29,6 @@ def polymorphic_sites(
     samples: DataFrame,
     include_missing: bool = False,
     only_two: bool = False,
-    max_sites: int | None = None,
 ) -> DataFrame:
     """Polymorphic single-base sites per region, with ``informative`` and, for informative ones,
     their ``rank`` in the region and the ``carriers`` of each allele.
@@ -37,8 +36,7 @@ def polymorphic_sites(
     Packing reads the genotypes once and writes the bit sets to the shared folder; placing and
     ranking then work on the narrow site columns.
 
-    A site is informative when at least two bases have two copies or more. ``max_sites=1000`` keeps
-    the first 1000 informative sites of a region, as some tools do; the default keeps all.
+    A site is informative when at least two bases have two copies or more.
     """
     plain = v.filter(P.all_alleles_plain()).select(*SITE)
     packed = plain.join(pack_haplotypes(g, samples), "variant_id")
@@ -57,8 +55,6 @@ def polymorphic_sites(
     ranked = running(
         hit, ["iv_id"], "pos", {"rank": ("sum_before", F.col("informative").cast("long"))}, ["variant_id"]
     )
-    if max_sites is not None:
-        ranked = ranked.filter(F.col("rank") < max_sites)
     ranked = ranked.withColumn("rank", F.when(F.col("informative"), F.col("rank")))
     return ranked.join(sites.select("variant_id", "n_haps", "carriers"), "variant_id")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from allelespan.functions import predicates as P
@@ -67,13 +68,23 @@ def merge_callsets(x: Callset, y: Callset, mode: str = "both", missing_as_ref: b
     ``snps``, ``indels``, ``both``, ``all`` or by ``id``. The longest reference is kept and shorter
     records' alleles are extended to it; genotype indices follow. ``missing_as_ref`` writes 0/0 for
     the samples of a callset that lacks the site.
+
+    Records of one callset never join each other. Where a callset has several in a group, records that
+    both callsets hold are paired first, the others in order of their alleles, and the ids of all but
+    the first pair end in their number.
     """
     cols = ["variant_id", "chrom", "pos", "id", "ref", "alts", "filter"]
     both = x[0].select(*cols, F.lit(0).alias("src")).unionByName(y[0].select(*cols, F.lit(1).alias("src")))
     both = both.withColumn("__grp", _merge_group(mode))
-    # as many records as callsets hold at one position: small groups
+    # one exchange by position serves the windows and the grouping
+    both = both.repartition("chrom", "pos", "__grp")
+    alike = W.partitionBy("chrom", "pos", "__grp", "ref", "alts")
+    both = both.withColumn("__shared", F.min("src").over(alike) != F.max("src").over(alike))
+    own = W.partitionBy("chrom", "pos", "__grp", "src").orderBy(F.desc("__shared"), "ref", F.array_join("alts", ","), "variant_id")
+    both = both.withColumn("__nth", F.row_number().over(own))
+    # one record of each callset: small groups
     entry = F.struct("src", F.col("variant_id").cast("string").alias("old"), "id", "ref", "alts", "filter")
-    sites = both.groupBy("chrom", "pos", "__grp").agg(F.array_sort(F.collect_list(entry)).alias("recs"))
+    sites = both.groupBy("chrom", "pos", "__grp", "__nth").agg(F.array_sort(F.collect_list(entry)).alias("recs"))
     longest = F.aggregate(
         "recs", F.lit(""), lambda s, r: F.when(F.length(r["ref"]) > F.length(s), r["ref"]).otherwise(s)
     )
@@ -84,7 +95,7 @@ def merge_callsets(x: Callset, y: Callset, mode: str = "both", missing_as_ref: b
         return F.transform(r["alts"], lambda a: F.concat(a, tail))
 
     sites = sites.withColumn("alts", F.array_distinct(F.flatten(F.transform("recs", extended))))
-    new_id = F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", F.array_join("alts", ","))
+    new_id = F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", F.array_join("alts", ","), F.when(F.col("__nth") > 1, F.col("__nth").cast("string")))
     sites = sites.withColumn("variant_id", new_id).withColumn(
         "id", F.element_at("recs", 1)["id"]
     ).withColumn("filter", F.element_at("recs", 1)["filter"])

@@ -31,12 +31,14 @@ def read_ped(spark: SparkSession, ped, map_path) -> DataFrame:
     """Long genotypes by letter: ``fid, sample, chrom, pos, id, b1, b2`` (null = missing).
 
     ``x.ped`` goes with ``x.map``, or the folders of ``write_ped`` with each other; several filesets
-    may be read at once.
+    may be read at once. Lines without calls, or with half a pair of letters, raise.
     """
     t = F.split(F.trim("value"), r"\s+")
-    rows = spark.read.text(ped).select(F.col("_metadata.file_path").alias("file"), t.alias("t")).filter(
-        F.size("t") > PED_COLUMNS
-    )
+    lines = spark.read.text(ped).filter(F.trim("value") != "")
+    rows = lines.select(F.col("_metadata.file_path").alias("file"), t.alias("t"))
+    wrong = F.raise_error(F.concat(F.lit("wrong number of columns: "), F.array_join(F.slice("t", 1, 2), " "))).cast("boolean")
+    whole = (F.size("t") > PED_COLUMNS) & ((F.size("t") - PED_COLUMNS) % 2 == 0)
+    rows = rows.filter(F.when(whole, F.lit(True)).otherwise(wrong))
     n = F.floor((F.size("t") - PED_COLUMNS) / 2).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), n - 1),

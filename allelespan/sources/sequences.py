@@ -154,7 +154,7 @@ def alignment_callset(aligned: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
         "a", F.when(plain, F.array_position("bases", F.col("base")).cast("int") - 1)
     )
     pair = F.floor(F.col("seq_ix") / 2).cast("string")
-    g = calls.groupBy("variant_id", F.col("locus").alias("chrom"), "pos", F.lpad(pair, 9, "0").alias("sample")).agg(
+    g = calls.groupBy("variant_id", F.col("locus").alias("chrom"), "pos", F.lpad(pair, F.greatest(F.lit(9), F.length(pair)), "0").alias("sample")).agg(
         F.max(F.when(F.col("seq_ix") % 2 == 0, F.col("a"))).alias("a1"),
         F.max(F.when(F.col("seq_ix") % 2 == 1, F.col("a"))).alias("a2"),
     )

@@ -19,18 +19,25 @@ def read_bed(
 ) -> DataFrame:
     """Intervals ``iv_id, chrom, start, end[, payload]``, zero-based half-open.
 
-    ``cols`` are the positions of start, end and chromosome. Comment lines and a header line (no
-    number where the start should be) are skipped; negative coordinates raise.
+    ``cols`` are the positions of start, end and chromosome. Comment lines are skipped, and so is the
+    header, a first line without a number where the start should be; files read together have the same
+    header or none. Any other line without three readable fields raises, as do negative coordinates.
     """
     f = F.split(F.trim("value"), r"\s+")
     lines = spark.read.text(path).filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    start_of = F.try_element_at(f, F.lit(cols[0] + 1)).try_cast("long")
+    first = lines.filter(F.col("_metadata.file_block_start") == 0).select("value", start_of.alias("s")).first()
+    if first is not None and first["s"] is None:
+        lines = lines.filter(F.col("value") != first["value"])
     raw = lines.select(
         F.monotonically_increasing_id().alias("iv_id"),
         F.try_element_at(f, F.lit(cols[2] + 1)).alias("chrom"),
-        F.try_element_at(f, F.lit(cols[0] + 1)).try_cast("long").alias("s"),
+        start_of.alias("s"),
         F.try_element_at(f, F.lit(cols[1] + 1)).try_cast("long").alias("e"),
         F.array_join(f, "\t").alias("payload"),
-    ).filter(F.col("s").isNotNull())
+    )
+    unreadable = F.raise_error(F.concat(F.lit("not an interval: "), "payload")).cast("boolean")
+    raw = raw.filter(F.when(F.col("s").isNull() | F.col("e").isNull() | F.col("chrom").isNull(), unreadable).otherwise(F.lit(True)))
     if chrom is not None:
         raw = raw.filter(F.col("chrom") == chrom)
     start, end = from_input_coordinates("s", "e", one_based, zero_closed)

@@ -71,6 +71,19 @@ def test_bed_columns_header_and_negative(spark, tmp_path):
         ST.read_bed(spark, str(tmp_path / "b.bed")).collect()
 
 
+def test_unreadable_lines_raise(spark, tmp_path):
+    for i, text in enumerate(["1\t4\t6\n1\tx\t9\n", "1\t4\t6\n1\t7\n", "chrom\tstart\tend\n1\t4\t6\n1\t4\tend\n"]):
+        (tmp_path / f"{i}.bed").write_text(text)
+        with pytest.raises(Exception, match="not an interval"):
+            ST.read_bed(spark, str(tmp_path / f"{i}.bed")).collect()
+    (tmp_path / "empty.bed").write_text("# nothing\n")
+    assert ST.read_bed(spark, str(tmp_path / "empty.bed")).count() == 0
+    (tmp_path / "x.map").write_text("1 a 0 10\n1 b 0 20\n")
+    (tmp_path / "x.ped").write_text("f s 0 0 0 0 A C G\n")
+    with pytest.raises(Exception, match="wrong number of columns"):
+        SG.read_ped(spark, str(tmp_path / "x.ped"), str(tmp_path / "x.map")).collect()
+
+
 def test_model_file_round_trip(spark, tmp_path):
     text = [{"name": "m", "tree": "", "pops": {"zeta": {"inds": ["b", "a"]}, "eta": {"inds": ["c"]}}}]
     (tmp_path / "m.json").write_text(json.dumps(text, indent=4))
