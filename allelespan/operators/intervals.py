@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from allelespan.functions.genome import natural_key, strip_chr
 from allelespan.operators.ordered import running
-from allelespan.operators.rangejoin import FAR, islands, not_overlapping, overlap_pairs, overlapping
+from allelespan.operators.rangejoin import islands, not_overlapping, overlap_pairs, overlapping
 
 
 def bed_intersect(a: DataFrame, b: DataFrame, pieces: bool = False) -> DataFrame:
@@ -23,17 +23,20 @@ def bed_intersect(a: DataFrame, b: DataFrame, pieces: bool = False) -> DataFrame
     )
 
 
-def _uncovered(b: DataFrame, chroms: DataFrame) -> DataFrame:
-    """Everything outside ``b`` on the given chromosomes, open to the right."""
-    isl = islands(b)
+def _between(b: DataFrame) -> DataFrame:
+    """What lies between the islands of ``b``, and before the first one of each chromosome."""
     start = F.coalesce("prev_end", F.lit(0).cast("long"))
-    between = isl.select("chrom", start.alias("gap_start"), F.col("start").alias("gap_end"))
-    tails = (
-        chroms.join(b.groupBy("chrom").agg(F.max("end").alias("last")), "chrom", "left")
-        .select("chrom", F.coalesce("last", F.lit(0).cast("long")).alias("gap_start"))
-        .withColumn("gap_end", F.lit(FAR).cast("long"))
-    )
-    return between.unionByName(tails).filter(F.col("gap_start") < F.col("gap_end"))
+    gaps = islands(b).select("chrom", start.alias("start"), F.col("start").alias("end"))
+    return gaps.filter(F.col("start") < F.col("end"))
+
+
+def _behind(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The parts of ``a`` behind the last end of ``b`` on their chromosome: the other side has one row per
+    chromosome, so this needs no bins."""
+    last = b.groupBy(F.col("chrom").alias("__chrom")).agg(F.max("end").alias("__last"))
+    out = a.filter("chrom is not null").join(last, F.col("chrom") == F.col("__chrom"), "left")
+    out = out.withColumn("__last", F.coalesce("__last", F.lit(0).cast("long"))).filter(F.col("end") > F.col("__last"))
+    return out.withColumn("start", F.greatest("start", "__last")).select(*a.columns)
 
 
 def bed_subtract(
@@ -58,15 +61,13 @@ def bed_subtract(
     if min_a is None and min_b is None:
         if entire:
             return not_overlapping(a, b)
-        gaps = _uncovered(b, a.select("chrom").distinct()).select(
-            "chrom", F.col("gap_start").alias("start"), F.col("gap_end").alias("end")
-        )
-        return (
-            overlap_pairs(a, gaps)
+        between = (
+            overlap_pairs(a, _between(b))
             .withColumn("start", F.greatest("start", "b_start"))
             .withColumn("end", F.least("end", "b_end"))
-            .drop("b_chrom", "b_start", "b_end")
+            .select(*a.columns)
         )
+        return between.unionByName(_behind(a, b))
 
     shared = F.least("end", "b_end") - F.greatest("start", "b_start")
     tests = []
@@ -132,12 +133,10 @@ def has_overlap(iv: DataFrame) -> DataFrame:
 
 def bed_complement(iv: DataFrame, sizes: DataFrame) -> DataFrame:
     """Gaps up to each chromosome's size; chromosomes without features come out whole."""
-    gaps = _uncovered(iv, sizes.select("chrom"))
-    return (
-        gaps.join(sizes, "chrom")
-        .select("chrom", F.col("gap_start").alias("start"), F.least("gap_end", "size").alias("end"))
-        .filter(F.col("start") < F.col("end"))
-    )
+    between = _between(iv).join(sizes.select("chrom", "size"), "chrom")
+    between = between.select("chrom", "start", F.least("end", "size").alias("end")).filter(F.col("start") < F.col("end"))
+    whole = sizes.select("chrom", F.lit(0).cast("long").alias("start"), F.col("size").alias("end"))
+    return between.unionByName(_behind(whole, iv))
 
 
 def gaps_between(iv: DataFrame, pad: int = 0, first: bool = True) -> DataFrame:
