@@ -22,7 +22,6 @@ from allelespan.operators.ordered import running
 
 # Bin widths; the last one holds any coordinate.
 WIDTHS = (1 << 12, 1 << 17, 1 << 22, 1 << 27, 1 << 62)
-FAR = 1 << 61
 SLAB_BIN = 1 << 16
 
 
