@@ -18,7 +18,9 @@ find_words = re.compile(r"[^ \t-\r]+").findall
 SHINGLE = 5
 #: Bytes of rows that a Python worker gets at a time.
 BATCH_BYTES = 4 << 20
-_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Rows that a Parquet reader decodes at a time; texts are long, the usual 4,096 of them are large arrays.
+READ_ROWS = 512
+_SIZES = {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES, "spark.sql.parquet.columnarReaderBatchSize": READ_ROWS}
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -56,7 +58,7 @@ def partitions(spark: SparkSession) -> int:
 class WordHashes(dict):
     """64-bit hash by word, remembered for up to ``limit`` words."""
 
-    limit = 150_000
+    limit = 50_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:
@@ -97,11 +99,13 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, through the shared folder.
 
     Functions that run in tasks are imported by name there. They get rows in batches of about
-    ``BATCH_BYTES``, however long the texts are, unless the application sets a size of its own.
+    ``BATCH_BYTES``, however long the texts are, and files are read ``READ_ROWS`` rows at a time, unless
+    the application sets sizes of its own.
     """
     context = spark.sparkContext
-    if not context.getConf().contains(_BATCH_CONF):
-        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
+    for name, value in _SIZES.items():
+        if not context.getConf().contains(name):
+            spark.conf.set(name, value)
     if getattr(context, "_allelespan_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]

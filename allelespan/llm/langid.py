@@ -68,7 +68,7 @@ def _segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Model:
     """Feature weights and transitions; ``fit`` makes one, ``posteriors`` applies it."""
 
-    limit = 250_000
+    limit = 60_000
 
     def __init__(self, langs: list[str], index: dict[str, int], weights: np.ndarray, transitions: np.ndarray, start: np.ndarray):
         self.langs, self.index, self.weights, self.transitions, self.start = langs, index, weights, transitions, start
@@ -284,7 +284,7 @@ def fit(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS
     return _learn(sequences, langs, rounds)
 
 
-_BATCH_WORDS = 100_000
+_BATCH_WORDS = 40_000
 
 
 def _batches(texts) -> Iterator[tuple[list[int], list[list[str]]]]:

@@ -31,7 +31,7 @@ ROWS = 5
 BINS = BANDS * ROWS
 #: Links need this share of common shingles, in hundredths.
 PERCENT = 85
-_CHUNK = 400_000
+_CHUNK = 200_000
 
 
 def sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
@@ -223,7 +223,14 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
-    """One row per component of near duplicates, with all columns; rows without a doc_id stay."""
-    kept = near_duplicates(docs, percent=percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    ids = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return ids.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One row per component of near duplicates, with all columns; rows without a doc_id stay.
+
+    Of rows that share the kept doc_id one stays. Only these are grouped with their texts; all other kept
+    rows just pass a join on the id.
+    """
+    found = near_duplicates(docs, percent=percent).where("doc_id is not null")
+    kept = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept")).where("kept")
+    kept = Stage(docs.sparkSession).write(kept.select("doc_id", "rows"), "kept")
+    one = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    more = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.select(*docs.columns).unionByName(more.select(*docs.columns)).unionByName(docs.where("doc_id is null"))
