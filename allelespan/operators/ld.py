@@ -166,7 +166,9 @@ def ld_matrix(pairs: DataFrame, sites: DataFrame, shape: str, value: str = "r2")
 
     ``triangle`` lists a site's earlier partners, ``square`` all, ``square-zero`` puts 0 above the
     diagonal. A row spans only the columns of the window, starting at ``first_col``; outside the
-    window the matrix is not computed. ``sites`` has ``chrom, pos, variant_id``.
+    window the matrix is not computed. Inside it, cells without a pair, such as those below a threshold,
+    are ``nan`` (0 above the diagonal of ``square-zero``), so every value stays in its column. ``sites``
+    has ``chrom, pos, variant_id``.
     """
     ranked = ordinal(sites.select(*SITE), ["chrom"], "pos", ["variant_id"], "rank").select("variant_id", "rank")
     both_ranks = (
@@ -191,6 +193,15 @@ def ld_matrix(pairs: DataFrame, sites: DataFrame, shape: str, value: str = "r2")
     diagonal = ordinal(sites.select(*SITE), ["chrom"], "pos", ["variant_id"], "row").select(
         "chrom", "row", F.col("row").alias("c"), F.lit("1").alias("x")
     )
+
+    def placed(cell: Column, i: Column) -> Column:
+        column = cell["c"]
+        before = F.when(i > 0, F.get("cells", i - 1)["c"]).otherwise(column - 1)
+        gap = F.lit("nan\t")
+        if shape == "square-zero":  # the diagonal is a cell, so a gap lies on one side of it
+            gap = F.when(column > F.col("row"), F.lit("0\t")).otherwise(gap)
+        return F.concat(F.repeat(gap, (column - before - 1).cast("int")), cell["x"])
+
     return (
         flat.unionByName(diagonal)
         .groupBy("chrom", "row")
@@ -199,6 +210,6 @@ def ld_matrix(pairs: DataFrame, sites: DataFrame, shape: str, value: str = "r2")
             "chrom",
             "row",
             F.element_at("cells", 1)["c"].alias("first_col"),
-            F.array_join(F.transform("cells", lambda s: s["x"]), "\t").alias("line"),
+            F.array_join(F.transform("cells", placed), "\t").alias("line"),
         )
     )

@@ -28,7 +28,8 @@ NAME_WIDTH = 10  # fixed value: sequence names are padded to this many character
 def region_text(iv: DataFrame, ref: DataFrame) -> DataFrame:
     """Reference bases of each region: ``iv`` plus ``ref_seq``; absent chunks read as N.
 
-    Chunks are joined by their start, so a region touches length / chunk width rows.
+    Chunks are joined by their start, so a region touches length / chunk width rows, and cut to the region
+    before the pieces are grouped: what moves after the join is the bases asked for.
     """
     w = ref.agg(F.max(F.length("seq")).cast("long")).scalar()
     r = iv.withColumn("__w", w)
@@ -37,26 +38,20 @@ def region_text(iv: DataFrame, ref: DataFrame) -> DataFrame:
         F.explode(
             F.sequence(
                 F.floor(F.col("start") / F.col("__w")).cast("long") * F.col("__w"),
-                F.floor((F.col("end") - 1) / F.col("__w")).cast("long") * F.col("__w"),
+                F.floor(F.greatest(F.col("end") - 1, F.col("start")) / F.col("__w")).cast("long") * F.col("__w"),
                 F.col("__w"),
             )
         ),
     )
     chunks = ref.select("chrom", "chunk_start", "seq")
-    text = F.rpad(F.coalesce("seq", F.lit("")), F.col("__w").cast("int"), F.lit("N"))
-    joined = r.join(chunks, ["chrom", "chunk_start"], "left").withColumn("__t", text)
+    skipped = F.greatest(F.col("start") - F.col("chunk_start"), F.lit(0).cast("long")).cast("int")
+    n = F.least(F.col("end") - F.col("chunk_start"), F.col("__w")).cast("int") - skipped
+    piece = F.rpad(F.substring(F.coalesce("seq", F.lit("")), skipped + 1, n), n, F.lit("N"))
+    joined = r.join(chunks, ["chrom", "chunk_start"], "left").withColumn("__t", piece)
     whole = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("chunk_start", "__t"))), lambda x: x["__t"]), ""
     )
-    grouped = joined.groupBy("iv_id", "chrom", "start", "end").agg(
-        whole.alias("__all"), F.min("chunk_start").alias("__from")
-    )
-    cut = F.substring(
-        F.col("__all"),
-        (F.col("start") - F.col("__from") + 1).cast("int"),
-        (F.col("end") - F.col("start")).cast("int"),
-    )
-    return grouped.select("iv_id", "chrom", "start", "end", cut.alias("ref_seq"))
+    return joined.groupBy("iv_id", "chrom", "start", "end").agg(whole.alias("ref_seq"))
 
 
 def check_ref(v: DataFrame, ref: DataFrame) -> DataFrame:

@@ -122,6 +122,25 @@ def _(t):
     return m.select("chrom", "row", "first_col", F.size(F.split("line", "\t")).alias("n_cells"))
 
 
+@query(
+    "L06_ld_matrix_threshold",
+    """SELECT g.chrom, g.row, g.col, CASE WHEN v IS NOT NULL THEN ROUND(v + 1e-9, 4) WHEN g.col > g.row THEN 0e0 END AS value FROM grid g LEFT JOIN cells USING (chrom, row, col)""",
+    {
+        **_KB,
+        "hits": "SELECT x.chrom, x.rk - 1 AS i, y.rk - 1 AS j, ROUND(r*r, 6) AS r2 FROM stats JOIN ranked x ON x.variant_id = vi JOIN ranked y ON y.variant_id = vj WHERE r*r >= 2.137e-1",
+        "cells": "SELECT chrom, j AS row, i AS col, r2 AS v FROM hits UNION ALL SELECT chrom, i, j, 0e0 FROM hits UNION ALL SELECT chrom, rk - 1, rk - 1, 1e0 FROM ranked",
+        "grid": "SELECT chrom, row, unnest(generate_series(MIN(col), MAX(col))) AS col FROM cells GROUP BY chrom, row",
+    },
+)
+def _(t):
+    """Every value of a thresholded matrix, with its place."""
+    pairs = LD.ld_pairs(t.g, samples=t.samples, window_kb=0.5, min_r2=0.2137)
+    m = LD.ld_matrix(pairs, _called(t), "square-zero")
+    cells = m.select("chrom", "row", "first_col", F.posexplode(F.split("line", "\t")).alias("k", "x"))
+    value = F.when(F.col("x") != "nan", F.round(F.col("x").cast("double") + 1e-9, 4))
+    return cells.select("chrom", "row", (F.col("first_col") + F.col("k")).alias("col"), value.alias("value"))
+
+
 # ---- four-gamete blocks ----------------------------------------------------------------------------
 
 _POLY = {

@@ -62,7 +62,10 @@ def _per_site(g: DataFrame, text: Column, filler: str, sep: str, samples: DataFr
 
 
 def vcf_lines(v: DataFrame, g: DataFrame, samples: DataFrame | None = None) -> DataFrame:
-    """``chrom, pos, variant_id, line`` record lines with GT fields; absent calls are ``./.``."""
+    """``chrom, pos, variant_id, line`` record lines with GT fields; absent calls are ``./.``.
+
+    QUAL and INFO are written where ``v`` has ``qual`` and ``info``; six decimals of QUAL are kept.
+    """
     bar = F.when(F.col("phased"), F.lit("|")).otherwise(F.lit("/")) if "phased" in g.columns else F.lit("/")
 
     def letter(a):
@@ -71,7 +74,13 @@ def vcf_lines(v: DataFrame, g: DataFrame, samples: DataFrame | None = None) -> D
     fields = _per_site(g, F.concat(letter("a1"), bar, letter("a2")), "./.", "\t", samples)
     n = (cohort(g) if samples is None else samples).agg(F.count("*").cast("int")).scalar()
     empty = F.substring(F.repeat(F.lit("\t./."), F.col("__n")), 2, 1 << 30)
-    info = F.lit(".")
+    qual = info = F.lit(".")
+    if "qual" in v.columns:
+        digits = F.regexp_replace(F.format_string("%.6f", F.col("qual").cast("double")), r"\.?0+$", "")
+        qual = F.when(F.col("qual").isNull(), ".").otherwise(digits)
+    if "info" in v.columns:
+        entries = F.transform(F.map_entries("info"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+        info = F.when(F.size(entries) > 0, F.array_join(entries, ";")).otherwise(F.lit("."))
     line = F.concat_ws(
         "\t",
         "chrom",
@@ -79,7 +88,7 @@ def vcf_lines(v: DataFrame, g: DataFrame, samples: DataFrame | None = None) -> D
         F.coalesce("id", F.lit(".")),
         "ref",
         F.when(F.size("alts") > 0, F.array_join("alts", ",")).otherwise(F.lit(".")),
-        F.lit("."),
+        qual,
         F.coalesce("filter", F.lit(".")),
         info,
         F.lit("GT"),

@@ -49,6 +49,25 @@ def test_written_vcf_is_one_ordered_document(spark, callset, tmp_path):
     assert lines[3].endswith("GT\t0/1\t./.")
 
 
+def test_quality_and_info_survive_a_round_trip(spark, tmp_path):
+    (tmp_path / "x.vcf").write_text(VCF)
+    v, g = SV.read_vcf(spark, str(tmp_path / "x.vcf"))
+    lines = {r.pos: r.line.split("\t")[:9] for r in K.vcf_lines(v, g).collect()}
+    want = {int(x.split("\t")[1]): x.split("\t")[:8] + ["GT"] for x in VCF.splitlines()[2:]}
+    assert lines == want
+
+
+def test_region_text_is_cut_to_the_region(spark):
+    bases = "ACGTTGCAACTTGACCAGTCAGGT"
+    chunks = [("a", i, bases[i : i + 8]) for i in (0, 16)]  # the middle chunk is absent
+    ref = spark.createDataFrame(chunks, "chrom string, chunk_start long, seq string")
+    text = bases[:8] + "N" * 8 + bases[16:] + "N" * 8
+    spans = [(x, y) for x in range(0, 26, 3) for y in range(x, 33)]
+    iv = spark.createDataFrame([(f"{x}-{y}", "a", x, y) for x, y in spans], "iv_id string, chrom string, start long, end long")
+    got = {(r.start, r.end): r.ref_seq for r in Q.region_text(iv, ref).collect()}
+    assert got == {(x, y): text[x:y] for x, y in spans}
+
+
 def test_fasta_chunks_do_not_follow_lines(spark, tmp_path):
     seq = {"a": "ACGTTGCAAC" * 7 + "GGT", "b": "TTA"}
     text = ""

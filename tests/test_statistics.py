@@ -161,3 +161,17 @@ def test_scalar_functions(spark):
         G.is_dna(F.lit("AC-T")), G.region_name(F.lit("1"), F.lit(99), F.lit(200)),
     ).first()
     assert tuple(got) == ("1", "chr1", "ASKTN", 1.0, pytest.approx(1 + 1 / 2 + 1 / 3), 0.25, True, False, "1:100-200")
+
+
+@pytest.mark.parametrize("shape", ["triangle", "square", "square-zero"])
+def test_ld_matrix_keeps_the_columns_of_absent_pairs(spark, shape):
+    sites = spark.createDataFrame([("1", 10 * i, i) for i in range(6)], "chrom string, pos long, variant_id long")
+    r2 = {(0, 3): 0.5, (0, 5): 0.25, (2, 3): 1.0, (4, 5): 0.75}
+    rows = [("1", i, j, x) for (i, j), x in r2.items()]
+    pairs = spark.createDataFrame(rows, "chrom_i string, variant_id_i long, variant_id_j long, r2 double")
+    for r in LD.ld_matrix(pairs, sites, shape).collect():
+        for c, x in enumerate(r.line.split("\t"), r.first_col):
+            above = "0" if shape == "square-zero" else f"{r2.get((r.row, c), math.nan):g}"
+            assert x == ("1" if c == r.row else above if c > r.row else f"{r2.get((c, r.row), math.nan):g}")
+        partners = [i for i, j in r2 if j == r.row] + ([] if shape == "triangle" else [j for i, j in r2 if i == r.row])
+        assert r.first_col == min([r.row, *partners]) and len(r.line.split("\t")) == max([r.row, *partners]) - r.first_col + 1
