@@ -112,6 +112,15 @@ def test_near_duplicates_with_edits_around_the_threshold(spark):
     assert got == components(many)
 
 
+def test_one_row_of_each_group_stays(spark, docs, rows):
+    kept = by_id(minhash.near_duplicates(docs).where("kept"), "kept")
+    got = minhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted((r for r in rows if r[0] is None or r[0] in kept), key=repr)
+    twice = spark.createDataFrame([*rows, rows[13], rows[13], rows[4], rows[0]], SCHEMA)  # repeated rows stay once
+    assert sorted((tuple(r) for r in minhash.keep_one(twice).collect()), key=repr) == sorted((tuple(r) for r in got.collect()), key=repr)
+
+
 def test_sketch_fills_every_bin_and_estimates():
     a = np.unique(np.random.default_rng(1).integers(0, 2**63, 900).astype(np.uint64))
     b = np.concatenate([a[:600], a[:300] + np.uint64(1)])
