@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from allelespan.functions import genome as G
@@ -15,6 +16,7 @@ from allelespan.operators import sequence as Q
 from allelespan.operators import sfs as SFS
 from allelespan.operators.counts import site_counts, with_absent_missing
 from allelespan.plans.registry import query
+from allelespan.session import materialise
 
 IV = ["iv_id", "chrom", "start", "end"]
 END = 'end_ AS "end"'
@@ -25,6 +27,25 @@ def iv(df):
     return df.select(*IV)
 
 
+def places(ordered, *keys):
+    """``keys, place, n``: where the first row of each key comes in the order of ``ordered``, and its rows.
+
+    Rows are numbered inside their partition; only one row per partition is summed in order.
+    """
+    rows = ordered.select(*keys, F.monotonically_increasing_id().alias("__id"))
+    rows = materialise(rows.withColumn("__part", F.shiftright("__id", 33)), "places")
+    sizes = rows.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    sizes = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))
+    at = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("__before")
+    return rows.join(sizes, "__part").groupBy(*keys).agg(F.min(at).alias("place"), F.count("*").alias("n"))
+
+
+def _places_sql(table, keys, order):
+    """The same, of rows in the given order."""
+    return f"SELECT {keys}, MIN(k) AS place, COUNT(*) AS n FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) - 1 AS k FROM {table}) GROUP BY ALL"
+
+
 @query(
     "J01_variants_in_regions",
     "SELECT v.variant_id, v.chrom, v.pos, b.iv_id FROM variants v JOIN iv_a b ON b.chrom = v.chrom AND b.start <= v.pos - 1 AND v.pos - 1 < b.end_",
@@ -343,6 +364,30 @@ def _(t):
     return CS.sort_variants(t.v).select("variant_id", "chrom", "pos")
 
 
+_LIST = ["chr3", "chr1", "chr5", "chr2", "chr4"]
+_AT = f"chrom, start, {END}"
+
+
+@query("W02_string_places", _places_sql("iv_a", _AT, "chrom, start, end_"))
+def _(t):
+    return places(I.sort_intervals(t.iv_a, "string"), "chrom", "start", "end")
+
+
+@query("W02_list_places", _places_sql("iv_a", _AT, f"list_position({_LIST}, chrom), start, end_"))
+def _(t):
+    return places(I.sort_intervals(t.iv_a, "list", _LIST), "chrom", "start", "end")
+
+
+@query("W03_bed_places", _places_sql("iv_a", "chrom, start", "chrom, start"))
+def _(t):
+    return places(I.bed_sort(t.iv_a), "chrom", "start")
+
+
+@query("W04_variant_places", _places_sql("variants", "variant_id", "chrom, pos, variant_id"))
+def _(t):
+    return places(CS.sort_variants(t.v), "variant_id")
+
+
 @query("W05_bed_merge", f"SELECT chrom, start, {END} FROM ({_MERGE.format(op='>', src='iv_b')})")
 def _(t):
     return I.bed_merge(t.iv_b)
@@ -560,3 +605,10 @@ def _(t):
 def _(t):
     return iv(S.shuffle_regions(t.iv_b, draw_col=lottery()))
 
+
+@query("M07_shuffle_places", _places_sql(f"(SELECT *, {_DRAW} AS d FROM iv_b)", "d", "d"))
+def _(t):
+    drawn = t.iv_b.withColumn("d", lottery())
+    place = places(S.shuffle_regions(drawn, draw_col=F.col("d")), "d")
+    return place.withColumn("d", F.round(F.col("d") * 100003).cast("long"))
+
