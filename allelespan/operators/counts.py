@@ -25,21 +25,25 @@ def copies(*tests: Column) -> Column:
 
 def site_counts(g: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``n_called, n_ref, n_alt, n_missing`` in alleles; ``n_full, n_het, n_hom_ref, n_hom_alt,
-    n_missing_samples`` in samples; ``alleles_seen`` (a bit per allele index) and ``allele_sum`` (of the
-    indexes). Alleles of a half-called genotype are counted individually."""
+    n_missing_samples, n_rows`` in samples; ``alleles_seen`` (a bit per allele index) and ``allele_sum``
+    (of the indexes). Alleles of a half-called genotype are counted individually. Where ``g`` has
+    ``ploidy``, calls of one allele have no second one to miss; ``n_full`` and what follows from whole
+    genotypes leave them out."""
     a1, a2 = F.col("a1"), F.col("a2")
     bits = [F.coalesce(F.expr(f"shiftleft(1L, cast({a} as int))"), F.lit(0).cast("long")) for a in ("a1", "a2")]
     full = a1.isNotNull() & a2.isNotNull()
+    single = F.coalesce(F.col("ploidy") == 1, F.lit(False)) if "ploidy" in g.columns else F.lit(False)
     return g.groupBy(*SITE, *by).agg(
         copies(a1.isNotNull(), a2.isNotNull()).alias("n_called"),
         copies(a1 == 0, a2 == 0).alias("n_ref"),
         copies(a1 > 0, a2 > 0).alias("n_alt"),
-        copies(a1.isNull(), a2.isNull()).alias("n_missing"),
+        copies(a1.isNull(), a2.isNull() & ~single).alias("n_missing"),
         copies(full).alias("n_full"),
         copies(a1 != a2).alias("n_het"),
         copies((a1 == 0) & (a2 == 0)).alias("n_hom_ref"),
         copies((a1 > 0) & (a1 == a2)).alias("n_hom_alt"),
-        copies(~full).alias("n_missing_samples"),
+        copies(~full & ~(single & a1.isNotNull())).alias("n_missing_samples"),
+        F.count(F.lit(1)).alias("n_rows"),
         F.bit_or(bits[0].bitwiseOR(bits[1])).alias("alleles_seen"),
         F.sum(F.coalesce(a1, F.lit(0)) + F.coalesce(a2, F.lit(0))).cast("long").alias("allele_sum"),
     )
@@ -70,7 +74,7 @@ def n_samples(m: DataFrame) -> Column:
 
 def with_absent_missing(counts: DataFrame, samples: DataFrame) -> DataFrame:
     """Also count samples that have no row at a site as missing (2 alleles each)."""
-    absent = F.col("n_total") - F.col("n_full") - F.col("n_missing_samples")
+    absent = F.col("n_total") - F.col("n_rows")
     return (
         counts.withColumn("n_total", n_samples(samples))
         .withColumn("n_missing", F.col("n_missing") + 2 * absent)

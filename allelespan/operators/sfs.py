@@ -89,7 +89,7 @@ def pop_cells(
     per_pop = site_counts(with_population(g, m), ["pop_ix"])
     sites = per_pop.groupBy("variant_id").agg(
         F.map_from_entries(F.collect_list(F.struct("pop_ix", F.struct("n_ref", "n_alt")))).alias("by_pop"),
-        *[F.sum(c).alias(c) for c in ("n_ref", "n_alt", "n_missing", "n_full", "n_missing_samples")],
+        *[F.sum(c).alias(c) for c in ("n_ref", "n_alt", "n_missing", "n_missing_samples", "n_rows")],
     )
     sites = with_absent_missing(sites, m).filter((F.col("n_missing") <= max_missing) & ~is_invariant(pooled=True))
     records = v.filter(P.is_snp())

@@ -29,7 +29,7 @@ _COLS = "n_called, n_ref, n_alt, n_missing, n_full, n_het, n_hom_ref, n_hom_alt,
 
 @query("A01_allele_counts", f"SELECT variant_id, chrom, pos, {_COLS} FROM counts")
 def _(t):
-    return C.site_counts(t.g)
+    return C.site_counts(t.g).select("variant_id", "chrom", "pos", *_COLS.split(", "))
 
 
 @query("A01_allele_counts_by_pop", "SELECT variant_id, pop, 2*n AS n_called, alt AS n_alt, het AS n_het FROM pcounts")

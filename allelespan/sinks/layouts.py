@@ -71,7 +71,10 @@ def vcf_lines(v: DataFrame, g: DataFrame, samples: DataFrame | None = None) -> D
     def letter(a):
         return F.coalesce(F.col(a).cast("string"), F.lit("."))
 
-    fields = _per_site(g, F.concat(letter("a1"), bar, letter("a2")), "./.", "\t", samples)
+    call = F.concat(letter("a1"), bar, letter("a2"))
+    if "ploidy" in g.columns:
+        call = F.when(F.col("ploidy") == 1, letter("a1")).otherwise(call)
+    fields = _per_site(g, call, "./.", "\t", samples)
     n = (cohort(g) if samples is None else samples).agg(F.count("*").cast("int")).scalar()
     empty = F.substring(F.repeat(F.lit("\t./."), F.col("__n")), 2, 1 << 30)
     qual = info = F.lit(".")

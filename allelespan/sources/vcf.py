@@ -68,6 +68,8 @@ def read_vcf(
 ) -> tuple[DataFrame, DataFrame]:
     """``(variants, genotypes)``. ``samples`` or ``first_n`` restrict the samples at read time.
 
+    ``ploidy`` is the number of alleles of a call, 1 or 2; calls of more raise when the genotypes are read.
+
     A gzip file is one split; ``min_partitions`` spreads its records before they are parsed. Prefer one
     file per chromosome, written to Parquet once.
     """
@@ -100,6 +102,8 @@ def read_vcf(
     def allele(i: int) -> Column:
         return F.try_element_at(part, F.lit(i)).try_cast("int")
 
+    many = F.raise_error(F.concat(F.lit("a call of more than two alleles at "), "variant_id"))
+    ploidy = F.when(F.size(part) > 2, many.cast("int")).otherwise(F.size(part))
     return v, g.select(
         "variant_id",
         "chrom",
@@ -109,6 +113,7 @@ def read_vcf(
         allele(1).alias("a1"),
         allele(2).alias("a2"),
         gt.contains("|").alias("phased"),
+        ploidy.alias("ploidy"),
     )
 
 

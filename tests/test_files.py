@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from allelespan.operators import callsets as CS
+from allelespan.operators.counts import site_counts, with_absent_missing
 from allelespan.operators import sequence as Q
 from allelespan.sinks import layouts as K
 from allelespan.sources import genotypes as SG
@@ -57,6 +58,21 @@ def test_quality_and_info_survive_a_round_trip(spark, tmp_path):
     assert lines == want
 
 
+def test_calls_of_one_allele(spark, tmp_path):
+    head = VCF.splitlines()[1] + "\n"
+    (tmp_path / "x.vcf").write_text(head + "X\t10\t.\tA\tC\t.\tPASS\t.\tGT\t1\t0|1\nX\t20\t.\tA\tC\t.\tPASS\t.\tGT\t.\t0/.\n")
+    v, g = SV.read_vcf(spark, str(tmp_path / "x.vcf"))
+    people = spark.createDataFrame([("A",), ("B",), ("C",)], "sample string")
+    counts = with_absent_missing(site_counts(g), people).orderBy("pos").collect()
+    got = [(r.n_called, r.n_alt, r.n_missing, r.n_full, r.n_missing_samples) for r in counts]
+    assert got == [(3, 2, 2, 1, 1), (1, 0, 4, 0, 3)]
+    lines = [r.line.split("\t")[9:] for r in K.vcf_lines(v, g).orderBy("pos").collect()]
+    assert lines == [["1", "0|1"], [".", "0/."]]
+    (tmp_path / "y.vcf").write_text(head + "1\t10\t.\tA\tC\t.\tPASS\t.\tGT\t0/1/1\t0|1\n")
+    with pytest.raises(Exception, match="more than two alleles"):
+        SV.read_vcf(spark, str(tmp_path / "y.vcf"))[1].collect()
+
+
 def test_region_text_is_cut_to_the_region(spark):
     bases = "ACGTTGCAACTTGACCAGTCAGGT"
     chunks = [("a", i, bases[i : i + 8]) for i in (0, 16)]  # the middle chunk is absent
