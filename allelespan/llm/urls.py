@@ -2,7 +2,7 @@
 
 Host names are split into words by the most probable segmentation under a unigram model of words seen
 apart (in paths and between hyphens); naive Bayes over the words of host and path gives the verdict. Both models come from
-counts over all urls.
+counts over all urls and stay whole tables; only their most frequent rows are broadcast, the others are joined.
 """
 
 from __future__ import annotations
@@ -12,9 +12,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from allelespan.llm.common import Stage
+
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Words that mark a host as one to block when the model is fitted; a parameter, in plain order.
 SEEDS = (
@@ -23,9 +25,12 @@ SEEDS = (
 )
 #: Host labels that say how a site is reached, not what it is.
 PLAIN = ("www", "m", "blog", "com", "net", "org", "example")
-#: Words of the segmentation model: the most frequent ones of all urls.
-VOCABULARY = 50_000
+#: Rows of each model that are broadcast, the most frequent ones; the rest takes part by joins.
+HEAD = 50_000
 LONGEST = 24
+#: Weights are whole multiples of 1 / UNIT, so that their sums do not depend on their order.
+UNIT = 1 << 32
+_PAIR = "host string, path string"
 
 
 def parts(url: str = "url") -> list:
@@ -46,37 +51,32 @@ def rule_of(rules=RULES):
     return best
 
 
-def word_counts(urls: DataFrame, seeds=SEEDS, plain=PLAIN) -> dict[str, int]:
-    """Counts of the words of all paths and of the parts of hyphenated host labels, the most frequent
-    ``VOCABULARY`` of them. A label without a hyphen is what has to be split, so it is no evidence for
-    itself. Seed words are in the counts at least once, so that names made of them split.
+def word_counts(urls: DataFrame, seeds=SEEDS, plain=PLAIN) -> DataFrame:
+    """``word, n``: counts of the words of all paths and of the parts of hyphenated host labels. A label
+    without a hyphen is what has to be split, so it is no evidence for itself. Seed words are in the
+    counts at least once, so that names made of them split.
     """
     in_names = F.regexp_extract_all("host", F.lit(r"(?:(?<=-)[a-z]+|[a-z]+(?=-))"), 0)
     in_paths = F.regexp_extract_all(F.lower("path"), F.lit(r"[a-z]+"), 0)
-    words = urls.select(F.explode(F.concat(in_names, in_paths)).alias("word"))
+    words = urls.select(F.explode(F.concat(in_names, in_paths)).alias("word"), F.lit(1).alias("n"))
     words = words.where((F.length("word") <= LONGEST) & (F.length("word") > 1))
-    top = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "word").limit(VOCABULARY)
-    counts = {r.word: r.n for r in top.collect()}
-    for word in (*seeds, *plain):
-        counts[word] = max(counts.get(word, 0), 1)
-    return counts
+    always = urls.sparkSession.createDataFrame([(w, 0) for w in {*seeds, *plain}], "word string, n int")
+    return words.unionByName(always).groupBy("word").agg(F.greatest(F.sum("n"), F.lit(1)).cast("long").alias("n"))
 
 
-def segmenter(counts: dict[str, int]):
-    """The most probable split of a name into words. An unknown word costs more than any known one,
-    and more with every letter."""
-    total = sum(counts.values())
+def segmenter(counts: dict[str, int], total: int):
+    """The most probable split of a name into words; ``total`` is the sum of all counts, ``more`` are words
+    beyond ``counts``. An unknown word costs more than any known one, and more with every letter."""
     cost = {w: math.log(total / n) for w, n in counts.items()}
     unknown = math.log(total) + math.log(10)
 
-    @lru_cache(maxsize=100_000)
-    def split(name: str) -> tuple[str, ...]:
+    def best_split(name: str, more: dict[str, float]) -> tuple[str, ...]:
         best = [(0.0, 0)]
         for i in range(1, len(name) + 1):
             options = []
             for size in range(1, min(i, LONGEST) + 1):
                 word = name[i - size : i]
-                c = cost.get(word, unknown + math.log(10) * size)
+                c = cost.get(word, more.get(word, unknown + math.log(10) * size))
                 options.append((best[i - size][0] + c, size))
             best.append(min(options))
         out, i = [], len(name)
@@ -85,20 +85,61 @@ def segmenter(counts: dict[str, int]):
             i -= best[i][1]
         return tuple(out[::-1])
 
-    return split
+    @lru_cache(maxsize=100_000)
+    def from_head(name: str) -> tuple[str, ...]:
+        return best_split(name, {})
+
+    def with_more(more):
+        if more is None or not len(more):
+            return from_head
+        costs = {w: math.log(total / int(n)) for w, n in (x.split(" ") for x in more)}
+        return lambda name: best_split(name, costs)
+
+    return with_more
+
+
+def _names(host: str, path: str, plain) -> tuple[list[str], list[str]]:
+    """Labels of the host without plain ones, and alphanumeric runs of the path."""
+    labels = "".join(c if c.isalnum() else " " for c in host).split()
+    return [x for x in labels if x not in plain], "".join(c if c.isalnum() else " " for c in path.lower()).split()
 
 
 def tokens_of(host: str, path: str, split, plain=PLAIN) -> list[str]:
     """Words of the host labels, marked as such, and the words of the path; numbers are one token."""
-    out = []
-    for label in "".join(c if c.isalnum() else " " for c in host).split():
-        if label not in plain:
-            out += [f"h:{w}" for w in split(label)]
-    for word in "".join(c if c.isalnum() else " " for c in path.lower()).split():
+    labels, runs = _names(host, path, plain)
+    out = [f"h:{w}" for label in labels for w in split(label)]
+    for word in runs:
         out += ["p:#"] if word.isdigit() else [f"p:{w}" for w in (split(word) if word.isalpha() else (word,))]
     return out
 
 
+def _with_rare_words(pairs: DataFrame, rare: DataFrame, head, plain) -> DataFrame:
+    """``pairs`` with ``more``: the words of ``rare`` that occur in names to split, as 'word count'."""
+
+    def names(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for host, path in zip(f.host, f.path, strict=True):
+                labels, runs = _names(host, path, plain)
+                rows += [(host, path, x) for x in {*labels, *(r for r in runs if r.isalpha())}]
+            yield pd.DataFrame(rows, columns=["host", "path", "name"], dtype=object)
+
+    def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = head.value[0]
+        for f in frames:
+            for name in f.name:
+                found = {name[i : i + n] for i in range(len(name) - 1) for n in range(2, min(LONGEST, len(name) - i) + 1)}
+                found = [w for w in found if w not in known and w.isascii() and w.isalpha()]
+                if found:
+                    yield pd.DataFrame({"name": [name] * len(found), "word": found})
+
+    named = pairs.select("host", "path").mapInPandas(names, f"{_PAIR}, name string")
+    cut = named.select("name").distinct().mapInPandas(pieces, "name string, word string")
+    found = cut.join(rare, "word").groupBy("name").agg(F.collect_list(F.concat_ws(" ", "word", F.col("n").cast("string"))).alias("more"))
+    found = named.join(found, "name").groupBy("host", "path").agg(F.array_distinct(F.flatten(F.collect_list("more"))).alias("more"))
+    return pairs.join(found, ["host", "path"], "left")
+
+
 def judge_urls(pages: DataFrame, rules=RULES, seeds=SEEDS, plain=PLAIN) -> DataFrame:
     """Rule and verdict per row of ``pages`` (``page_id, url``; other columns are ignored).
 
@@ -107,54 +148,87 @@ def judge_urls(pages: DataFrame, rules=RULES, seeds=SEEDS, plain=PLAIN) -> DataF
     words that come with seeds carry over to hosts without one. A null url, or one without ``://``, has empty host and path, no rule, and the verdict of the priors.
     """
     spark = pages.sparkSession
+    stage = Stage(spark)
     rows = pages.select("page_id", *parts())
     rows = rows.withColumn("rule", rule_of(rules))
-    distinct = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
-    counts = word_counts(rows, seeds, plain)
-    model_words = spark.sparkContext.broadcast(counts)
+    pairs = stage.write(rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    words = stage.write(word_counts(rows, seeds, plain), "words")
+    n_words, total = words.agg(F.count(F.lit(1)), F.sum("n")).first()
+    top = words.orderBy(F.col("n").desc(), "word").limit(HEAD).collect()
+    model_words = spark.sparkContext.broadcast(({r.word: r.n for r in top}, total))
+    if n_words > HEAD:
+        rare = words.where((F.col("n") < top[-1].n) | ((F.col("n") == top[-1].n) & (F.col("word") > top[-1].word)))
+        pairs = stage.write(_with_rare_words(pairs, rare, model_words, plain), "pairs")
+    else:
+        pairs = pairs.withColumn("more", F.lit(None).cast("array<string>"))
     marked = frozenset(seeds)
 
     def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split = segmenter(model_words.value)
+        split = segmenter(*model_words.value)
         for f in frames:
             rows = [
                 (t, int(any(x[2:] in marked for x in ts if x[0] == "h")), n)
-                for host, path, n in zip(f.host, f.path, f.n, strict=True)
-                for ts in [tokens_of(host, path, split, plain)]
+                for host, path, n, more in zip(f.host, f.path, f.n, f.more, strict=True)
+                for ts in [tokens_of(host, path, split(more), plain)]
                 for t in [*ts, ""]
             ]
             yield pd.DataFrame(rows, columns=["token", "block", "n"])
 
-    seen = distinct.mapInPandas(tokens, "token string, block int, n long")
+    seen = pairs.mapInPandas(tokens, "token string, block int, n long")
     seen = seen.groupBy("token").agg(F.sum(F.col("n") * (1 - F.col("block"))).alias("allow"), F.sum(F.col("n") * F.col("block")).alias("block"))
-    top = seen.orderBy((F.col("allow") + F.col("block")).desc(), "token").limit(VOCABULARY).collect()
-    weights = naive_bayes({r.token: (r.allow, r.block) for r in top})
-    model = spark.sparkContext.broadcast(weights)
+    weights, prior, n_tokens = naive_bayes(stage.write(seen, "tokens"))
+    top = weights.orderBy(F.col("seen").desc(), "token").limit(HEAD).collect()
+    model = spark.sparkContext.broadcast({r.token: r.weight for r in top})
+    verdicts = F.create_map(*[F.lit(x) for r in rules for x in r])
 
-    @F.pandas_udf("double")
-    def score(hosts: pd.Series, paths: pd.Series) -> pd.Series:
-        split, w = segmenter(model_words.value), model.value
-        ready: dict[str, float] = {}
+    def judged(score) -> Column:
+        by_model = F.when(score + F.lit(prior) > 0, F.lit("block")).otherwise(F.lit("allow"))
+        return F.coalesce(verdicts[F.col("rule")], by_model).alias("verdict")
 
-        def of(host: str, path: str) -> float:
-            if host not in ready:
-                if len(ready) > 200_000:
-                    ready.clear()
-                ready[host] = sum(w.get(t, 0.0) for t in tokens_of(host, "", split, plain))
-            return w[""] + ready[host] + sum(w.get(t, 0.0) for t in tokens_of("", path, split, plain))
+    if max(n_words, n_tokens) <= HEAD:
+        # both models fit the broadcast ones: rows are judged where they are read
 
-        return pd.Series([of(h, p) for h, p in zip(hosts, paths, strict=True)], dtype=float)
+        @F.pandas_udf("long")
+        def score(hosts: pd.Series, paths: pd.Series) -> pd.Series:
+            split, w = segmenter(*model_words.value)(None), model.value
+            ready: dict[str, int] = {}
 
-    verdicts = F.create_map(*[F.lit(x) for r in rules for x in r])
-    by_model = F.when(score("host", "path") > 0, F.lit("block")).otherwise(F.lit("allow"))
-    return rows.select("page_id", "host", "path", "rule", F.coalesce(verdicts[F.col("rule")], by_model).alias("verdict"))
+            def of(host: str, path: str) -> int:
+                if host not in ready:
+                    if len(ready) > 200_000:
+                        ready.clear()
+                    ready[host] = sum(w[t] for t in tokens_of(host, "", split, plain))
+                return ready[host] + sum(w[t] for t in tokens_of("", path, split, plain))
 
+            return pd.Series([of(h, p) for h, p in zip(hosts, paths, strict=True)], dtype="int64")
 
-def naive_bayes(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
-    """Log odds of block against allow per token, add-one smoothed; at '' the prior (a count of examples)."""
-    allow, block = counts.get("", (0, 0))
-    words = {t: c for t, c in counts.items() if t}
-    sums = [sum(c[k] for c in words.values()) + len(words) + 1 for k in (0, 1)]
-    out = {t: math.log((c[1] + 1) / sums[1]) - math.log((c[0] + 1) / sums[0]) for t, c in words.items()}
-    out[""] = math.log((block + 1) / (allow + block + 2)) - math.log((allow + 1) / (allow + block + 2))
-    return out
+        return rows.select("page_id", "host", "path", "rule", judged(score("host", "path")))
+
+    def frequent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split, w = segmenter(*model_words.value), model.value
+        for f in frames:
+            out = []
+            for host, path, more in zip(f.host, f.path, f.more, strict=True):
+                ts = tokens_of(host, path, split(more), plain)
+                out.append((host, path, sum(w.get(t, 0) for t in ts), [t for t in ts if t not in w]))
+            yield pd.DataFrame(out, columns=["host", "path", "score", "rare"])
+
+    # a token outside the broadcast head has at most 1 / HEAD of all counts, so none of the joined ones is hot
+    scored = stage.write(pairs.select("host", "path", "more").mapInPandas(frequent, f"{_PAIR}, score long, rare array<string>"), "scored")
+    more = scored.select("host", "path", F.explode("rare").alias("token")).groupBy("host", "path", "token").agg(F.count(F.lit(1)).alias("times"))
+    more = more.join(weights, "token").groupBy("host", "path").agg(F.sum(F.col("weight") * F.col("times")).alias("more"))
+    scored = scored.join(more, ["host", "path"], "left").select("host", "path", (F.col("score") + F.coalesce("more", F.lit(0))).alias("score"))
+    scored = rows.join(scored, ["host", "path"], "left")
+    return scored.select("page_id", "host", "path", "rule", judged(F.col("score")))
+
+
+def naive_bayes(seen: DataFrame) -> tuple[DataFrame, int, int]:
+    """Log odds of block against allow per token, add-one smoothed, in units of 1 / UNIT (``token, seen,
+    weight``); the prior from the count of examples at ''; and the number of tokens."""
+    words = seen.where("token != ''")
+    n, allow, block = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("allow"), F.lit(0)), F.coalesce(F.sum("block"), F.lit(0))).first()
+    odds = F.log((F.col("block") + 1) / float(block + n + 1)) - F.log((F.col("allow") + 1) / float(allow + n + 1))
+    weights = words.select("token", (F.col("allow") + F.col("block")).alias("seen"), F.round(odds * UNIT).cast("long").alias("weight"))
+    examples = seen.where("token = ''").first()
+    a, b = (examples.allow, examples.block) if examples else (0, 0)
+    return weights, round((math.log(b + 1) - math.log(a + 1)) * UNIT), n

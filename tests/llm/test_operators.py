@@ -367,3 +367,21 @@ def test_mixed_documents_have_the_words(docs):
     for r in mixed.collect():
         out[r.doc_id] += len(split(r.text))
     assert dict(out) == taken
+
+
+def test_url_models_are_whole(spark, monkeypatch):
+    """Words and tokens outside the broadcast head count as those in it do."""
+    # the words of the host names are rarer than any word of the fillers
+    data = [f"http://{RNG.choice('abcdefgh')}{i % 7}.com/{words(3).replace(' ', '/')}" for i in range(300)]
+    data += [f"http://cheapzebra{i}-x.com/rareword{i}/zebra" for i in range(5)] + ["http://zebracheap.com/", "http://zebra.com/rareword2", None, "no"]
+    frame = spark.createDataFrame(list(enumerate(data)), "page_id long, url string")
+
+    def verdicts():
+        return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(frame, rules=urls.RULES[:2]).collect()}
+
+    whole = verdicts()
+    assert {v[3] for v in whole.values()} == {"allow", "block"}
+    for head in (3, 20):
+        monkeypatch.setattr(urls, "HEAD", head)
+        monkeypatch.setattr(urls, "VOCABULARY", head, raising=False)
+        assert verdicts() == whole
