@@ -52,3 +52,25 @@ def test_stages(spark, folder):
 def test_run(spark, folder):
     rows = corpus_pipeline.run(spark, folder).collect()
     assert rows and all(r.n_tokens > 0 for r in rows)
+
+
+def test_near_dedup_links_from_four_fifths(spark):
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    texts = []
+    for _ in range(12):
+        base = ["".join(RNG.choices("abcdefgh", k=6)) for _ in range(120)]
+        texts.append(base)
+        for n in (8, 10, 11, 12, 13, 14, 16):
+            texts.append(base[:-n] + ["".join(RNG.choices("abcdefgh", k=6)) for _ in range(n)])
+    texts = [" ".join(t) for t in texts]
+    sets, low = [shingles(t) for t in texts], list(range(len(texts)))
+    alike = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i]]
+    assert any(0.8 <= x < 0.85 for x in alike) and any(0.7 < x < 0.8 for x in alike)
+    for _ in texts:  # smallest id over links, until nothing moves
+        low = [min(low[j] for j, b in enumerate(sets) if 5 * len(a & b) >= 4 * len(a | b)) for a in sets]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "")
+    assert {r.doc_id for r in got.collect()} == {i for i, x in enumerate(low) if i == x}
