@@ -308,15 +308,22 @@ def label_words(model: Model, text: str) -> list[tuple[str, str]]:
     return [(w, model.langs[i]) for w, i in zip(words, model.posteriors([words])[0].argmax(1), strict=True)] if words else []
 
 
-def identify_texts(model: Model | None, texts) -> tuple[list[str], list[float]]:
-    langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+def read_texts(model: Model | None, texts) -> tuple[list[str], list[float], list[float]]:
+    """Leading language, its mean probability, and how sure the words are: the mean of each word's
+    largest probability, whatever the language."""
+    langs, scores, sure = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     if model is not None:
         for places, lists in _batches(texts):
             for i, p in zip(places, model.posteriors(lists), strict=True):
                 mean = p.mean(axis=0)
                 best = int(mean.argmax())
                 langs[i], scores[i] = model.langs[best], float(min(1.0, mean[best]))
-    return langs, scores
+                sure[i] = float(p.max(axis=1).mean())
+    return langs, scores, sure
+
+
+def identify_texts(model: Model | None, texts) -> tuple[list[str], list[float]]:
+    return read_texts(model, texts)[:2]
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -341,14 +348,22 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, *, least: float = 0.5, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of ``least`` or more, with all columns."""
+    """The rows of ``docs`` whose words are told with a mean certainty of ``least`` or more, with all columns.
+
+    A text that switches between languages is as certain as its words are; its share of the leading language does not
+    matter. Rows without a letter go. If there was nothing to learn from, all rows with a letter stay.
+    """
     known = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("boolean")
+    def stays(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        m = known.value
         for texts in batches:
-            yield pd.Series(identify_texts(known.value, list(texts))[1], dtype=float)
-        if known.value is not None:
-            known.value.forget()
+            if m is None:
+                yield pd.Series([bool(words_of(t)) for t in texts], dtype=bool)
+            else:
+                yield pd.Series([x >= least for x in read_texts(m, list(texts))[2]], dtype=bool)
+        if m is not None:
+            m.forget()
 
-    return docs.withColumn("__score", score("text")).where(F.col("__score") >= least).select(*docs.columns)
+    return docs.withColumn("__stays", stays("text")).where("__stays").select(*docs.columns)

@@ -16,7 +16,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language, or with an uncertain one, go."""
+    """Documents without a letter, or whose words have no certain language, go; several languages may stay."""
     ship(spark)
     return langid.keep_identified(docs)
 

@@ -74,3 +74,20 @@ def test_near_dedup_links_from_four_fifths(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "")
     assert {r.doc_id for r in got.collect()} == {i for i, x in enumerate(low) if i == x}
+
+
+def test_language_stage_keeps_switched_and_unlabelled_texts(spark):
+    kinds = {"en": "the of and ing tion", "de": "der die und ung keit", "fr": "eau oux ette elle que", "it": "zzo gli cchi ssimo nno"}
+
+    def text(lang, n):
+        return " ".join("".join(RNG.choices(kinds[lang].split(), k=RNG.randint(1, 3))) for _ in range(n))
+
+    rows = [(i, text(lang, 60), lang) for i, lang in enumerate(list(kinds) * 30)]
+    rows += [(900, " ".join(text(lang, n) for lang, n in (("en", 40), ("de", 35), ("fr", 30))), None)]
+    rows += [(901, " ".join(text(lang, 30) for lang in kinds), "en"), (902, "1 2", "en"), (903, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    assert {r.doc_id for r in stage(spark, docs, "").collect()} == {*range(120), 900, 901}
+    # nothing to learn from: what has letters stays
+    blank = docs.selectExpr("doc_id", "text", "cast(null as string) as lang")
+    assert {r.doc_id for r in stage(spark, blank, "").collect()} == {*range(120), 900, 901}
