@@ -25,7 +25,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']? *[:=] *["']
 # a run is matched from its start to its end, so a least length gives the same as dropping shorter runs
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+#: Least length of a run that is scored.
+LONG = 16
+RUN = re.compile(rf"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{{{LONG},}}")
 #: Labelled credentials of a kind, and ordinary runs, that the automata are fitted on at most.
 SAMPLE = 600
 #: Hoeffding's bound for merging states: a lower value merges more.
@@ -52,15 +54,21 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def runs(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
-    """Long runs of credential characters that overlap none of ``taken``."""
+def open_runs(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """Long runs of credential characters, each with its stretches outside ``taken``, if there are any."""
     at, reach = 0, 0
     for m in RUN.finditer(text):
+        free, gaps = max(reach, m.start()), []
         while at < len(taken) and taken[at][0] < m.end():
-            reach = max(reach, taken[at][1])
+            start, end, _ = taken[at]
+            if start > free:
+                gaps.append((free, start))
+            free, reach = max(free, end), max(reach, end)
             at += 1
-        if reach <= m.start():
-            yield m.span()
+        if free < m.end():
+            gaps.append((free, m.end()))
+        if gaps:
+            yield m.start(), m.end(), gaps
 
 
 class Automaton:
@@ -101,7 +109,8 @@ class Automaton:
                     return False
                 if symbol in self.next[a] and symbol in self.next[b]:
                     x, y = self.next[a][symbol], self.next[b][symbol]
-                    if x != y and y > x:
+                    # the side of b is a tree, so this ends
+                    if x != y:
                         todo.append((x, y))
         return True
 
@@ -125,7 +134,8 @@ class Automaton:
         """Settled states are kept; a state one step off them is folded into the first compatible one."""
         settled = [0]
         while True:
-            edge = [(self.next[q][s], q, s) for q in settled for s in self.next[q] if self.next[q][s] not in settled]
+            known = set(settled)
+            edge = [(self.next[q][s], q, s) for q in settled for s in self.next[q] if self.next[q][s] not in known]
             if not edge:
                 break
             new, q, symbol = min(edge, key=lambda e: (-self.count[e[0]], e[0]))
@@ -171,9 +181,9 @@ class Scorer:
         self.ordinary = Automaton([classes_of(s) for s in ordinary], alpha)
 
     def score(self, value: str) -> float:
-        c = classes_of(value)
-        if not self.kinds or "d" not in c or c.strip("d+/_.=-") == "":
+        if not self.kinds:
             return -math.inf
+        c = classes_of(value)
         return max(k.log_likelihood(c) for k in self.kinds) - self.ordinary.log_likelihood(c)
 
 
@@ -190,9 +200,9 @@ def labelled(docs: DataFrame) -> DataFrame:
                 for start, end, kind in spans:
                     value = text[start:end]
                     out.add((kind, ASSIGN.match(value)[2] if kind == "assign" else value))
-                for start, end in runs(text, spans):
+                for start, end, gaps in open_runs(text, spans):
                     value = text[start:end]
-                    if hashlib.blake2b(value.encode(), digest_size=1).digest()[0] < 8:
+                    if gaps == [(start, end)] and hashlib.blake2b(value.encode(), digest_size=1).digest()[0] < 8:
                         out.add(("ordinary", value))
             yield pd.DataFrame([x for x in out if len(x[1]) <= 200], columns=["kind", "value"], dtype=object)
 
@@ -218,8 +228,14 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, alpha: float = ALPHA) -> Score
 
 
 def all_spans(text: str, scorer: Scorer, least: float = LEAST) -> list[tuple[int, int, str]]:
-    base = base_spans(text)
-    more = [(a, b, "format") for a, b in runs(text, base) if scorer.score(text[a:b]) >= least]
+    """The fixed formats, and as ``format`` every other run that scores like a credential. A run of which fixed
+    formats leave something is scored whole, then by its long rests."""
+    base, more = base_spans(text), []
+    for start, end, gaps in open_runs(text, base):
+        if scorer.score(text[start:end]) >= least:
+            more.append((start, end, "format"))
+        elif gaps != [(start, end)]:
+            more += [(a, b, "format") for a, b in gaps if b - a >= LONG and scorer.score(text[a:b]) >= least]
     return sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2])))
 
 

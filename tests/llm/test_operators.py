@@ -149,6 +149,31 @@ def test_secrets(spark):
     assert by_id(clean, "text")[2] == ('token = "abc" [secret]',)
 
 
+def test_secrets_without_digits_and_rests_of_runs():
+    rng = random.Random(11)
+    app = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=16)) for _ in range(200)]
+    hexes = ["".join(rng.choices("0123456789abcdef", k=32)) + "".join(rng.choices("GHIJKLMN0123456789", k=12)) for _ in range(200)]
+    plain = ["/".join(rng.choices(["Usr", "Lib", "Share", "Doc"], k=6)) + ".TXT" for _ in range(200)]
+    scorer = secrets.Scorer({"assign": app, "hex": hexes}, plain)
+    # letters only
+    assert secrets.all_spans("see qwmzkfhtrbplvxoe here", scorer) == [(4, 20, "format")]
+    assert secrets.all_spans("see Usr/Lib/Share/Doc/Usr/Lib.TXT here", scorer) == []
+    # 32 hex digits open a longer key
+    key = "0123456789abcdef0123456789abcdef" + "GH1JK2LM3N4G"
+    assert secrets.all_spans(f"a {key} b", scorer) == [(2, 34, "hex"), (2, 46, "format")]
+    # a rest that is a credential beside a fixed format, in a run that is none as a whole
+    spans = [(2, 5, "hex"), (9, 60, "hex")]
+    assert list(secrets.open_runs("x " + "a" * 20 + " " + "b" * 20, spans)) == [(2, 22, [(5, 9)])]
+
+
+def test_automaton_compares_all_successors():
+    # as often 'a' as 'd' at the root and after every 'a', but only the root's own 'd' goes on
+    strings = ["dg"] * 512 + [x for k in range(1, 8) for x in ["a" * k + "d"] * (512 >> k)]
+    fitted = secrets.Automaton(strings)
+    assert fitted.log_likelihood("ad") - fitted.log_likelihood("adg") > 5
+    assert fitted.log_likelihood("dg") - fitted.log_likelihood("d") > 5
+
+
 def test_automaton_merges_states():
     strings = ["d" * RNG.randint(10, 20) for _ in range(200)]
     fitted = secrets.Automaton(strings)
@@ -372,7 +397,7 @@ def test_mixed_documents_have_the_words(docs):
 def test_url_models_are_whole(spark, monkeypatch):
     """Words and tokens outside the broadcast head count as those in it do."""
     # the words of the host names are rarer than any word of the fillers
-    data = [f"http://{RNG.choice('abcdefgh')}{i % 7}.com/{words(3).replace(' ', '/')}" for i in range(300)]
+    data = [f"http://{'abcdefgh'[i % 8]}{i % 7}.com/{'/'.join(('ab', 'cde', 'fgab')[: i % 4])}/{'hgfe'[i % 3 :]}" for i in range(300)]
     data += [f"http://cheapzebra{i}-x.com/rareword{i}/zebra" for i in range(5)] + ["http://zebracheap.com/", "http://zebra.com/rareword2", None, "no"]
     frame = spark.createDataFrame(list(enumerate(data)), "page_id long, url string")
 
