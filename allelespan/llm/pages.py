@@ -26,7 +26,9 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 _RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that are no part of an article.
-_NOISE = frozenset("head nav header footer aside form button select option dialog menu svg canvas object label fieldset".split())
+_NOISE = frozenset("head nav header footer aside button select option dialog menu svg canvas object label".split())
+#: Elements that are noise unless they hold the page's text.
+_WRAPPERS = frozenset(("form", "fieldset"))
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub "
     "sup time tt u var wbr ruby rb rt rp img br nobr".split()
@@ -39,6 +41,8 @@ _MARKS = frozenset(
     "subscription signup login popup modal overlay widget pagination pager toolbar contentinfo complementary search "
     "topbar copyright".split()
 )
+#: Parts of a name after which the next part is a property of the layout, not what the block is.
+_MODIFIERS = frozenset("has no with without hide hides show shows".split())
 _HEADER = frozenset(("site", "page", "top", "main", "global"))
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
@@ -53,32 +57,60 @@ class Block:
 
     __slots__ = ("name", "parent", "parts", "noise", "chars", "tags", "link_chars", "link_tags", "density", "sum", "own")
 
-    def __init__(self, name: str, parent: Block | None, noise: bool):
+    def __init__(self, name: str, parent: Block | None, noise: str):
         self.name, self.parent, self.noise = name, parent, noise
         self.parts: list = []  # strings (text), None (a line break) and blocks, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = self.own = 0
         self.density = self.sum = 0.0
 
 
-def _is_noise(name: str, rest: str) -> bool:
+def _is_noise(name: str, rest: str) -> str:
+    """'noise' for elements that never hold an article, 'marked' for those that ``settle`` decides on, else ''."""
     if name in _NOISE:
-        return True
+        return "noise"
+    if name in _WRAPPERS:
+        return "marked"
     if name in ("html", "body") or not rest:
-        return False
+        return ""
     words: set[str] = set()
     for found in _NAMES.finditer(rest):
-        words.update(re.findall(r"[a-z0-9]+", (found[1] or found[2] or found[3] or "").lower()))
+        for one in (found[1] or found[2] or found[3] or "").lower().split():
+            before = ""
+            for word in re.findall(r"[a-z0-9]+", one):
+                if before not in _MODIFIERS:
+                    words.add(word)
+                before = word
     if name in ("article", "main"):
-        return not words.isdisjoint(("comment", "comments", "reply", "ad", "advert", "sponsored"))
-    if not words.isdisjoint(_MARKS):
-        return True
-    return "header" in words and (len(words) == 1 or not words.isdisjoint(_HEADER))
+        return "" if words.isdisjoint(("comment", "comments", "reply", "ad", "advert", "sponsored")) else "marked"
+    if not words.isdisjoint(_MARKS) or ("header" in words and (len(words) == 1 or not words.isdisjoint(_HEADER))):
+        return "marked"
+    return ""
+
+
+def settle(root: Block) -> None:
+    """Decide which marked blocks are noise: not those with most of the page's text outside links, and, on
+    a page whose only article or main elements are in marked blocks, not those with one."""
+    blocks = [root]
+    for b in blocks:  # grows on the way; parents before children
+        blocks += [p for p in b.parts if isinstance(p, Block) and p.noise != "noise"]
+    plain = {id(b): b.chars - b.link_chars for b in blocks}
+    holds = {id(b): b.name in ("article", "main") and not b.noise for b in blocks}
+    for b in reversed(blocks[1:]):
+        plain[id(b.parent)] += plain[id(b)]
+        holds[id(b.parent)] |= holds[id(b)]
+    for b in blocks:
+        if b.noise and 2 * plain[id(b)] > plain[id(root)]:
+            b.noise = ""
+    if not any(b.name in ("article", "main") for b in _blocks(root)):
+        for b in blocks:
+            if holds[id(b)]:
+                b.noise = ""
 
 
 def parse(html: str) -> Block:
     """The tree of blocks of a page. Inline elements only count; unclosed elements end where HTML says,
     and stray end tags are skipped."""
-    root = at = Block("body", None, False)
+    root = at = Block("body", None, "")
     links: list[Block] = []  # open links, by the block they were opened in
     pos, size = 0, len(html)
 
@@ -152,9 +184,10 @@ def parse(html: str) -> Block:
                 up = up.parent
             if up.name in _SAME[name] and up.parent is not None:
                 at = close_to(up.parent)
-        block = Block(name, at, at.noise or _is_noise(name, rest))
+        block = Block(name, at, _is_noise(name, rest))
         at.parts.append(block)
         at = block
+    settle(root)
     return root
 
 

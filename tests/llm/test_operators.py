@@ -410,3 +410,24 @@ def test_url_models_are_whole(spark, monkeypatch):
         monkeypatch.setattr(urls, "HEAD", head)
         monkeypatch.setattr(urls, "VOCABULARY", head, raising=False)
         assert verdicts() == whole
+
+
+def test_pages_keep_text_in_marked_wrappers():
+    body = "<article><p>" + "Words of the article go on and on here. " * 8 + "</p></article>"
+    plain = body.replace("article>", "div>")
+    text = " ".join(("Words of the article go on and on here. " * 8).split())
+    rest = '<nav><a href="/">Home page of the site</a></nav><div class="sidebar">Other things beside it</div>'
+    for start, end in (
+        ('<div class="layout has-sidebar">', "</div>"), ('<div class="no-sidebar">', "</div>"), ('<div id="with-comments">', "</div>"),
+        ('<div class="search-result">', "</div>"), ('<form id="aspnetForm">', "</form>"), ("<form><fieldset>", "</fieldset></form>"),
+        ('<div class="widget"><div class="modal">', "</div></div>"),
+    ):
+        for inner in (body, plain):
+            assert pages.main_text(f"<body>{start}{rest}{inner}<button>Send it</button>{end}</body>") == text, start
+    # an article in a marked block is kept if it is the only one, also if it is short
+    beside = "<div><p>" + "A long text of another kind stands here. " * 12 + "</p></div>"
+    short = "<article><p>Short news of the day.</p></article>"
+    assert "Short news" in pages.main_text(f'<body><div class="widget">{short}</div>{beside}</body>')
+    # marked blocks beside the text stay out
+    for name in ("comments", "related", "cookie-notice"):
+        assert pages.main_text(f'<body>{body}<div class="{name}"><article class="card"><p>Something else, not so long.</p></article></div></body>') == text
