@@ -23,8 +23,6 @@ find_letters = re.compile(r"[^\W\d_]+").findall
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 #: Documents per language, and stretches per document, that the model is fitted on at most.
 SAMPLE_DOCS = 500
-#: Languages that the model tells apart at most, the most frequent ones.
-LANGS = 200
 STRETCHES = 3
 LENGTH = 40
 #: Features seen with fewer distinct words of the sample are left out, but for the lexicon.
@@ -35,8 +33,10 @@ _BLOCK = 32
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case letter runs; empty if the text is null or has no letter."""
+    """Lower-case letter runs, those over 40 letters in consecutive pieces; empty if the text is null or has no letter."""
     words = find_letters(text.lower()) if text else []
+    if any(len(w) > _LONGEST for w in words):
+        words = [w[i : i + _LONGEST] for w in words for i in range(0, len(w), _LONGEST)]
     return words if any(any(map(str.isalpha, w)) for w in words) else []
 
 
@@ -216,9 +216,9 @@ def _learn(sequences: list[tuple[list[str], np.ndarray]], langs: list[str], roun
             beta[:, t] = np.where(used[:, t + 1, None], b / b.sum(1, keepdims=True), beta[:, t + 1])
         p = alpha * beta
         p /= p.sum(2, keepdims=True)
-        pairs = alpha[:, :-1, :, None] * step * (e[:, 1:] * beta[:, 1:])[:, :, None, :]
-        pairs /= pairs.sum((2, 3), keepdims=True)
-        pairs = (pairs * both[:, :, None, None]).sum((0, 1))
+        # sums of the pair marginals, without an array of all pairs at every word
+        left, right = alpha[:, :-1][both], (e[:, 1:] * beta[:, 1:])[both]
+        pairs = step * ((left / ((left @ step) * right).sum(1, keepdims=True)).T @ right)
         by_word = np.zeros((len(sizes), k))
         np.add.at(by_word, ids[used], (one - p)[used])
         by_feature = np.zeros_like(weights)
@@ -241,14 +241,14 @@ def fit(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS
     """A model from the texts and non-null languages of documents that are not held out.
 
     At most ``sample_docs`` documents of a language, those of the lowest hash, give up to three stretches
-    of 40 words spread over the whole text, so the fit has the same size for any input. Half of the
+    of 40 words spread over the whole text, so the fit grows with the languages only. Half of the
     training sequences join stretches of two languages in the middle: that is where transitions come from.
     None if there is nothing to learn from.
     """
     stage = Stage(docs.sparkSession)
     rows = docs.select("doc_id", "lang", "text").where("lang is not null and text is not null").where(~held_out())
     draw = F.pmod(F.xxhash64("doc_id", F.md5("text")), F.lit(1 << 30)) / float(1 << 30)
-    sized = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGS).collect()
+    sized = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()
     if not sized:
         return None
     share = F.create_map(*[F.lit(x) for r in sized for x in (r.lang, min(1.0, 2 * sample_docs / r.n))])
@@ -258,7 +258,7 @@ def fit(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS
         for f in frames:
             out = []
             for lang, draw, text in zip(f.lang, f.draw, f.text, strict=True):
-                words = [w for w in words_of(text) if len(w) <= _LONGEST]
+                words = words_of(text)
                 room = max(1, len(words) // LENGTH)
                 starts = {LENGTH * (room * i // STRETCHES) for i in range(STRETCHES)}
                 out += [(lang, draw, i, " ".join(words[s : s + LENGTH])) for i, s in enumerate(sorted(starts)) if words]

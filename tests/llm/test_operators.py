@@ -431,3 +431,17 @@ def test_pages_keep_text_in_marked_wrappers():
     # marked blocks beside the text stay out
     for name in ("comments", "related", "cookie-notice"):
         assert pages.main_text(f'<body>{body}<div class="{name}"><article class="card"><p>Something else, not so long.</p></article></div></body>') == text
+
+
+def test_long_runs_and_every_language_are_learned(spark):
+    rng = random.Random(2)
+    assert langid.words_of("Ab " + "x" * 85) == ["ab", "x" * 40, "x" * 40, "x" * 5]
+    # two languages without spaces: they differ behind the first 40 letters only
+    ends = {"aa": "pqr", "bb": "stu"}
+    rows = [(i, "".join(rng.choices("xyz", k=40)) + "".join(rng.choices(ends[x], k=200)), x) for i, x in enumerate(["aa", "bb"] * 40)]
+    # and more languages than 200, each with a word of its own
+    rows += [(1000 + i, " ".join(["w" + "".join("abcdefghij"[int(c)] for c in f"{i // 8:03}")] * 12), f"l{i // 8:03}") for i in range(8 * 210)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    two = langid.fit(docs.where("lang in ('aa', 'bb')"))
+    assert langid.identify_texts(two, [r[1] for r in rows[:80]])[0] == [r[2] for r in rows[:80]]
+    assert len(langid.fit(docs, sample_docs=8, rounds=1).langs) == 212
