@@ -6,17 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelespan.llm import bpe, fingerprint, langid, minhash, mixing, pages, quality, secrets, suffixes, urls
+from allelespan.llm import bpe, fingerprint, langid, minhash, mixing, packing, pages, phrases, quality, ranking, secrets, suffixes, urls
 from allelespan.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(key: str, source: str, run: Callable[[DataFrame], DataFrame], sql: str | None = None) -> None:
+def query(key: str, sources: str, run: Callable[..., DataFrame], sql: str | None = None) -> None:
     def call(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
-        return run(table(spark, sf_dir, source))
+        return run(*(table(spark, sf_dir, source) for source in sources.split()))
 
     call.__name__, call.__doc__ = key, run.__doc__
     QUERIES[key] = call
@@ -105,6 +105,40 @@ f AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END
 SELECT doc_id, size, source_size, target,
  CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - place)) AS BIGINT) AS taken FROM f"""
 
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_PHRASES_SQL = rf"""WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array({_LOW}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p), (SELECT unnest(range(1, {phrases.LONGEST + 1})) AS k)
+  WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+t AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT lang, phrase, f AS a, i, array_to_string(w[:i], ' ') AS head, array_to_string(w[i + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM c)),
+scored AS (SELECT cuts.lang, cuts.phrase, a, i, x.f AS l, y.f AS r, (2000000 * a) // (x.f + y.f) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = tail),
+chosen AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inside AS (SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, k - n + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS n FROM c)) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+ CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM chosen JOIN t USING (lang) LEFT JOIN inside USING (lang, phrase) WHERE coalesce(100 * longer < {phrases.COVERED} * a, true)
+QUALIFY rank <= {phrases.TOP}"""
+
+_TERMS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_SEARCH_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS w FROM documents),
+q AS (SELECT DISTINCT i, item_id, unnest({_TERMS}) AS term FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+tf AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) AS wt FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+m AS (SELECT d, doc_id, 100 - 50 + (50 * len(w) * n) // l AS m FROM d, s WHERE len(w) > 0),
+scores AS (SELECT i, item_id, d, doc_id, CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN wt USING (term) JOIN m USING (d) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= {ranking.TOP}"""
+
 query("op1_quality_rules", "documents", quality.judge, _quality_sql())
 query("op2_minhash_near_dedup", "documents", minhash.near_duplicates, _COMPONENTS_SQL)
 query("op3_secret_scans", "documents", secrets.scan)
@@ -115,3 +149,6 @@ query("op7_byte_bpe", "documents", bpe.token_digests)
 query("op8_suffix_array_dedup", "documents", suffixes.removal_digests)
 query("op9_url_filters", "pages", urls.judge_urls)
 query("op10_source_mixing", "documents", mixing.mix, _MIX_SQL)
+query("op11_phrase_collocations", "documents", phrases.collocations, _PHRASES_SQL)
+query("op12_ranked_search", "documents benchmark", ranking.search, _SEARCH_SQL)
+query("op13_best_fit_packing", "documents", packing.pack)
