@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from allelespan.functions import predicates as P
 from allelespan.operators.counts import SITE, n_samples
-from allelespan.operators.ordered import ordinal, running
+from allelespan.operators.ordered import running
 from allelespan.operators.packed import both, pack_haplotypes
 from allelespan.operators.rangejoin import sites_with_regions
 from allelespan.operators.sampling import draw
-from allelespan.session import materialise
+from allelespan.session import discard, materialise
 
 FIRST_WINDOW = 64
 
@@ -114,16 +114,27 @@ def _at_or_after(df: DataFrame, value: Column, name: str) -> DataFrame:
     return out.withColumn(name, -F.greatest("__later", "__val")).drop("__neg", "__val", "__later")
 
 
-def first_conflicts(sites: DataFrame, first_window: int = FIRST_WINDOW) -> DataFrame:
+def first_incompatible(sites: DataFrame) -> DataFrame:
+    """``iv_id, variant_id_i, pos_i, variant_id_j, pos_j``: for every informative site the first later one of
+    its region that is incompatible, however far away; sites without one are left out."""
+    state = first_conflicts(sites, every=True).filter(F.col("conflict").isNotNull())
+    at = informative_only(sites)
+    named = {s: at.select("iv_id", F.col("rank").alias(r), *[F.col(c).alias(f"{c}_{s}") for c in ("variant_id", "pos")]) for s, r in (("i", "rank"), ("j", "conflict"))}
+    out = state.select("iv_id", "rank", "conflict").join(named["i"], ["iv_id", "rank"]).join(named["j"], ["iv_id", "conflict"])
+    return out.select("iv_id", "variant_id_i", "pos_i", "variant_id_j", "pos_j")
+
+
+def first_conflicts(sites: DataFrame, first_window: int = FIRST_WINDOW, every: bool = False) -> DataFrame:
     """``iv_id, rank, pos, conflict, reach``: rank of the first incompatible later site where a block
     may end at it (null if none matters), and ``reach``, the smallest conflict at or after the rank.
+    With ``every``, ``conflict`` is given for all sites that have one.
 
     Runs one job per window size (64, 128, ... ranks) until every site is settled; regions of up to
-    65 informative sites need one round.
+    65 informative sites need one round. Tables of earlier rounds are deleted.
     """
     s = materialise(informative_only(sites), "informative")
     low, high = 0, first_window
-    todo, found = s, None
+    todo, found, state = s, None, None
     longest = s.agg(F.max("rank")).first()[0]
     ends = s.groupBy("iv_id").agg(F.max("rank").alias("final"))
     while True:
@@ -135,15 +146,14 @@ def first_conflicts(sites: DataFrame, first_window: int = FIRST_WINDOW) -> DataF
         )
         known = hits if found is None else found.unionByName(hits)
         ranked = s.select("iv_id", "rank", "pos").join(known, ["iv_id", "rank"], "left")
-        state = materialise(_at_or_after(ranked, F.col("conflict"), "reach"), "conflicts")
+        before, state = state, materialise(_at_or_after(ranked, F.col("conflict"), "reach"), "conflicts")
+        discard(*[x for x in (before, todo) if x is not None and x is not s])
         found = state.filter(F.col("conflict").isNotNull()).select("iv_id", "rank", "conflict")
         if longest is None or longest <= high:
             return state
         # settled: own conflict known, or one nested in the searched window
-        unsettled = state.filter(
-            F.col("conflict").isNull()
-            & (F.col("reach").isNull() | (F.col("reach") > F.col("rank") + high))
-        ).join(ends, "iv_id")
+        nested = F.lit(False) if every else F.coalesce(F.col("reach") <= F.col("rank") + high, F.lit(False))
+        unsettled = state.filter(F.col("conflict").isNull() & ~nested).join(ends, "iv_id")
         more = unsettled.filter(F.col("rank") + high < F.col("final")).select("iv_id", "rank")
         todo = s.join(more, ["iv_id", "rank"], "left_semi")
         todo = materialise(todo, "open")
@@ -217,13 +227,15 @@ def hk_min_intervals(sites: DataFrame, conflicts: DataFrame | None = None) -> Da
     size = taken.count()
     while True:
         reached = taken.join(hop, ["iv_id", "node"]).select("iv_id", F.col("to").alias("node"))
-        taken = materialise(taken.unionByName(reached).distinct(), "hk")
+        last_taken, taken = taken, materialise(taken.unionByName(reached).distinct(), "hk")
+        discard(last_taken)
         grown = taken.count()
         if grown == size:
             break
         size = grown
         second = hop.select("iv_id", F.col("node").alias("to"), F.col("to").alias("to2"))
-        hop = materialise(hop.join(second, ["iv_id", "to"]).select("iv_id", "node", F.col("to2").alias("to")), "hk")
+        last_hop, hop = hop, materialise(hop.join(second, ["iv_id", "to"]).select("iv_id", "node", F.col("to2").alias("to")), "hk")
+        discard(last_hop)
     at = state.select("iv_id", "rank", "pos")
     picked = nodes.join(taken, ["iv_id", "node"], "left_semi")
     first = at.select("iv_id", F.col("rank").alias("node"), F.col("pos").alias("start"))
@@ -289,7 +301,3 @@ def snp_density(v: DataFrame, regions: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n_records"))
         .select("iv_id", "n_records", ((F.col("n_records") - 1) / F.col("size")).alias("density"))
     )
-
-
-def rank_sites(df: DataFrame) -> DataFrame:
-    return ordinal(df, ["chrom"], "pos", ["variant_id"], "rank")

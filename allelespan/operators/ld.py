@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from allelespan.functions.genome import general_format
 from allelespan.operators.counts import SITE
 from allelespan.operators.ordered import ordinal
-from allelespan.operators.packed import both, pack_dosages, pack_haplotypes
+from allelespan.operators.packed import both, pack_dosages
+
+EM_STEPS = 50
 
 
 def _over(x: Column, y: Column) -> Column:
@@ -50,14 +52,20 @@ def ld_pairs(
     in_phase: bool = False,
     maf: bool = False,
     samples: DataFrame | None = None,
+    em_steps: int = EM_STEPS,
 ) -> DataFrame:
     """Genotype correlation of site pairs: ``r`` or ``r2`` over samples called at both.
 
     At least one window is required. ``window_snps = k`` keeps pairs with fewer than ``k - 1`` sites
     between them; ``window_cm`` needs a ``cm`` column on ``v``. ``snps`` (``variant_id``) restricts
-    the first site of a pair. ``d`` adds D, D' and its sign from phased haplotypes, ``in_phase`` the
-    allele pairs that go together (needs ``v``), ``maf`` both minor frequencies. ``samples`` spares a
-    scan of ``g`` for the list of samples.
+    the first site of a pair. ``d`` adds D, D' and its sign, ``in_phase`` the allele pairs that go
+    together (needs ``v``), ``maf`` both minor frequencies. ``samples`` spares a scan of ``g`` for the list
+    of samples.
+
+    D comes from haplotype counts of the samples called at both sites, alternates pooled. Only samples
+    heterozygous at both sites leave them open: where ``g`` says that both calls are ``phased`` the
+    haplotypes are read off, the others are shared out by ``em_steps`` steps of expectation
+    maximisation. Calls without a ``phased`` column are not phased.
     """
     packed = pack_dosages(g, samples)
     if window_snps is not None:
@@ -82,15 +90,6 @@ def ld_pairs(
     for c, span in limits[1:]:
         near = F.abs(F.col(f"{c}_j") - F.col(f"{c}_i")) <= span
         extra = near if extra is None else extra & near
-    if d:
-        haps = pack_haplotypes(g, samples)
-        alt = F.filter("carriers", lambda c: c["allele"] > 0)
-        ref = F.filter("carriers", lambda c: c["allele"] == 0)
-        haps = haps.select(
-            "variant_id", F.try_element_at(alt, F.lit(1))["bits"].alias("h_alt"),
-            F.try_element_at(ref, F.lit(1))["bits"].alias("h_ref"),
-        )
-        packed = packed.join(haps, "variant_id", "left")
     pairs = window_pairs(packed, limits[0][0], limits[0][1], extra=extra)
     if snps is not None:
         pairs = pairs.join(
@@ -123,7 +122,10 @@ def ld_pairs(
         stats = stats.filter(F.col("r") * F.col("r") >= min_r2)
     out.append(stat)
     if d:
-        stats = _with_d(stats)
+        cells = {"hh": hh, "hm": hm, "mh": mh, "mm": mm, "h_": hi, "m_": mi, "_h": hj, "_m": mj}
+        cells["cis"] = k("first", "first") + k("second", "second")
+        cells["trans"] = k("first", "second") + k("second", "first")
+        stats = _with_d(stats.withColumn("__c", F.struct(*[c.alias(x) for x, c in cells.items()])), em_steps)
         out += ["d", "d_prime", "d_prime_signed"]
     if in_phase:
         ai, aj = F.element_at("alts_i", 1), F.element_at("alts_j", 1)
@@ -142,18 +144,37 @@ def ld_pairs(
     return stats.select(*out)
 
 
-def _with_d(pairs: DataFrame) -> DataFrame:
-    empty = F.array().cast("array<bigint>")
-    x = {f"{a}{s}": F.coalesce(F.col(f"h_{a}_{s}"), empty) for a in ("alt", "ref") for s in "ij"}
-    ab, aB = both(x["alti"], x["altj"]), both(x["alti"], x["refj"])
-    Ab, AB = both(x["refi"], x["altj"]), both(x["refi"], x["refj"])
-    p = pairs.withColumn("__ab", ab).withColumn("__a", ab + aB).withColumn("__b", ab + Ab).withColumn(
-        "__n", ab + aB + Ab + AB
-    )
-    pa, pb = _over(F.col("__a"), F.col("__n")), _over(F.col("__b"), F.col("__n"))
-    d = _over(F.col("__ab"), F.col("__n")) - pa * pb
-    p = p.withColumn("__pa", pa).withColumn("__pb", pb).withColumn("d", d)
+def double_het_share(c: dict[str, Column], open_: Column, steps: int) -> Column:
+    """Of ``open_`` double heterozygotes, how many carry both alternates on one haplotype.
+
+    ``c`` counts the known haplotypes by their two alleles (1 for alternate). Each step shares the open
+    ones out by the products of the haplotype counts that the last step gave; the first takes half.
+    """
+
+    def step(x: Column, _: Column) -> Column:
+        together = (c["11"] + x) * (c["00"] + x)
+        apart = (c["10"] + open_ - x) * (c["01"] + open_ - x)
+        return F.coalesce(open_ * together / F.nullif(together + apart, F.lit(0.0)), x)
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), open_ / 2, step)
+    return F.when(open_ > 0, found).otherwise(F.lit(0.0))
+
+
+def _with_d(pairs: DataFrame, steps: int) -> DataFrame:
+    x = {name: F.col(f"__c.{name}") for name in ("hh", "hm", "mh", "mm", "h_", "m_", "_h", "_m", "cis", "trans")}
+    het_ref, ref_het = x["h_"] - x["hh"] - x["hm"], x["_h"] - x["hh"] - x["mh"]
+    hom_ref, ref_hom = x["m_"] - x["mh"] - x["mm"], x["_m"] - x["hm"] - x["mm"]
+    refs = F.col("n") - x["h_"] - x["m_"] - ref_het - ref_hom
+    known = {
+        "11": 2 * x["mm"] + x["hm"] + x["mh"] + x["cis"], "10": 2 * hom_ref + x["mh"] + het_ref + x["trans"],
+        "01": 2 * ref_hom + x["hm"] + ref_het + x["trans"], "00": 2 * refs + het_ref + ref_het + x["cis"],
+    }
+    p = pairs.select("*", *[c.cast("double").alias(f"__{a}") for a, c in known.items()], (x["hh"] - x["cis"] - x["trans"]).cast("double").alias("__open"))
+    both_alt = F.col("__11") + double_het_share({a: F.col(f"__{a}") for a in known}, F.col("__open"), steps)
+    total = 2 * F.col("n")
+    p = p.withColumn("__pa", _over(F.col("sx"), total)).withColumn("__pb", _over(F.col("sy"), total))
     pa, pb, d = F.col("__pa"), F.col("__pb"), F.col("d")
+    p = p.withColumn("d", _over(both_alt, total) - pa * pb)
     top = F.when(d > 0, F.least(pa * (1 - pb), (1 - pa) * pb)).otherwise(
         F.least(pa * pb, (1 - pa) * (1 - pb))
     )

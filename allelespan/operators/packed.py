@@ -50,7 +50,9 @@ def _word(position: Column) -> Column:
 
 
 def pack_dosages(g: DataFrame, samples: DataFrame | None = None) -> DataFrame:
-    """Per site the samples that are ``called``, ``het`` and homozygous alternate (``hom``).
+    """Per site the samples that are ``called``, ``het`` and homozygous alternate (``hom``), and of the
+    heterozygotes those with the alternate on the ``first`` or ``second`` haplotype, as far as ``g`` has
+    ``phased`` and it is true.
 
     A given ``samples`` table spares the scan of the genotypes that would list them.
     """
@@ -59,19 +61,22 @@ def pack_dosages(g: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     x = g.filter(a1.isNotNull() & a2.isNotNull()).join(index, "sample")
     bit, none = _bit(F.col("six")), F.lit(0).cast("long")
     alts = (a1 > 0).cast("int") + (a2 > 0).cast("int")
+    known = F.coalesce(F.col("phased"), F.lit(False)) if "phased" in g.columns else F.lit(False)
+    planes = {
+        "called": F.lit(True), "het": alts == 1, "hom": alts == 2,
+        "first": known & (alts == 1) & (a1 > 0), "second": known & (alts == 1) & (a2 > 0),
+    }
     words = x.groupBy("variant_id", _word(F.col("six")).alias("word")).agg(
         F.first("chrom").alias("chrom"),
         F.first("pos").alias("pos"),
-        F.bit_or(bit).alias("called"),
-        F.bit_or(F.when(alts == 1, bit).otherwise(none)).alias("het"),
-        F.bit_or(F.when(alts == 2, bit).otherwise(none)).alias("hom"),
+        *[F.bit_or(F.when(test, bit).otherwise(none)).alias(name) for name, test in planes.items()],
     )
     packed = words.groupBy("variant_id").agg(
         F.first("chrom").alias("chrom"),
         F.first("pos").alias("pos"),
-        F.array_sort(F.collect_list(F.struct("word", "called", "het", "hom"))).alias("w"),
+        F.array_sort(F.collect_list(F.struct("word", *planes))).alias("w"),
     )
-    return packed.select(*SITE, *[_dense("w", f).alias(f) for f in ("called", "het", "hom")])
+    return packed.select(*SITE, *[_dense("w", f).alias(f) for f in planes])
 
 
 def pack_haplotypes(g: DataFrame, samples: DataFrame | None = None) -> DataFrame:

@@ -72,16 +72,18 @@ def pop_cells(
     m: DataFrame,
     iv: DataFrame | None = None,
     ref: DataFrame | None = None,
-    folded: bool = False,
+    folded: bool | str = False,
     downsample: dict[str, int] | None = None,
     prop: float | None = None,
     seed: int = 0,
     draw_col: Column | None = None,
     max_missing: int = MAX_MISSING,
+    gate: bool = True,
 ) -> DataFrame:
     """One row per gated SNP (and region that holds it): ``c`` copies of the counted allele per
     population in model order, ``pops``, ``ok`` when every population has enough called alleles and
-    ``known`` when the outgroup is usable.
+    ``known`` when the outgroup is usable. Without ``gate`` all SNPs with calls, and ``out`` with what the
+    gate has against them.
 
     The genotypes are aggregated once, by site and population; the site gate and the counts both
     come from those partial rows.
@@ -91,7 +93,10 @@ def pop_cells(
         F.map_from_entries(F.collect_list(F.struct("pop_ix", F.struct("n_ref", "n_alt")))).alias("by_pop"),
         *[F.sum(c).alias(c) for c in ("n_ref", "n_alt", "n_missing", "n_missing_samples", "n_rows")],
     )
-    sites = with_absent_missing(sites, m).filter((F.col("n_missing") <= max_missing) & ~is_invariant(pooled=True))
+    reason = F.when(F.col("n_missing") > max_missing, "missing").when(is_invariant(pooled=True), "invariant")
+    sites = with_absent_missing(sites, m).withColumn("out", reason)
+    if gate:
+        sites = sites.filter(F.col("out").isNull())
     records = v.filter(P.is_snp())
     if prop is not None:
         records = thin(records, prop, seed, draw_col=draw_col)
@@ -99,7 +104,7 @@ def pop_cells(
         records = polarise(records, ref)
     else:
         records = records.withColumn("swap", F.lit(False)).withColumn("known", F.lit(True))
-    rows = records.select(*SITE, "swap", "known").join(sites.select("variant_id", "by_pop"), "variant_id")
+    rows = records.select(*SITE, "swap", "known").join(sites.select("variant_id", "by_pop", "out"), "variant_id")
     if iv is not None:  # a SNP in two overlapping regions counts twice
         rows = sites_with_regions(rows, iv.select("chrom", "start", "end"))
     rows = rows.withColumn("pops", model_pops(m, downsample))
@@ -107,13 +112,20 @@ def pop_cells(
     at = F.transform("pops", lambda p: F.coalesce(F.try_element_at("by_pop", p["pop_ix"]), none))
     rows = rows.withColumn("at", at)
 
+    swap = F.col("swap")
+    if folded == "together":
+        if downsample is not None:
+            raise ValueError("a spectrum folded over all populations together is not projected")
+        surplus = F.aggregate("at", F.lit(0).cast("long"), lambda n, x: n + x["n_alt"] - x["n_ref"])
+        swap = surplus > 0
+
     def counted(x):
-        n = F.least(x["n_ref"], x["n_alt"]) if folded else F.when(F.col("swap"), x["n_ref"]).otherwise(x["n_alt"])
+        n = F.least(x["n_ref"], x["n_alt"]) if folded is True else F.when(swap, x["n_ref"]).otherwise(x["n_alt"])
         return n.cast("int")
 
     enough = F.zip_with("at", "pops", lambda x, p: x["n_ref"] + x["n_alt"] >= p["need"])
     return rows.select(
-        *SITE, "pops", "known", F.transform("at", counted).alias("c"), F.forall(enough, lambda x: x).alias("ok")
+        *SITE, "pops", "known", F.transform("at", counted).alias("c"), F.forall(enough, lambda x: x).alias("ok"), "out"
     )
 
 
@@ -135,7 +147,7 @@ def sfs(
     m: DataFrame,
     iv: DataFrame | None = None,
     ref: DataFrame | None = None,
-    folded: bool = False,
+    folded: bool | str = False,
     downsample: dict[str, int] | None = None,
     prop: float | None = None,
     seed: int = 0,
@@ -145,7 +157,8 @@ def sfs(
 ) -> DataFrame:
     """Joint spectrum over the model's populations.
 
-    ``folded`` counts the minor allele of each population on its own. ``downsample`` maps each
+    ``folded`` counts the minor allele of each population on its own, or, if ``"together"``, in every
+    population the allele that is rarer in all of them. ``downsample`` maps each
     population to a smaller number of chromosomes and projects hypergeometrically: sites with equal
     counts project alike and are added up first, then the outer product over populations is a chain
     of explodes of per-population weights.
@@ -176,11 +189,14 @@ def sfs(
 
 
 def rejections(v, g, m, iv=None, ref=None, folded=False, downsample=None, max_missing=MAX_MISSING) -> DataFrame:
-    """How many gated SNPs were dropped for too few alleles or an unusable outgroup."""
-    return pop_cells(v, g, m, iv, ref, folded, downsample, max_missing=max_missing).agg(
-        F.count("*").alias("n_sites"),
-        copies(~F.col("ok")).alias("too_few"),
-        copies(F.col("ok") & ~F.col("known")).alias("bad_outgroup"),
+    """Why SNPs are not in the spectrum: more than ``max_missing`` alleles ``missing``, ``invariant``, and of
+    the ``n_sites`` others those with too few alleles or an unusable outgroup."""
+    gated = F.col("out").isNull()
+    return pop_cells(v, g, m, iv, ref, folded, downsample, max_missing=max_missing, gate=False).agg(
+        copies(gated).alias("n_sites"),
+        copies(gated & ~F.col("ok")).alias("too_few"),
+        copies(gated & F.col("ok") & ~F.col("known")).alias("bad_outgroup"),
+        *[copies(F.col("out") == x).alias(x) for x in ("missing", "invariant")],
     )
 
 

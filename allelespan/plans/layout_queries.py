@@ -296,24 +296,39 @@ def _(t):
     return K.eigenstrat_ind_lines(K.cohort(t.g), t.m2)
 
 
-_GRID = {
-    "c2": "SELECT variant_id, MAX(CASE pop WHEN 'A' THEN a END) AS a, MAX(CASE pop WHEN 'B' THEN a END) AS b FROM cells GROUP BY variant_id HAVING BOOL_AND(r + a >= size)",
-}
-
-
 def _grid_views():
     from allelespan.plans.statistic_queries import _cells
 
-    return {**_cells("m2"), **_GRID}
+    return {
+        **_cells("m3", calls="complete"),
+        "c3": "SELECT variant_id, MAX(CASE pop WHEN 'A' THEN a END) AS a, MAX(CASE pop WHEN 'B' THEN a END) AS b, MAX(CASE pop WHEN 'C' THEN a END) AS c FROM cells GROUP BY variant_id HAVING BOOL_AND(r + a >= size)",
+    }
+
+
+_DIMS = [15, 15, 13]  # copies of 7, 7 and 6 diploid samples
 
 
 @query(
     "K13_sfs_matrix",
-    "SELECT CAST(i AS BIGINT) AS row, string_agg(CAST((SELECT COUNT(*) FROM c2 WHERE a = i AND b = j) AS STRING), chr(9) ORDER BY j) AS line FROM (SELECT unnest(range(0, 5)) AS i) JOIN (SELECT unnest(range(0, 5)) AS j) ON TRUE GROUP BY i",
+    "SELECT CAST(i AS BIGINT) AS row, string_agg(CAST(COALESCE(n, 0) AS STRING), chr(9) ORDER BY j) AS line FROM (SELECT unnest(range(0, 15)) AS i) JOIN (SELECT unnest(range(0, 15)) AS j) ON TRUE LEFT JOIN (SELECT a AS i, b AS j, COUNT(*) AS n FROM c3 GROUP BY a, b) USING (i, j) GROUP BY i",
+    _grid_views(),
+)
+def _(t):
+    two = SFS.sfs_marginal(SFS.sfs(t.v, t.complete, t.m), [0, 1])
+    return K.sfs_lines(SFS.dense(two, _DIMS[:2]), _DIMS[:2])
+
+
+@query(
+    "K13_sfs_flat",
+    """SELECT CAST(cell AS BIGINT) AS cell, COALESCE(n, 0) AS n FROM (SELECT unnest(range(0, 2925)) AS cell)
+       LEFT JOIN (SELECT (a*15 + b)*13 + c AS cell, COUNT(*) AS n FROM c3 GROUP BY ALL) USING (cell)""",
     _grid_views(),
 )
 def _(t):
-    return K.sfs_lines(SFS.dense(SFS.sfs(t.v, t.g, t.m2), [5, 5]), [5, 5])
+    """The cells of the flat layout, read back by their places."""
+    lines = K.sfs_lines(SFS.dense(SFS.sfs(t.v, t.complete, t.m), _DIMS), _DIMS)
+    cells = lines.select("row", F.posexplode(F.split("line", "\t")).alias("k", "n"))
+    return cells.select((F.col("row") * K.FLAT_CELLS + F.col("k")).alias("cell"), F.col("n").cast("long").alias("n"))
 
 
 @query("K14_region_lines", "SELECT iv_id, concat(sample, ':', hap, chr(9), seq) AS line FROM seqs", _SEQ)

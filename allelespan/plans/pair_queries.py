@@ -79,9 +79,50 @@ _HAPLO = {
     _HAPLO,
 )
 def _(t):
+    return _d_prime(t, F.lit(True))
+
+
+def _d_prime(t, phased):
+    g = t.g.withColumn("phased", phased)
+    return LD.ld_pairs(g, samples=t.samples, window_kb=0.5, d=True).select(*_IJ, "d", "d_prime", "d_prime_signed")
+
+
+def _em_views(phased):
+    """Haplotype counts of unphased calls; double heterozygotes that are not ``phased`` are shared out step by step."""
+    known = f"({phased})"
+    return {
+        **_KB,
+        "cells": f"""SELECT vi, vj, COUNT(*) AS n, SUM(gx) AS sx, SUM(gy) AS sy, SUM(CASE WHEN dh THEN CASE WHEN {known} AND c THEN 1 ELSE 0 END WHEN gx = 2 THEN gy WHEN gy = 2 THEN gx ELSE 0 END) AS h11,
+             SUM(CASE WHEN dh THEN CASE WHEN {known} AND NOT c THEN 1 ELSE 0 END WHEN gx = 2 THEN 2 - gy WHEN gy = 0 THEN gx ELSE 0 END) AS h10,
+             SUM(CASE WHEN dh THEN CASE WHEN {known} AND NOT c THEN 1 ELSE 0 END WHEN gy = 2 THEN 2 - gx WHEN gx = 0 THEN gy ELSE 0 END) AS h01,
+             SUM(CASE WHEN dh THEN CASE WHEN {known} AND c THEN 1 ELSE 0 END WHEN gx = 0 THEN 2 - gy WHEN gy = 0 THEN 2 - gx ELSE 0 END) AS h00,
+             SUM(CASE WHEN dh AND NOT {known} THEN 1 ELSE 0 END) AS dh
+           FROM (SELECT vi, vj, x.sample, x.a1 + x.a2 AS gx, y.a1 + y.a2 AS gy, x.a1 + x.a2 = 1 AND y.a1 + y.a2 = 1 AS dh, x.a1 = y.a1 AS c
+             FROM near JOIN genotypes x ON x.variant_id = vi JOIN genotypes y ON y.variant_id = vj AND y.sample = x.sample WHERE x.a1 IS NOT NULL AND y.a1 IS NOT NULL)
+           GROUP BY vi, vj""",
+        "freqs": f"""SELECT vi, vj, sx/(2e0*n) AS pa, sy/(2e0*n) AS pb, (h11 + x)/(2e0*n) AS pab FROM (
+             WITH RECURSIVE em AS (SELECT *, 0 AS k, dh/2e0 AS x FROM cells UNION ALL
+               SELECT * REPLACE (k + 1 AS k, COALESCE(dh*(h11 + x)*(h00 + x)/NULLIF((h11 + x)*(h00 + x) + (h10 + dh - x)*(h01 + dh - x), 0), x) AS x) FROM em WHERE k < {LD.EM_STEPS})
+             SELECT * FROM em WHERE k = {LD.EM_STEPS})""",
+        "dd": "SELECT vi, vj, pab - pa*pb AS d, CASE WHEN pab - pa*pb > 0 THEN LEAST(pa*(1-pb), (1-pa)*pb) ELSE LEAST(pa*pb, (1-pa)*(1-pb)) END AS top FROM freqs",
+    }
+
+
+_D_PRIME = "SELECT vi AS variant_id_i, vj AS variant_id_j, ROUND(d, 6) + 0e0 AS d, ROUND(ABS(d/NULLIF(top, 0)), 6) AS d_prime, ROUND(d/NULLIF(top, 0), 6) + 0e0 AS d_prime_signed FROM near LEFT JOIN dd USING (vi, vj)"
+
+
+@query("L04_d_prime_unphased", _D_PRIME, _em_views("FALSE"))
+def _(t):
+    """Calls without phase: haplotypes of double heterozygotes by expectation maximisation."""
     return LD.ld_pairs(t.g, samples=t.samples, window_kb=0.5, d=True).select(*_IJ, "d", "d_prime", "d_prime_signed")
 
 
+@query("L04_d_prime_partly_phased", _D_PRIME, _em_views("CAST(substr(sample, 2) AS INT) % 2 = 0"))
+def _(t):
+    """Every second sample is phased."""
+    return _d_prime(t, F.substring("sample", 2, 9).cast("int") % 2 == 0)
+
+
 @query(
     "L05_ld_phase_and_maf",
     """SELECT vi AS variant_id_i, vj AS variant_id_j, CASE WHEN r > 0 THEN concat(x.ref, y.ref, '/', x.alt, y.alt) WHEN r < 0 THEN concat(x.ref, y.alt, '/', x.alt, y.ref) END AS phase,
@@ -201,9 +242,14 @@ def _(t):
     return B.polymorphic_sites(t.v, t.g, t.loci, t.samples, only_two=True).select("iv_id", "variant_id")
 
 
-@query("L08_four_gamete_test", "SELECT c.iv_id, x.variant_id AS variant_id_i, y.variant_id AS variant_id_j FROM clash c JOIN inf x ON x.iv_id = c.iv_id AND x.rk = i JOIN inf y ON y.iv_id = c.iv_id AND y.rk = j WHERE j - i <= 12", _POLY)
+@query(
+    "L08_four_gamete_test",
+    "SELECT f.iv_id, x.variant_id AS variant_id_i, y.variant_id AS variant_id_j FROM f JOIN inf x ON x.iv_id = f.iv_id AND x.rk = f.rk JOIN inf y ON y.iv_id = f.iv_id AND y.rk = f.conflict",
+    _POLY,
+)
 def _(t):
-    return B.four_gamete_test(poly(t), 12).select("iv_id", *_IJ)
+    """The first later site of the region that is incompatible, for every site that has one."""
+    return B.first_incompatible(poly(t)).select("iv_id", *_IJ)
 
 
 @query("L09_compatible_intervals", f"SELECT {_OUT} FROM wide", _BLOCKS)

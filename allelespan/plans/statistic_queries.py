@@ -387,19 +387,19 @@ def spectrum(df):
     return df.select(F.array_join(F.transform("counts", lambda c: c.cast("string")), ",").alias("counts"), "n")
 
 
-def _gate(model, limit=10):
+def _gate(model, limit=10, calls="genotypes"):
     """Sites that pass the gate, from the model's calls alone."""
     return f"""SELECT variant_id FROM variants JOIN (
-        SELECT variant_id, 2*COUNT(a1) AS nc, SUM(a1+a2) AS na FROM genotypes WHERE sample IN (SELECT sample FROM {model}) GROUP BY variant_id) USING (variant_id)
+        SELECT variant_id, 2*COUNT(a1) AS nc, SUM(a1+a2) AS na FROM {calls} WHERE sample IN (SELECT sample FROM {model}) GROUP BY variant_id) USING (variant_id)
       WHERE length(ref) = 1 AND 2*(SELECT COUNT(*) FROM {model}) - nc <= {limit}
         AND ((nc - COALESCE(na, 0) > 0)::INT + (COALESCE(na, 0) > 0)::INT + (2*(SELECT COUNT(*) FROM {model}) > nc)::INT) <> 1"""
 
 
-def _cells(model):
+def _cells(model, limit=10, calls="genotypes"):
     return {
-        "gated": _gate(model),
+        "gated": _gate(model, limit, calls),
         "sized": f"SELECT pop, pop_ix, 2*COUNT(*) AS size FROM {model} GROUP BY pop, pop_ix",
-        "popc": f"SELECT variant_id, m.pop, 2*COUNT(a1) - COALESCE(SUM(a1+a2), 0) AS r, COALESCE(SUM(a1+a2), 0) AS a FROM genotypes JOIN {model} m USING (sample) GROUP BY variant_id, m.pop",
+        "popc": f"SELECT variant_id, m.pop, 2*COUNT(a1) - COALESCE(SUM(a1+a2), 0) AS r, COALESCE(SUM(a1+a2), 0) AS a FROM {calls} JOIN {model} m USING (sample) GROUP BY variant_id, m.pop",
         "cells": "SELECT g.variant_id, s.pop, s.pop_ix, s.size, CAST(COALESCE(r, 0) AS BIGINT) AS r, CAST(COALESCE(a, 0) AS BIGINT) AS a FROM gated g JOIN sized s ON TRUE LEFT JOIN popc p ON p.variant_id = g.variant_id AND p.pop = s.pop",
     }
 
@@ -408,26 +408,39 @@ def _joint(count, source="cells", key="variant_id"):
     return f"SELECT counts, CAST(COUNT(*) AS DOUBLE) AS n FROM (SELECT {key}, string_agg(CAST({count} AS STRING), ',' ORDER BY pop_ix) AS counts, BOOL_AND(r + a >= size) AS ok FROM {source} GROUP BY {key}) WHERE ok GROUP BY counts"
 
 
-@query("Q01_sfs_unfolded", _joint("a"), _cells("m2"))
+_WHOLE = _cells("m3", calls="complete")
+
+
+@query("Q01_sfs_unfolded", _joint("a"), _WHOLE)
 def _(t):
-    return spectrum(S.sfs(t.v, t.g, t.m2))
+    return spectrum(S.sfs(t.v, t.complete, t.m))
 
 
-_POLAR = {
-    **_cells("m2"),
+_OUT = {
     "polar": f"""SELECT c.*, COALESCE(substr(o.seq, v.pos - o.chunk_start, 1) = v.alt, FALSE) AS swap, COALESCE(substr(o.seq, v.pos - o.chunk_start, 1) = v.ref OR contains(v.alts, substr(o.seq, v.pos - o.chunk_start, 1)), FALSE) AS known
        FROM cells c JOIN variants v USING (variant_id) LEFT JOIN outgroup o ON o.chrom = v.chrom AND o.chunk_start = CAST(FLOOR((v.pos - 1)/100) AS BIGINT)*100""",
 }
 
 
-@query("Q01_sfs_polarised", _joint("(CASE WHEN swap THEN r ELSE a END)", "(SELECT * FROM polar WHERE known)"), _POLAR)
+@query("Q01_sfs_polarised", _joint("(CASE WHEN swap THEN r ELSE a END)", "(SELECT * FROM polar WHERE known)"), {**_WHOLE, **_OUT})
 def _(t):
-    return spectrum(S.sfs(t.v, t.g, t.m2, ref=t.outgroup))
+    return spectrum(S.sfs(t.v, t.complete, t.m, ref=t.outgroup))
+
+
+@query("Q02_sfs_folded", _joint("LEAST(r, a)"), _WHOLE)
+def _(t):
+    return spectrum(S.sfs(t.v, t.complete, t.m, folded=True))
+
+
+_POOLED = """SELECT counts, CAST(COUNT(*) AS DOUBLE) AS n FROM (
+     SELECT variant_id, string_agg(CAST(CASE WHEN 2*ta > total THEN r ELSE a END AS STRING), ',' ORDER BY pop_ix) AS counts, BOOL_AND(r + a >= size) AS ok
+     FROM (SELECT *, SUM(a) OVER (PARTITION BY variant_id) AS ta, SUM(size) OVER (PARTITION BY variant_id) AS total FROM cells) GROUP BY variant_id) WHERE ok GROUP BY counts"""
 
 
-@query("Q02_sfs_folded", _joint("LEAST(r, a)"), _cells("m2"))
+@query("Q02_sfs_folded_together", _POOLED, _WHOLE)
 def _(t):
-    return spectrum(S.sfs(t.v, t.g, t.m2, folded=True))
+    """The allele that is rarer in all populations together is counted in each."""
+    return spectrum(S.sfs(t.v, t.complete, t.m, folded="together"))
 
 
 def _weights(m, folded):
@@ -497,19 +510,19 @@ def _(t):
 _THIN = "((variant_id * 7919 + 5) % 100003)"
 
 
-@query("Q06_sfs_thinned", _joint("a", f"(SELECT * FROM cells WHERE {_THIN} < 5e-1 * 100003)"), _cells("m2"))
+@query("Q06_sfs_thinned", _joint("a", f"(SELECT * FROM cells WHERE {_THIN} < 5e-1 * 100003)"), _WHOLE)
 def _(t):
     u = ((F.col("variant_id") * 7919 + 5) % 100003) / F.lit(100003.0)
-    return spectrum(S.sfs(t.v, t.g, t.m2, prop=0.5, draw_col=u))
+    return spectrum(S.sfs(t.v, t.complete, t.m, prop=0.5, draw_col=u))
 
 
 @query(
     "Q07_sfs_in_regions",
     _joint("a", "(SELECT c.*, b.iv_id FROM cells c JOIN variants v USING (variant_id) JOIN iv_b b ON b.chrom = v.chrom AND b.start <= v.pos - 1 AND v.pos - 1 < b.end_)", "variant_id, iv_id"),
-    _cells("m2"),
+    _WHOLE,
 )
 def _(t):
-    return spectrum(S.sfs(t.v, t.g, t.m2, iv=t.iv_b))
+    return spectrum(S.sfs(t.v, t.complete, t.m, iv=t.iv_b))
 
 
 @query("Q08_site_gate", "SELECT variant_id FROM gated", {"gated": _gate("m3")})
@@ -519,12 +532,16 @@ def _(t):
 
 @query(
     "Q09_rejections",
-    """SELECT COUNT(*) AS n_sites, COUNT(CASE WHEN NOT ok THEN 1 END) AS too_few, COUNT(CASE WHEN ok AND NOT known THEN 1 END) AS bad_outgroup FROM (
-         SELECT variant_id, BOOL_AND(r + a >= size) AS ok, BOOL_AND(known) AS known FROM polar GROUP BY variant_id)""",
-    _POLAR,
+    """SELECT n_sites, too_few, bad_outgroup, missing, invariant FROM (
+         SELECT COUNT(*) AS n_sites, COUNT(CASE WHEN NOT ok THEN 1 END) AS too_few, COUNT(CASE WHEN ok AND NOT known THEN 1 END) AS bad_outgroup FROM (
+           SELECT variant_id, BOOL_AND(r + a >= need) AS ok, BOOL_AND(known) AS known FROM (SELECT *, 8 AS need FROM polar) GROUP BY variant_id)),
+       (SELECT COUNT(CASE WHEN 2*(SELECT COUNT(*) FROM m3) - nc > 14 THEN 1 END) AS missing,
+          COUNT(CASE WHEN 2*(SELECT COUNT(*) FROM m3) - nc <= 14 AND ((nc - COALESCE(na, 0) > 0)::INT + (COALESCE(na, 0) > 0)::INT + (2*(SELECT COUNT(*) FROM m3) > nc)::INT) = 1 THEN 1 END) AS invariant
+        FROM snp_sites JOIN (SELECT variant_id, 2*COUNT(a1) AS nc, SUM(a1+a2) AS na FROM genotypes WHERE sample IN (SELECT sample FROM m3) GROUP BY variant_id) USING (variant_id))""",
+    {**_cells("m3", 14), **_OUT, "snp_sites": "SELECT variant_id FROM variants WHERE length(ref) = 1"},
 )
 def _(t):
-    return S.rejections(t.v, t.g, t.m2, ref=t.outgroup)
+    return S.rejections(t.v, t.g, t.m, ref=t.outgroup, downsample={p: 8 for p in "ABC"}, max_missing=14)
 
 
 @query(

@@ -78,6 +78,15 @@ class Tables:
             allele(53, 29, 17).alias("a2"),
         )
 
+    @cached_property
+    def complete(self) -> DataFrame:
+        """A call of every sample at every variant, missing ones taken as the reference."""
+        names = self.samples.agg(F.array_sort(F.collect_set("sample"))).scalar()
+        grid = self.v.select("variant_id", "chrom", "pos", names.alias("names"))
+        grid = grid.select("variant_id", "chrom", "pos", F.explode("names").alias("sample"))
+        calls = grid.join(self.g.select("variant_id", "sample", "a1", "a2"), ["variant_id", "sample"], "left")
+        return calls.select("variant_id", "chrom", "pos", "sample", *[F.coalesce(a, F.lit(0)).alias(a) for a in ("a1", "a2")])
+
     @cached_property
     def snps(self) -> DataFrame:
         from allelespan.functions import predicates as P
@@ -198,6 +207,9 @@ VIEWS = {
       SELECT 'five' AS model, '((((P,Q),R),S),T)' AS tree, substr('PQRST', CAST(ix % 5 + 1 AS INT), 1) AS pop,
        ix % 5 AS pop_ix, concat('S', CAST(ix AS STRING)) AS sample, CAST(FLOOR(ix / 5) AS BIGINT) AS sample_ix
       FROM sample_ixs""",
+    "complete": """
+      SELECT v.variant_id, v.chrom, v.pos, s.sample, COALESCE(a1, 0) AS a1, COALESCE(a2, 0) AS a2 FROM variants v JOIN m3 s ON TRUE
+      LEFT JOIN (SELECT variant_id, sample, a1, a2 FROM genotypes) g ON g.variant_id = v.variant_id AND g.sample = s.sample""",
     "iv_a": """
       SELECT o_orderkey AS iv_id, concat('chr', CAST(o_orderkey % 5 + 1 AS STRING)) AS chrom, o_custkey*25 AS start,
        o_custkey*25 + 1 + CAST(FLOOR(o_totalprice) AS BIGINT) % 200 AS end_ FROM orders""",

@@ -40,12 +40,35 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _file(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path that nothing uses yet, in a folder of this application that goes when its driver ends."""
+    context = spark.sparkContext
+    folder = f"{shared_dir(spark)}/allelespan-{context.applicationId}"
+    if getattr(context, "_allelespan_folder", None) != folder:
+        files, target = _file(spark, folder)
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+        context._allelespan_folder = folder
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._allelespan_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of ``materialise`` results that nothing reads any more; other frames have none."""
+    for df in frames:
+        if path := getattr(df, "_allelespan_path", None):
+            files, target = _file(df.sparkSession, path)
+            files.delete(target, True)

@@ -288,18 +288,28 @@ def write_eigenstrat(v: DataFrame, g: DataFrame, prefix: str, m: DataFrame | Non
 # ---- spectra ----------------------------------------------------------------------------------------
 
 
+FLAT_CELLS = 1 << 12
+
+
 def sfs_lines(dense: DataFrame, dims: list[int]) -> DataFrame:
-    """One line per row of the first axis for up to two populations, one flat line beyond.
+    """``row, line``: a line per row of the first axis for up to two populations.
 
-    The flat line is one row by definition of the layout: prod(dims) numbers.
+    Beyond, the layout is one flat line of prod(dims) numbers; it comes in parts of ``FLAT_CELLS``,
+    which ``write_sfs`` sets one behind the other.
     """
     text = F.format_string("%.0f", "n")
-    per_row = dims[1] if len(dims) == 2 else 1 if len(dims) == 1 else 0
-    row = F.floor(F.col("cell") / per_row).cast("long") if per_row else F.lit(0).cast("long")
+    per_row = dims[1] if len(dims) == 2 else 1 if len(dims) == 1 else FLAT_CELLS
     cells = F.array_sort(F.collect_list(F.struct("cell", text.alias("t"))))
+    row = F.floor(F.col("cell") / per_row).cast("long")
     return dense.groupBy(row.alias("row")).agg(F.array_join(F.transform(cells, lambda c: c["t"]), "\t").alias("line"))
 
 
+def write_sfs(dense: DataFrame, dims: list[int], path: str, mode="error") -> None:
+    """The lines of a spectrum in order; the part files of a flat one together are its line."""
+    out = sfs_lines(dense, dims).orderBy("row").select("line").write.mode(mode)
+    out.option("lineSep", "\t" if len(dims) > 2 else "\n").text(path)
+
+
 # ---- locus files --------------------------------------------------------------------------------------
 
 
