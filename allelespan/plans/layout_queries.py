@@ -156,6 +156,99 @@ def _(t):
     return K.vcf_lines(t.v, t.g).select("chrom", "pos", "line")
 
 
+def _rich_callset(t):
+    """Every column of a VCF in use, each ninth line twice, and haploid calls on chr5."""
+    size, key = F.col("p_size"), F.col("variant_id")
+    v = t.v.drop("cm").join(t.raw("part").select(F.col("p_partkey").alias("variant_id"), "p_size"), "variant_id")
+    info = F.map_from_arrays(F.array(F.lit("AC"), F.lit("DB")), F.array(size.cast("string"), F.lit(None).cast("string")))
+    v = v.select(
+        *[c for c in t.v.columns if c != "cm"], F.when(size % 7 != 0, size / 4).alias("qual"), F.when(size % 5 != 0, info).alias("info"),
+        F.split(F.when(size % 2 == 0, "GT:DP").otherwise("GT:DP:GQ"), ":").alias("format"),
+    )
+    ix = F.substring("sample", 2, 9).cast("int")
+    single = (F.col("chrom") == "chr5") & (ix % 4 == 1)
+    depth = F.create_map(F.lit("DP"), ((key * 7 + ix) % 50).cast("string"))
+    both = F.map_concat(depth, F.create_map(F.lit("GQ"), ix.cast("string")))
+    long_form = t.v.join(t.raw("part").select(F.col("p_partkey").alias("variant_id"), "p_size"), "variant_id").select("variant_id", (size % 2 == 1).alias("long"))
+    g = t.g.join(long_form, "variant_id").select(
+        "variant_id", "chrom", "pos", "sample", "a1", F.when(~single, F.col("a2")).alias("a2"), (~single & (ix % 2 == 0)).alias("phased"),
+        F.when(single, 1).otherwise(2).alias("ploidy"), F.when(F.col("long") & (ix % 3 != 0), both).otherwise(depth).alias("fields"),
+    )
+
+    def twice(df):
+        return df.unionByName(df.filter(key % 9 == 0).withColumn("variant_id", -key - 1))
+
+    return twice(v), twice(g)
+
+
+_META = ["##fileformat=VCFv4.2", "##source=made", '##INFO=<ID=AC,Number=1,Type=Integer,Description="count">', "##contig=<ID=chr1>", '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">']
+_RICH = {
+    "lines": "SELECT variant_id AS line, * FROM variants UNION ALL SELECT -variant_id - 1, * FROM variants WHERE variant_id % 9 = 0",
+    "rich": """SELECT line, chrom, pos, id, ref, alts, CASE WHEN p_size % 7 <> 0 THEN p_size/4e0 END AS qual, filter, CASE WHEN p_size % 5 <> 0 THEN concat('AC=', p_size, ';DB') END AS info,
+         CASE WHEN p_size % 2 = 0 THEN 'GT:DP' ELSE 'GT:DP:GQ' END AS keys, s.sample, a1, CASE WHEN g.sample IS NULL OR NOT (chrom = 'chr5' AND ix % 4 = 1) THEN a2 END AS a2,
+         g.sample IS NOT NULL AND ix % 2 = 0 AND NOT (chrom = 'chr5' AND ix % 4 = 1) AS phased, CASE WHEN g.sample IS NOT NULL AND chrom = 'chr5' AND ix % 4 = 1 THEN 1 ELSE 2 END AS ploidy,
+         CASE WHEN g.sample IS NOT NULL THEN CAST((l.variant_id*7 + ix) % 50 AS STRING) END AS dp, CASE WHEN g.sample IS NOT NULL AND p_size % 2 = 1 AND ix % 3 <> 0 THEN CAST(ix AS STRING) END AS gq
+       FROM lines l JOIN (SELECT sample, CAST(substr(sample, 2) AS INT) AS ix FROM (SELECT DISTINCT sample FROM genotypes)) s ON TRUE
+       LEFT JOIN (SELECT variant_id, sample, a1, a2 FROM genotypes) g ON g.variant_id = l.variant_id AND g.sample = s.sample""",
+}
+
+
+@query(
+    "K01_round_trip",
+    "SELECT chrom, pos, id, ref, alts, ROUND(qual, 6) AS qual, filter, info, keys, sample, CAST(a1 AS BIGINT) AS a1, CAST(a2 AS BIGINT) AS a2, phased, CAST(ploidy AS BIGINT) AS ploidy, dp, gq, COUNT(*) AS n FROM rich GROUP BY ALL",
+    _RICH,
+)
+def _(t):
+    """Written, read, written from that and read again: every field of every call, and how often."""
+    v, g = _rich_callset(t)
+    header = t.spark.createDataFrame(list(enumerate(_META)), "ord int, line string")
+    for _ in range(2):
+        path = new_path(t.spark, "vcf")
+        K.write_vcf(v, g, path, header=header)
+        v, g = SV.read_vcf(t.spark, path)
+        header = SV.read_vcf_header(t.spark, path)
+    entries = F.transform(F.map_entries("info"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    record = v.select("variant_id", "id", "ref", F.array_join("alts", ",").alias("alts"), "qual", "filter", F.array_join(entries, ";").alias("info"), F.array_join("format", ":").alias("keys"))
+    values = [F.try_element_at("fields", F.lit(k)).alias(k.lower()) for k in ("DP", "GQ")]
+    calls = g.select("variant_id", "chrom", "pos", "sample", "a1", "a2", "phased", "ploidy", *values).join(record, "variant_id")
+    return calls.groupBy(*[c for c in calls.columns if c != "variant_id"]).agg(F.count("*").alias("n"))
+
+
+@query("K01_header_lines", f"SELECT CAST(i AS BIGINT) AS ord, l AS line FROM (SELECT unnest(range(0, {len(_META)})) AS i, unnest({_META!r}) AS l FROM (SELECT COUNT(*) FROM variants))")
+def _(t):
+    header = t.spark.createDataFrame(list(enumerate(_META)), "ord int, line string")
+    path = new_path(t.spark, "vcf")
+    K.write_vcf(t.v, t.g, path, header=header)
+    return SV.read_vcf_header(t.spark, path)
+
+
+@query(
+    "S01_repeated_records",
+    "SELECT chrom, pos, CAST(COUNT(a1) + COUNT(a2) AS BIGINT) AS n_called, CAST(SUM(CASE WHEN a1 IS NULL THEN 1 ELSE 0 END + CASE WHEN a2 IS NULL AND ploidy = 2 THEN 1 ELSE 0 END) AS BIGINT) AS n_missing FROM rich GROUP BY line, chrom, pos",
+    _RICH,
+)
+def _(t):
+    """Lines that repeat are sites of their own."""
+    from allelespan.operators.counts import site_counts
+
+    path = new_path(t.spark, "vcf")
+    K.write_vcf(*_rich_callset(t), path)
+    _, g = SV.read_vcf(t.spark, path)
+    return site_counts(g).select("chrom", "pos", "n_called", "n_missing")
+
+
+@query(
+    "S01_haploid_calls",
+    "SELECT sample, CAST(ploidy AS BIGINT) AS ploidy, CAST(a1 AS BIGINT) AS a1, COUNT(*) AS n FROM rich WHERE chrom = 'chr5' GROUP BY ALL",
+    _RICH,
+)
+def _(t):
+    path = new_path(t.spark, "vcf")
+    K.write_vcf(*_rich_callset(t), path)
+    _, g = SV.read_vcf(t.spark, path)
+    return g.filter("chrom = 'chr5'").groupBy("sample", "ploidy", "a1").agg(F.count("*").alias("n"))
+
+
 @query("K02_bed_lines", 'SELECT chrom, start, end_ AS "end", concat_ws(chr(9), substr(chrom, 4), start + 1, end_) AS line FROM iv_b')
 def _(t):
     return K.bed_lines(t.iv_b, "one_based", remove_prefix=True)
@@ -373,6 +466,14 @@ def _(t):
     return g.select(*_CALL)
 
 
+@query("S02_read_vcf_model", f"SELECT * FROM ({_ALLCALLS}) WHERE sample IN (SELECT sample FROM m2)")
+def _(t):
+    """The individuals of a model, one of whom the file lacks."""
+    extra = M.model_create(t.spark, "pair", {"A": ["nobody"]}, "(A,B)")
+    _, g = SV.read_vcf(t.spark, vcf_path(t), model=t.m2.unionByName(extra))
+    return g.select(*_CALL)
+
+
 @query("S03_match_samples", "SELECT pop, sample FROM m3 WHERE sample IN (SELECT sample FROM genotypes)")
 def _(t):
     extra = M.model_create(t.spark, "three", {"A": ["nobody"]}, "((A,B),C)")

@@ -62,9 +62,10 @@ def _per_site(g: DataFrame, text: Column, filler: str, sep: str, samples: DataFr
 
 
 def vcf_lines(v: DataFrame, g: DataFrame, samples: DataFrame | None = None) -> DataFrame:
-    """``chrom, pos, variant_id, line`` record lines with GT fields; absent calls are ``./.``.
+    """``chrom, pos, variant_id, line`` record lines; absent calls are ``./.``.
 
-    QUAL and INFO are written where ``v`` has ``qual`` and ``info``; six decimals of QUAL are kept.
+    QUAL and INFO are written where ``v`` has ``qual`` and ``info``; six decimals of QUAL are kept. Calls
+    have the keys of ``v``'s ``format`` with the values of ``g``'s ``fields`` as far as both have them, or GT.
     """
     bar = F.when(F.col("phased"), F.lit("|")).otherwise(F.lit("/")) if "phased" in g.columns else F.lit("/")
 
@@ -74,6 +75,10 @@ def vcf_lines(v: DataFrame, g: DataFrame, samples: DataFrame | None = None) -> D
     call = F.concat(letter("a1"), bar, letter("a2"))
     if "ploidy" in g.columns:
         call = F.when(F.col("ploidy") == 1, letter("a1")).otherwise(call)
+    keys = F.lit("GT")
+    if "format" in v.columns and "fields" in g.columns:
+        call, keys = _call_values(call), F.coalesce(F.array_join("format", ":"), F.lit("GT"))
+        g = g.join(v.select("variant_id", "format"), "variant_id")
     fields = _per_site(g, call, "./.", "\t", samples)
     n = (cohort(g) if samples is None else samples).agg(F.count("*").cast("int")).scalar()
     empty = F.substring(F.repeat(F.lit("\t./."), F.col("__n")), 2, 1 << 30)
@@ -94,26 +99,39 @@ def vcf_lines(v: DataFrame, g: DataFrame, samples: DataFrame | None = None) -> D
         qual,
         F.coalesce("filter", F.lit(".")),
         info,
-        F.lit("GT"),
-        F.coalesce("fields", empty),
+        keys,
+        F.coalesce(fields["fields"], empty),
     )
     return v.join(fields, "variant_id", "left").withColumn("__n", n).select("chrom", "pos", "variant_id", line.alias("line"))
 
 
-def vcf_header(g: DataFrame, samples: DataFrame | None = None) -> DataFrame:
-    """Header lines ``ord, line``."""
+def _call_values(gt: Column) -> Column:
+    """The values of a call in the order of ``format``, without those missing at its end."""
+    format_ = F.coalesce("format", F.array(F.lit("GT")))
+    values = F.transform(format_, lambda k: F.when(k == "GT", gt).otherwise(F.try_element_at("fields", k)))
+    last = F.array_max(F.transform(values, lambda x, i: F.when(x.isNotNull(), i + 1).otherwise(0)))
+    return F.when(last > 0, F.array_join(F.slice(values, F.lit(1), last), ":", ".")).otherwise(F.lit("."))
+
+
+def vcf_header(g: DataFrame, samples: DataFrame | None = None, header: DataFrame | None = None) -> DataFrame:
+    """Header lines ``ord, line``: those of ``header`` (``ord, line``), or the two that a file needs, and the columns."""
     who = cohort(g) if samples is None else samples
     names = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sample_ix", "sample"))), lambda s: s["sample"]), "\t")
     fixed = ["##fileformat=VCFv4.2", '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">']
     columns = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"])
     one = who.agg(F.concat_ws("\t", F.lit(columns), names).alias("chrom_line"))
+    if header is not None:
+        top = header.select(F.col("ord").cast("int").alias("ord"), "line")
+        return top.unionByName(one.select(F.lit((1 << 31) - 1).alias("ord"), F.col("chrom_line").alias("line")))
     lines = F.array(*[F.lit(x) for x in fixed], F.col("chrom_line"))
     return one.select(F.posexplode(lines).alias("ord", "line"))
 
 
-def write_vcf(v: DataFrame, g: DataFrame, path: str, samples: DataFrame | None = None, compression="none") -> None:
-    """Ordered VCF text; the header is the start of the first part file."""
-    head = vcf_header(g, samples).select(
+def write_vcf(
+    v: DataFrame, g: DataFrame, path: str, samples: DataFrame | None = None, compression="none", header: DataFrame | None = None
+) -> None:
+    """Ordered VCF text; the header, perhaps that of ``read_vcf_header``, is the start of the first part file."""
+    head = vcf_header(g, samples, header).select(
         F.lit("").alias("k"), F.col("ord").cast("long").alias("pos"), F.lit("").alias("vid"), "line"
     )
     body = vcf_lines(v, g, samples).select(

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from allelespan.sources.lines import placed_lines
+
 FIXED_COLUMNS = 9  # fixed value: columns before the first sample
 
 
@@ -20,6 +23,13 @@ def header_samples(spark: SparkSession, path) -> list[str]:
     return header_line(spark, path).split("\t")[FIXED_COLUMNS:]
 
 
+def read_vcf_header(spark: SparkSession, path) -> DataFrame:
+    """``ord, line``: the ``##`` lines of all files, each once, in the order they first come."""
+    first = F.min(F.struct("file", "split", "row")).alias("at")
+    lines = placed_lines(spark, path).filter(F.col("value").startswith("##")).groupBy("value").agg(first)
+    return lines.select((F.row_number().over(W.orderBy("at")) - 1).alias("ord"), F.col("value").alias("line"))
+
+
 def record_lines(lines: DataFrame, header: str) -> DataFrame:
     """Record lines only. A file whose header differs raises in the same pass, so checking the
     headers of many files costs no scan of its own."""
@@ -65,27 +75,44 @@ def read_vcf(
     samples: list[str] | None = None,
     first_n: int | None = None,
     min_partitions: int | None = None,
+    model: DataFrame | None = None,
+    strict: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(variants, genotypes)``. ``samples`` or ``first_n`` restrict the samples at read time.
+    """``(variants, genotypes)``. ``samples``, a ``model`` (membership table) or ``first_n`` restrict the
+    samples at read time; samples of a model that the file lacks are passed over unless ``strict``.
 
-    ``ploidy`` is the number of alleles of a call, 1 or 2; calls of more raise when the genotypes are read.
+    Every line is a variant of its own: ``variant_id`` ends with the line's place (file, split, row), so
+    lines that repeat stay apart. ``format`` lists the keys of a line's calls, ``fields`` has the values of a
+    call by key, but for GT. ``ploidy`` is the number of alleles of a call, 1 or 2; calls of more raise when
+    the genotypes are read.
 
     A gzip file is one split; ``min_partitions`` spreads its records before they are parsed. Prefer one
     file per chromosome, written to Parquet once.
     """
     header = header_line(spark, path)
-    names = header.split("\t")[FIXED_COLUMNS:]
-    body = record_lines(spark.read.text(path), header)
+    columns = header.split("\t")
+    names = columns[FIXED_COLUMNS:]
+    if model is not None:
+        wanted = {r["sample"] for r in model.select("sample").distinct().collect()}
+        if strict and wanted - set(names):
+            raise ValueError(f"samples not in the header: {sorted(wanted - set(names))}")
+        samples = [n for n in names if n in wanted and (samples is None or n in set(samples))]
+    place = F.concat_ws(
+        ".", F.lower(F.hex(F.xxhash64(F.col("_metadata.file_path")))), F.col("_metadata.file_block_start").cast("string"),
+        F.monotonically_increasing_id().cast("string"),
+    )
+    body = record_lines(spark.read.text(path).select("value", place.alias("__place")), header)
     if min_partitions:
         body = body.repartition(min_partitions)
-    rows = body.select(*record_columns(), F.split("value", "\t").alias("__f"))
+    rows = body.select(*record_columns(), F.split("value", "\t").alias("__f"), "__place")
+    rows = rows.withColumn("format", F.split(F.get("__f", F.lit(FIXED_COLUMNS - 1)), ":"))
     wrong = F.raise_error(F.concat(F.lit("wrong number of columns at "), "chrom", F.lit(":"), F.col("pos").cast("string")))
     rows = rows.withColumn(
-        "__f", F.when(F.size("__f") == FIXED_COLUMNS + len(names), F.col("__f")).otherwise(wrong.cast("array<string>"))
-    ).withColumn("variant_id", variant_key())
-    v = rows.select("variant_id", "chrom", "pos", "id", "ref", "alts", "qual", "filter", "info")
+        "__f", F.when(F.size("__f") == len(columns), F.col("__f")).otherwise(wrong.cast("array<string>"))
+    ).withColumn("variant_id", F.concat_ws("@", variant_key(), "__place"))
+    v = rows.select("variant_id", "chrom", "pos", "id", "ref", "alts", "qual", "filter", "info", "format")
     calls = F.posexplode(F.slice("__f", FIXED_COLUMNS + 1, len(names) or 1)).alias("sample_ix", "call")
-    g = rows.select("variant_id", "chrom", "pos", calls)
+    g = rows.select("variant_id", "chrom", "pos", "format", calls)
     keep = range(len(names))
     if samples is not None:
         unknown = set(samples) - set(names)
@@ -96,7 +123,10 @@ def read_vcf(
         keep = list(keep)[:first_n]
     if len(keep) < len(names):
         g = g.filter(F.col("sample_ix").isin(list(keep)))
-    gt = F.split("call", ":")[0]
+    values = F.split("call", ":")
+    gt = F.get(values, F.array_position("format", F.lit("GT")).cast("int") - 1)
+    known = F.least(F.size("format"), F.size(values))
+    pairs = F.map_from_arrays(F.slice("format", F.lit(1), known), F.slice(values, F.lit(1), known))
     part = F.split(gt, r"[|/]")
 
     def allele(i: int) -> Column:
@@ -112,8 +142,9 @@ def read_vcf(
         "sample_ix",
         allele(1).alias("a1"),
         allele(2).alias("a2"),
-        gt.contains("|").alias("phased"),
+        F.coalesce(gt.contains("|"), F.lit(False)).alias("phased"),
         ploidy.alias("ploidy"),
+        F.map_filter(pairs, lambda k, _: k != "GT").alias("fields"),
     )
 
 
