@@ -12,7 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SITE = ["variant_id", "chrom", "pos"]
+from allelespan.operators.siterows import SITE, SiteRows
+
+#: What the operators take as genotypes.
+Genotypes = DataFrame | SiteRows
 
 
 def copies(*tests: Column) -> Column:
@@ -23,14 +26,17 @@ def copies(*tests: Column) -> Column:
     return F.sum(total)
 
 
-def site_counts(g: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def site_counts(g: Genotypes, by: Sequence[str] = ()) -> DataFrame:
     """``n_called, n_ref, n_alt, n_missing`` in alleles; ``n_full, n_het, n_hom_ref, n_hom_alt,
     n_missing_samples, n_rows`` in samples; ``alleles_seen`` (a bit per allele index) and ``allele_sum``
     (of the indexes). Alleles of a half-called genotype are counted individually. Where ``g`` has
     ``ploidy``, calls of one allele have no second one to miss; ``n_full`` and what follows from whole
-    genotypes leave them out."""
+    genotypes leave them out. A site may have alleles 0 to 63; higher ones raise."""
+    if isinstance(g, SiteRows):
+        return g.counts(by)
     a1, a2 = F.col("a1"), F.col("a2")
-    bits = [F.coalesce(F.expr(f"shiftleft(1L, cast({a} as int))"), F.lit(0).cast("long")) for a in ("a1", "a2")]
+    high = "cast(raise_error('more than 63 alternate alleles at a site') as bigint)"
+    bits = [F.expr(f"CASE WHEN {a} > 63 THEN {high} WHEN {a} IS NULL THEN 0L ELSE shiftleft(1L, cast({a} as int)) END") for a in ("a1", "a2")]
     full = a1.isNotNull() & a2.isNotNull()
     single = F.coalesce(F.col("ploidy") == 1, F.lit(False)) if "ploidy" in g.columns else F.lit(False)
     return g.groupBy(*SITE, *by).agg(
@@ -49,20 +55,26 @@ def site_counts(g: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def of_samples(g: DataFrame, samples: DataFrame) -> DataFrame:
+def of_samples(g: Genotypes, samples: DataFrame) -> Genotypes:
     """The calls of the listed samples."""
+    if isinstance(g, SiteRows):
+        return g.of_samples(samples)
     return g.join(samples.select("sample").distinct(), "sample", "left_semi").select(*g.columns)
 
 
-def allele_counts(g: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def allele_counts(g: Genotypes, by: Sequence[str] = ()) -> DataFrame:
     """Copies of every allele index per site (and group); missing alleles have a null index."""
+    if isinstance(g, SiteRows):
+        return g.allele_copies(by)
     long = g.select(*SITE, *by, F.explode(F.array("a1", "a2")).alias("allele"))
     return long.groupBy(*SITE, *by, "allele").agg(F.count("*").alias("n"))
 
 
-def with_population(g: DataFrame, m: DataFrame) -> DataFrame:
+def with_population(g: Genotypes, m: DataFrame) -> Genotypes:
     """Keep the model's samples and add ``pop, pop_ix``; population tables stay small enough for
     Catalyst to broadcast on its own size estimate."""
+    if isinstance(g, SiteRows):
+        return g.by_population(m)
     members = m.select("sample", "pop", "pop_ix").dropDuplicates(["sample", "pop"])
     return g.drop("pop", "pop_ix").join(members, "sample")
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from allelespan.functions.genome import power_sum
 from allelespan.operators.counts import (
     SITE,
+    Genotypes,
+    SiteRows,
     allele_counts,
     copies,
     n_samples,
@@ -16,6 +18,7 @@ from allelespan.operators.counts import (
     site_counts,
     with_population,
 )
+from allelespan.operators.intervals import steps
 
 
 def D(x) -> Column:
@@ -27,26 +30,19 @@ def ratio(x, y) -> Column:
     return D(x) / F.nullif(D(y), F.lit(0.0))
 
 
-def freq(v: DataFrame, g: DataFrame) -> DataFrame:
+def freq(v: DataFrame, g: Genotypes) -> DataFrame:
     """One row per site and listed allele: ``n_alleles, n_chr, allele_ix, allele, freq``."""
-    listed = v.select(
-        *SITE, F.posexplode(F.concat(F.array("ref"), "alts")).alias("allele_ix", "allele")
-    ).withColumn("n_alleles", F.count("*").over(W.partitionBy("variant_id")))
     n = allele_counts(g).filter(F.col("allele").isNotNull())
-    n = n.select("variant_id", F.col("allele").alias("allele_ix"), "n")
-    called = F.sum(F.coalesce("n", F.lit(0))).over(W.partitionBy("variant_id"))
-    return (
-        listed.join(n, ["variant_id", "allele_ix"], "left")
-        .withColumn("n_chr", called)
-        .select(
-            *SITE,
-            F.col("n_alleles").cast("long").alias("n_alleles"),
-            F.col("n_chr").cast("long").alias("n_chr"),
-            "allele_ix",
-            "allele",
-            ratio(F.coalesce("n", F.lit(0)), "n_chr").alias("freq"),
-        )
-    )
+    seen = n.groupBy("variant_id").agg(F.map_from_entries(F.collect_list(F.struct("allele", "n"))).alias("seen"))
+    rows = v.select(*SITE, F.concat(F.array("ref"), "alts").alias("listed")).join(seen, "variant_id", "left")
+    copies_of = lambda i: F.coalesce(F.try_element_at("seen", i), F.lit(0).cast("long"))
+    copied = F.transform("listed", lambda a, i: F.struct(a.alias("allele"), copies_of(i).alias("n")))
+    rows = rows.select(*SITE, copied.alias("listed"))
+    rows = rows.select(
+        *SITE, F.size("listed").cast("long").alias("n_alleles"),
+        F.aggregate("listed", F.lit(0).cast("long"), lambda s, a: s + a["n"]).alias("n_chr"), F.posexplode("listed").alias("allele_ix", "__a"),
+    )
+    return rows.select(*SITE, "n_alleles", "n_chr", "allele_ix", F.col("__a.allele").alias("allele"), ratio("__a.n", "n_chr").alias("freq"))
 
 
 def mismatches(c: Column, n: Column) -> Column:
@@ -54,7 +50,7 @@ def mismatches(c: Column, n: Column) -> Column:
     return 2 * c * (n - c)
 
 
-def site_pi(g: DataFrame, by=()) -> DataFrame:
+def site_pi(g: Genotypes, by=()) -> DataFrame:
     n, c = F.col("n_called"), F.col("n_alt")
     return site_counts(g, by).select(*SITE, *by, ratio(mismatches(c, n), n * (n - 1)).alias("pi"))
 
@@ -77,7 +73,7 @@ def in_windows(sites: DataFrame, size: int, step: int | None = None) -> DataFram
     )
 
 
-def window_pi(g: DataFrame, samples: DataFrame, size: int, step: int | None = None) -> DataFrame:
+def window_pi(g: Genotypes, samples: DataFrame, size: int, step: int | None = None) -> DataFrame:
     """Mismatching pairs over all pairs, positions without a variant counting as identical."""
     n, c = F.col("n_called"), F.col("n_alt")
     sites = site_counts(of_samples(g, samples)).select(
@@ -92,7 +88,7 @@ def window_pi(g: DataFrame, samples: DataFrame, size: int, step: int | None = No
     )
 
 
-def tajima_d(g: DataFrame, samples: DataFrame, size: int) -> DataFrame:
+def tajima_d(g: Genotypes, samples: DataFrame, size: int) -> DataFrame:
     """Tajima's D per bin, with empty bins between the first and last filled in (0 SNPs, null D)."""
     n = D("nn")
     p = ratio("n_alt", "n_called")
@@ -102,7 +98,7 @@ def tajima_d(g: DataFrame, samples: DataFrame, size: int) -> DataFrame:
         F.count("*").alias("n_snps"), F.sum(2 * p * (1 - p)).alias("het")
     )
     span = binned.groupBy("chrom").agg(F.min("bin_start").alias("lo"), F.max("bin_start").alias("hi"))
-    grid = span.select("chrom", F.explode(F.sequence("lo", "hi", F.lit(size).cast("long"))).alias("bin_start"))
+    grid = steps(span, F.col("lo"), F.col("hi") + 1, size, "bin_start").select("chrom", "bin_start")
     consts = samples.agg((2 * F.countDistinct("sample")).alias("nn"))
     consts = consts.withColumn("a1", power_sum(F.col("nn") - 1, 1)).withColumn(
         "a2", power_sum(F.col("nn") - 1, 2)
@@ -132,8 +128,10 @@ def tajima_d(g: DataFrame, samples: DataFrame, size: int) -> DataFrame:
     )
 
 
-def pop_site_counts(g: DataFrame, m: DataFrame) -> DataFrame:
+def pop_site_counts(g: Genotypes, m: DataFrame) -> DataFrame:
     """Per site and population: diploid samples, alternate copies, heterozygotes."""
+    if isinstance(g, SiteRows):
+        return with_population(g, m).whole_calls(["pop"]).select(*SITE, "pop", "n", "alt", "het")
     return (
         with_population(g, m)
         .filter(F.col("a1").isNotNull() & F.col("a2").isNotNull())
@@ -186,7 +184,7 @@ def _fst(c: DataFrame, by=()) -> DataFrame:
     return c.withColumn("total", total).withColumn("fst", F.when(F.abs("total") > 1e-12, F.col("a") / total))
 
 
-def weir_fst(g: DataFrame, m: DataFrame) -> DataFrame:
+def weir_fst(g: Genotypes, m: DataFrame) -> DataFrame:
     """Per-site FST over all populations of the model; undefined where nothing varies."""
     return _fst(fst_components(pop_site_counts(g, m))).select(*SITE, "fst")
 
@@ -204,7 +202,7 @@ def _windowed(sites: DataFrame, size: int, step: int | None, by=()) -> DataFrame
     )
 
 
-def windowed_weir_fst(g: DataFrame, m: DataFrame, size: int, step: int | None = None) -> DataFrame:
+def windowed_weir_fst(g: Genotypes, m: DataFrame, size: int, step: int | None = None) -> DataFrame:
     return _windowed(_fst(fst_components(pop_site_counts(g, m))), size, step)
 
 
@@ -223,7 +221,7 @@ def pop_pairs(m: DataFrame) -> DataFrame:
     return pairs.select(F.array_join("two", "_").alias("pair"), F.explode("two").alias("pop"))
 
 
-def pairwise_weir_fst(g: DataFrame, m: DataFrame) -> DataFrame:
+def pairwise_weir_fst(g: Genotypes, m: DataFrame) -> DataFrame:
     """Per-site FST for each population pair in one pass over the genotypes.
 
     The join works on per-population counts, after the genotypes have been aggregated.
@@ -237,7 +235,7 @@ def pairwise_windowed_weir_fst(g, m, size: int, step: int | None = None) -> Data
     return _windowed(_fst(fst_components(per_pair, ["pair"])), size, step, by=["pair"])
 
 
-def pairwise_site_pi(g: DataFrame, m: DataFrame) -> DataFrame:
+def pairwise_site_pi(g: Genotypes, m: DataFrame) -> DataFrame:
     """Site pi of the pooled samples of every population pair."""
     per_pop = site_counts(with_population(g, m), ["pop"]).join(pop_pairs(m), "pop")
     pooled = per_pop.groupBy(*SITE, "pair").agg(F.sum("n_called").alias("n"), F.sum("n_alt").alias("c"))
@@ -245,7 +243,7 @@ def pairwise_site_pi(g: DataFrame, m: DataFrame) -> DataFrame:
     return pooled.select(*SITE, "pair", ratio(mismatches(c, n), n * (n - 1)).alias("pi"))
 
 
-def pairwise_window_pi(g: DataFrame, m: DataFrame, size: int, step: int | None = None) -> DataFrame:
+def pairwise_window_pi(g: Genotypes, m: DataFrame, size: int, step: int | None = None) -> DataFrame:
     pairs = pop_pairs(m)
     sizes = (
         m.select("pop", "sample").distinct().join(pairs, "pop").groupBy("pair").agg((2 * F.count("*")).alias("nn"))
@@ -264,34 +262,50 @@ def pairwise_window_pi(g: DataFrame, m: DataFrame, size: int, step: int | None =
     )
 
 
-def heterozygosity(g: DataFrame, by=()) -> DataFrame:
+def heterozygosity(g: Genotypes, by=()) -> DataFrame:
     """Inbreeding per sample: ``o_hom, e_hom, n_sites, f``.
 
-    A window over one site (as many rows as there are samples) puts the site's expectation on each
-    call, so the genotypes are shuffled once and aggregated by sample afterwards.
+    In site rows the expectation of a site is made in its row and samples are summed before the shuffle: what
+    moves is a row per sample and task. Long genotypes need a window over each site (as many rows as
+    there are samples), so they are shuffled once.
     """
+    if isinstance(g, SiteRows):
+        return _inbreeding(_row_heterozygosity(g, by), by)
     w = W.partitionBy("variant_id", *by)
     called = g.filter(F.col("a1").isNotNull() & F.col("a2").isNotNull())
     alt = (F.col("a1") > 0).cast("long") + (F.col("a2") > 0).cast("long")
     called = called.withColumn("__n", 2 * F.count("*").over(w)).withColumn("__c", F.sum(alt).over(w))
     n, p = D("__n"), ratio("__c", "__n")
     usable = called.filter((F.col("__c") > 0) & (F.col("__c") < F.col("__n")))
-    return (
-        usable.groupBy("sample", *by)
-        .agg(
-            copies(F.col("a1") == F.col("a2")).alias("o_hom"),
-            F.sum(1 - 2 * p * (1 - p) * n / (n - 1)).alias("e_hom"),
-            F.count("*").alias("n_sites"),
-        )
-        .withColumn("f", ratio(F.col("o_hom") - F.col("e_hom"), F.col("n_sites") - F.col("e_hom")))
-    )
+    per_sample = usable.groupBy("sample", *by).agg(*_sample_sums(F.col("a1") == F.col("a2"), 1 - 2 * p * (1 - p) * n / (n - 1)))
+    return _inbreeding(per_sample, by)
+
+
+def _sample_sums(hom: Column, expected: Column) -> list[Column]:
+    return [copies(hom).alias("o_hom"), F.sum(expected).alias("e_hom"), F.count("*").alias("n_sites")]
+
+
+def _inbreeding(per_sample: DataFrame, by) -> DataFrame:
+    f = ratio(F.col("o_hom") - F.col("e_hom"), F.col("n_sites") - F.col("e_hom"))
+    return per_sample.select("sample", *by, "o_hom", "e_hom", "n_sites", f.alias("f"))
+
+
+def _row_heterozygosity(g: SiteRows, by) -> DataFrame:
+    rows = g.whole_calls(by)
+    n, p = 2 * D("n"), ratio("alt", 2 * F.col("n"))
+    rows = rows.filter((F.col("alt") > 0) & (F.col("alt") < 2 * F.col("n")))
+    rows = rows.withColumn("__e", 1 - 2 * p * (1 - p) * n / (n - 1))
+    each = rows.select(*by, "__e", *g._members(), F.posexplode("calls").alias("__at", "c"))
+    place = F.get("members", F.col("__at")) if g._members() else F.col("__at")
+    each = each.filter(F.col("c.a1").isNotNull() & F.col("c.a2").isNotNull()).withColumn("sample_ix", place)
+    return g.named(each.groupBy("sample_ix", *by).agg(*_sample_sums(F.col("c.a1") == F.col("c.a2"), F.col("__e"))))
 
 
-def het_fit(g: DataFrame) -> DataFrame:
+def het_fit(g: Genotypes) -> DataFrame:
     return heterozygosity(g)
 
 
-def het_fis(g: DataFrame, m: DataFrame) -> DataFrame:
+def het_fis(g: Genotypes, m: DataFrame) -> DataFrame:
     """The same inside each population."""
     return heterozygosity(with_population(g, m), ["pop"])
 
@@ -337,7 +351,7 @@ def hwe_exact(n_het: Column, n_hom1: Column, n_hom2: Column) -> Column:
     return F.aggregate(until(rare), start, add, lambda a: F.least(F.lit(1.0), a["few"] / a["all"]))
 
 
-def hardy_weinberg(g: DataFrame) -> DataFrame:
+def hardy_weinberg(g: Genotypes) -> DataFrame:
     """Observed and expected genotype counts, chi-square and exact p per site."""
     c = site_counts(g).filter(F.col("n_full") > 0)
     n, p = D("n_full"), ratio(F.col("n_hom_alt") * 2 + F.col("n_het"), 2 * F.col("n_full"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,6 +10,8 @@ from allelespan.functions.genome import natural_key, strip_chr
 from allelespan.operators.ordered import running
 from allelespan.operators.rangejoin import islands, not_overlapping, overlap_pairs, overlapping
 
+TILES = 1 << 16
+
 
 def bed_intersect(a: DataFrame, b: DataFrame, pieces: bool = False) -> DataFrame:
     """Features of ``a`` that overlap ``b``, or with ``pieces`` every overlap piece."""
@@ -178,12 +180,26 @@ def expand_regions(iv: DataFrame, n: int) -> DataFrame:
     )
 
 
+def steps(df: DataFrame, lo: Column, hi: Column, step: int, name: str) -> DataFrame:
+    """A row of ``df`` for each of ``lo, lo + step, ...`` below ``hi``.
+
+    In two levels: blocks of ``TILES`` steps are rows that are dealt out, steps are made inside them, so
+    neither an array nor a task grows with the length of a chromosome.
+    """
+    n = F.ceil((hi - lo) / F.lit(step)).cast("long")
+    none = F.array().cast("array<bigint>")
+    blocks = F.when(n > 0, F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / TILES).cast("long"))).otherwise(none)
+    dealt = df.select("*", lo.alias("__lo"), n.alias("__n"), F.explode(blocks).alias("__block")).repartition(*df.columns, "__block")
+    first = F.col("__block") * TILES
+    inside = F.sequence(first, F.least(F.col("__n"), first + TILES) - 1)
+    at = F.col("__lo") + F.col("__step") * step
+    return dealt.withColumn("__step", F.explode(inside)).withColumn(name, at).drop("__lo", "__n", "__block", "__step")
+
+
 def make_windows(sizes: DataFrame, size: int, step: int | None = None) -> DataFrame:
     """Tiles of ``size`` every ``step`` bases, the last ones clipped at the chromosome end."""
-    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(step or size).cast("long")))
-    return sizes.select("chrom", "size", start.alias("start")).select(
-        "chrom", "start", F.least(F.col("start") + size, F.col("size")).alias("end")
-    )
+    tiles = steps(sizes.select("chrom", "size"), F.lit(0).cast("long"), F.col("size"), step or size, "start")
+    return tiles.select("chrom", "start", F.least(F.col("start") + size, F.col("size")).alias("end"))
 
 
 def sort_intervals(iv: DataFrame, method: str = "natural", order: list[str] | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from allelespan.operators import fstats as FS
 from allelespan.operators import loci as L
 from allelespan.operators import sequence as Q
 from allelespan.operators import sfs as S
+from allelespan.operators.siterows import site_rows
 from allelespan.plans.registry import query
 
 SNP_PASS = "length(ref) = 1 AND n_alleles = 2 AND filter = 'PASS'"
@@ -24,22 +25,27 @@ def snp_calls(t):
     return t.g.join(keep, "variant_id", "left_semi")
 
 
+def snp_sites(t):
+    """The same as site rows."""
+    return t.sites.of_sites(t.v.filter(P.only_biallelic() & P.passed()))
+
+
 _COLS = "n_called, n_ref, n_alt, n_missing, n_full, n_het, n_hom_ref, n_hom_alt, n_missing_samples"
 
 
 @query("A01_allele_counts", f"SELECT variant_id, chrom, pos, {_COLS} FROM counts")
 def _(t):
-    return C.site_counts(t.g).select("variant_id", "chrom", "pos", *_COLS.split(", "))
+    return C.site_counts(t.sites).select("variant_id", "chrom", "pos", *_COLS.split(", "))
 
 
 @query("A01_allele_counts_by_pop", "SELECT variant_id, pop, 2*n AS n_called, alt AS n_alt, het AS n_het FROM pcounts")
 def _(t):
-    return C.site_counts(C.with_population(t.g, t.m), ["pop"]).select("variant_id", "pop", "n_called", "n_alt", "n_het")
+    return C.site_counts(C.with_population(t.sites, t.m), ["pop"]).select("variant_id", "pop", "n_called", "n_alt", "n_het")
 
 
 @query("A01_allele_copies", "SELECT variant_id, CAST(a AS BIGINT) AS allele, COUNT(*) AS n FROM (SELECT variant_id, a1 AS a FROM genotypes UNION ALL SELECT variant_id, a2 FROM genotypes) GROUP BY variant_id, a")
 def _(t):
-    return C.allele_counts(t.g).select("variant_id", "allele", "n")
+    return C.allele_counts(t.sites).select("variant_id", "allele", "n")
 
 
 @query(
@@ -51,12 +57,12 @@ def _(t):
        LEFT JOIN counts USING (variant_id)""",
 )
 def _(t):
-    return D.freq(t.v, t.g).drop("chrom", "pos")
+    return D.freq(t.v, t.sites).drop("chrom", "pos")
 
 
 @query("A03_site_pi", "SELECT variant_id, chrom, pos, CASE WHEN n_called > 0 THEN ROUND(2e0*n_alt*n_ref/(n_called*(n_called-1)), 6) END AS pi FROM counts")
 def _(t):
-    return D.site_pi(t.g)
+    return D.site_pi(t.sites)
 
 
 _BINS = """SELECT *, k*{step} + 1 AS bin_start, k*{step} + {size} AS bin_end FROM (
@@ -70,7 +76,7 @@ _BINS = """SELECT *, k*{step} + 1 AS bin_start, k*{step} + {size} AS bin_end FRO
         FROM ({_BINS.format(size=2000, step=1000, src='counts')}), (SELECT 2e0*COUNT(*) AS nn FROM m3) GROUP BY chrom, bin_start, bin_end, nn""",
 )
 def _(t):
-    return D.window_pi(t.g, t.samples, 2000, 1000)
+    return D.window_pi(t.sites, t.samples, 2000, 1000)
 
 
 @query(
@@ -87,7 +93,7 @@ def _(t):
     },
 )
 def _(t):
-    return D.tajima_d(t.g, t.samples, 1500)
+    return D.tajima_d(t.sites, t.samples, 1500)
 
 
 def _wc(by):
@@ -116,7 +122,7 @@ _PAIRS = {
 
 @query("A06_weir_fst", "SELECT variant_id, chrom, pos, ROUND(fst, 6) + 0e0 AS fst FROM wc", _FST)
 def _(t):
-    return D.weir_fst(snp_calls(t), t.m)
+    return D.weir_fst(snp_sites(t), t.m)
 
 
 _WFST = "COUNT(*) AS n_variants, ROUND(SUM(a)/SUM(total), 6) + 0e0 AS weighted_fst, ROUND(AVG(fst), 6) + 0e0 AS mean_fst"
@@ -128,12 +134,12 @@ _WFST = "COUNT(*) AS n_variants, ROUND(SUM(a)/SUM(total), 6) + 0e0 AS weighted_f
     _FST,
 )
 def _(t):
-    return D.windowed_weir_fst(snp_calls(t), t.m, 2000)
+    return D.windowed_weir_fst(snp_sites(t), t.m, 2000)
 
 
 @query("A08_pairwise_fst", "SELECT variant_id, pair, ROUND(fst, 6) + 0e0 AS fst FROM wcp", _PAIRS)
 def _(t):
-    return D.pairwise_weir_fst(snp_calls(t), t.m).select("variant_id", "pair", "fst")
+    return D.pairwise_weir_fst(snp_sites(t), t.m).select("variant_id", "pair", "fst")
 
 
 @query(
@@ -142,7 +148,7 @@ def _(t):
     _PAIRS,
 )
 def _(t):
-    return D.pairwise_windowed_weir_fst(snp_calls(t), t.m, 2000, 500)
+    return D.pairwise_windowed_weir_fst(snp_sites(t), t.m, 2000, 500)
 
 
 _POOLED = {
@@ -153,7 +159,7 @@ _POOLED = {
 
 @query("A08_pairwise_site_pi", "SELECT variant_id, pair, CASE WHEN n > 0 THEN ROUND(2e0*c*(n-c)/(n*(n-1)), 6) END AS pi FROM pooled", _POOLED)
 def _(t):
-    return D.pairwise_site_pi(t.g, t.m).select("variant_id", "pair", "pi")
+    return D.pairwise_site_pi(t.sites, t.m).select("variant_id", "pair", "pi")
 
 
 @query(
@@ -164,7 +170,7 @@ def _(t):
     _POOLED,
 )
 def _(t):
-    return D.pairwise_window_pi(t.g, t.m, 2000)
+    return D.pairwise_window_pi(t.sites, t.m, 2000)
 
 
 def _het(by):
@@ -178,12 +184,12 @@ def _het(by):
 
 @query("A09_het_fit", _het([]))
 def _(t):
-    return D.het_fit(t.g)
+    return D.het_fit(t.sites)
 
 
 @query("A10_het_fis", _het(["pop"]))
 def _(t):
-    return D.het_fis(t.g, t.m)
+    return D.het_fis(t.sites, t.m)
 
 
 @query(
@@ -203,7 +209,33 @@ def _(t):
     },
 )
 def _(t):
-    return D.hardy_weinberg(t.g).drop("chrom", "pos")
+    return D.hardy_weinberg(t.sites).drop("chrom", "pos")
+
+
+@query("A01_allele_counts_long", f"SELECT variant_id, chrom, pos, {_COLS} FROM counts")
+def _(t):
+    return C.site_counts(t.g).select("variant_id", "chrom", "pos", *_COLS.split(", "))
+
+
+@query("A01_site_rows_and_back", "SELECT variant_id, chrom, pos, sample, CAST(a1 AS BIGINT) AS a1, CAST(a2 AS BIGINT) AS a2 FROM genotypes WHERE sample IN (SELECT sample FROM m2)")
+def _(t):
+    """Long calls to site rows, some samples of them, and back."""
+    return site_rows(t.g, t.sites.who).of_samples(t.m2).long().select("variant_id", "chrom", "pos", "sample", "a1", "a2")
+
+
+@query("A08_pairwise_fst_long", "SELECT variant_id, pair, ROUND(fst, 6) + 0e0 AS fst FROM wcp", _PAIRS)
+def _(t):
+    return D.pairwise_weir_fst(snp_calls(t), t.m).select("variant_id", "pair", "fst")
+
+
+@query("A09_het_fit_long", _het([]))
+def _(t):
+    return D.het_fit(t.g)
+
+
+@query("A10_het_fis_long", _het(["pop"]))
+def _(t):
+    return D.het_fis(t.g, t.m)
 
 
 @query("F34_drop_undefined", "SELECT chrom, bin_start, pi FROM (SELECT chrom, CAST(FLOOR(pos/1000) AS BIGINT) AS bin_start, ROUND(AVG(CASE WHEN n_called > 0 AND n_missing <= 2 THEN 2e0*n_alt*n_ref/(n_called*(n_called-1)) END), 6) AS pi FROM counts GROUP BY 1, 2) WHERE pi IS NOT NULL")
@@ -377,7 +409,7 @@ def _(t):
 
 @query("A23_manhattan_points", "SELECT chrom, pos, ROUND(fst, 6) + 0e0 AS fst FROM wc WHERE fst IS NOT NULL", _FST)
 def _(t):
-    return D.manhattan_points(D.weir_fst(snp_calls(t), t.m))
+    return D.manhattan_points(D.weir_fst(snp_sites(t), t.m))
 
 
 # ---- spectra -----------------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelespan.operators.intervals import make_windows
+from allelespan.operators.siterows import SiteRows
 
 # Given schemas: reading needs no inference job.
 SCHEMAS = {
@@ -78,6 +79,32 @@ class Tables:
             allele(53, 29, 17).alias("a2"),
         )
 
+    @cached_property
+    def sites(self) -> SiteRows:
+        """The calls of ``g`` as site rows."""
+        ix = F.col("l_suppkey") % 20
+        sums = [F.sum(F.when(ix == k, F.col("l_quantity"))).cast("long") for k in range(20)]
+        calls = self.raw("lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.array(*sums).alias("q"))
+        x = calls.join(self.raw("part").select("p_partkey", "p_size"), "p_partkey")
+
+        def call(q, i):
+            limit = 2 * F.col("p_size") + 25 * (i % 3) - 25
+
+            def allele(kq, ks, ki):
+                draw = (q * kq + F.col("p_size") * ks + i * ki) % 100
+                return F.when(q % 11 != 0, (draw < limit).cast("int"))
+
+            return F.when(q.isNotNull(), F.struct(allele(37, 11, 5).alias("a1"), allele(53, 29, 17).alias("a2")))
+
+        rows = x.select(
+            F.col("p_partkey").alias("variant_id"),
+            F.concat(F.lit("chr"), (F.col("p_partkey") % 5 + 1).cast("string")).alias("chrom"),
+            (F.floor(F.col("p_partkey") / 5).cast("long") * 100 + F.col("p_size")).alias("pos"),
+            F.transform("q", call).alias("calls"),
+        )
+        who = self.samples.select("sample", F.substring("sample", 2, 9).cast("int").alias("sample_ix"))
+        return SiteRows(rows, who)
+
     @cached_property
     def complete(self) -> DataFrame:
         """A call of every sample at every variant, missing ones taken as the reference."""
