@@ -26,14 +26,15 @@ def copies(*tests: Column) -> Column:
     return F.sum(total)
 
 
-def site_counts(g: Genotypes, by: Sequence[str] = ()) -> DataFrame:
+def site_counts(g: Genotypes, by: Sequence[str] = (), only: Sequence[str] | None = None) -> DataFrame:
     """``n_called, n_ref, n_alt, n_missing`` in alleles; ``n_full, n_het, n_hom_ref, n_hom_alt,
     n_missing_samples, n_rows`` in samples; ``alleles_seen`` (a bit per allele index) and ``allele_sum``
     (of the indexes). Alleles of a half-called genotype are counted individually. Where ``g`` has
     ``ploidy``, calls of one allele have no second one to miss; ``n_full`` and what follows from whole
-    genotypes leave them out. A site may have alleles 0 to 63; higher ones raise."""
+    genotypes leave them out. A site may have alleles 0 to 63; higher ones raise.
+    ``only`` names the counts that are needed; of long genotypes Catalyst makes no others anyway."""
     if isinstance(g, SiteRows):
-        return g.counts(by)
+        return g.counts(by, only)
     a1, a2 = F.col("a1"), F.col("a2")
     high = "cast(raise_error('more than 63 alternate alleles at a site') as bigint)"
     bits = [F.expr(f"CASE WHEN {a} > 63 THEN {high} WHEN {a} IS NULL THEN 0L ELSE shiftleft(1L, cast({a} as int)) END") for a in ("a1", "a2")]

@@ -19,6 +19,7 @@ from allelespan.operators.counts import (
     with_population,
 )
 from allelespan.operators.intervals import steps
+from allelespan.operators.siterows import once
 
 
 def D(x) -> Column:
@@ -37,7 +38,7 @@ def freq(v: DataFrame, g: Genotypes) -> DataFrame:
     rows = v.select(*SITE, F.concat(F.array("ref"), "alts").alias("listed")).join(seen, "variant_id", "left")
     copies_of = lambda i: F.coalesce(F.try_element_at("seen", i), F.lit(0).cast("long"))
     copied = F.transform("listed", lambda a, i: F.struct(a.alias("allele"), copies_of(i).alias("n")))
-    rows = rows.select(*SITE, copied.alias("listed"))
+    rows = once(rows, SITE, {"listed": copied})
     rows = rows.select(
         *SITE, F.size("listed").cast("long").alias("n_alleles"),
         F.aggregate("listed", F.lit(0).cast("long"), lambda s, a: s + a["n"]).alias("n_chr"), F.posexplode("listed").alias("allele_ix", "__a"),
@@ -52,7 +53,7 @@ def mismatches(c: Column, n: Column) -> Column:
 
 def site_pi(g: Genotypes, by=()) -> DataFrame:
     n, c = F.col("n_called"), F.col("n_alt")
-    return site_counts(g, by).select(*SITE, *by, ratio(mismatches(c, n), n * (n - 1)).alias("pi"))
+    return site_counts(g, by, ["n_called", "n_alt"]).select(*SITE, *by, ratio(mismatches(c, n), n * (n - 1)).alias("pi"))
 
 
 def in_windows(sites: DataFrame, size: int, step: int | None = None) -> DataFrame:
@@ -76,7 +77,7 @@ def in_windows(sites: DataFrame, size: int, step: int | None = None) -> DataFram
 def window_pi(g: Genotypes, samples: DataFrame, size: int, step: int | None = None) -> DataFrame:
     """Mismatching pairs over all pairs, positions without a variant counting as identical."""
     n, c = F.col("n_called"), F.col("n_alt")
-    sites = site_counts(of_samples(g, samples)).select(
+    sites = site_counts(of_samples(g, samples), only=["n_called", "n_alt"]).select(
         "chrom", "pos", mismatches(c, n).alias("diff"), (n * (n - 1)).alias("pairs")
     )
     binned = in_windows(sites, size, step).groupBy("chrom", "bin_start", "bin_end").agg(
@@ -92,7 +93,7 @@ def tajima_d(g: Genotypes, samples: DataFrame, size: int) -> DataFrame:
     """Tajima's D per bin, with empty bins between the first and last filled in (0 SNPs, null D)."""
     n = D("nn")
     p = ratio("n_alt", "n_called")
-    seg = site_counts(of_samples(g, samples)).filter((F.col("n_alt") > 0) & (F.col("n_ref") > 0))
+    seg = site_counts(of_samples(g, samples), only=["n_called", "n_ref", "n_alt"]).filter((F.col("n_alt") > 0) & (F.col("n_ref") > 0))
     start = F.floor(F.col("pos") / size).cast("long") * size
     binned = seg.groupBy("chrom", start.alias("bin_start")).agg(
         F.count("*").alias("n_snps"), F.sum(2 * p * (1 - p)).alias("het")
@@ -237,7 +238,7 @@ def pairwise_windowed_weir_fst(g, m, size: int, step: int | None = None) -> Data
 
 def pairwise_site_pi(g: Genotypes, m: DataFrame) -> DataFrame:
     """Site pi of the pooled samples of every population pair."""
-    per_pop = site_counts(with_population(g, m), ["pop"]).join(pop_pairs(m), "pop")
+    per_pop = site_counts(with_population(g, m), ["pop"], ["n_called", "n_alt"]).join(pop_pairs(m), "pop")
     pooled = per_pop.groupBy(*SITE, "pair").agg(F.sum("n_called").alias("n"), F.sum("n_alt").alias("c"))
     n, c = F.col("n"), F.col("c")
     return pooled.select(*SITE, "pair", ratio(mismatches(c, n), n * (n - 1)).alias("pi"))
@@ -248,7 +249,7 @@ def pairwise_window_pi(g: Genotypes, m: DataFrame, size: int, step: int | None =
     sizes = (
         m.select("pop", "sample").distinct().join(pairs, "pop").groupBy("pair").agg((2 * F.count("*")).alias("nn"))
     )
-    per_pop = site_counts(with_population(g, m), ["pop"]).join(pairs, "pop")
+    per_pop = site_counts(with_population(g, m), ["pop"], ["n_called", "n_alt"]).join(pairs, "pop")
     pooled = per_pop.groupBy(*SITE, "pair").agg(F.sum("n_called").alias("n"), F.sum("n_alt").alias("c"))
     n, c = F.col("n"), F.col("c")
     sites = pooled.select("chrom", "pos", "pair", mismatches(c, n).alias("diff"), (n * (n - 1)).alias("pairs"))
@@ -353,7 +354,7 @@ def hwe_exact(n_het: Column, n_hom1: Column, n_hom2: Column) -> Column:
 
 def hardy_weinberg(g: Genotypes) -> DataFrame:
     """Observed and expected genotype counts, chi-square and exact p per site."""
-    c = site_counts(g).filter(F.col("n_full") > 0)
+    c = site_counts(g, only=["n_full", "n_het", "n_hom_ref", "n_hom_alt"]).filter(F.col("n_full") > 0)
     n, p = D("n_full"), ratio(F.col("n_hom_alt") * 2 + F.col("n_het"), 2 * F.col("n_full"))
     q = 1 - p
     c = (

@@ -100,7 +100,7 @@ class Tables:
             F.col("p_partkey").alias("variant_id"),
             F.concat(F.lit("chr"), (F.col("p_partkey") % 5 + 1).cast("string")).alias("chrom"),
             (F.floor(F.col("p_partkey") / 5).cast("long") * 100 + F.col("p_size")).alias("pos"),
-            F.transform("q", call).alias("calls"),
+            F.explode(F.array(F.transform("q", call))).alias("calls"),  # made once, as if read from a table
         )
         who = self.samples.select("sample", F.substring("sample", 2, 9).cast("int").alias("sample_ix"))
         return SiteRows(rows, who)
