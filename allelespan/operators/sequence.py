@@ -87,71 +87,88 @@ def region_sequences(
     Each record contributes the reference text since the record before it plus the allele, right-padded
     with ``_`` to the longest allele for indels; the rest of the reference follows. Without ``ref`` only
     the alleles are written. ``missing``: a letter to write, or ``error``.
+
+    A region's text with the missing letter at every record is cut once. A sample brings the list of
+    its present calls by the record's rank, which replace their letters; what is not called is no row.
     """
     records = v if indels else v.filter(P.is_snp())
     records = records.select("variant_id", "chrom", "pos", "ref", "alts")
     regions = iv.select("iv_id", "chrom", "start", "end")
     hits = sites_with_regions(records, regions).select(
         F.col("r_iv_id").alias("iv_id"),
-        "variant_id",
         (F.col("pos") - 1 - F.col("r_start")).alias("off"),
+        "variant_id",
         F.length("ref").alias("ref_len"),
         F.when(P.is_snp(), 1).otherwise(max_allele_length()).alias("width"),
         alleles().alias("alleles"),
     )
+    spot = F.struct(*[c for c in hits.columns if c != "iv_id"])
+    spots = hits.groupBy("iv_id").agg(F.array_sort(F.collect_list(spot)).alias("spots"))
     cohort = m.select("pop_ix", "pop", "sample_ix", "sample").distinct()
+    called = F.col("a1").isNotNull() | F.col("a2").isNotNull()
+    present = g.filter(called).select("variant_id", "sample", "a1", "a2").join(cohort.select("sample"), "sample", "left_semi")
+    placed = spots.select("iv_id", F.posexplode("spots").alias("rank", "s")).select("iv_id", "rank", "s.variant_id", "s.width", "s.alleles")
+
+    def letters(a: str) -> Column:
+        return F.rpad(F.try_element_at("alleles", F.col(a).cast("int") + 1), F.col("width"), F.lit("_"))
+
+    calls = placed.join(present, "variant_id").groupBy("iv_id", "sample").agg(
+        F.array_sort(F.collect_list(F.struct("rank", letters("a1").alias("t1"), letters("a2").alias("t2")))).alias("calls")
+    )
     people = cohort.agg(F.collect_list(F.struct("*"))).scalar()
-    grid = regions.select("iv_id").join(hits, "iv_id", "left").select("*", F.explode(people).alias("who"))
-    grid = grid.select("*", "who.*").drop("who")
-    calls = grid.join(g.select("variant_id", "sample", "a1", "a2"), ["variant_id", "sample"], "left")
-
-    def text(a: str) -> Column:
-        gap = (
-            F.raise_error(F.concat(F.lit("missing data: "), "sample")).cast("string")
-            if missing == "error"
-            else F.lit(missing)
-        )
-        base = F.coalesce(F.try_element_at("alleles", F.col(a).cast("int") + 1), gap)
-        return F.when(F.col("variant_id").isNotNull(), F.rpad(base, F.col("width"), F.lit("_")))
-
-    piece = F.struct("off", "variant_id", "ref_len", text("a1").alias("t1"), text("a2").alias("t2"))
-    rows = calls.groupBy("iv_id", "pop_ix", "pop", "sample_ix", "sample").agg(
-        F.array_sort(F.collect_list(F.when(F.col("variant_id").isNotNull(), piece))).alias("recs")
+    rows = regions.select("iv_id", F.explode(people).alias("who")).select("iv_id", "who.*")
+    rows = rows.join(calls, ["iv_id", "sample"], "left").join(_region_parts(regions, spots, ref, missing), "iv_id")
+    return rows.withColumn("seqs", F.array(*[_laid_over(t, missing, trim and ref is not None) for t in ("t1", "t2")])).select(
+        "iv_id", "pop_ix", "pop", "sample_ix", "sample", "seqs", "chrom", "start", "end"
     )
+
+
+def _region_parts(regions: DataFrame, spots: DataFrame, ref: DataFrame | None, missing: str) -> DataFrame:
+    """``regions`` with ``parts``: text before the first record, its missing letter, text up to the second record
+    and so on, the rest last; and ``len``, the bases of the region."""
     if ref is None:
-        seqs = [F.array_join(F.col(f"recs.{t}"), "") for t in ("t1", "t2")]
-        return rows.withColumn("seqs", F.array(*seqs)).drop("recs").join(regions, "iv_id")
-    # the reference pieces are the same for every sample: cut them once per region
-    spots = hits.groupBy("iv_id").agg(
-        F.array_sort(F.collect_list(F.struct("off", "variant_id", "ref_len"))).alias("spots")
-    )
-    text = region_text(regions, ref).join(spots, "iv_id", "left")
+        text = regions.join(spots, "iv_id", "left").withColumn("ref_seq", F.lit(""))
+    else:
+        text = region_text(regions, ref).join(spots, "iv_id", "left")
     nothing = F.array().cast("array<bigint>")
     starts = F.coalesce(F.transform("spots", lambda s: s["off"]), nothing)
     ends = F.coalesce(F.transform("spots", lambda s: s["off"] + s["ref_len"]), nothing)
-    text = text.withColumn("__from", F.concat(F.array(F.lit(0).cast("long")), ends)).withColumn(
-        "__to", F.concat(starts, F.array(F.length("ref_seq").cast("long")))
-    )
-    pieces = F.zip_with(
-        "__from",
-        "__to",
-        lambda x, y: F.substring(
-            F.col("ref_seq"), (x + 1).cast("int"), F.greatest(y - x, F.lit(0).cast("long")).cast("int")
-        ),
-    )
-    text = text.select("iv_id", "chrom", "start", "end", F.length("ref_seq").alias("__len"), pieces.alias("pieces"))
-    rows = rows.join(text, "iv_id")
-
-    def spliced(t: str) -> Column:
-        # one piece more than records: the last pair is (rest of the reference, nothing)
-        both = F.zip_with("pieces", F.col(f"recs.{t}"), lambda p, x: F.concat(p, F.coalesce(x, F.lit(""))))
-        seq = F.array_join(both, "")
-        return F.substring(seq, F.lit(1), F.col("__len")) if trim else seq
+    letter = F.lit("N" if missing == "error" else missing)
+    gaps = F.coalesce(F.transform("spots", lambda s: F.rpad(letter, s["width"], F.lit("_"))), F.array().cast("array<string>"))
+    text = text.select(
+        *regions.columns, F.length("ref_seq").alias("len"), "ref_seq", F.concat(F.array(F.lit(0).cast("long")), ends).alias("__from"),
+        F.concat(starts, F.array(F.length("ref_seq").cast("long"))).alias("__to"), gaps.alias("__gaps"),
+    )
 
-    seqs = [spliced("t1"), spliced("t2")]
-    return rows.withColumn("seqs", F.array(*seqs)).select(
-        "iv_id", "pop_ix", "pop", "sample_ix", "sample", "seqs", "chrom", "start", "end"
-    )
+    def piece(x: Column, y: Column) -> Column:
+        n = F.greatest(y - x, F.lit(0).cast("long")).cast("int")
+        return F.substring(F.col("ref_seq"), (x + 1).cast("int"), n)
+
+    pieces = F.zip_with("__from", "__to", piece)
+    # one piece more than letters: the last pair is (rest, nothing)
+    pairs = F.zip_with(pieces, "__gaps", lambda p, x: F.when(x.isNull(), F.array(p)).otherwise(F.array(p, x)))
+    return text.select(*regions.columns, "len", F.flatten(pairs).alias("parts"))
+
+
+def _laid_over(allele: str, missing: str, trim: bool) -> Column:
+    """The parts of a region with the letters of a sample's calls in place of the missing ones."""
+    calls = F.filter("calls", lambda c: c[allele].isNotNull())
+    calls = F.coalesce(calls, F.array().cast("array<struct<rank:int,t1:string,t2:string>>"))
+    before = F.concat(F.array(F.lit(-1)), F.transform(calls, lambda c: c["rank"]))
+
+    def upto(c: Column, last: Column) -> Column:
+        """Parts behind the last call, and this one."""
+        first = 2 * last + 3
+        return F.concat(F.slice("parts", first, 2 * c["rank"] + 2 - first), F.array(c[allele]))
+
+    body = F.flatten(F.zip_with(calls, F.slice(before, F.lit(1), F.size(calls)), upto))
+    behind = 2 * F.element_at(before, -1) + 3
+    seq = F.array_join(F.concat(body, F.slice("parts", behind, F.size("parts") + 1 - behind)), "")
+    seq = F.substring(seq, F.lit(1), F.col("len")) if trim else seq
+    if missing == "error":
+        lacks = F.raise_error(F.concat(F.lit("missing data: "), "sample")).cast("string")
+        seq = F.when(2 * F.size(calls) + 1 < F.size("parts"), lacks).otherwise(seq)
+    return seq
 
 
 def haplotype_sequences(v, g, iv, m, ref=None, single: bool = False, **options) -> DataFrame:

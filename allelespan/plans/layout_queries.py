@@ -93,14 +93,18 @@ def _code(x, y):
     return f"CASE concat({x}, {y}) {cases} ELSE 'N' END"
 
 
-_MERGED = {
+_CODED = {
     **_SEQ,
-    "pairs": "SELECT x.iv_id, x.chrom, x.start, x.end_, x.pop_ix, x.sample_ix, x.sample, x.len, x.seq AS s0, y.seq AS s1 FROM seqs x JOIN seqs y ON x.iv_id = y.iv_id AND x.sample = y.sample AND x.hap = 0 AND y.hap = 1",
-    "merged": f"SELECT iv_id, chrom, start, end_, pop_ix, sample_ix, sample, len, list_aggregate(list_transform(range(1, length(s0) + 1), lambda i: {_code('substr(s0, i, 1)', 'substr(s1, i, 1)')}), 'string_agg', '') AS merged FROM pairs",
+    "snp_codes": f"""SELECT r.iv_id, w.pop_ix, w.sample_ix, w.sample, r.pos, r.ref, r.prev_end, {_code("COALESCE(CASE g.a1 WHEN 0 THEN r.ref WHEN 1 THEN r.alt END, 'N')", "COALESCE(CASE g.a2 WHEN 0 THEN r.ref WHEN 1 THEN r.alt END, 'N')")} AS code
+       FROM ends r JOIN m3 w ON TRUE LEFT JOIN (SELECT variant_id, sample, a1, a2 FROM genotypes) g ON g.variant_id = r.variant_id AND g.sample = w.sample""",
+    "coded": """SELECT iv_id, sample, string_agg(concat(substr(ref_seq, COALESCE(prev_end, start) - start + 1, GREATEST(pos - 1 - COALESCE(prev_end, start), 0)), code), '' ORDER BY pos) AS t, MAX(pos) AS tail
+       FROM snp_codes JOIN ref_seqs USING (iv_id) GROUP BY iv_id, sample""",
+    "merged": """SELECT s.iv_id, s.chrom, s.start, s.end_, w.pop_ix, w.sample_ix, w.sample, length(ref_seq) AS len, concat(COALESCE(t, ''), substr(ref_seq, COALESCE(tail, s.start) - s.start + 1)) AS merged
+       FROM ref_seqs s JOIN m3 w ON TRUE LEFT JOIN coded c ON c.iv_id = s.iv_id AND c.sample = w.sample""",
 }
 
 
-@query("X07_merge_diploid_iupac", "SELECT iv_id, sample, merged FROM merged", _MERGED)
+@query("X07_merge_diploid_iupac", "SELECT iv_id, sample, merged FROM merged", _CODED)
 def _(t):
     seqs = Q.region_sequences(t.snps, t.g, t.loci, t.m, t.ref)
     return Q.merge_diploid_iupac(seqs).select("iv_id", "sample", "merged")
@@ -327,7 +331,7 @@ def _(t):
     """SELECT locus_ix, line_ix, line FROM (
         SELECT locus_ix, ROW_NUMBER() OVER (PARTITION BY locus_ix ORDER BY pop_ix, sample_ix) AS line_ix, concat(sample, ' ', merged) AS line FROM merged JOIN places USING (iv_id)
         UNION ALL SELECT locus_ix, 0, concat('locus', locus_ix, '_', chrom, ':', start + 1, '-', end_, ' ', COUNT(*), ' ', MAX(len)) FROM merged JOIN places USING (iv_id) GROUP BY locus_ix, chrom, start, end_)""",
-    {**_MERGED, "places": _LINE["places"]},
+    {**_CODED, "places": _LINE["places"]},
 )
 def _(t):
     return Q.gphocs_loci(Q.region_sequences(t.snps, t.g, t.loci, t.m, t.ref), t.loci)
