@@ -8,8 +8,10 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from allelespan.session import new_path
 
@@ -21,7 +23,6 @@ BATCH_BYTES = 4 << 20
 #: Rows that a Parquet reader decodes at a time; texts are long, the usual 4,096 of them are large arrays.
 READ_ROWS = 512
 _SIZES = {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES, "spark.sql.parquet.columnarReaderBatchSize": READ_ROWS}
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -29,6 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def id_columns(*more: str) -> list[Column]:
+    """``doc_id`` with 0 for null, ``no_id`` and ``more``: pandas would make numbers of 53 bits of a column with nulls."""
+    return [F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), *map(F.col, more)]
+
+
+def ids_of(frame: pd.DataFrame) -> pd.arrays.IntegerArray:
+    return pd.arrays.IntegerArray(frame.doc_id.to_numpy(np.int64), frame.no_id.to_numpy(bool))
+
+
 class Stage:
     """Tables written to the shared folder of ``spark.checkpoint.dir`` so that a lost executor costs
     a re-read, not a re-run. ``drop`` deletes those that nothing reads any more."""
@@ -45,10 +55,20 @@ class Stage:
         return out
 
     def drop(self, *frames: DataFrame) -> None:
-        jvm = self.spark._jvm
         for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df)))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(self.paths.pop(id(df)))
+
+    def drop_others(self, *frames: DataFrame) -> None:
+        """Delete all tables written here but those of ``frames``."""
+        kept = {self.paths[id(df)] for df in frames}
+        for key, path in list(self.paths.items()):
+            if path not in kept:
+                del self.paths[key]
+                self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -56,14 +76,14 @@ def partitions(spark: SparkSession) -> int:
 
 
 class WordHashes(dict):
-    """64-bit hash by word, remembered for up to ``limit`` words."""
+    """64-bit hash by word (its UTF-8 bytes), remembered for up to ``limit`` words."""
 
     limit = 50_000
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
@@ -84,7 +104,8 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
 
     With fewer than ``size`` words the whole sequence is one shingle; without words none.
     """
-    words = find_words(text.translate(_LOWER)) if text else []
+    # of bytes, lower() changes A-Z only and split() parts at the six white space characters of WORD
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))

@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from allelespan.llm.common import partitions, shingle_set
+from allelespan.llm.common import id_columns, partitions, shingle_set
 
 FRACTION = 1 / 8
-#: A block is read in order by one task: this many consecutive ids at least, more where the ids span more
-#: than ``BLOCKS`` blocks of that width. So one row per block is a table of a known size.
-BLOCK = 1024
+#: A block is read in order by one task: about this many rows, more where that made more than ``BLOCKS`` blocks.
+#: So one row per block is a table of a known size.
+BLOCK = 256
 BLOCKS = 65_536
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -78,18 +78,22 @@ def edited(text: str, following: str) -> str:
 
 def _compare(rows: Iterator[tuple[int, str | None, str | None]], fraction: float) -> pd.DataFrame:
     out = []
+    seen, known = None, None  # the text that followed last, mostly the next one, and its sketch
     for doc_id, text, following in rows:
+        a = known if text is not None and text is seen else sketch(text, fraction)
+        seen, known = following, sketch(following, fraction)
         text, following = text or "", following or ""
         new = edited(text, following)
-        a, b, c = sketch(text, fraction), sketch(new, fraction), sketch(following, fraction)
+        b = sketch(new, fraction)
         sha = hashlib.sha256(new.encode()).hexdigest()
         out.append(
-            (doc_id, len(text), sha, written(a), written(b), resemblance(a, b, fraction), resemblance(a, c, fraction))
-            + (containment(a, b, fraction), containment(a, c, fraction))
+            (doc_id, len(text), sha, written(a), written(b), resemblance(a, b, fraction), resemblance(a, known, fraction))
+            + (containment(a, b, fraction), containment(a, known, fraction))
         )
     names = [x.split()[0] for x in RESULT.split(", ")]
     frame = pd.DataFrame(out, columns=names)
-    return frame.astype({"doc_id": "Int64"})
+    frame["doc_id"] = pd.array([row[0] for row in out], "Int64")
+    return frame
 
 
 def fingerprints(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
@@ -102,34 +106,66 @@ def fingerprints(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
     return docs.select("doc_id", of("text").alias("fingerprint"))
 
 
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (``doc_id``, ``hash`` of the text) with ``block``, which ascends as ``doc_id`` descends, nulls last.
+
+    Blocks are cut at quantiles of the ids, so gaps between ids do not matter. An id of many blocks' rows, or
+    null, has blocks of its own, cut by the hash. All cuts, at most a few per block, are on the driver.
+    """
+    turned = F.bitwise_not("doc_id")  # ascends as the id descends, without overflow
+    total = rows.count()
+    size = max(BLOCK, -(-total // BLOCKS))
+    n = -(-total // size)
+    shares = [i / n for i in range(1, n)]
+    cuts = rows.agg(F.percentile_approx(turned, shares, max(10_000, 10 * n)).alias("c")).first().c if shares else None
+    often = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 2 * size).collect()
+    parts = {r.doc_id: -(-r.n // size) for r in often}
+    own = {~i for i in parts if i is not None}
+    edges = np.array(sorted({*(cuts or ()), *own, *(i + 1 for i in own if i < 2**63 - 1)}), np.int64)
+    of_null = parts.get(None, 1)
+
+    @F.pandas_udf("long")
+    def block(ids: pd.Series, nulls: pd.Series, hashes: pd.Series) -> pd.Series:
+        part = (hashes.to_numpy(np.int64) >> 32) + 2**31  # the upper half, from 0 to 2**32
+        null, key = nulls.to_numpy(bool), ~ids.to_numpy(np.int64)
+        many = np.ones(len(key), np.int64)
+        for i, k in parts.items():
+            if i is not None:
+                many[key == ~i] = k
+        many[null] = of_null
+        at = np.where(null, len(edges) + 1, np.searchsorted(edges, key, "right"))
+        return pd.Series((at << 20) + (part * many >> 32))
+
+    # nulls apart: a column with both would lose digits of large ids
+    return rows.withColumn("block", block(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "hash"))
+
+
 def compare_with_next(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
     """Fingerprints of every text, of its edited form, and their likeness.
 
     The next document has the next smaller doc_id, and the first follows the last; a null id counts as the
-    smallest. Rows with equal ids follow each other by their text. A null text counts as empty. A single
-    document is its own next one. An empty table gives an empty result.
+    smallest. Rows with equal ids follow each other by a hash of their text, then the text. A null text counts
+    as empty. A single document is its own next one. An empty table gives an empty result.
 
-    Texts move once: a block of consecutive ids goes to one partition in order, together with a copy of
-    the row that follows its last one, and is read as a stream of rows. The broadcast heads of blocks are
-    at most ``BLOCKS`` rows of three numbers.
+    Texts move once: a block of rows that follow each other goes to one partition in order, together with a
+    copy of the row that follows its last one, and is read as a stream of rows. The broadcast heads of
+    blocks are at most some ``BLOCKS`` rows of four numbers.
     """
-    rows = docs.select("doc_id", "text")
-    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
-    width = max(BLOCK, -(-((high or 0) - (low or 0) + 1) // BLOCKS))
-    rows = rows.withColumn("block", F.coalesce(F.expr(f"doc_id div {width} - if(doc_id % {width} < 0, 1, 0)"), F.lit(-(2**62))))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
+    rows = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("hash"))
+    rows = in_blocks(rows)
+    order = [F.col("doc_id").desc_nulls_last(), F.col("hash"), F.col("text").asc_nulls_first()]
     # one row per block, so this window stays small: the head of each block also ends the block before it
-    heads = rows.groupBy("block").agg(F.max("doc_id").alias("head"))
-    down = W.orderBy(F.col("block").desc())
-    first_to_last = F.min("block").over(W.partitionBy())
-    heads = heads.select(
-        F.col("block").alias("of"), "head", F.coalesce(F.lag("block").over(down), first_to_last).alias("ends")
-    )
-    same = F.col("head").eqNullSafe(F.col("doc_id"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("turned"), F.col("hash").alias("first"))
+    heads = rows.groupBy("block").agg(F.min(place).alias("h"))
+    up = W.orderBy("block")
+    last_to_first = F.max("block").over(W.partitionBy())
+    heads = heads.select(F.col("block").alias("of"), "h", F.coalesce(F.lag("block").over(up), last_to_first).alias("ends"))
+    same = F.col("h.turned").eqNullSafe(F.bitwise_not("doc_id")) & (F.col("h.first") == F.col("hash"))
     copies = rows.join(F.broadcast(heads), (F.col("block") == F.col("of")) & same)
-    # of several rows with the head's id only the first one by text is needed
+    # of several rows with the head's id and hash only the first one by text is needed
     copies = copies.groupBy("ends").agg(F.min(F.struct(F.col("text").isNotNull(), "text")).alias("t"))
-    copies = copies.select(F.lit(None).cast("long").alias("doc_id"), F.col("t.text").alias("text"), F.col("ends").alias("block"), F.lit(1).alias("copy"))
+    none = F.lit(None).cast("long")
+    copies = copies.select(none.alias("doc_id"), F.col("t.text").alias("text"), none.alias("hash"), F.col("ends").alias("block"), F.lit(1).alias("copy"))
     all_rows = rows.withColumn("copy", F.lit(0)).unionByName(copies)
     n = partitions(docs.sparkSession)
     all_rows = all_rows.repartition(n, "block").sortWithinPartitions("block", "copy", *order)
@@ -138,10 +174,10 @@ def compare_with_next(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
         def pairs():
             held = None
             for frame in frames:
-                for doc_id, text, block, copy in frame.itertuples(index=False, name=None):
+                for doc_id, no_id, text, block, copy in frame.itertuples(index=False, name=None):
                     if held is not None and held[2] == block:
                         yield held[0], held[1], text
-                    held = None if copy else (None if pd.isna(doc_id) else int(doc_id), text, block)
+                    held = None if copy else (None if no_id else int(doc_id), text, block)
 
         def flush(batch):
             return _compare(iter(batch), fraction)
@@ -156,4 +192,4 @@ def compare_with_next(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
         if batch:
             yield flush(batch)
 
-    return all_rows.select("doc_id", "text", "block", "copy").mapInPandas(walk, RESULT)
+    return all_rows.select(*id_columns("text", "block", "copy")).mapInPandas(walk, RESULT)

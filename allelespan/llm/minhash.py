@@ -32,6 +32,8 @@ ROWS = 5
 BINS = BANDS * ROWS
 #: Links need this share of common shingles, in hundredths.
 PERCENT = 85
+#: Ids are broadcast up to so many rows (8 MB), which are counted first.
+SMALL = 1_000_000
 _CHUNK = 200_000
 
 
@@ -64,10 +66,10 @@ def bands_of(rows: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def bands_for(percent: int) -> int:
-    """Bands, in steps of 16, so that a pair of this similarity is missed with a probability below 1e-8."""
+    """Bands, in steps of 16, so that a pair of this similarity is missed with a probability below 1e-5."""
     if percent >= 100:
         return 16
-    needed = math.log(1e-8) / math.log1p(-((percent / 100) ** ROWS))
+    needed = math.log(1e-5) / math.log1p(-((percent / 100) ** ROWS))
     return 16 * math.ceil(needed / 16)
 
 
@@ -164,6 +166,19 @@ def shared_shingles(reps: DataFrame, texts: DataFrame, stage: Stage) -> DataFram
     return sets.groupBy("rep").agg(F.max("lost").alias("lost")).join(counts, "rep", "left").select("rep", (F.coalesce("c", F.lit(0)) + F.col("lost")).alias("f"))
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """``set_key, rep, copies, n, bands`` of equal sets."""
+    with_set = rows.where("set_key is not null and doc_id is not null")
+    return with_set.groupBy("set_key").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    )
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if it has ``SMALL`` rows or fewer; otherwise both sides are dealt out."""
+    return F.broadcast(ids) if ids.count() <= SMALL else ids
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """Component of every row of ``docs`` (``doc_id, text``; other columns are ignored).
 
@@ -173,20 +188,18 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     without a doc_id, are linked with nothing; rows that share a doc_id form one document each in the
     result, and their links add up. An empty table gives an empty result.
 
-    A pair of the least similarity shares no band with a probability below 1e-8 (32 bands of 5 for 85, 48 for 80).
+    A pair of the least similarity shares no band with a probability below 1e-5 (32 bands of 5 for 85 and 80: 8e-9
+    and 3e-6).
     """
     stage = Stage(docs.sparkSession)
     rows = stage.write(sketched(docs, bands_for(percent)), "sketches")
-    with_set = rows.where("set_key is not null and doc_id is not null")
-    classes = with_set.groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
-    )
+    classes = _classes(rows)
     buckets = classes.select("rep", "n", "bands", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     buckets = stage.write(buckets.drop("bands").join(shared, "key", "left_semi"), "buckets")
     # texts move once: those that have to be compared are kept aside
     inside = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    texts = stage.write(docs.select("doc_id", "text").join(inside, "doc_id", "left_semi"), "texts")
+    texts = stage.write(docs.select("doc_id", "text").join(_small(stage.write(inside, "inside")), "doc_id", "left_semi"), "texts")
     fits = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("a") != F.col("b"))
     pair = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
 
@@ -206,26 +219,27 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     open_ = open_.join(shared_shingles(reps, texts, stage), "rep").join(hubs.drop("m"), "key")
     with_hub = star.select(F.col("a").alias("rep"), F.col("b").alias("hub"), F.col("common").alias("i"))
     open_ = open_.join(with_hub, ["rep", "hub"], "left").withColumn("i", F.when(F.col("rep") == F.col("hub"), F.col("n")).otherwise(F.col("i")))
-    # all keys of the open documents, to take a pair in one of its buckets only
-    keys = open_.groupBy("rep").agg(F.collect_set("key").alias("keys"))
-    open_ = stage.write(open_.join(keys, "rep"), "open")
-    left = member(open_, "a", "n", "label", "f", "i", "keys")
-    right = member(open_, "b", "m", F.col("label").alias("label_b"), F.col("f").alias("g"), F.col("i").alias("j"), F.col("keys").alias("keys_b"))
+    open_ = stage.write(open_.drop("hub"), "open")
+    stage.drop_others(rows, texts, star, open_)
+    left = member(open_, "a", "n", "label", "f", "i")
+    right = member(open_, "b", "m", F.col("label").alias("label_b"), F.col("f").alias("g"), F.col("i").alias("j"))
     # common shingles are at most those shared with anyone, and at most those shared with the hub and those
     # outside the hub that are shared with anyone
     by_all = F.least("f", "g")
     by_hub = F.least("i", "j") + F.least(F.col("f") - F.col("i"), F.col("g") - F.col("j"))
     bound = F.least(by_all, F.coalesce(by_hub, by_all))
     can_be = 100 * bound >= percent * (F.col("n") + F.col("m") - bound)
-    here = F.col("key") == F.array_min(F.array_intersect("keys", "keys_b"))
-    rest = left.join(right, "key").where("label > label_b").where(fits).where(can_be).where(here).select(*pair).distinct()
+    rest = left.join(right, "key").where("label > label_b").where(fits).where(can_be).select(*pair).distinct()
     rest = stage.write(rest.join(star, ["a", "b"], "left_anti"), "pairs")
     links = star.unionByName(stage.write(compared(rest, texts, percent), "rest")).where("linked")
     labels = components(links, stage)
+    classes = _classes(rows).drop("bands")
     # copies and components are few: a third table brings them to the rows, any other row is its own component
     found = classes.select("set_key", "rep", "copies").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     found = found.where("copies > 1 or label is not null").select("set_key", F.coalesce("label", "rep").alias("found"))
-    out = rows.select("doc_id", "n_shingles", "set_key").join(stage.write(found, "components"), "set_key", "left")
+    found = stage.write(found, "components")
+    stage.drop_others(rows, found)
+    out = rows.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -234,12 +248,13 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
 def keep_one(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """One row per component of near duplicates, with all columns; rows without a doc_id stay.
 
-    Of rows that share the kept doc_id one stays. Only these are grouped with their texts; all other kept
-    rows just pass a join on the id.
+    Of rows that share the kept doc_id one stays. Only these are grouped with their texts; all other rows
+    just pass by the ids that go.
     """
+    stage = Stage(docs.sparkSession)
     found = near_duplicates(docs, percent=percent).where("doc_id is not null")
-    kept = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept")).where("kept")
-    kept = Stage(docs.sparkSession).write(kept.select("doc_id", "rows"), "kept")
-    one = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    more = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*docs.columns).unionByName(more.select(*docs.columns)).unionByName(docs.where("doc_id is null"))
+    per_id = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
+    marked = stage.write(per_id.where("rows > 1 or not kept"), "marked")
+    one = docs.join(_small(marked.select("doc_id")), "doc_id", "left_anti")
+    more = docs.join(_small(marked.where("kept").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.select(*docs.columns).unionByName(more.select(*docs.columns))

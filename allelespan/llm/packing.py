@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from allelespan.llm.common import Stage
+from allelespan.llm.common import Stage, id_columns, ids_of
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -122,10 +122,10 @@ def cut(docs: DataFrame, path: str, capacity: int) -> DataFrame:
                     part = ids[start : start + capacity]
                     out.append((row, piece, start, len(part), zlib.crc32(part.tobytes())))
             found = pd.DataFrame(out, columns=["row", "piece", "start", "length", "ids_crc32"])
-            found.insert(0, "doc_id", frame.doc_id.astype("Int64").array.take(found.pop("row").to_numpy()))
+            found.insert(0, "doc_id", ids_of(frame).take(found.pop("row").to_numpy()))
             yield found
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(*id_columns("text")).mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(lengths: Iterable[int], capacity: int = CAPACITY, open_bins: int = OPEN) -> Iterator[tuple[int, int]]:
@@ -173,7 +173,8 @@ def pack(docs: DataFrame, *, path: str | None = None, capacity: int = CAPACITY,
     """
     found = Stage(docs.sparkSession).write(cut(docs, path or public_tokenizers.path(VOCABULARY), capacity), "pieces")
     tasks = -(-found.count() // pieces) or 1
-    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    columns = ["doc_id", "no_id", "piece", "start", "length", "ids_crc32"]
+    found = found.select(*id_columns(*columns[2:]))
     dealt = found.withColumn("__key", F.xxhash64(*columns, F.monotonically_increasing_id())).repartition(tasks, "__key")
     wave = F.pmod(F.shiftrightunsigned("__key", 20), F.lit(-(-pieces // WAVE)))
     dealt = dealt.sortWithinPartitions(wave, F.desc("length"), "__key").withColumn("__task", F.spark_partition_id())
@@ -190,7 +191,8 @@ def pack(docs: DataFrame, *, path: str | None = None, capacity: int = CAPACITY,
         for first in places:
             frame = waiting.pop()
             at = np.array([first, *(next(places) for _ in range(len(frame) - 1))], np.int64)
-            out = frame[columns].copy()
+            out = frame[columns[2:]].copy()
+            out.insert(0, "doc_id", ids_of(frame))
             out["sequence_id"], out["offset"] = frame["__task"].to_numpy(np.int64) << 40 | at[:, 0], at[:, 1]
             yield out
 

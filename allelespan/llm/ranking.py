@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from allelespan.llm.common import Stage
+from allelespan.llm.common import Stage, id_columns, ids_of
 
 TOP = 50
 OWNERS = 4
@@ -88,12 +88,12 @@ def index(docs: DataFrame, wanted: list[bytes]) -> tuple[DataFrame, DataFrame]:
             term, doc = keys >> 32, keys & 0xFFFFFFFF
             cuts = np.flatnonzero(np.diff(term, prepend=-1, append=-1)) if len(term) else np.zeros(1, int)
             spans = list(zip(cuts[:-1], cuts[1:], strict=True))
-            head = (task, block, None, None, ids, sizes, sum(map(bool, sizes)))
+            head = (task, block, None, None, pickle.dumps(ids), sizes, sum(map(bool, sizes)))
             rows = [(task, block, int(term[a]), _pack(_small(doc[a:b]), _small(tf[a:b])), None, None, int(b - a)) for a, b in spans]
             return pd.DataFrame([head, *rows], columns=["task", "block", "term", "hits", "doc_ids", "sizes", "n_docs"]).astype({"term": "Int32"})
 
         for frame in frames:
-            for doc_id, text in zip(frame.doc_id.astype("Int64"), frame.text, strict=True):
+            for doc_id, text in zip(ids_of(frame), frame.text, strict=True):
                 own = terms(text)
                 at = np.fromiter(map(numbers.__getitem__, own), np.int64, len(own))
                 found.append(at[at >= 0] << 32 | len(ids))
@@ -106,8 +106,8 @@ def index(docs: DataFrame, wanted: list[bytes]) -> tuple[DataFrame, DataFrame]:
         if ids:
             yield flush()
 
-    schema = "task int, block int, term int, hits binary, doc_ids array<long>, sizes array<long>, n_docs long"
-    both = Stage(docs.sparkSession).write(docs.select("doc_id", "text").mapInPandas(run, schema), "postings")
+    schema = "task int, block int, term int, hits binary, doc_ids binary, sizes array<long>, n_docs long"
+    both = Stage(docs.sparkSession).write(docs.select(*id_columns("text")).mapInPandas(run, schema), "postings")
     return both.where("term IS NULL").drop("term", "hits"), both.where("term IS NOT NULL").drop("doc_ids", "sizes")
 
 
@@ -167,13 +167,13 @@ def _search(docs: DataFrame, items: list[list[bytes]], top: int, owners: int) ->
     plan = spark.createDataFrame([(t, b, owner[t]) for b, own in enumerate(asked) for t in own] or [(-1, 0, 0)], "term int, bundle int, owner int")
     dealt = postings.drop("n_docs").join(plan, "term")
     dealt = dealt.toDF(*dealt.columns)  # blocks and postings are read from one table, their columns must not pass for the same
-    state = "task int, block int, bundle int, doc_ids array<long>, sizes array<long>, found binary"
+    state = "task int, block int, bundle int, doc_ids binary, sizes array<long>, found binary"
     travelling = blocks.drop("n_docs").withColumn("bundle", F.explode(F.sequence(F.lit(0), F.lit(len(bundles) - 1))))
     travelling = travelling.withColumn("found", F.lit(None).cast("binary")).select("task", "block", "bundle", "doc_ids", "sizes", "found")
 
     def owned(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> tuple[int, np.ndarray, list[int | None]]:
         bundle = int(key[2])
-        ids = [None if i is None or i != i else int(i) for i in left.doc_ids[0]]
+        ids = pickle.loads(left.doc_ids[0])
         norm = 50 + 50 * np.asarray(left.sizes[0], dtype=object) * total // length
         scores = np.zeros((len(bundles[bundle]), len(ids)), np.int64)
         if left.found[0] is not None:
@@ -190,8 +190,9 @@ def _search(docs: DataFrame, items: list[list[bytes]], top: int, owners: int) ->
 
     def ranked(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         bundle, scores, ids = owned(key, left, right)
-        out = pd.DataFrame(best(scores, ids, top), columns=["item", "doc_id", "score"])
-        return out.assign(item=out["item"] + bundle * BUNDLE, doc_id=out["doc_id"].astype("Int64"))
+        found = list(best(scores, ids, top))
+        out = pd.DataFrame({"item": [i + bundle * BUNDLE for i, _, _ in found]})
+        return out.assign(doc_id=pd.array([d for _, d, _ in found], "Int64"), score=[s for _, _, s in found])
 
     key = ["task", "block", "bundle"]
     for o in range(owners):

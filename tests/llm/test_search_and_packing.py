@@ -209,3 +209,61 @@ def test_empty_tables(spark):
     assert [ranking.search(d, i).count() for d, i in ((none, one), (one, none), (one, one))] == [0, 0, 0]
     assert packing.pack(none).count() == 0
     assert [(r.length, r.offset) for r in packing.pack(one).collect()] == [(1, 0)]
+
+
+def test_fingerprints_with_gaps_hot_and_null_ids(spark, monkeypatch):
+    """Ids far apart, one id of many rows and many rows without one: blocks stay small and the order whole."""
+    from allelespan.llm import fingerprint
+
+    monkeypatch.setattr(fingerprint, "BLOCK", 8)
+    ids = [*range(40), 2**60, 2**63 - 1, -(2**63), *[7] * 50, *[None] * 60]
+    rows = [(i, prose(RNG.randint(0, 40))) for i in ids]
+    RNG.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashed = df.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    sizes = [r["count"] for r in fingerprint.in_blocks(hashed).groupBy("block").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 40
+    hash_of = {r.text: r.hash for r in hashed.select("text", "hash").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hash_of[r[1]], r[1]))
+    want = Counter()
+    for (i, text), (_, following) in zip(order, order[1:] + order[:1], strict=True):
+        new = fingerprint.edited(text, following)
+        sets = [fingerprint.shingle_set(x) for x in (text, new, following)]
+        low = [s[s < np.uint64(2**61)] if (s < np.uint64(2**61)).any() else s[:1] for s in sets]
+
+        def like(x, y):
+            union = sorted({*x.tolist(), *y.tolist()})
+            kept = [h for h in union if h < 2**61] or union[:1]
+            return float(len(x) == len(y)) if not len(x) or not len(y) else len([h for h in kept if h in x and h in y]) / len(kept)
+
+        want[i, len(text), fingerprint.written(low[0]), fingerprint.written(low[1]), round(like(low[0], low[1]), 9), round(like(low[0], low[2]), 9)] += 1
+    got = fingerprint.compare_with_next(df).collect()
+    assert Counter((r.doc_id, r.n_chars, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got) == want
+
+
+def test_many_documents_just_below_the_threshold_share_a_bucket(spark):
+    """No pair is lost or linked wrongly among near copies from 0.6 to 0.9."""
+    from allelespan.llm import minhash
+
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for j in RNG.sample(range(120), RNG.choice([1, 2, 3, 4, 5, 6])):
+            words[j] = f"v{RNG.randrange(9)}"
+        rows.append((i, " ".join(words)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(116)} for i, t in rows}
+    label = {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                label[max(x, y)] = min(x, y)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=80)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: root(i) for i in sets}
