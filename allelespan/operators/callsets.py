@@ -154,3 +154,35 @@ def extract_regions(
 
 def empty_regions(hits: DataFrame, iv: DataFrame) -> DataFrame:
     return iv.join(hits.select("iv_id").distinct(), "iv_id", "left_anti")
+
+
+BUCKETS = 64
+
+
+def bins_as_regions(st: DataFrame) -> DataFrame:
+    """Bins of a statistic table (``CHROM, BIN_START, BIN_END``, one-based) as regions."""
+    start = (F.col("BIN_START") - 1).cast("long")
+    name = F.concat_ws(":", "CHROM", F.col("BIN_START").cast("string"), F.col("BIN_END").cast("string"))
+    return st.select(name.alias("iv_id"), F.col("CHROM").alias("chrom"), start.alias("start"), F.col("BIN_END").cast("long").alias("end")).distinct()
+
+
+def _bucket(region: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(region.cast("string")), F.lit(buckets)).cast("int")
+
+
+def write_regions(hits: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "error") -> None:
+    """Records labelled by region, in ``buckets`` folders by a hash of ``iv_id`` and in order there.
+
+    There are at most buckets x tasks files, however many regions; a large region is dealt out by position.
+    """
+    rows = hits.withColumn("bucket", _bucket(F.col("iv_id"), buckets))
+    rows = rows.repartition("bucket", F.floor(F.col("pos") / (1 << 16))).sortWithinPartitions("bucket", "iv_id", "pos")
+    rows.write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def read_regions(spark, path: str, regions: list, buckets: int = BUCKETS) -> DataFrame:
+    """The records of some regions of ``write_regions``; only their folders are read."""
+    rows, wanted = spark.read.parquet(path), F.lit(False)
+    for r in regions:
+        wanted = wanted | ((F.col("bucket") == _bucket(F.lit(r), buckets)) & (F.col("iv_id") == r))
+    return rows.filter(wanted).drop("bucket")

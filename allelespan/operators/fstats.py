@@ -1,11 +1,12 @@
 """Admixture statistics with a weighted delete-one-block jackknife.
 
-Population combinations are given as name lists; they are expanded to one struct per combination
-inside the row of a site, so no table is crossed and each site is read once for all of them.
+Population combinations are given as name lists; they are expanded inside the row of a site, so no table
+is crossed and each site is read once for all of them.
 """
 
 from __future__ import annotations
 
+import json
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -51,24 +52,31 @@ def frequencies(g: DataFrame, m: DataFrame, pops: list[str]) -> DataFrame:
 
 
 def _terms(sites: DataFrame, combos, pops, term, block: int) -> DataFrame:
-    """Sum numerators and denominators per combination and block, in one pass over the sites."""
+    """Sum numerators and denominators per combination and block, in one pass over the sites.
+
+    The combinations are one literal array of places in ``pops``, whatever their number.
+    """
     at = {name: i for i, name in enumerate(pops)}
-    structs = []
-    for combo in combos:
-        p = {k: F.col(f"p_{at[x]}") for k, x in combo.items()}
-        n = {k: F.col(f"n_{at[x]}").cast("double") for k, x in combo.items()}
-        num, den = term(p, n)
-        names = [F.lit(x).alias(k) for k, x in combo.items()]
-        structs.append(F.struct(*names, num.alias("num"), den.alias("den")))
     labels = list(combos[0])
-    long = sites.select(
-        "chrom", F.floor(F.col("pos") / block).cast("long").alias("block"), F.explode(F.array(*structs)).alias("t")
-    ).select("chrom", "block", "t.*")
-    return (
+    places = F.from_json(F.lit(json.dumps([[at[c[k]] for k in labels] for c in combos])), "array<array<int>>")
+    rows = sites.select(
+        "chrom", F.floor(F.col("pos") / block).cast("long").alias("block"), F.array(*[F.col(f"p_{i}") for i in range(len(pops))]).alias("ps"),
+        F.array(*[F.col(f"n_{i}").cast("double") for i in range(len(pops))]).alias("ns"),
+    )
+
+    def sums(c: Column) -> Column:
+        p, n = ({k: F.get(x, F.get(c, F.lit(j))) for j, k in enumerate(labels)} for x in ("ps", "ns"))
+        num, den = term(p, n)
+        return F.struct(num.alias("num"), den.alias("den"))
+
+    long = rows.select("chrom", "block", F.posexplode(F.transform(places, sums)).alias("combo", "t")).select("chrom", "block", "combo", "t.*")
+    out = (
         long.filter(F.col("num").isNotNull() & F.col("den").isNotNull())
-        .groupBy(*labels, "chrom", "block")
+        .groupBy("combo", "chrom", "block")
         .agg(F.sum("num").alias("num"), F.sum("den").alias("den"), F.count("*").alias("m"))
     )
+    names, own = F.array(*[F.lit(x) for x in pops]), F.get(places, F.col("combo"))
+    return out.select(*[F.get(names, F.get(own, F.lit(j))).alias(k) for j, k in enumerate(labels)], "chrom", "block", "num", "den", "m")
 
 
 def jackknife(blocks: DataFrame, labels: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from allelespan.operators import sequence as Q
 from allelespan.operators import sfs as SFS
 from allelespan.operators.counts import site_counts, with_absent_missing
 from allelespan.plans.registry import query
-from allelespan.session import materialise
+from allelespan.session import materialise, new_path
 
 IV = ["iv_id", "chrom", "start", "end"]
 END = 'end_ AS "end"'
@@ -612,3 +612,34 @@ def _(t):
     place = places(S.shuffle_regions(drawn, draw_col=F.col("d")), "d")
     return place.withColumn("d", F.round(F.col("d") * 100003).cast("long"))
 
+
+# ---- regions to results --------------------------------------------------------------------------------
+
+
+_BIN_ROWS = "SELECT chrom, CAST(FLOOR((pos - 1)/2500) AS BIGINT)*2500 + 1 AS s, AVG(p_size) AS x FROM variants GROUP BY 1, 2"
+
+
+@query(
+    "J09_statistic_bins",
+    f"SELECT concat_ws(':', b.chrom, s, s + 2499) AS iv_id, v.variant_id FROM ({_BIN_ROWS}) b JOIN variants v ON v.chrom = b.chrom AND v.pos BETWEEN s AND s + 2499 WHERE x > 25",
+)
+def _(t):
+    """The records of the bins of a statistic that are above a value."""
+    start = (F.floor((F.col("pos") - 1) / 2500) * 2500 + 1).cast("long")
+    sized = t.v.join(t.raw("part").select(F.col("p_partkey").alias("variant_id"), "p_size"), "variant_id")
+    st = sized.groupBy(F.col("chrom").alias("CHROM"), start.alias("BIN_START")).agg(F.avg("p_size").alias("X"))
+    st = st.filter("X > 25").withColumn("BIN_END", F.col("BIN_START") + 2499)
+    return CS.extract_regions(t.v, CS.bins_as_regions(st)).select("iv_id", "variant_id")
+
+
+@query(
+    "J09_bucketed_sink",
+    """SELECT l.iv_id, v.variant_id, v.pos, 'all' AS part FROM loci l JOIN variants v ON v.chrom = l.chrom AND v.pos - 1 >= l.start AND v.pos - 1 < l.end_
+       UNION ALL SELECT l.iv_id, v.variant_id, v.pos, 'some' FROM loci l JOIN variants v ON v.chrom = l.chrom AND v.pos - 1 >= l.start AND v.pos - 1 < l.end_ WHERE l.iv_id IN ('chr1:0', 'chr3:0')""",
+)
+def _(t):
+    """Written by region, read back as a whole and for two regions."""
+    path = new_path(t.spark, "regions")
+    CS.write_regions(CS.extract_regions(t.v, t.loci), path, 8)
+    some = CS.read_regions(t.spark, path, ["chr1:0", "chr3:0"], 8).select("iv_id", "variant_id", "pos", F.lit("some").alias("part"))
+    return t.spark.read.parquet(path).select("iv_id", "variant_id", "pos", F.lit("all").alias("part")).unionByName(some)
