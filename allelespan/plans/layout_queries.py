@@ -14,6 +14,7 @@ from allelespan.operators import sfs as SFS
 from allelespan.plans.registry import query
 from allelespan.session import new_path
 from allelespan.sinks import layouts as K
+from allelespan.sinks.convert import convert, read_callset
 from allelespan.sources import genotypes as SG
 from allelespan.sources import sequences as SS
 from allelespan.sources import tables as ST
@@ -630,14 +631,11 @@ def _(t):
 )
 def _(t):
     """VCF to PED to EIGENSTRAT: heterozygosity survives whatever allele each format calls first."""
-    v, g = SV.read_vcf(t.spark, vcf_path(t))
-    v = v.filter(P.only_biallelic())
-    v2, g2 = SG.letters_to_callset(SG.read_ped(t.spark, *_ped_files(t, v, g)))
-    two = v2.withColumn("alts", F.when(F.size("alts") > 0, F.col("alts")).otherwise(F.array(F.lit("N"))))
-    prefix = new_path(t.spark, "convert")
-    K.write_eigenstrat(two, g2, prefix)
-    _, g3, _ = SG.read_eigenstrat(t.spark, prefix)
-    return g3.select("chrom", "pos", "sample", ((F.col("a1") + F.col("a2")) * (2 - F.col("a1") - F.col("a2"))).alias("het"))
+    ped, prefix = new_path(t.spark, "ped"), new_path(t.spark, "convert")
+    convert(t.spark, vcf_path(t), "vcf", ped, "ped")
+    convert(t.spark, ped, "ped", prefix, "eigenstrat")
+    _, g = read_callset(t.spark, prefix, "eigenstrat")
+    return g.select("chrom", "pos", "sample", ((F.col("a1") + F.col("a2")) * (2 - F.col("a1") - F.col("a2"))).alias("het"))
 
 
 # ---- models ------------------------------------------------------------------------------------------
