@@ -88,7 +88,7 @@ _WEIGHT = "CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {n} {case
 )
 
 _MIX_SQL = rf"""WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size,
-  md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key FROM documents),
+  md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null|' || md5(coalesce(text, '')))) AS key FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, {_WEIGHT} AS weight, {mixing.EPOCHS} * source_size AS cap FROM s),
 o AS (SELECT *, sum(source_size) OVER () * {mixing.SHARE} AS total, CAST(sum(weight) OVER () AS BIGINT) AS all_weight,

@@ -394,6 +394,33 @@ def test_mixed_documents_have_the_words(docs):
     assert dict(out) == taken
 
 
+def test_mixed_documents_of_repeated_and_missing_ids(spark):
+    """Rows that share an id, have none, or are copies of each other add up to what their source is due."""
+    rows = [(None, words(10), "a") for _ in range(20)] + [(None, "same words in every row", "a")] * 30
+    rows += [(7, words(n), "b") for n in (3, 9, 9, 20)] + [(8, "one two three", "b")] * 4 + [(9, "three of another", "c"), (9, "x y", None)]
+    rows += [(None, None, "a"), (None, "", None), (10, "big " * 900, "d")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, source string, size int").repartition(4)
+    size = {i: len(split(r[1])) for i, r in enumerate(rows)}
+    plan = mixing.mix(docs).collect()
+    assert len(plan) == len(rows) and sorted(r.size for r in plan) == sorted(size.values())
+    due = Counter()
+    for r in plan:
+        due[r.source_size] += r.taken
+        assert r.taken <= 2 * r.size
+    assert {r.source_size: int(r.target + 1e-9) for r in plan} == dict(due)
+    out, times = Counter(), Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        source = rows[r.size][2]
+        out[source] += len(split(r.text))
+        times[r.size] += len(split(r.text))
+        assert rows[r.size][1].startswith(r.text) and r.source == source
+    assert all(times[i] <= 2 * size[i] for i in times)
+    total = Counter()
+    for i, r in enumerate(rows):
+        total[r[2]] += size[i]
+    assert out == {s: due[n] for s, n in total.items()}
+
+
 def test_url_models_are_whole(spark, monkeypatch):
     """Words and tokens outside the broadcast head count as those in it do."""
     # the words of the host names are rarer than any word of the fillers
