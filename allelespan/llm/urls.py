@@ -1,8 +1,8 @@
 """URL filters: rules by host and path, and a learned verdict for urls without a rule.
 
 Host names are split into words by the most probable segmentation under a unigram model of words seen
-apart (in paths and between hyphens); naive Bayes over the words of host and path gives the verdict. Both models come from
-counts over all urls and stay whole tables; only their most frequent rows are broadcast, the others are joined.
+apart (in paths and between hyphens); naive Bayes over the words of host and path gives the verdict. Its examples are the
+urls that a rule decides. Both models come from counts over all urls and stay whole tables; only their most frequent rows are broadcast, the others are joined.
 """
 
 from __future__ import annotations
@@ -18,16 +18,12 @@ from pyspark.sql import functions as F
 from allelespan.llm.common import Stage
 
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-#: Words that mark a host as one to block when the model is fitted; a parameter, in plain order.
-SEEDS = (
-    "adult", "ads", "bet", "bets", "betting", "casino", "cheap", "escort", "free", "loan", "loans", "lottery", "malware",
-    "phish", "pills", "poker", "porn", "sex", "slots", "spam", "track", "tracker", "viagra", "win", "xxx",
-)
 #: Host labels that say how a site is reached, not what it is.
 PLAIN = ("www", "m", "blog", "com", "net", "org", "example")
 #: Rows of each model that are broadcast, the most frequent ones; the rest takes part by joins.
 HEAD = 50_000
-LONGEST = 24
+#: A host label has no more letters, by the rules for domain names.
+LONGEST = 63
 #: Weights are whole multiples of 1 / UNIT, so that their sums do not depend on their order.
 UNIT = 1 << 32
 _PAIR = "host string, path string"
@@ -51,16 +47,16 @@ def rule_of(rules=RULES):
     return best
 
 
-def word_counts(urls: DataFrame, seeds=SEEDS, plain=PLAIN) -> DataFrame:
+def word_counts(urls: DataFrame, plain=PLAIN) -> DataFrame:
     """``word, n``: counts of the words of all paths and of the parts of hyphenated host labels. A label
-    without a hyphen is what has to be split, so it is no evidence for itself. Seed words are in the
-    counts at least once, so that names made of them split.
+    without a hyphen is what has to be split, so it is no evidence for itself.
+    Plain labels are in the counts at least once.
     """
     in_names = F.regexp_extract_all("host", F.lit(r"(?:(?<=-)[a-z]+|[a-z]+(?=-))"), 0)
     in_paths = F.regexp_extract_all(F.lower("path"), F.lit(r"[a-z]+"), 0)
     words = urls.select(F.explode(F.concat(in_names, in_paths)).alias("word"), F.lit(1).alias("n"))
     words = words.where((F.length("word") <= LONGEST) & (F.length("word") > 1))
-    always = urls.sparkSession.createDataFrame([(w, 0) for w in {*seeds, *plain}], "word string, n int")
+    always = urls.sparkSession.createDataFrame([(w, 0) for w in sorted(plain)], "word string, n int")
     return words.unionByName(always).groupBy("word").agg(F.greatest(F.sum("n"), F.lit(1)).cast("long").alias("n"))
 
 
@@ -140,19 +136,22 @@ def _with_rare_words(pairs: DataFrame, rare: DataFrame, head, plain) -> DataFram
     return pairs.join(found, ["host", "path"], "left")
 
 
-def judge_urls(pages: DataFrame, rules=RULES, seeds=SEEDS, plain=PLAIN) -> DataFrame:
+def judge_urls(pages: DataFrame, rules=RULES, plain=PLAIN) -> DataFrame:
     """Rule and verdict per row of ``pages`` (``page_id, url``; other columns are ignored).
 
-    Rules win. Other urls are judged by naive Bayes. It is fitted on all distinct (host, path) pairs, each
-    weighted by its urls: those whose host has a seed word are examples to block, the others to allow; the
-    words that come with seeds carry over to hosts without one. A null url, or one without ``://``, has empty host and path, no rule, and the verdict of the priors.
+    Rules win. Other urls are judged by naive Bayes. It is fitted on all distinct (host, path) pairs that a rule decides,
+    each weighted by its urls; a token that no such pair has is no evidence. A null url, or one without ``://``, has empty
+    host and path, no rule, and the verdict of the priors, as has every url if no rule fits any; a tie is allowed.
+    Repeated rows are judged alike and each counts as an example. An empty table gives an empty result.
     """
     spark = pages.sparkSession
     stage = Stage(spark)
     rows = pages.select("page_id", *parts())
     rows = rows.withColumn("rule", rule_of(rules))
-    pairs = stage.write(rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")), "pairs")
-    words = stage.write(word_counts(rows, seeds, plain), "words")
+    verdicts = F.create_map(*[F.lit(x) for r in rules for x in r])
+    pairs = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.first(verdicts[F.col("rule")]).alias("label"))
+    pairs = stage.write(pairs, "pairs")
+    words = stage.write(word_counts(rows, plain), "words")
     n_words, total = words.agg(F.count(F.lit(1)), F.sum("n")).first()
     top = words.orderBy(F.col("n").desc(), "word").limit(HEAD).collect()
     model_words = spark.sparkContext.broadcast(({r.word: r.n for r in top}, total))
@@ -161,25 +160,23 @@ def judge_urls(pages: DataFrame, rules=RULES, seeds=SEEDS, plain=PLAIN) -> DataF
         pairs = stage.write(_with_rare_words(pairs, rare, model_words, plain), "pairs")
     else:
         pairs = pairs.withColumn("more", F.lit(None).cast("array<string>"))
-    marked = frozenset(seeds)
 
     def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         split = segmenter(*model_words.value)
         for f in frames:
             rows = [
-                (t, int(any(x[2:] in marked for x in ts if x[0] == "h")), n)
-                for host, path, n, more in zip(f.host, f.path, f.n, f.more, strict=True)
-                for ts in [tokens_of(host, path, split(more), plain)]
-                for t in [*ts, ""]
+                (t, n, n * (label == "allow"), n * (label == "block"))
+                for host, path, n, label, more in zip(f.host, f.path, f.n, f.label, f.more, strict=True)
+                for t in [*tokens_of(host, path, split(more), plain), ""]
             ]
-            yield pd.DataFrame(rows, columns=["token", "block", "n"])
+            yield pd.DataFrame(rows, columns=["token", "n", "allow", "block"])
 
-    seen = pairs.mapInPandas(tokens, "token string, block int, n long")
-    seen = seen.groupBy("token").agg(F.sum(F.col("n") * (1 - F.col("block"))).alias("allow"), F.sum(F.col("n") * F.col("block")).alias("block"))
+    # urls without a rule add nothing to a class, but their tokens are in the table
+    seen = pairs.mapInPandas(tokens, "token string, n long, allow long, block long")
+    seen = seen.groupBy("token").agg(F.sum("n").alias("n"), F.sum("allow").alias("allow"), F.sum("block").alias("block"))
     weights, prior, n_tokens = naive_bayes(stage.write(seen, "tokens"))
     top = weights.orderBy(F.col("seen").desc(), "token").limit(HEAD).collect()
     model = spark.sparkContext.broadcast({r.token: r.weight for r in top})
-    verdicts = F.create_map(*[F.lit(x) for r in rules for x in r])
 
     def judged(score) -> Column:
         by_model = F.when(score + F.lit(prior) > 0, F.lit("block")).otherwise(F.lit("allow"))
@@ -223,12 +220,16 @@ def judge_urls(pages: DataFrame, rules=RULES, seeds=SEEDS, plain=PLAIN) -> DataF
 
 
 def naive_bayes(seen: DataFrame) -> tuple[DataFrame, int, int]:
-    """Log odds of block against allow per token, add-one smoothed, in units of 1 / UNIT (``token, seen,
-    weight``); the prior from the count of examples at ''; and the number of tokens."""
+    """Log odds of block against allow per token, add-one smoothed, 0 for tokens without an example, in units of
+    1 / UNIT (``token, seen, weight``); the prior from the count of examples at ''; and the number of tokens."""
     words = seen.where("token != ''")
-    n, allow, block = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("allow"), F.lit(0)), F.coalesce(F.sum("block"), F.lit(0))).first()
-    odds = F.log((F.col("block") + 1) / float(block + n + 1)) - F.log((F.col("allow") + 1) / float(allow + n + 1))
-    weights = words.select("token", (F.col("allow") + F.col("block")).alias("seen"), F.round(odds * UNIT).cast("long").alias("weight"))
+    both = F.col("allow") + F.col("block")
+    n, known, allow, block = words.agg(
+        F.count(F.lit(1)), F.count_if(both > 0), F.coalesce(F.sum("allow"), F.lit(0)), F.coalesce(F.sum("block"), F.lit(0))
+    ).first()
+    odds = F.log((F.col("block") + 1) / float(block + known + 1)) - F.log((F.col("allow") + 1) / float(allow + known + 1))
+    weight = F.when(both > 0, F.round(odds * UNIT).cast("long")).otherwise(0)
+    weights = words.select("token", F.col("n").alias("seen"), weight.alias("weight"))
     examples = seen.where("token = ''").first()
     a, b = (examples.allow, examples.block) if examples else (0, 0)
     return weights, round((math.log(b + 1) - math.log(a + 1)) * UNIT), n

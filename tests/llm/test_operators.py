@@ -341,10 +341,12 @@ def test_urls(spark):
         (0, None, ""), (1, "no scheme", "net/"), (2, "http://NET/x", None), (3, "https://a.example.net/en/1", ""), (4, "https://a.example.net/fr", ""),
         (5, "http://x.example.com/de/9?q", ""), (6, "http://y.org/fr/", ""), (7, "http://myexample.com/de/", ""), (8, "http://a.org?x/fr/", ""), (8, "http://a.org?x/fr/", ""),
     ]
+    # what the rules block and allow teaches the words of other hosts
     hosts = ["cheap-pills", "casino-win", "spam-farm", "free-bets"]
-    data += [(100 + i, f"http://{hosts[i % 4]}.org/en/{i}", "") for i in range(80)]
-    data += [(300 + i, f"http://{words(1)}{i}.org/en/{i}", "") for i in range(200)]
-    data += [(900, "http://pillsfarm.org/en/1", ""), (901, "http://quietgarden.org/en/1", "")]
+    data += [(100 + i, f"http://{hosts[i % 4]}.net/{i}", "") for i in range(80)]
+    data += [(200 + i, f"http://{hosts[i % 4]}.org/{i}", "") for i in range(80)]
+    data += [(300 + i, f"http://quiet-garden{i % 9}.org/fr/{i}", "") for i in range(200)]
+    data += [(900, "http://pillsfarm.org/1", ""), (901, "http://quietgarden.org/1", "")]
     frame = spark.createDataFrame(data, "page_id long, url string, rule string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(frame).collect()}
     assert got[0][:3] == got[1][:3] == ("", "", None)
@@ -353,7 +355,7 @@ def test_urls(spark):
     assert got[5] == ("x.example.com", "/de/9", "example.com/de/", "block")
     assert got[6][2:] == ("org/fr/", "allow") and got[7][2] is None
     assert got[8][:3] == ("a.org", "", None)
-    assert all(got[100 + i][3] == "block" for i in range(80))
+    assert all(got[100 + i][2:] == ("net/", "block") and got[200 + i][2:] == (None, "block") for i in range(80))
     assert got[900][3] == "block" and got[901][3] == "allow"
 
 
@@ -425,7 +427,8 @@ def test_url_models_are_whole(spark, monkeypatch):
     """Words and tokens outside the broadcast head count as those in it do."""
     # the words of the host names are rarer than any word of the fillers
     data = [f"http://{'abcdefgh'[i % 8]}{i % 7}.com/{'/'.join(('ab', 'cde', 'fgab')[: i % 4])}/{'hgfe'[i % 3 :]}" for i in range(300)]
-    data += [f"http://cheapzebra{i}-x.com/rareword{i}/zebra" for i in range(5)] + ["http://zebracheap.com/", "http://zebra.com/rareword2", None, "no"]
+    data += [f"http://cheapzebra{i}-x.net/rareword{i}/zebra" for i in range(5)] + ["http://zebracheap.com/", "http://zebra.com/rareword2", None, "no"]
+    data += [f"http://calm{i}.example.net/en/{'abcdefgh'[i]}{i}/cde" for i in range(8)]
     frame = spark.createDataFrame(list(enumerate(data)), "page_id long, url string")
 
     def verdicts():
@@ -439,6 +442,69 @@ def test_url_models_are_whole(spark, monkeypatch):
         assert verdicts() == whole
 
 
+def test_urls_against_a_plain_version(spark):
+    """All splits of every name, all counts and weights by hand."""
+    vocabulary = ["red", "rose", "sun", "day", "moon", "game", "play", "cash"]
+    data = []
+    for i in range(160):
+        a, b = RNG.choice(vocabulary), RNG.choice(vocabulary)
+        end = RNG.choice(["net/", "example.com/de/", "org/fr/", "org/en/", "com/", "example.net/en/"])
+        sep = RNG.choice(["-", "", "", "."])
+        data.append(f"http://{a}{sep}{b}.{end}{RNG.choice(vocabulary)}{RNG.choice(vocabulary + [''])}/{i % 3}")
+    data += ["http://unseenword.com/x", "http://" + "red" * 4 + ".com/", None, "none", data[0], data[0]]
+    frame = spark.createDataFrame(list(enumerate(data)), "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge_urls(frame).collect()}
+
+    count = Counter({w: 0 for w in urls.PLAIN})
+    for r in got.values():
+        found = re.findall(r"(?<=-)[a-z]+|[a-z]+(?=-)", r.host) + re.findall("[a-z]+", r.path.lower())
+        count.update(w for w in found if len(w) > 1)
+    count = {w: max(n, 1) for w, n in count.items()}
+    total = sum(count.values())
+
+    def splits(name):
+        if not name:
+            yield 0.0, ()
+        for n in range(1, len(name) + 1):
+            cost = np.log(total / count[name[:n]]) if name[:n] in count else np.log(total) + (n + 1) * np.log(10)
+            for c, rest in splits(name[n:]):
+                yield cost + c, (name[:n], *rest)
+
+    split_of = {}
+
+    def best(name):
+        if name not in split_of:
+            split_of[name] = min(splits(name)) if name.isalpha() else (0.0, (name,))
+        return split_of[name][1]
+
+    def tokens(r):
+        labels = [x for x in re.findall("[a-z0-9]+", r.host) if x not in urls.PLAIN]
+        runs = re.findall("[a-z0-9]+", r.path.lower())
+        return [f"h:{w}" for x in labels for w in best(x)] + [t for x in runs for t in (["p:#"] if x.isdigit() else [f"p:{w}" for w in best(x)])]
+
+    rules, examples, seen = dict(urls.RULES), Counter(), {"allow": Counter(), "block": Counter()}
+    for r in got.values():
+        if r.rule:
+            examples[rules[r.rule]] += 1
+            seen[rules[r.rule]].update(tokens(r))
+    known = set(seen["allow"]) | set(seen["block"])
+    assert min(examples.values()) > 10
+
+    def log_share(kind, t):
+        return np.log((seen[kind][t] + 1) / (sum(seen[kind].values()) + len(known) + 1))
+
+    verdicts = Counter()
+    for r in got.values():
+        score = np.log((examples["block"] + 1) / (examples["allow"] + 1))
+        score += sum(log_share("block", t) - log_share("allow", t) for t in tokens(r) if t in known)
+        if r.rule:
+            assert r.verdict == rules[r.rule]
+        elif abs(score) > 1e-6:
+            assert r.verdict == ("block" if score > 0 else "allow")
+            verdicts[r.verdict] += 1
+    assert min(verdicts["allow"], verdicts["block"]) > 5
+
+
 def test_pages_keep_text_in_marked_wrappers():
     body = "<article><p>" + "Words of the article go on and on here. " * 8 + "</p></article>"
     plain = body.replace("article>", "div>")
