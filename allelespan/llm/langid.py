@@ -28,6 +28,8 @@ LENGTH = 40
 #: Features seen with fewer distinct words of the sample are left out, but for the lexicon.
 LEAST = 3
 ROUNDS = 30
+#: Words that a text is taken to have besides its own when it is told from random letters.
+DOUBT = 3
 _LONGEST = 40
 _BLOCK = 32
 
@@ -70,17 +72,21 @@ class Model:
 
     limit = 60_000
 
-    def __init__(self, langs: list[str], index: dict[str, int], weights: np.ndarray, transitions: np.ndarray, start: np.ndarray):
+    def __init__(self, langs: list[str], index: dict[str, int], weights: np.ndarray, transitions: np.ndarray, start: np.ndarray, often: np.ndarray | None = None, usual=(1.0, 0.0)):
         self.langs, self.index, self.weights, self.transitions, self.start = langs, index, weights, transitions, start
+        #: Logarithm of how often each feature is in the sample, and its mean over the features of words of the
+        #: languages, and of words of their letters at random.
+        self.often, self.usual = np.zeros(len(weights), np.float32) if often is None else often, usual
         self.forget()
 
     def forget(self) -> None:
         """Free the words seen; tasks do so at their end, as workers outlive them."""
         self.place = _Places()
         self.emission = np.zeros((1024, len(self.langs)), np.float32)
+        self.strength = np.zeros(1024, np.float32)
 
     def __getstate__(self):
-        return self.langs, self.index, self.weights, self.transitions, self.start
+        return self.langs, self.index, self.weights, self.transitions, self.start, self.often, self.usual
 
     def __setstate__(self, state):
         self.__init__(*state)
@@ -92,18 +98,32 @@ class Model:
         out = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         if new := self.place.new:
             get = self.index.get
-            flat, lengths = [], []
+            flat, lengths, all_of = [], [], []
             for w in new:
-                found = [i for i in map(get, features(w)) if i is not None]
+                of = features(w)
+                found = [i for i in map(get, of) if i is not None]
                 flat += found or [0]
                 lengths.append(len(found) or 1)
+                all_of.append(len(of))
             upto = len(self.place)
             while upto > len(self.emission):
                 self.emission = np.concatenate([self.emission, np.zeros_like(self.emission)])
+                self.strength = np.concatenate([self.strength, np.zeros_like(self.strength)])
+            self.strength[upto - len(new) : upto] = _segment_sums(self.often[flat], np.array(lengths)) / all_of
             self.emission[upto - len(new) : upto] = _segment_sums(self.weights[flat], np.array(lengths)) + self.weights[0]
             self.place.new = []
         return out
 
+    def known(self, words: list[str]) -> float:
+        """How far the words are from random letters: how often their features are in the sample (mean logarithm), on
+        a scale on which words like those of the sample have 1 and words of random letters 0. ``DOUBT`` words of the
+        first kind are added, so that a few rare names make no text foreign."""
+        likely, random = self.usual
+        if likely <= random:
+            return 1.0
+        mean = (float(self.strength[self.rows(words)].sum()) + DOUBT * likely) / (len(words) + DOUBT)
+        return (mean - random) / (likely - random)
+
     def posteriors(self, docs: list[list[str]]) -> list[np.ndarray]:
         """Language probabilities of every word of the given non-empty word lists."""
         lengths = np.array([len(d) for d in docs])
@@ -229,7 +249,34 @@ def _learn(sequences: list[tuple[list[str], np.ndarray]], langs: list[str], roun
         for x, g, s in zip((weights, transitions, start), gradients, sums, strict=True):
             s += g * g
             x += 0.3 * g / np.sqrt(s)
-    return Model(langs, index, weights.astype(np.float32), transitions, start)
+    return Model(langs, index, weights.astype(np.float32), transitions, start, *_usual(sequences, langs, index))
+
+
+def _usual(sequences, langs: list[str], index: dict[str, int]) -> tuple[np.ndarray, tuple[float, float]]:
+    """Logarithm of one more than the count of each feature in the words of the sample; its mean over the features of
+    these words, each without what the word itself adds, and over as many words of random letters of the same language.
+    Counts are of words as often as they occur, so junk in the sample, which hardly repeats, weighs little."""
+    words = Counter((w, int(g)) for ws, gold in sequences for w, g in zip(ws, gold, strict=True))
+    count = np.zeros(len(index) + 1)
+    letters: list[set[str]] = [set() for _ in langs]
+    places = {}
+    for (w, g), n in words.items():
+        letters[g].update(w)
+        if w not in places:
+            of = features(w)
+            places[w] = [i for i in map(index.get, of) if i is not None], len(of)
+        count[places[w][0]] += n
+    random = np.random.default_rng(2)
+    alphabet = [sorted(x) for x in letters]
+    strength, less = np.log1p(count), np.log1p(np.maximum(count - 1, 0))
+    likely = noise = 0.0
+    for (w, g), n in words.items():
+        found, size = places[w]
+        likely += n * less[found].sum() / size
+        of = features("".join(random.choice(alphabet[g], len(w))))
+        noise += n * sum(strength[i] for i in map(index.get, of) if i is not None) / len(of)
+    total = max(1, sum(words.values()))
+    return strength.astype(np.float32), (likely / total, noise / total)
 
 
 def held_out() -> F.Column:
@@ -308,18 +355,19 @@ def label_words(model: Model, text: str) -> list[tuple[str, str]]:
     return [(w, model.langs[i]) for w, i in zip(words, model.posteriors([words])[0].argmax(1), strict=True)] if words else []
 
 
-def read_texts(model: Model | None, texts) -> tuple[list[str], list[float], list[float]]:
-    """Leading language, its mean probability, and how sure the words are: the mean of each word's
-    largest probability, whatever the language."""
-    langs, scores, sure = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
+def read_texts(model: Model | None, texts) -> tuple[list[str], list[float], list[float], list[float]]:
+    """Leading language, its mean probability, how sure the words are (the mean of each word's largest
+    probability, whatever the language), and how much they are like words of any language (``Model.known``)."""
+    langs, scores, sure, known = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     if model is not None:
         for places, lists in _batches(texts):
-            for i, p in zip(places, model.posteriors(lists), strict=True):
+            for i, words, p in zip(places, lists, model.posteriors(lists), strict=True):
                 mean = p.mean(axis=0)
                 best = int(mean.argmax())
                 langs[i], scores[i] = model.langs[best], float(min(1.0, mean[best]))
                 sure[i] = float(p.max(axis=1).mean())
-    return langs, scores, sure
+                known[i] = model.known(words)
+    return langs, scores, sure, known
 
 
 def identify_texts(model: Model | None, texts) -> tuple[list[str], list[float]]:
@@ -347,23 +395,30 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(run, RESULT)
 
 
-def keep_identified(docs: DataFrame, *, least: float = 0.5, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs`` whose words are told with a mean certainty of ``least`` or more, with all columns.
+def keep_identified(docs: DataFrame, *, least: float = 0.5, like: float = 0.5, model: Model | None = None) -> DataFrame:
+    """The rows of ``docs`` whose words are told with a mean certainty of ``least`` or more and are words of the known
+    languages rather than random letters (``like`` on the scale of ``Model.known``), with all columns.
 
     A text that switches between languages is as certain as its words are; its share of the leading language does not
-    matter. Rows without a letter go. If there was nothing to learn from, all rows with a letter stay.
+    matter. Where ``lang`` is null it becomes the leading language. Null and empty texts, and those without a letter, go.
+    If there was nothing to learn from, all rows with a letter stay as they are. Repeated rows are judged alike, a null
+    ``doc_id`` is as good as any, and an empty table gives an empty result.
     """
     known = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
 
-    @F.pandas_udf("boolean")
-    def stays(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("string")
+    def language(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """Leading language of texts that stay, '' if there is no model; null for those that go."""
         m = known.value
         for texts in batches:
             if m is None:
-                yield pd.Series([bool(words_of(t)) for t in texts], dtype=bool)
+                yield pd.Series(["" if words_of(t) else None for t in texts], dtype=object)
             else:
-                yield pd.Series([x >= least for x in read_texts(m, list(texts))[2]], dtype=bool)
+                found = zip(*read_texts(m, list(texts)), strict=True)
+                yield pd.Series([x if sure >= least and words >= like else None for x, _, sure, words in found], dtype=object)
         if m is not None:
             m.forget()
 
-    return docs.withColumn("__stays", stays("text")).where("__stays").select(*docs.columns)
+    # not deterministic to Catalyst, so that the filter does not call it a second time
+    out = docs.withColumn("__lang", language.asNondeterministic()("text")).where("__lang is not null")
+    return out.withColumn("lang", F.coalesce("lang", F.nullif("__lang", F.lit("")))).select(*docs.columns)

@@ -91,3 +91,30 @@ def test_language_stage_keeps_switched_and_unlabelled_texts(spark):
     # nothing to learn from: what has letters stays
     blank = docs.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r.doc_id for r in stage(spark, blank, "").collect()} == {*range(120), 900, 901}
+
+
+def test_language_stage_rejects_random_letters(spark):
+    kinds = {"en": "the of and ing tion", "de": "der die und ung keit", "ru": "\u043d\u0430 \u043f\u043e \u0435\u043d\u0438\u0435 \u0441\u0442\u0432 \u043e\u0439"}
+
+    def text(lang, n):
+        return " ".join("".join(RNG.choices(kinds[lang].split(), k=RNG.randint(1, 3))) for _ in range(n))
+
+    def noise(n, letters="abcdefghijklmnopqrstuvwxyz"):
+        return " ".join("".join(RNG.choices(letters, k=RNG.randint(3, 9))) for _ in range(n))
+
+    rows = [(i, text(lang, 60), lang) for i, lang in enumerate(list(kinds) * 60)]
+    rows += [(200 + i, noise(40), None if i % 4 else RNG.choice(["en", "de", None])) for i in range(40)]
+    # some of them with a label, and letters that the languages do have
+    rows += [(300 + i, noise(40, sorted(set("".join(kinds["de"].split())))), None) for i in range(10)]
+    mixed = [text("en", 25) + " " + text("ru", 20) + " " + text("de", 20) for _ in range(10)]
+    rows += [(400 + i, t, None) for i, t in enumerate(mixed)]
+    rows += [(500 + i, text("en", 30) + " " + noise(8) + " " + text("de", 10), "en") for i in range(10)]
+    rows += [(600, "und", None), (601, "", "en"), (None, text("de", 30), None), (None, text("de", 30), None), (602, "Kqzx", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    got = stage(spark, docs, "").collect()
+    ids = {r.doc_id for r in got}
+    assert ids >= {*range(180), *range(400, 410), *range(500, 510), 600, None}
+    assert not ids & {*range(200, 240), *range(300, 310), 601}
+    assert [r.lang for r in got if r.doc_id is None] == ["de", "de"] and all(r.lang for r in got)
+    assert stage(spark, docs.limit(0), "").count() == 0
