@@ -114,22 +114,23 @@ class Model:
             self.place.new = []
         return out
 
-    def known(self, words: list[str]) -> float:
-        """How far the words are from random letters: how often their features are in the sample (mean logarithm), on
-        a scale on which words like those of the sample have 1 and words of random letters 0. ``DOUBT`` words of the
-        first kind are added, so that a few rare names make no text foreign."""
-        likely, random = self.usual
-        if likely <= random:
-            return 1.0
-        mean = (float(self.strength[self.rows(words)].sum()) + DOUBT * likely) / (len(words) + DOUBT)
-        return (mean - random) / (likely - random)
-
-    def posteriors(self, docs: list[list[str]]) -> list[np.ndarray]:
-        """Language probabilities of every word of the given non-empty word lists."""
+    def read(self, docs: list[list[str]]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Language probabilities of every word of the given non-empty word lists, and how far each list is from random
+        letters: how often its features are in the sample (mean logarithm), on a scale on which words like those of the
+        sample have 1 and words of random letters 0. ``DOUBT`` words of the first kind are added, so that a few rare
+        names make no text foreign."""
         lengths = np.array([len(d) for d in docs])
         rows = self.rows([w for d in docs for w in d])
         probabilities = forward_backward(self.emission[rows], lengths, self.transitions, self.start)
-        return np.split(probabilities, np.cumsum(lengths)[:-1])
+        likely, random = self.usual
+        known = np.ones(len(docs))
+        if likely > random:
+            mean = (_segment_sums(self.strength[rows].astype(np.float64), lengths) + DOUBT * likely) / (lengths + DOUBT)
+            known = (mean - random) / (likely - random)
+        return np.split(probabilities, np.cumsum(lengths)[:-1]), known
+
+    def posteriors(self, docs: list[list[str]]) -> list[np.ndarray]:
+        return self.read(docs)[0]
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -357,16 +358,16 @@ def label_words(model: Model, text: str) -> list[tuple[str, str]]:
 
 def read_texts(model: Model | None, texts) -> tuple[list[str], list[float], list[float], list[float]]:
     """Leading language, its mean probability, how sure the words are (the mean of each word's largest
-    probability, whatever the language), and how much they are like words of any language (``Model.known``)."""
+    probability, whatever the language), and how much they are like words of any language (``Model.read``)."""
     langs, scores, sure, known = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     if model is not None:
         for places, lists in _batches(texts):
-            for i, words, p in zip(places, lists, model.posteriors(lists), strict=True):
+            for i, p, like in zip(places, *model.read(lists), strict=True):
                 mean = p.mean(axis=0)
                 best = int(mean.argmax())
                 langs[i], scores[i] = model.langs[best], float(min(1.0, mean[best]))
                 sure[i] = float(p.max(axis=1).mean())
-                known[i] = model.known(words)
+                known[i] = float(like)
     return langs, scores, sure, known
 
 
@@ -397,7 +398,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 def keep_identified(docs: DataFrame, *, least: float = 0.5, like: float = 0.5, model: Model | None = None) -> DataFrame:
     """The rows of ``docs`` whose words are told with a mean certainty of ``least`` or more and are words of the known
-    languages rather than random letters (``like`` on the scale of ``Model.known``), with all columns.
+    languages rather than random letters (``like`` on the scale of ``Model.read``), with all columns.
 
     A text that switches between languages is as certain as its words are; its share of the leading language does not
     matter. Where ``lang`` is null it becomes the leading language. Null and empty texts, and those without a letter, go.

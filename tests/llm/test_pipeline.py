@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from allelespan.llm import minhash, mixing, secrets
+from allelespan.llm import langid, minhash, mixing, secrets
 
 RNG = random.Random(3)
 
@@ -116,5 +116,8 @@ def test_language_stage_rejects_random_letters(spark):
     ids = {r.doc_id for r in got}
     assert ids >= {*range(180), *range(400, 410), *range(500, 510), 600, None}
     assert not ids & {*range(200, 240), *range(300, 310), 601}
+    model = langid.fit(docs)
+    many = [noise(3000), text("en", 50), noise(3000)]
+    assert [x >= 0.5 for x in langid.read_texts(model, many)[3]] == [False, True, False]
     assert [r.lang for r in got if r.doc_id is None] == ["de", "de"] and all(r.lang for r in got)
     assert stage(spark, docs.limit(0), "").count() == 0
