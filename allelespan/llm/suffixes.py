@@ -7,6 +7,13 @@ text, at about three bytes per byte of the corpus, and buckets are sorted one at
 memory. Within a bucket equal stretches are one class; suffixes of the classes that can have a string in
 common are sorted by their first bytes, and long ties are settled by ranks of a difference-cover sample:
 two positions have a common offset below the period at which both are in the sample.
+
+A piece that is frequent in ever other surroundings would gather a bucket that grows with the corpus. So the
+bytes of all stretches are first counted by a hash of their piece, and pieces under a heavy counter come
+after all others in the order of pieces: their strings go to the smallest of their other pieces, which
+depends on the string alone, so that equal strings still meet. Counts are repeated with the new order until
+no counter of an undemoted piece is heavy. What stays with a demoted piece are strings made of such pieces
+only.
 """
 
 from __future__ import annotations
@@ -26,6 +33,8 @@ from allelespan.llm.common import mix64
 WIDTH = 50
 #: Text of one bucket and of one group of documents, in bytes, on average.
 BUCKET = 4 << 20
+#: Bytes of stretches under one counter from which its pieces come last; counters by bucket.
+HEAVY, COUNTERS = 2 * BUCKET, 16
 #: Text that a task gathers before it writes to the buckets, and works on at once.
 FLUSH, CHUNK = 8 << 20, 1 << 20
 _PIECE = 8
@@ -49,14 +58,21 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[: len(v) - (width - size)], v[width - size :])
 
 
-def stretches(x: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, strings, smallest piece) of the stretches of texts that lie one after another in ``x``.
+def place_of(piece: np.ndarray, last: np.ndarray | None) -> np.ndarray:
+    """Places of pieces in the order of pieces; those under a counter that is set in ``last`` come after all others."""
+    place = mix64(piece) >> np.uint64(1)
+    if last is not None:
+        place |= last[place % np.uint64(len(last))].astype(np.uint64) << np.uint64(63)
+    return place
+
+
+def stretches(x: np.ndarray, begins: np.ndarray, lengths: np.ndarray, last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, strings, place of the smallest piece) of the stretches of texts that lie one after another in ``x``.
 
     All texts have ``WIDTH`` bytes at least. A stretch ends with its text.
     """
-    least = sliding_min(mix64(eights(x)), WIDTH - _PIECE + 1)
+    least = sliding_min(place_of(eights(x), last), WIDTH - _PIECE + 1)
     # strings that start in the last WIDTH - 1 bytes of a text would cross its end
-    valid = np.ones(len(x) + 1, np.int8)
     ends = begins + lengths
     edge = np.zeros(len(x) + 1, np.int32)
     np.add.at(edge, ends - WIDTH + 1, 1)
@@ -159,7 +175,6 @@ def sort_bucket(x: np.ndarray, at: np.ndarray, owner: np.ndarray) -> tuple[np.nd
             return at, group
     # ties of 32 bytes: three-way partitions around a pivot, compared by sample ranks at the common offset
     rank = cover_ranks(v)
-    low = np.zeros(len(at), np.int64)
     active = np.arange(len(at))
     place = np.arange(len(at))
     while len(active):
@@ -178,7 +193,6 @@ def sort_bucket(x: np.ndarray, at: np.ndarray, owner: np.ndarray) -> tuple[np.nd
         # a group is named by the place of its first member, which keeps names in order
         group[active] = place[active][np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))]
         active = active[side != 0]
-    del low
     # neighbours in suffix order that agree in the rest of the string are the same string
     same = np.ones(len(at), bool)
     for step in (0, 8, 16, 24, 32, 40, WIDTH - 8):
@@ -218,30 +232,47 @@ def _group_of(doc: np.ndarray, mark: np.ndarray, groups: int) -> np.ndarray:
     return (mix64(doc.view(np.uint64) ^ mix64(mark.astype(np.uint64))) % np.uint64(groups)).astype(np.int64)
 
 
-def _to_buckets(rows: list[tuple[int, int, bytes]], buckets: int) -> Iterator[tuple[int, bytes]]:
-    """Stretches of the given (doc_id, mark, text) by bucket. Of equal stretches only those of the smallest
-    document travel as text; for the others it is settled here that they go, and only their place travels."""
-    rows = sorted((r for r in rows if len(r[2]) >= WIDTH), key=lambda r: r[:2])
-    if not rows:
-        return
-    doc, mark = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.uint32)
-    parts = [(i, s) for i, r in enumerate(rows) for s in range(0, len(r[2]) - WIDTH + 1, CHUNK)]
-    found, texts, base, k = [], [], 0, 0
+def _chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts of ``WIDTH`` bytes at least in chunks, long ones in parts whose strings do not overlap: (bytes,
+    begins, lengths, number of the text, start in the text)."""
+    parts = [(i, s) for i, t in enumerate(texts) for s in range(0, len(t) - WIDTH + 1, CHUNK)]
+    k = 0
     while k < len(parts):
         some, size, first = [], 0, k
         while k < len(parts) and (size < CHUNK or k == first):
             i, s = parts[k]
-            some.append(rows[i][2][s : s + CHUNK + WIDTH - 1])
+            some.append(texts[i][s : s + CHUNK + WIDTH - 1])
             size += len(some[-1])
             k += 1
-        x = np.frombuffer(b"".join(some), np.uint8)
         lengths = np.array([len(t) for t in some])
-        begins = np.cumsum(lengths) - lengths
-        start, strings, least = stretches(x, begins, lengths)
+        numbers, starts = np.array(parts[first:k]).T
+        yield np.frombuffer(b"".join(some), np.uint8), np.cumsum(lengths) - lengths, lengths, numbers, starts
+
+
+def _bytes_by_counter(texts: list[bytes], counters: int, last: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(counter, bytes) of the stretches of the texts whose smallest piece is not demoted."""
+    keys, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for x, begins, lengths, _, _ in _chunks([t for t in texts if len(t) >= WIDTH]):
+        _, strings, least = stretches(x, begins, lengths, last)
+        first = least >> np.uint64(63) == 0
+        keys.append(least[first] % np.uint64(counters))
+        sizes.append(strings[first] + WIDTH - 1)
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return key.astype(np.int64), np.bincount(at, np.concatenate(sizes), len(key)).astype(np.int64)
+
+
+def _to_buckets(rows: list[tuple[int, int, bytes]], buckets: int, last: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
+    """Stretches of the given (doc_id, mark, text) by bucket. Of equal stretches only those of the smallest
+    document travel as text; for the others it is settled here that they go, and only their place travels."""
+    rows = sorted((r for r in rows if len(r[2]) >= WIDTH), key=lambda r: r[:2])
+    if not rows:
+        return
+    doc, mark = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.uint32)
+    found, texts, base = [], [], 0
+    for x, begins, lengths, numbers, starts in _chunks([r[2] for r in rows]):
+        start, strings, least = stretches(x, begins, lengths, last)
         part = np.searchsorted(begins, start, "right") - 1
-        owner = np.array([i for i, _ in parts[first:k]])[part]
-        offset = np.array([s for _, s in parts[first:k]])[part] + start - begins[part]
-        found.append((owner, offset, strings, least, content_hashes(x, start, strings + WIDTH - 1), start + base))
+        found.append((numbers[part], starts[part] + start - begins[part], strings, least, content_hashes(x, start, strings + WIDTH - 1), start + base))
         texts.append(x)
         base += len(x)
     x = np.concatenate(texts)
@@ -261,7 +292,7 @@ def _to_buckets(rows: list[tuple[int, int, bytes]], buckets: int) -> Iterator[tu
         yield int(bucket[mine[0]]), blob
 
 
-def _contested(x: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+def _contested(x: np.ndarray, begin: np.ndarray, size: np.ndarray, last: np.ndarray | None = None) -> np.ndarray:
     """Which of the different stretches may have a string in common with another one.
 
     A common string holds the smallest piece, and either the 24 bytes from its start on or the 24 bytes up
@@ -275,7 +306,7 @@ def _contested(x: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray
         s = size[k:upto]
         part = x[begin[k] : begin[k] + int(b[-1] + s[-1])]
         v = eights(part)
-        h = mix64(v)
+        h = place_of(v, last)
         owner = np.repeat(np.arange(upto - k), s)[: len(h)]
         at = np.arange(len(h)) - b[owner]
         h[at + _PIECE > s[owner]] = _TOP
@@ -301,7 +332,7 @@ def _contested(x: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray
     return out
 
 
-def settle_bucket(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def settle_bucket(blobs: list[bytes], last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(doc_id, mark, start, strings): runs of strings of a bucket that a smaller document has as well."""
     parts = [unpack(b) for b in blobs]
     doc = np.concatenate([p[0][p[2]] for p in parts])
@@ -329,7 +360,7 @@ def settle_bucket(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     out = [(doc[gone], mark[gone], start[gone], strings[gone].astype(np.int64))]
     heads = np.unique(class_of)
     if len(heads) > 1:
-        heads = heads[_contested_of(x, begin, size, heads)]
+        heads = heads[_contested_of(x, begin, size, heads, last)]
     if len(heads) > 1:
         y = _gather(x, begin[heads], size[heads])
         count = size[heads] - WIDTH + 1
@@ -360,10 +391,10 @@ def settle_bucket(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _contested_of(x: np.ndarray, begin: np.ndarray, size: np.ndarray, heads: np.ndarray) -> np.ndarray:
+def _contested_of(x: np.ndarray, begin: np.ndarray, size: np.ndarray, heads: np.ndarray, last: np.ndarray | None) -> np.ndarray:
     y = _gather(x, begin[heads], size[heads])
     s = size[heads]
-    return _contested(y, np.cumsum(s) - s, s)
+    return _contested(y, np.cumsum(s) - s, s, last)
 
 
 def _verdicts(texts: list[bytes], replies: list[bytes]) -> Iterator[tuple]:
@@ -387,10 +418,45 @@ def _verdicts(texts: list[bytes], replies: list[bytes]) -> Iterator[tuple]:
             at += n
 
 
-def _removal(docs: DataFrame, finish, schema: str) -> DataFrame:
+def heavy_counters(rows: DataFrame, total: int, counters: int, heavy: int) -> np.ndarray | None:
+    """Which counters hold more than ``heavy`` bytes of stretches, None if there are none.
+
+    Rows without a doc_id are counted as well. At most one row per counter and split is shuffled; what comes to
+    the driver are the heavy counters, at most the bytes of all stretches by ``heavy`` of them. Each round
+    reads the texts once more; later ones stop when nothing holds over twice ``heavy``.
+    """
+    last: np.ndarray | None = None
+    # no string is in two stretches, so none of them can be heavy in a small table
+    while total * WIDTH > heavy:
+
+        def count(frames: Iterator[pd.DataFrame], last=last) -> Iterator[pd.DataFrame]:
+            held, size = [], 0
+            for f in frames:
+                for text in f.text:
+                    data = (text or "").encode()
+                    held.append(data)
+                    size += len(data)
+                    if size >= FLUSH:
+                        yield pd.DataFrame(dict(zip(("counter", "size"), _bytes_by_counter(held, counters, last), strict=True)))
+                        held, size = [], 0
+            yield pd.DataFrame(dict(zip(("counter", "size"), _bytes_by_counter(held, counters, last), strict=True)))
+
+        sums = rows.select("text").mapInPandas(count, "counter long, size long").groupBy("counter").agg(F.sum("size").alias("size"))
+        found = sums.filter(F.col("size") > heavy).collect()
+        if not found:
+            break
+        last = np.zeros(counters, bool) if last is None else last.copy()
+        last[[r["counter"] for r in found]] = True
+        if max(r["size"] for r in found) <= 2 * heavy:
+            break
+    return last
+
+
+def _removal(docs: DataFrame, finish, schema: str, heavy: int) -> DataFrame:
     rows = docs.select("doc_id", "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(64, total // BUCKET)
+    last = heavy_counters(rows, total, COUNTERS * parts, heavy)
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[list[tuple[int | None, int, bytes]]]:
         held, size = [], 0
@@ -407,12 +473,12 @@ def _removal(docs: DataFrame, finish, schema: str) -> DataFrame:
 
     def scatter(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for held in read(frames):
-            out = list(_to_buckets([r for r in held if r[0] is not None], parts))
+            out = list(_to_buckets([r for r in held if r[0] is not None], parts, last))
             if out:
                 yield pd.DataFrame(out, columns=["bucket", "blob"])
 
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
-        doc, mark, start, strings = settle_bucket(list(frame.blob))
+        doc, mark, start, strings = settle_bucket(list(frame.blob), last)
         group = _group_of(doc, mark, parts)
         order = np.argsort(group, kind="stable")
         cuts = np.flatnonzero(np.diff(group[order], prepend=-1))
@@ -446,23 +512,24 @@ def _spans(gone: np.ndarray) -> np.ndarray:
     return edge.reshape(-1, 2)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """``doc_id, kept binary, spans array<struct<start, end>>`` of every row of ``docs`` (``doc_id, text``).
 
     A byte goes if a string of 50 bytes around it also starts in a document with a smaller doc_id. Strings
     are those of the whole input texts as UTF-8 and lie within one document. A null text counts as empty,
     texts under 50 bytes stay whole. Rows without a doc_id lose nothing and make no other row lose
-    anything; rows that share a doc_id lose nothing to each other. Equal rows have equal results.
+    anything; rows that share a doc_id lose nothing to each other. Equal rows have equal results, an empty table
+    has an empty one. Pieces with over ``heavy`` bytes of stretches are split up; the result does not depend on it.
     """
 
     def finish(rows) -> pd.DataFrame:
         out = [(i, x[~gone].tobytes(), [{"start": int(a), "end": int(b)} for a, b in _spans(gone)]) for i, x, gone in rows]
         return pd.DataFrame(out, columns=["doc_id", "kept", "spans"]).astype({"doc_id": "Int64"})
 
-    return _removal(docs, finish, "doc_id long, kept binary, spans array<struct<start: long, end: long>>")
+    return _removal(docs, finish, "doc_id long, kept binary, spans array<struct<start: long, end: long>>", heavy)
 
 
-def removal_digests(docs: DataFrame) -> DataFrame:
+def removal_digests(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """``remove_repeats`` by its sizes and the digest of what is kept."""
 
     def finish(rows) -> pd.DataFrame:
@@ -470,4 +537,4 @@ def removal_digests(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    return _removal(docs, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _removal(docs, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", heavy)

@@ -317,17 +317,42 @@ def test_repeats_in_small_alphabets(monkeypatch):
         data = [(i, "".join(RNG.choice(parts)[RNG.randint(0, 30) :] for _ in range(RNG.randint(0, 4)))) for i in range(10)]
         data += [(20, "ab " * 60), (21, "ab " * 80)]
         blobs = {}
+        # any choice of pieces that come last gives the same result
+        last = RNG.choice([None, np.array([RNG.random() < 0.5 for _ in range(7)]), np.ones(3, bool)])
         for k in range(0, len(data), 4):
-            for b, x in suffixes._to_buckets([(i, 0, t.encode()) for i, t in data[k : k + 4]], 3):
+            for b, x in suffixes._to_buckets([(i, 0, t.encode()) for i, t in data[k : k + 4]], 3, last):
                 blobs.setdefault(b, []).append(x)
         gone = {i: np.zeros(len(t), bool) for i, t in data}
         for x in blobs.values():
-            for i, _, s, n in zip(*suffixes.settle_bucket(x), strict=True):
+            for i, _, s, n in zip(*suffixes.settle_bucket(x, last), strict=True):
                 gone[i][s : s + n + 49] = True
         expected = removed(data)
         assert {i: int(g.sum()) for i, g in gone.items()} == {i: e[1] for i, e in expected.items()}, trial
 
 
+def test_a_piece_in_many_contexts_is_split_up(spark):
+    pieces = ["".join(RNG.choice("abcdefghijklmnop") for _ in range(8)) for _ in range(20_000)]
+    order = suffixes.place_of(np.array([int.from_bytes(p.encode()) for p in pieces], np.uint64), None)
+    first = pieces[int(order.argmin())]  # the smallest piece of nearly every string around it
+    texts = [words(30) + first + words(30) for _ in range(2000)]
+    data = list(enumerate(texts + [t[:90] + " " + t[60:] for t in texts[::40]]))
+    buckets, counters, heavy = 1 << 30, 1 << 14, 20_000
+
+    def heaviest(last):
+        sizes = Counter()
+        for b, x in suffixes._to_buckets([(i, 0, t.encode()) for i, t in data], buckets, last):
+            sizes[b] += len(suffixes.unpack(x)[6])
+        return max(sizes.values())
+
+    rows = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    total = sum(len(t) for _, t in data)
+    last = suffixes.heavy_counters(rows, total, counters, heavy)
+    assert heaviest(None) > 100_000
+    assert heaviest(last) <= 2 * heavy
+    got = by_id(suffixes.removal_digests(rows, heavy=heavy), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == removed(data)
+
+
 def test_difference_cover():
     inside = np.isin(np.arange(31), suffixes._COVER)
     for i in range(31):
