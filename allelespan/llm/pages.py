@@ -3,7 +3,8 @@
 Every block of the document tree has a density: characters per tag, corrected by the share of link
 characters and link tags. The densities of a block's children are summed, the block with the largest sum
 holds the article, and the least density on its way up to the body is the threshold that blocks beside it
-must reach to belong to the article as well.
+must reach to belong to the article as well. As the logarithm in the density grows with the size of a block,
+a block beside the best one may reach the threshold in characters per tag alone instead.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ _TAG = re.compile(
     r"""|</?(?P<loose>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)""",
     re.S,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that are no part of an article.
@@ -41,8 +42,14 @@ _MARKS = frozenset(
     "subscription signup login popup modal overlay widget pagination pager toolbar contentinfo complementary search "
     "topbar copyright".split()
 )
+#: Words that name parts of a layout: an id is a mark only if it has no others, else it names what a section is about.
+_LAYOUT = frozenset(
+    "area bar block bottom box button buttons container content div footer form global group header icons inner item items left "
+    "link links list main message outer page panel post posts right root section site slot text top unit wrap wrapper".split()
+)
 #: Parts of a name after which the next part is a property of the layout, not what the block is.
 _MODIFIERS = frozenset("has no with without hide hides show shows".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HEADER = frozenset(("site", "page", "top", "main", "global"))
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
@@ -70,16 +77,15 @@ def _is_noise(name: str, rest: str) -> str:
         return "noise"
     if name in _WRAPPERS:
         return "marked"
-    if name in ("html", "body") or not rest:
+    if name in ("html", "body") or name in _HEADINGS or not rest:
         return ""
     words: set[str] = set()
     for found in _NAMES.finditer(rest):
-        for one in (found[1] or found[2] or found[3] or "").lower().split():
-            before = ""
-            for word in re.findall(r"[a-z0-9]+", one):
-                if before not in _MODIFIERS:
-                    words.add(word)
-                before = word
+        for one in (found[2] or found[3] or found[4] or "").lower().split():
+            parts = re.findall(r"[a-z0-9]+", one)
+            if found[1].lower() == "id" and not all(w in _MARKS or w in _LAYOUT or w in _MODIFIERS or w.isdigit() for w in parts):
+                continue
+            words.update(w for before, w in zip(["", *parts], parts, strict=False) if before not in _MODIFIERS)
     if name in ("article", "main"):
         return "" if words.isdisjoint(("comment", "comments", "reply", "ad", "advert", "sponsored")) else "marked"
     if not words.isdisjoint(_MARKS) or ("header" in words and (len(words) == 1 or not words.isdisjoint(_HEADER))):
@@ -184,7 +190,8 @@ def parse(html: str) -> Block:
                 up = up.parent
             if up.name in _SAME[name] and up.parent is not None:
                 at = close_to(up.parent)
-        block = Block(name, at, _is_noise(name, rest))
+        # the header of an article has its title
+        block = Block(name, at, _is_noise("div" if name == "header" and _within(at, "article") else name, rest))
         at.parts.append(block)
         at = block
     settle(root)
@@ -201,6 +208,13 @@ def _inside(block: Block, other: Block) -> bool:
     return False
 
 
+def _within(block: Block, name: str) -> bool:
+    up: Block | None = block
+    while up is not None and up.name != name:
+        up = up.parent
+    return up is not None
+
+
 def _blocks(root: Block) -> list[Block]:
     """Blocks in page order without noise."""
     out, todo = [], [root]
@@ -223,8 +237,8 @@ def _composite(b: Block, body: Block) -> float:
     return per_tag * max(0.0, math.log(ratio)) / max(1.0, math.log(base))
 
 
-def article(root: Block) -> list[Block]:
-    """The blocks that make up the article: disjoint subtrees in page order."""
+def weigh(root: Block) -> list[Block]:
+    """Blocks in page order with counts over their subtrees, densities and the sums of their children's."""
     blocks = _blocks(root)
     for b in reversed(blocks):  # children before parents
         if b.parent is not None:
@@ -237,31 +251,74 @@ def article(root: Block) -> list[Block]:
         b.sum += b.own
         if b.parent is not None:
             b.parent.sum += b.density
-    best = root
-    for b in blocks:
-        if b.sum > best.sum:
-            best = b
-    threshold, up = best.density, best
+    return blocks
+
+
+def _per_tag(b: Block) -> float:
+    """Characters outside links per tag, less by the share of links, whatever the size of the block."""
+    plain = b.chars - b.link_chars
+    return plain / max(1, b.tags) * plain / b.chars if b.chars else 0.0
+
+
+def _texts_of(b: Block) -> list[Block]:
+    """The parts of a block in page order, with the text between two blocks as a block of its own. Where links
+    have a third of the text directly in a block, all of it counts as links."""
+    inside = [p for p in b.parts if isinstance(p, Block)]
+    links = 3 * (b.link_chars - sum(p.link_chars for p in inside if not p.noise)) >= max(1, b.own)
+    out: list[Block] = []
+    for p in b.parts:
+        if isinstance(p, Block):
+            if not p.noise:
+                out.append(p)
+        else:
+            if not out or out[-1].name != "":
+                out.append(Block("", b, ""))
+            out[-1].parts.append(p)
+    for p in out:
+        if p.name == "":
+            p.chars = sum(len("".join(t.split())) for t in p.parts if t)
+            p.link_chars = p.chars if links else 0
+    return out
+
+
+def article(root: Block) -> list[Block]:
+    """The blocks that make up the article: disjoint subtrees in page order."""
+    blocks = weigh(root)
+    best = max(blocks, key=lambda b: b.sum)  # the first of equal ones
+    threshold, even, up, top = best.density, _per_tag(best), best, None
+    path: set[int] = set()
     while up is not None:
         if up.name in ("article", "main"):
-            best = up
-        threshold = min(threshold, up.density)
-        up = up.parent
-    if best.name in ("article", "main") or best is root:
-        return [best]
-    # the children of the way up that are dense enough belong to the article, in page order
-    path, up = set(), best
-    while up is not None:
+            top = up
         path.add(id(up))
+        threshold, even = min(threshold, up.density), min(even, _per_tag(up))
         up = up.parent
-    out, todo = [], [root]
+
+    def belongs(b: Block) -> bool:
+        # without links half the least is enough, as a block of few lines has more tags for its text
+        return b.chars > 0 and (b.name != "" and b.density >= threshold or _per_tag(b) * (1 if b.link_chars else 2) >= even)
+
+    if top is not None:
+        if top.name == "main":
+            return [top]
+        # other articles of the page
+        return [b for b in blocks if b is top or (b.name == "article" and not _inside(b, top) and not _within(b.parent, "article") and belongs(b))]
+    if best is root:
+        return [best]
+    # what stands beside the way up, in page order, and whether it belongs to the article
+    beside: list[tuple[Block, bool]] = []
+    todo = [root]
     while todo:
         b = todo.pop()
-        if b is best or (id(b) not in path and b.density >= threshold and b.chars):
-            out.append(b)
-        elif id(b) in path:
-            todo += [p for p in reversed(b.parts) if isinstance(p, Block) and not p.noise]
-    return out
+        if b is not best and id(b) in path:
+            todo += reversed(_texts_of(b))
+        else:
+            beside.append((b, b is best or belongs(b)))
+    first = next(i for i, (_, taken) in enumerate(beside) if taken)
+    # a title outside opens the article: what stands from it to the text belongs to it, but for links
+    titles = [i for i, (b, _) in enumerate(beside) if any(x.name == "h1" for x in _blocks(b))]
+    opens = titles[-1] if titles and titles[-1] < first else first
+    return [b for i, (b, taken) in enumerate(beside) if taken or (opens <= i < first and 3 * b.link_chars < b.chars)]
 
 
 def block_texts(blocks: list[Block]) -> list[str]:
@@ -296,7 +353,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """Main text of every row of ``pages`` (``page_id, url, html``; other columns are ignored).
 
     ``text`` is empty if there is none, ``n_chars`` counts its code points. A null html counts as empty.
-    Pages are read whole and row by row; broken markup never fails. Repeated rows give repeated results.
+    Pages are read whole and row by row; broken markup never fails. Repeated rows give repeated results, an empty
+    table an empty one.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

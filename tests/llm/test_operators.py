@@ -551,6 +551,77 @@ def test_pages_keep_text_in_marked_wrappers():
         assert pages.main_text(f'<body>{body}<div class="{name}"><article class="card"><p>Something else, not so long.</p></article></div></body>') == text
 
 
+def prose(n):
+    return "".join(f"<p>{words(40)}.</p>" for _ in range(n))
+
+
+def plain(html):
+    return " ".join(re.sub(r"<[^>]*>", " ", html).split())
+
+
+def test_pages_keep_all_of_an_article():
+    nav = '<div><ul><li><a href="/a">One page</a></li><li><a href="/b">Another page</a></li></ul></div>'
+    a, b, c = prose(6), prose(3), prose(10)
+    lead = "Some text directly in the body that says what follows, and that is no shorter than a sentence of the article is, nor than its lines."
+    for page, want in (
+        (f"<div>{a}</div><div>{b}</div>", a + b),
+        (f"<article>{a}</article><article>{b}</article>", a + b),
+        (f"<div><h1>Title of it</h1></div><div>Lead.</div><div>{c}</div>", f"Title of it Lead. {c}"),
+        (f"{lead}<div>{c}</div>", f"{lead} {c}"),
+        (f"<article><header><h1>Title</h1></header>{a}</article>", f"Title {a}"),
+        (f'<article>{a}<section id="social-policy">{b}</section><h2 id="search">Search</h2>{a}</article>', f"{a}{b} Search {a}"),
+        (f'<div>{a}<section id="search-engines">{b}</section></div>', a + b),
+    ):
+        for before in ("", nav, "<header>Name of the site</header>", '<div id="search-box">Search for it</div><div id="cookie-banner2 ad-slot-1">Ad</div>'):
+            assert pages.main_text(f"<body>{before}{page}{nav}</body>") == plain(want), page[:60]
+
+
+def random_tree(depth):
+    """A page as nested lists: name, then texts and elements."""
+    name = RNG.choice(["div", "section", "p"] if depth else ["div"])
+    if name == "p" or depth > 4:
+        return ["p", *[RNG.choice([words(RNG.randint(1, 30)), ["a", words(2)], ["b", words(3)]]) for _ in range(RNG.randint(0, 4))]]
+    return [name, *[random_tree(depth + 1) if RNG.random() < 0.8 else words(4) for _ in range(RNG.randint(0, 5))]]
+
+
+def test_page_densities_against_a_plain_version():
+    def html(t):
+        return t if isinstance(t, str) else f"<{t[0]}>{''.join(map(html, t[1:]))}</{t[0]}>"
+
+    def count(t, in_link=False):
+        """(characters, tags, characters in links, links) below an element, counted from nothing else."""
+        if isinstance(t, str):
+            n = sum(not ch.isspace() for ch in t)
+            return np.array([n, 0, n * in_link, 0])
+        return sum((count(x, in_link or t[0] == "a") + [0, (x[0] != "b") * 1, 0, (x[0] == "a") * 1] if isinstance(x, list) else count(x, in_link or t[0] == "a") for x in t[1:]), np.zeros(4, int))
+
+    def density(t, page):
+        chars, tags, link_chars, link_tags = map(int, count(t))
+        if not chars:
+            return 0.0
+        ratio = chars / max(1, link_chars) * max(1, tags) / max(1, link_tags)
+        base = np.log(chars / max(1, chars - link_chars) * link_chars + page[2] / max(1, page[0]) * chars + np.e)
+        return chars / max(1, tags) * max(0.0, np.log(ratio)) / max(1.0, np.log(base))
+
+    def nodes(t):
+        yield t
+        for x in t[1:]:
+            if isinstance(x, list) and x[0] not in ("a", "b"):
+                yield from nodes(x)
+
+    for _ in range(150):
+        tree = ["body", *[random_tree(0) for _ in range(3)]]
+        page = count(tree)
+        blocks = pages.weigh(pages.parse(html(tree)))
+        plain_nodes = list(nodes(tree))
+        assert [b.name for b in blocks] == [t[0] for t in plain_nodes]
+        for b, t in zip(blocks, plain_nodes, strict=True):
+            assert b.density == pytest.approx(density(t, page))
+            inner = sum(density(x, page) if x[0] not in ("a", "b") else 0 for x in t[1:] if isinstance(x, list))
+            own = sum(int(count(x, False)[0]) for x in t[1:] if isinstance(x, str) or x[0] in ("a", "b"))
+            assert b.sum == pytest.approx(inner + own)
+
+
 def test_long_runs_and_every_language_are_learned(spark):
     rng = random.Random(2)
     assert langid.words_of("Ab " + "x" * 85) == ["ab", "x" * 40, "x" * 40, "x" * 5]
