@@ -28,6 +28,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Least length of a run that is scored.
 LONG = 16
 RUN = re.compile(rf"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{{{LONG},}}")
+#: A run of letters that counts as ordinary beside those of the documents.
+PLAIN = "ordinaryrunofplainletters"
 #: Labelled credentials of a kind, and ordinary runs, that the automata are fitted on at most.
 SAMPLE = 600
 #: Hoeffding's bound for merging states: a lower value merges more.
@@ -173,22 +175,33 @@ def classes_of(value: str) -> str:
     return value.translate(_TO_CLASS)
 
 
+def _half(value: str) -> int:
+    return hashlib.blake2b(value.encode(), digest_size=1).digest()[0] & 1
+
+
 class Scorer:
-    """Log likelihood ratio of a run: the best credential automaton against that of ordinary runs."""
+    """Log likelihood ratio of a run: the best credential automaton against that of ordinary runs.
+
+    Runs without a label may be credentials all the same. Ordinary runs are therefore learned in two halves, and a
+    run is scored by the half it is not in, so that no run counts as ordinary because of itself.
+    """
 
     def __init__(self, credentials: dict[str, list[str]], ordinary: list[str], alpha: float = ALPHA):
         self.kinds = [Automaton([classes_of(s) for s in v], alpha) for _, v in sorted(credentials.items()) if v]
-        self.ordinary = Automaton([classes_of(s) for s in ordinary], alpha)
+        halves: tuple[list[str], list[str]] = ([], [])
+        for s in ordinary:
+            halves[1 - _half(s)].append(classes_of(s))
+        self.ordinary = [Automaton([classes_of(PLAIN), *h], alpha) for h in halves]
 
     def score(self, value: str) -> float:
         if not self.kinds:
             return -math.inf
         c = classes_of(value)
-        return max(k.log_likelihood(c) for k in self.kinds) - self.ordinary.log_likelihood(c)
+        return max(k.log_likelihood(c) for k in self.kinds) - self.ordinary[_half(value)].log_likelihood(c)
 
 
 def labelled(docs: DataFrame) -> DataFrame:
-    """``kind, value`` of every credential the fixed formats find, and a fixed share of the other runs."""
+    """``kind, value`` of every credential the fixed formats find, and as ``ordinary`` the runs outside them."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -202,7 +215,7 @@ def labelled(docs: DataFrame) -> DataFrame:
                     out.add((kind, ASSIGN.match(value)[2] if kind == "assign" else value))
                 for start, end, gaps in open_runs(text, spans):
                     value = text[start:end]
-                    if gaps == [(start, end)] and hashlib.blake2b(value.encode(), digest_size=1).digest()[0] < 8:
+                    if gaps == [(start, end)]:
                         out.add(("ordinary", value))
             yield pd.DataFrame([x for x in out if len(x[1]) <= 200], columns=["kind", "value"], dtype=object)
 
@@ -211,8 +224,8 @@ def labelled(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, *, sample: int = SAMPLE, alpha: float = ALPHA) -> Scorer:
     """Automata from at most ``sample`` distinct credentials of a kind (those of the lowest hash, up to 200
-    characters), whatever the size of ``docs``. Ordinary runs are sampled the same way; without any, a
-    single run of letters stands for them."""
+    characters), whatever the size of ``docs``. Ordinary runs are sampled the same
+    way, beside one plain run of letters."""
     stage = Stage(docs.sparkSession)
     found = stage.write(labelled(docs).distinct(), "secrets")
     # only rows with a low hash are ranked: their number is about twice the sample however many there are
@@ -224,7 +237,7 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, alpha: float = ALPHA) -> Score
     for row in ranked.select("kind", "value").collect():
         chosen.setdefault(row.kind, []).append(row.value)
     stage.drop(found)
-    return Scorer(chosen, chosen.pop("ordinary", None) or ["a" * 16], alpha)
+    return Scorer(chosen, chosen.pop("ordinary", []), alpha)
 
 
 def all_spans(text: str, scorer: Scorer, least: float = LEAST) -> list[tuple[int, int, str]]:
@@ -249,7 +262,7 @@ def scan(docs: DataFrame, scorer: Scorer | None = None, *, least: float = LEAST)
     ``n_assign, n_access, n_hex``: spans of the fixed formats; ``base_sha256``: their digest; ``spans``:
     these and the ones of kind ``format`` that the automata add. Spans are of the whole match, in code
     points. A null text counts as empty: no spans, the digest of the empty string. Without ``scorer`` the
-    automata are fitted on ``docs``.
+    automata are fitted on ``docs``. Equal rows have equal results; an empty table has an empty one.
     """
     scorer = scorer or fit(docs)
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
@@ -269,7 +282,8 @@ def scan(docs: DataFrame, scorer: Scorer | None = None, *, least: float = LEAST)
 
 
 def redact(docs: DataFrame, scorer: Scorer | None = None, *, least: float = LEAST, mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every span of its text replaced by ``mark``; overlapping spans become one mark."""
+    """``docs`` with every span of its text replaced by ``mark``; overlapping spans become one mark.
+    Null and empty texts stay as they are."""
     scorer = scorer or fit(docs)
 
     @F.pandas_udf("string")

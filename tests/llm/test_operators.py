@@ -14,6 +14,7 @@ import tiktoken
 
 from allelespan.llm import bpe, fingerprint, langid, minhash, mixing, pages, quality, secrets, suffixes, urls
 
+SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, text_a string, key string"
 RNG = random.Random(5)
 
@@ -166,6 +167,77 @@ def test_secrets_without_digits_and_rests_of_runs():
     assert list(secrets.open_runs("x " + "a" * 20 + " " + "b" * 20, spans)) == [(2, 22, [(5, 9)])]
 
 
+def test_base_spans_against_a_plain_scan():
+    names = ["password", "passwd", "secret", "token", "apikey", "api_key"]
+    value = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-")
+
+    def while_in(t, i, letters):
+        while i < len(t) and t[i] in letters:
+            i += 1
+        return i
+
+    def spaces(t, i):
+        return while_in(t, i, " ")
+
+    def quote(t, i):
+        return i + (t[i : i + 1] in ("'", '"') and i < len(t))
+
+    def assign(t, i):
+        for n in names:
+            if t[i : i + len(n)].lower() == n and t[i : i + len(n)].isascii():
+                j = spaces(t, quote(t, i + len(n)))
+                if t[j : j + 1] in (":", "=") and j < len(t):
+                    k = quote(t, spaces(t, j + 1))
+                    end = while_in(t, k, value)
+                    if end > k:
+                        return end, end - k >= 6
+        return None
+
+    def access(t, i):
+        end = while_in(t, i + 4, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+        return (end, end - i >= 20) if t[i : i + 4] == "AKIA" and end > i + 4 else None
+
+    def hexes(t, i):
+        end = while_in(t, i, "0123456789abcdef")
+        return (end, end - i >= 24) if end > i else None
+
+    def scan(t):
+        out = []
+        for kind, match in (("assign", assign), ("access", access), ("hex", hexes)):
+            i = 0
+            while i < len(t):
+                m = match(t, i)
+                if m and m[1]:
+                    out.append((i, m[0], kind))
+                i = m[0] if m else i + 1
+        return sorted(out, key=lambda s: (s[0], ("assign", "access", "hex").index(s[2])))
+
+    bits = ["password", "PassWd", "secret", "token", "api_key", "APIKEY", "\u017fecret", "AKIA", "AKIAAKIA", '"', "'", " ", ":", "=", "==", "x", "deadbeef", "0123456789ab", "ABCDEFGH", "\n", "é", "-/+"]
+    for _ in range(4000):
+        text = "".join(RNG.choice(bits) for _ in range(RNG.randint(0, 14)))
+        assert secrets.base_spans(text) == scan(text), text
+
+
+def test_held_out_credentials_and_ordinary_runs(spark):
+    """Credentials and runs of the given documents: four fifths are learned, the others must be told apart."""
+    found = secrets.labelled(spark.read.parquet(f"{SF}/documents.parquet")).distinct().collect()
+    held = [r for r in found if zlib.crc32(r.value.encode()) % 5 == 0 and len(r.value) >= secrets.LONG]
+    known = {k: [r.value for r in found if r.kind == k and r not in held][: secrets.SAMPLE] for k in ("assign", "hex", "ordinary")}
+    scorer = secrets.Scorer(known, known.pop("ordinary"))
+    hit = [r.kind for r in held if scorer.score(r.value) >= secrets.LEAST]
+    there = [r.kind != "ordinary" for r in held]
+    assert sum(there) > 5
+    assert len(there) - sum(there) > 15
+    assert sum(k != "ordinary" for k in hit) >= 0.95 * sum(there)  # recall
+    assert hit.count("ordinary") <= 0.05 * len(hit)  # precision
+    # runs of kinds that the documents hardly have
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(RNG.choice(letters) for _ in range(RNG.randint(4, 9)))
+    made = ["/".join(word() for _ in range(5)) for _ in range(100)] + ["".join(word() for _ in range(4)) for _ in range(100)]
+    made += ["".join(RNG.choice("0123456789") for _ in range(16)) for _ in range(100)] + [".".join([word(), word(), word(), "com"]) for _ in range(100)]
+    assert sum(scorer.score(x) >= secrets.LEAST for x in made) <= 12
+
+
 def test_automaton_compares_all_successors():
     # as often 'a' as 'd' at the root and after every 'a', but only the root's own 'd' goes on
     strings = ["dg"] * 512 + [x for k in range(1, 8) for x in ["a" * k + "d"] * (512 >> k)]
