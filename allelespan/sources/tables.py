@@ -20,13 +20,16 @@ def read_bed(
     """Intervals ``iv_id, chrom, start, end[, payload]``, zero-based half-open.
 
     ``cols`` are the positions of start, end and chromosome. Comment lines are skipped, and so is the
-    header, a first line without a number where the start should be; files read together have the same
-    header or none. Any other line without three readable fields raises, as do negative coordinates.
+    header, the first line if it has no number where the start should be; files read together have the
+    header of the first file, by name, or none, so the part files of ``write_bed`` are one document. Any other line
+    without three readable fields raises, as do negative coordinates.
     """
     f = F.split(F.trim("value"), r"\s+")
     lines = spark.read.text(path).filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
     start_of = F.try_element_at(f, F.lit(cols[0] + 1)).try_cast("long")
-    first = lines.filter(F.col("_metadata.file_block_start") == 0).select("value", start_of.alias("s")).first()
+    # a scan takes large files first, so the first line is found by its place
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    first = lines.select("value", start_of.alias("s"), place.alias("at")).agg(F.min_by(F.struct("value", "s"), "at").alias("line")).first()["line"]
     if first is not None and first["s"] is None:
         lines = lines.filter(F.col("value") != first["value"])
     raw = lines.select(

@@ -106,6 +106,23 @@ def test_bed_columns_header_and_negative(spark, tmp_path):
         ST.read_bed(spark, str(tmp_path / "b.bed")).collect()
 
 
+def test_bed_header_of_several_part_files(spark, tmp_path):
+    rows = [(f"chr{c}", x, x + 5) for c in (2, 10) for x in range(0, 600, 3)]
+    iv = spark.createDataFrame(rows, "chrom string, start long, end long").repartition(3)
+    # the file with the header is the smallest
+    (tmp_path / "parts").mkdir()
+    (tmp_path / "parts/part-00000").write_text("chromosome first last\n")
+    K.write_bed(iv, str(tmp_path / "out"), mode="one_based")
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*"))).splitlines(keepends=True)
+    for i in range(4):
+        (tmp_path / f"parts/part-0000{i + 1}").write_text("".join(text[i * 100 : (i + 1) * 100]))
+    got = ST.read_bed(spark, str(tmp_path / "parts"), one_based=True).select("chrom", "start", "end").collect()
+    assert sorted(map(tuple, got)) == sorted(rows)
+    (tmp_path / "parts/part-00003").write_text("chr10\tx\t5\n")
+    with pytest.raises(Exception, match="not an interval"):
+        ST.read_bed(spark, str(tmp_path / "parts"), one_based=True).collect()
+
+
 def test_unreadable_lines_raise(spark, tmp_path):
     for i, text in enumerate(["1\t4\t6\n1\tx\t9\n", "1\t4\t6\n1\t7\n", "chrom\tstart\tend\n1\t4\t6\n1\t4\tend\n"]):
         (tmp_path / f"{i}.bed").write_text(text)
