@@ -118,6 +118,8 @@ def test_bed_header_of_several_part_files(spark, tmp_path):
         (tmp_path / f"parts/part-0000{i + 1}").write_text("".join(text[i * 100 : (i + 1) * 100]))
     got = ST.read_bed(spark, str(tmp_path / "parts"), one_based=True).select("chrom", "start", "end").collect()
     assert sorted(map(tuple, got)) == sorted(rows)
+    one = ST.read_bed(spark, str(tmp_path / "parts"), one_based=True, chrom="chr10").select("chrom", "start", "end").collect()
+    assert sorted(map(tuple, one)) == sorted(r for r in rows if r[0] == "chr10")
     (tmp_path / "parts/part-00003").write_text("chr10\tx\t5\n")
     with pytest.raises(Exception, match="not an interval"):
         ST.read_bed(spark, str(tmp_path / "parts"), one_based=True).collect()
