@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -163,6 +164,26 @@ def test_scalar_functions(spark):
     assert tuple(got) == ("1", "chr1", "ASKTN", 1.0, pytest.approx(1 + 1 / 2 + 1 / 3), 0.25, True, False, "1:100-200")
 
 
+def test_merged_sequences_look_at_letters_where_they_differ(spark):
+    rng = random.Random(5)
+    pairs = [("", ""), ("", "AC"), ("ACG", ""), (None, "A"), ("A" * 33, "A" * 32), ("\u00dfaC\u0131", "\u00dfAc\u0131"), ("acgtnACGTN-", "ACGTNacgta-")]
+    for n in (1, 31, 32, 33, 64, 500):
+        x = "".join(rng.choice("ACGTNacgt") for _ in range(n))
+        pairs.append((x, "".join(rng.choice("ACGTN") if rng.random() < 0.05 else b for b in x)))
+    rows = spark.createDataFrame(pairs, "x string, y string")
+    merged = rows.select("x", "y", G.merge_iupac("x", "y").alias("code"))
+    for x, y, code in merged.collect():
+        if x is None:
+            assert code is None
+            continue
+        n = max(len(x), len(y), 1)
+        both = [(a + b).upper() for a, b in zip(x.ljust(n, "-"), y.ljust(n, "-"), strict=True)]
+        assert code == "".join(G.IUPAC_PAIRS.get(p, "N") for p in both)
+    # equal stretches are not split into letters
+    plan = merged._jdf.queryExecution().analyzed().toString()
+    assert "regexp_extract_all" in plan and not re.search(r"split\((x|y)#", plan)
+
+
 @pytest.mark.parametrize("shape", ["triangle", "square", "square-zero"])
 def test_ld_matrix_keeps_the_columns_of_absent_pairs(spark, shape):
     sites = spark.createDataFrame([("1", 10 * i, i) for i in range(6)], "chrom string, pos long, variant_id long")
