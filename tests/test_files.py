@@ -161,6 +161,22 @@ def test_ped_markers_do_not_carry_their_line(spark, tmp_path):
     assert not any("Filter" in x and "transform(" in x for x in plan)
 
 
+def test_gphocs_lines_make_sequences_once(spark):
+    iv = spark.createDataFrame([("b", "2", 0, 4), ("a", "1", 4, 8), ("c", "1", 0, 4)], "iv_id string, chrom string, start long, end long")
+    texts = {"a": ["AC", "AG"], "b": ["AAAA", "AAAT"], "c": ["", ""]}
+    people = [(0, 1, "y"), (1, 0, "z"), (0, 0, "x")]
+    rows = [(i, pi, "p", si, who, texts[i], c, a, z) for i, c, a, z in map(tuple, iv.collect()) for pi, si, who in people]
+    kinds = "iv_id string, pop_ix int, pop string, sample_ix int, sample string, seqs array<string>, chrom string, start long, end long"
+    lines = Q.gphocs_loci(spark.createDataFrame(rows, kinds), iv)
+    got = [tuple(r) for r in lines.orderBy("locus_ix", "line_ix").collect()]
+    want = []
+    for ix, (i, place, n) in enumerate([("c", "1:1-4", 1), ("a", "1:5-8", 2), ("b", "2:1-4", 4)]):
+        code = {"c": "N", "a": "AS", "b": "AAAW"}[i]
+        want += [(ix, 0, f"locus{ix}_{place} 3 {n}")] + [(ix, k + 1, f"{s} {code}") for k, s in enumerate("xyz")]
+    assert got == want
+    assert "Union" not in lines._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_ped_blocks_and_eigenstrat(spark, callset, tmp_path):
     sites = [("1", 10 * i, "A", ["C"]) for i in range(1, 8)]
     v, g = callset(sites, [["0|1", "1|1", ".|."]] * 7)
