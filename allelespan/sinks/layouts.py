@@ -19,6 +19,7 @@ from allelespan.functions.genome import (
 )
 from allelespan.operators.counts import site_counts
 from allelespan.operators.ordered import ordinal
+from allelespan.session import discard, materialise
 
 MARKER_BLOCK = 1 << 16
 
@@ -39,6 +40,11 @@ def cohort(g: DataFrame) -> DataFrame:
 
 def dense_join(entries: Column, n: Column, filler: str, sep: str) -> Column:
     """Join ``struct(ix, text)`` sorted by ix into n fields, with a filler where an ix is absent."""
+    whole = (n > 0) & (entries["ix"] == F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1))
+    return F.when(whole, F.array_join(entries["text"], sep)).otherwise(_with_fillers(entries, n, filler, sep))
+
+
+def _with_fillers(entries: Column, n: Column, filler: str, sep: str) -> Column:
     before = F.concat(F.array(F.lit(-1)), F.transform(entries, lambda e: e["ix"]))
     gap = lambda k: F.repeat(F.lit(sep + filler), k)
     parts = F.zip_with(
@@ -55,9 +61,10 @@ def _per_site(g: DataFrame, text: Column, filler: str, sep: str, samples: DataFr
     who = cohort(g) if samples is None else samples
     n = who.agg(F.count("*").cast("int")).scalar()
     x = g.drop("sample_ix").join(who.select("sample", "sample_ix"), "sample")
-    x = x.groupBy("variant_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("sample_ix").alias("ix"), text.alias("text")))).alias("e")
-    )
+    # made before a generator: an aggregate would take the text in and interpret it
+    x = x.select("variant_id", F.col("sample_ix").alias("ix"), text.alias("text"))
+    x = x.select("variant_id", F.explode(F.array(F.struct("ix", "text"))).alias("e"))
+    x = x.groupBy("variant_id").agg(F.sort_array(F.collect_list("e")).alias("e"))
     return x.withColumn("n", n).select("variant_id", dense_join(F.col("e"), F.col("n"), filler, sep).alias("fields"))
 
 
@@ -78,7 +85,9 @@ def vcf_lines(v: DataFrame, g: DataFrame, samples: DataFrame | None = None) -> D
     keys = F.lit("GT")
     if "format" in v.columns and "fields" in g.columns:
         call, keys = _call_values(call), F.coalesce(F.array_join("format", ":"), F.lit("GT"))
-        g = g.join(v.select("variant_id", "format"), "variant_id")
+        later = F.slice("format", F.lit(2), F.greatest(F.size("format"), F.lit(0)))
+        first = (F.try_element_at("format", F.lit(1)) == "GT") & ~F.array_contains(later, "GT")
+        g = g.join(v.select("variant_id", "format", first.alias("__first")), "variant_id")
     fields = _per_site(g, call, "./.", "\t", samples)
     n = (cohort(g) if samples is None else samples).agg(F.count("*").cast("int")).scalar()
     empty = F.substring(F.repeat(F.lit("\t./."), F.col("__n")), 2, 1 << 30)
@@ -106,7 +115,18 @@ def vcf_lines(v: DataFrame, g: DataFrame, samples: DataFrame | None = None) -> D
 
 
 def _call_values(gt: Column) -> Column:
-    """The values of a call in the order of ``format``, without those missing at its end."""
+    """The values of a call in the order of ``format``, without those missing at its end.
+
+    Where GT comes first (``__first``) and the fields are the keys behind it, in order, they are written as they are.
+    """
+    n, values = F.size("fields"), F.map_values("fields")
+    same = F.map_keys("fields") == F.slice("format", F.lit(2), F.greatest(n, F.lit(0)))
+    plain = F.col("__first") & F.try_element_at(values, F.lit(-1)).isNotNull() & same
+    text = F.when(plain, F.concat(gt, F.lit(":"), F.array_join(values, ":", ".")))
+    return text.when(F.col("__first") & (n == 0), gt).otherwise(_values_by_key(gt))
+
+
+def _values_by_key(gt: Column) -> Column:
     format_ = F.coalesce("format", F.array(F.lit("GT")))
     values = F.transform(format_, lambda k: F.when(k == "GT", gt).otherwise(F.try_element_at("fields", k)))
     last = F.array_max(F.transform(values, lambda x, i: F.when(x.isNotNull(), i + 1).otherwise(0)))
@@ -130,14 +150,22 @@ def vcf_header(g: DataFrame, samples: DataFrame | None = None, header: DataFrame
 def write_vcf(
     v: DataFrame, g: DataFrame, path: str, samples: DataFrame | None = None, compression="none", header: DataFrame | None = None
 ) -> None:
-    """Ordered VCF text; the header, perhaps that of ``read_vcf_header``, is the start of the first part file."""
+    """Ordered VCF text; the header, perhaps that of ``read_vcf_header``, is the start of the first part file.
+
+    The samples are looked up once, and the lines are made once: ordering reads its input twice, here what was shuffled.
+    """
+    found = None if samples is not None else materialise(cohort(g), "cohort")
+    samples = samples if found is None else found
     head = vcf_header(g, samples, header).select(
         F.lit("").alias("k"), F.col("ord").cast("long").alias("pos"), F.lit("").alias("vid"), "line"
     )
     body = vcf_lines(v, g, samples).select(
         F.concat(F.lit("1"), natural_key("chrom")).alias("k"), "pos", F.col("variant_id").cast("string").alias("vid"), "line"
     )
-    write_lines(head.unionByName(body), path, ["k", "pos", "vid"], compression)
+    order = ["k", "pos", "vid"]
+    write_lines(head.unionByName(body.repartition(*order)), path, order, compression)
+    if found is not None:
+        discard(found)
 
 
 def bed_lines(iv: DataFrame, mode: str = "half_open", add_prefix=False, remove_prefix=False, keep_line=False) -> DataFrame:

@@ -98,7 +98,7 @@ def read_vcf(
             raise ValueError(f"samples not in the header: {sorted(wanted - set(names))}")
         samples = [n for n in names if n in wanted and (samples is None or n in set(samples))]
     place = F.concat_ws(
-        ".", F.lower(F.hex(F.xxhash64(F.col("_metadata.file_path")))), F.col("_metadata.file_block_start").cast("string"),
+        ".", F.translate(F.hex(F.xxhash64(F.col("_metadata.file_path"))), "ABCDEF", "abcdef"), F.col("_metadata.file_block_start").cast("string"),
         F.monotonically_increasing_id().cast("string"),
     )
     body = record_lines(spark.read.text(path).select("value", place.alias("__place")), header)
@@ -112,7 +112,11 @@ def read_vcf(
     ).withColumn("variant_id", F.concat_ws("@", variant_key(), "__place"))
     v = rows.select("variant_id", "chrom", "pos", "id", "ref", "alts", "qual", "filter", "info", "format")
     calls = F.posexplode(F.slice("__f", FIXED_COLUMNS + 1, len(names) or 1)).alias("sample_ix", "call")
-    g = rows.select("variant_id", "chrom", "pos", "format", calls)
+    # once a line: where GT is, and whether the other keys are those behind it
+    at = F.array_position("format", F.lit("GT")).cast("int")
+    others = F.slice("format", F.lit(2), F.size("format"))
+    plain = (at == 1) & ~F.array_contains(others, "GT")
+    g = rows.select("variant_id", "chrom", "pos", "format", at.alias("__gt"), plain.alias("__plain"), calls)
     keep = range(len(names))
     if samples is not None:
         unknown = set(samples) - set(names)
@@ -123,14 +127,20 @@ def read_vcf(
         keep = list(keep)[:first_n]
     if len(keep) < len(names):
         g = g.filter(F.col("sample_ix").isin(list(keep)))
-    values = F.split("call", ":")
-    gt = F.get(values, F.array_position("format", F.lit("GT")).cast("int") - 1)
+    # once a call, made in generators
+    g = g.select("*", F.explode(F.array(F.split("call", ":"))).alias("__values"))
+    gt = F.get("__values", F.col("__gt") - 1)
+    alleles = F.explode(F.array(F.struct(gt.alias("gt"), F.split(F.translate(gt, "|", "/"), "/").alias("part")))).alias("__call")
+    g = g.select("*", alleles)
+    gt, part, values = F.col("__call.gt"), F.col("__call.part"), F.col("__values")
     known = F.least(F.size("format"), F.size(values))
     pairs = F.map_from_arrays(F.slice("format", F.lit(1), known), F.slice(values, F.lit(1), known))
-    part = F.split(gt, r"[|/]")
+    behind = F.map_from_arrays(F.slice("format", F.lit(2), known - 1), F.slice(values, F.lit(2), known - 1))
 
     def allele(i: int) -> Column:
-        return F.try_element_at(part, F.lit(i)).try_cast("int")
+        # a text that is no number costs an exception, so missing alleles are not tried
+        text = F.try_element_at(part, F.lit(i))
+        return F.when(text != ".", text.try_cast("int"))
 
     many = F.raise_error(F.concat(F.lit("a call of more than two alleles at "), "variant_id"))
     ploidy = F.when(F.size(part) > 2, many.cast("int")).otherwise(F.size(part))
@@ -144,7 +154,7 @@ def read_vcf(
         allele(2).alias("a2"),
         F.coalesce(gt.contains("|"), F.lit(False)).alias("phased"),
         ploidy.alias("ploidy"),
-        F.map_filter(pairs, lambda k, _: k != "GT").alias("fields"),
+        F.when(F.col("__plain"), behind).otherwise(F.map_filter(pairs, lambda k, _: k != "GT")).alias("fields"),
     )
 
 

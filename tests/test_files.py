@@ -106,6 +106,36 @@ def test_bed_columns_header_and_negative(spark, tmp_path):
         ST.read_bed(spark, str(tmp_path / "b.bed")).collect()
 
 
+def test_call_values_of_any_order(spark, tmp_path):
+    calls = ["GT:DP:GQ\t0/1:3:7\t1|0", "GT:DP:GQ\t./1:.:7\t0/0:4", "DP:GT\t5:0/1\t.:1/1", "GT\t0/1\t1", "GQ:DP\t1:2\t3", "GT:DP\t0/1:.\t.:8"]
+    lines = [f"1\t{10 + i}\t.\tA\tC\t.\tPASS\t.\t{c}" for i, c in enumerate(calls)]
+    head = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tA\tB\n"
+    (tmp_path / "x.vcf").write_text(head + "\n".join(lines) + "\n")
+    v, g = SV.read_vcf(spark, str(tmp_path / "x.vcf"))
+    got = {(x.pos, x.sample): (x.a1, x.a2, x.ploidy, x.fields) for x in g.collect()}
+    assert got[10, "A"] == (0, 1, 2, {"DP": "3", "GQ": "7"}) and got[10, "B"] == (1, 0, 2, {})
+    assert got[11, "A"] == (None, 1, 2, {"DP": ".", "GQ": "7"}) and got[12, "B"] == (1, 1, 2, {"DP": "."})
+    assert got[13, "B"] == (1, None, 1, {}) and got[14, "A"] == (None, None, None, {"GQ": "1", "DP": "2"})
+    written = [r.line.split("\t", 8)[8] for r in K.vcf_lines(v, g).orderBy("pos").collect()]
+    assert written[:4] == calls[:4] and written[5] == "GT:DP\t0/1:.\t.:8"
+    K.write_vcf(v, g, str(tmp_path / "out"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*")))
+    assert [x.split("\t", 8)[8] for x in text.splitlines() if not x.startswith("#")] == written
+
+
+def test_vcf_lines_are_made_once(spark, tmp_path, callset):
+    v, g = callset([("chr1", p, "A", ["C"]) for p in range(1, 40)], [["0|1", "1|1"]] * 39)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        made.add(1)
+        return x
+
+    counted = F.udf(count, "string").asNondeterministic()
+    K.write_vcf(v.withColumn("id", counted("id")), g, str(tmp_path / "once"))
+    assert made.value == 39
+
+
 def test_bed_header_of_several_part_files(spark, tmp_path):
     rows = [(f"chr{c}", x, x + 5) for c in (2, 10) for x in range(0, 600, 3)]
     iv = spark.createDataFrame(rows, "chrom string, start long, end long").repartition(3)
