@@ -19,6 +19,7 @@ from allelespan.functions.genome import (
 )
 from allelespan.operators.counts import site_counts
 from allelespan.operators.ordered import ordinal
+from allelespan.operators.sequence import LOCI_A_TASK
 from allelespan.session import discard, materialise
 
 MARKER_BLOCK = 1 << 16
@@ -379,7 +380,15 @@ def ima_files(lines: DataFrame, m: DataFrame, mutrate: float = 1e-9, loci_per_fi
 
 
 def write_ima(lines: DataFrame, m: DataFrame, path: str, **options) -> None:
-    """One folder with one file per ``loci_per_file`` loci."""
-    files = ima_files(lines, m, **options).repartition("file_ix")
+    """One folder with one file per ``loci_per_file`` loci.
+
+    Sequences compress so well that partitions of a usual size hold many times their bytes when sorted, so the
+    files are dealt out by the number of loci.
+    """
+    kept = materialise(lines, "ima")
+    top = kept.agg(F.max("locus_ix")).first()[0]
+    n = 1 if top is None else top // LOCI_A_TASK + 1
+    files = ima_files(kept, m, **options).repartition(n, "file_ix")
     files = files.sortWithinPartitions("file_ix", "locus_ix", "line_ix")
     files.select("file_ix", "line").write.partitionBy("file_ix").text(path)
+    discard(kept)

@@ -136,6 +136,28 @@ def test_vcf_lines_are_made_once(spark, tmp_path, callset):
     assert made.value == 39
 
 
+def test_loci_of_a_file_are_read_without_a_shuffle(spark, tmp_path):
+    text = "title\n#rate\n2\nA B\n((0,1):2)\n2\nx:0:9 1 2 9 I 1 0.1\n0:0:0 ACGT\n\n#note\n1:0:0 AC\n1:0:1 GT\ny:0:9 2 0 9 I 1 0.1\n0:0:0 A\n0:0:1 C\n"
+    (tmp_path / "f").write_text(text)
+    got = SS.read_ima_loci(spark, str(tmp_path / "f"))
+    rows = sorted((r.locus_ix, r.seq_ix, r.locus, r.pop, r.pop_ix, r.name, r.seq) for r in got.collect())
+    assert rows == [
+        (0, 0, "x:0:9", "A", 0, "0:0:0", "ACGT"), (0, 1, "x:0:9", "B", 1, "1:0:0", "AC"), (0, 2, "x:0:9", "B", 1, "1:0:1", "GT"),
+        (1, 0, "y:0:9", "A", 0, "0:0:0", "A"), (1, 1, "y:0:9", "A", 0, "0:0:1", "C"),
+    ]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_sequences_are_dealt_out_by_the_number_of_loci(spark):
+    iv = spark.range(Q.LOCI_A_TASK * 3).select(F.concat(F.lit("r"), "id").alias("iv_id"), F.lit("chr1").alias("chrom"), (F.col("id") * 10).alias("start"), (F.col("id") * 10 + 10).alias("end"))
+    seqs = iv.select("*", F.lit(0).alias("pop_ix"), F.lit("A").alias("pop"), F.lit(0).alias("sample_ix"), F.lit("s").alias("sample"), F.array(F.lit("AC"), F.lit("GT")).alias("seqs"))
+    loci = iv.select("iv_id", "chrom", "start", "end", F.lit(0).cast("long").alias("n_records"), F.lit(10).cast("long").alias("locus_len"), F.lit(1.0).alias("inheritance"), F.lit(1e-8).alias("locus_rate"))
+    lines = Q.ima_loci(seqs, loci, iv, spark.createDataFrame([("A", 0, "s", 0)], "pop string, pop_ix int, sample string, sample_ix int"))
+    assert lines.count() == 3 * iv.count()
+    assert "REPARTITION_BY_NUM" in lines._jdf.queryExecution().toString()
+
+
 def test_bed_header_of_several_part_files(spark, tmp_path):
     rows = [(f"chr{c}", x, x + 5) for c in (2, 10) for x in range(0, 600, 3)]
     iv = spark.createDataFrame(rows, "chrom string, start long, end long").repartition(3)
