@@ -294,3 +294,17 @@ def test_alignment_as_callset(spark, tmp_path):
     assert [(r.pos, r.ref, r.alts) for r in v.collect()] == [(3, "G", ["T"])]
     assert sorted((r.a1, -1 if r.a2 is None else r.a2) for r in g.collect()) == [(0, 1), (1, -1)]
     assert iv.first().end == 4
+
+
+def test_written_callset_never_sends_part_to_the_driver(spark, tmp_path):
+    # a file's bytes say nothing of its rows: millions of them were broadcast from a file under the threshold
+    from allelespan.plans.layout_queries import _rich_callset
+    from allelespan.plans.tables import SCHEMAS, Tables
+
+    spark.createDataFrame([(k, "n", "b", "t", k % 50 + 1, 1.0) for k in range(1, 19)], SCHEMAS["part"]).write.parquet(str(tmp_path / "part.parquet"))
+    lines = [(k, k % 20, 3, 1, float(k), 1.0, 0.0, 0.0, "A", "O", None) for k in range(1, 19)]
+    cols = ["l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    rows = spark.createDataFrame(lines, "l_partkey long, l_suppkey long, l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")
+    rows.select(*cols).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for df in _rich_callset(Tables(spark, str(tmp_path))):
+        assert df.count() == 20 and "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
