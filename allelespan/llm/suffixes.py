@@ -8,17 +8,21 @@ memory. Within a bucket equal stretches are one class; suffixes of the classes t
 common are sorted by their first bytes, and long ties are settled by ranks of a difference-cover sample:
 two positions have a common offset below the period at which both are in the sample.
 
-A piece that is frequent in ever other surroundings would gather a bucket that grows with the corpus. So the
-bytes of all stretches are first counted by a hash of their piece, and pieces under a heavy counter come
-after all others in the order of pieces: their strings go to the smallest of their other pieces, which
-depends on the string alone, so that equal strings still meet. Counts are repeated with the new order until
-no counter of an undemoted piece is heavy. What stays with a demoted piece are strings made of such pieces
-only.
+A piece that is frequent in ever other surroundings would gather a bucket that grows with the corpus. So pieces
+are counted first, by a hash, over all texts or a sample of them, and the order of pieces begins with all that
+are too rare to fill a bucket; the others follow by powers of two of their count. A string with a rare piece
+goes by one, any other by one of its rarest, which depends on the string alone, so that equal strings still meet.
+One count is enough, whatever the size: no order is tried out. What stays together are strings made of frequent
+pieces only.
+
+What a task sends is cut by bucket, so pieces of it are as many as tasks times buckets: both are kept few by
+gathering much text before it is cut, and verdicts are gathered by groups of documents larger than buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -32,12 +36,18 @@ from allelespan.llm.common import mix64
 
 WIDTH = 50
 #: Text of one bucket and of one group of documents, in bytes, on average.
-BUCKET = 4 << 20
-#: Bytes of stretches under one counter from which its pieces come last; counters by bucket.
-HEAVY, COUNTERS = 2 * BUCKET, 16
+BUCKET, GROUP = 4 << 20, 32 << 20
+#: Bytes of stretches that a piece may gather before it comes later in the order of pieces.
+HEAVY = 2 * BUCKET
+#: Text that pieces are counted in, at most, and text for each counter and each task of the count. It only balances the buckets.
+SAMPLE, COUNTED, COUNT_TASK = 256 << 20, 64, 16 << 20
+#: Letters of a text that are in the sample or not as a whole.
+SLICE = 1 << 16
 #: Text that a task gathers before it writes to the buckets, and works on at once.
-FLUSH, CHUNK = 8 << 20, 1 << 20
+FLUSH, CHUNK = 16 << 20, 1 << 20
 _PIECE = 8
+#: The longest stretch around one place of a piece.
+_AROUND = 2 * WIDTH - _PIECE
 _TOP = np.uint64(2**64 - 1)
 _R = np.uint64(0x9E3779B97F4A7C15)
 _PERIOD = 31
@@ -59,10 +69,12 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def place_of(piece: np.ndarray, last: np.ndarray | None) -> np.ndarray:
-    """Places of pieces in the order of pieces; those under a counter that is set in ``last`` come after all others."""
-    place = mix64(piece) >> np.uint64(1)
+    """Places of pieces in the order of pieces: by the class (under 31) of their counter in ``last``, then scrambled."""
+    place = mix64(piece) >> np.uint64(5)
     if last is not None:
-        place |= last[place % np.uint64(len(last))].astype(np.uint64) << np.uint64(63)
+        n = len(last)
+        counter = place & np.uint64(n - 1) if n & (n - 1) == 0 else place % np.uint64(n)
+        place |= last[counter.view(np.int64)].astype(np.uint64) << np.uint64(59)
     return place
 
 
@@ -89,14 +101,17 @@ def stretches(x: np.ndarray, begins: np.ndarray, lengths: np.ndarray, last: np.n
     return start, strings, least[start]
 
 
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of ``_R`` and of its inverse."""
+    factors = np.ones((2, n), np.uint64)
+    factors[0, 1:], factors[1, 1:] = _R, np.uint64(pow(int(_R), -1, 2**64))
+    return tuple(np.multiply.accumulate(factors, axis=1))
+
+
 def content_hashes(x: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """64-bit hashes of stretches of ``x``: sums of scrambled pieces times powers, from running sums."""
-    power = np.ones(len(x), np.uint64)
-    power[1:] = _R
-    power = np.multiply.accumulate(power)
-    inverse = np.ones(len(x), np.uint64)
-    inverse[1:] = np.uint64(pow(int(_R), -1, 2**64))
-    inverse = np.multiply.accumulate(inverse)
+    power, inverse = _powers(1 << len(x).bit_length())
     run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(eights(x)) * power[: len(x) - 7], dtype=np.uint64)])
     return mix64((run[start + size - 7] - run[start]) * inverse[start] + size.astype(np.uint64))
 
@@ -127,7 +142,9 @@ _OFFSETS = common_offsets(_COVER, _PERIOD)
 
 def _regroup(group: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by (group, key), and the number of each new group in that order."""
-    order = np.lexsort((key, group))
+    order = np.argsort(key)
+    if len(group) and group.min() < group.max():
+        order = order[np.argsort(group[order], kind="stable")]
     g, k = group[order], key[order]
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (k[1:] != k[:-1])
@@ -141,7 +158,8 @@ def cover_ranks(v: np.ndarray) -> np.ndarray:
     of them by the pair of ranks, as a sampled position stays sampled one period on.
     """
     n = len(v) - 4 * _PERIOD
-    p = np.flatnonzero(np.isin(np.arange(n) % _PERIOD, _COVER))
+    p = (np.arange(0, n, _PERIOD)[:, None] + _COVER).ravel()
+    p = p[p < n]
     rank = np.zeros(len(v), np.int64)
     at, group = p, np.zeros(len(p), np.int64)
     for step in (0, 8, 16, 23):  # the last one overlaps: 31 bytes
@@ -249,16 +267,11 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         yield np.frombuffer(b"".join(some), np.uint8), np.cumsum(lengths) - lengths, lengths, numbers, starts
 
 
-def _bytes_by_counter(texts: list[bytes], counters: int, last: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """(counter, bytes) of the stretches of the texts whose smallest piece is not demoted."""
-    keys, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for x, begins, lengths, _, _ in _chunks([t for t in texts if len(t) >= WIDTH]):
-        _, strings, least = stretches(x, begins, lengths, last)
-        first = least >> np.uint64(63) == 0
-        keys.append(least[first] % np.uint64(counters))
-        sizes.append(strings[first] + WIDTH - 1)
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return key.astype(np.int64), np.bincount(at, np.concatenate(sizes), len(key)).astype(np.int64)
+def _count_pieces(texts: list[bytes], counts: np.ndarray) -> None:
+    """Add the pieces of the texts to the counts by counter."""
+    for x, *_ in _chunks([t for t in texts if len(t) >= WIDTH]):
+        place = place_of(eights(x), None)
+        counts += np.bincount((place % np.uint64(len(counts))).view(np.int64), minlength=len(counts)).astype(counts.dtype)
 
 
 def _to_buckets(rows: list[tuple[int, int, bytes]], buckets: int, last: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
@@ -277,8 +290,10 @@ def _to_buckets(rows: list[tuple[int, int, bytes]], buckets: int, last: np.ndarr
         base += len(x)
     x = np.concatenate(texts)
     owner, offset, strings, least, content, start = (np.concatenate(c) for c in zip(*found, strict=True))
+    del found, texts
     _, first_of, of = np.unique(content, return_index=True, return_inverse=True)
     travels = doc[owner] == doc[owner[first_of[of]]]
+    del content, first_of, of
     bucket = (mix64(least ^ _R) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
@@ -319,7 +334,7 @@ def _contested(x: np.ndarray, begin: np.ndarray, size: np.ndarray, last: np.ndar
             owners.append(owner[q] + k)
         k = upto
     key, owner = np.concatenate(keys), np.concatenate(owners)
-    order = np.lexsort((owner, key))
+    order = np.argsort(key)  # owners in any order: a run with several has different neighbours
     key, owner = key[order], owner[order]
     again = np.zeros(len(key), bool)
     again[1:] = (key[1:] == key[:-1]) & (owner[1:] != owner[:-1])
@@ -418,45 +433,51 @@ def _verdicts(texts: list[bytes], replies: list[bytes]) -> Iterator[tuple]:
             at += n
 
 
+def _sample(rows: DataFrame, rate: int) -> DataFrame:
+    """``text``: of each ``rate`` slices of texts about one, by a hash of doc_id and place."""
+    n = F.greatest(F.ceil(F.length("text") / F.lit(SLICE)), F.lit(1)).cast("int")
+    taken = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.pmod(F.xxhash64("doc_id", i), F.lit(rate)) == 0)
+    return rows.select(F.explode(F.transform(taken, lambda i: F.substring("text", i * SLICE + 1, F.lit(SLICE)))).alias("text"))
+
+
 def heavy_counters(rows: DataFrame, total: int, counters: int, heavy: int) -> np.ndarray | None:
-    """Which counters hold more than ``heavy`` bytes of stretches, None if there are none.
+    """Classes of pieces by counter, None if all are 0: in class 0 no piece can gather more than ``heavy`` bytes of
+    stretches, those of class k are up to 2 ** k times as frequent.
 
-    Rows without a doc_id are counted as well. At most one row per counter and split is shuffled; what comes to
-    the driver are the heavy counters, at most the bytes of all stretches by ``heavy`` of them. Each round
-    reads the texts once more; later ones stop when nothing holds over twice ``heavy``.
+    Texts beyond ``SAMPLE`` bytes are counted by a sample of that size. What comes to the driver are the counters of
+    frequent pieces, at most 92 times all bytes by ``heavy`` of them.
     """
-    last: np.ndarray | None = None
     # no string is in two stretches, so none of them can be heavy in a small table
-    while total * WIDTH > heavy:
-
-        def count(frames: Iterator[pd.DataFrame], last=last) -> Iterator[pd.DataFrame]:
-            held, size = [], 0
-            for f in frames:
-                for text in f.text:
-                    data = (text or "").encode()
-                    held.append(data)
-                    size += len(data)
-                    if size >= FLUSH:
-                        yield pd.DataFrame(dict(zip(("counter", "size"), _bytes_by_counter(held, counters, last), strict=True)))
-                        held, size = [], 0
-            yield pd.DataFrame(dict(zip(("counter", "size"), _bytes_by_counter(held, counters, last), strict=True)))
-
-        sums = rows.select("text").mapInPandas(count, "counter long, size long").groupBy("counter").agg(F.sum("size").alias("size"))
-        found = sums.filter(F.col("size") > heavy).collect()
-        if not found:
-            break
-        last = np.zeros(counters, bool) if last is None else last.copy()
-        last[[r["counter"] for r in found]] = True
-        if max(r["size"] for r in found) <= 2 * heavy:
-            break
+    if total * WIDTH <= heavy:
+        return None
+    rate = -(-total // SAMPLE)
+    some = rows.filter("doc_id IS NOT NULL")
+    some = some.select("text") if rate == 1 else _sample(some, rate)
+    tasks = -(-total // rate // COUNT_TASK)
+    limit = max(1, heavy // _AROUND // rate)
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(counters, np.int64)
+        for f in frames:
+            _count_pieces([(t or "").encode() for t in f.text], counts)
+        # a counter over the limit has its share of it in some task; what is left out of it is an eighth at most
+        found = np.flatnonzero(counts > limit // (8 * tasks))
+        yield pd.DataFrame({"counter": found, "n": counts[found]})
+
+    sums = some.repartition(tasks).mapInPandas(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    found = sums.filter(F.col("n") > limit).toPandas()
+    if not len(found):
+        return None
+    last = np.zeros(counters, np.uint8)
+    last[found.counter] = np.minimum(np.ceil(np.log2(found.n / limit)), 30)
     return last
 
 
 def _removal(docs: DataFrame, finish, schema: str, heavy: int) -> DataFrame:
     rows = docs.select("doc_id", "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(64, total // BUCKET)
-    last = heavy_counters(rows, total, COUNTERS * parts, heavy)
+    parts, groups = max(64, total // BUCKET), max(64, total // GROUP)
+    last = heavy_counters(rows, total, 1 << (min(total, SAMPLE) // COUNTED).bit_length(), heavy)
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[list[tuple[int | None, int, bytes]]]:
         held, size = [], 0
@@ -465,7 +486,7 @@ def _removal(docs: DataFrame, finish, schema: str, heavy: int) -> DataFrame:
                 data = (text or "").encode()
                 held.append((None if doc_id is pd.NA else int(doc_id), xxhash.xxh32_intdigest(data), data))
                 size += len(data)
-                if size >= FLUSH or len(held) >= 50_000:
+                if size >= FLUSH or len(held) >= 100_000:
                     yield held
                     held, size = [], 0
         if held:
@@ -479,7 +500,7 @@ def _removal(docs: DataFrame, finish, schema: str, heavy: int) -> DataFrame:
 
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
         doc, mark, start, strings = settle_bucket(list(frame.blob), last)
-        group = _group_of(doc, mark, parts)
+        group = _group_of(doc, mark, groups)
         order = np.argsort(group, kind="stable")
         cuts = np.flatnonzero(np.diff(group[order], prepend=-1))
         out = [(int(group[i[0]]), False, pack(doc[i], mark[i], start[i], strings[i])) for i in np.split(order, cuts[1:]) if len(i)]
@@ -490,7 +511,7 @@ def _removal(docs: DataFrame, finish, schema: str, heavy: int) -> DataFrame:
             known = np.array([r[0] is not None for r in held])
             ids = np.array([r[0] or 0 for r in held], np.int64)
             marks = np.array([r[1] for r in held], np.uint32)
-            group = _group_of(ids, marks, parts)
+            group = _group_of(ids, marks, groups)
             order = np.argsort(group, kind="stable")
             cuts = np.flatnonzero(np.diff(group[order], prepend=-1))
             out = []
@@ -519,7 +540,7 @@ def remove_repeats(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     are those of the whole input texts as UTF-8 and lie within one document. A null text counts as empty,
     texts under 50 bytes stay whole. Rows without a doc_id lose nothing and make no other row lose
     anything; rows that share a doc_id lose nothing to each other. Equal rows have equal results, an empty table
-    has an empty one. Pieces with over ``heavy`` bytes of stretches are split up; the result does not depend on it.
+    has an empty one. Pieces that could have over ``heavy`` bytes of stretches come later in the order; the result does not depend on it.
     """
 
     def finish(rows) -> pd.DataFrame:

@@ -425,6 +425,30 @@ def test_a_piece_in_many_contexts_is_split_up(spark):
     assert got == removed(data)
 
 
+def test_pieces_are_counted_once_however_many_are_frequent(spark, monkeypatch):
+    passage = "".join(RNG.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(120))
+    data = [(i, words(20) + passage + words(20)) for i in range(1500)] + [(None, passage)]
+    rows = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    reads, total = [], sum(len(t) for _, t in data)
+    made = type(rows).mapInPandas
+    monkeypatch.setattr(type(rows), "mapInPandas", lambda self, *a, **b: reads.append(1) or made(self, *a, **b))
+    assert suffixes.heavy_counters(rows, 100, 1 << 14, 20_000) is None and not reads
+    last = suffixes.heavy_counters(rows, total, 1 << 14, 20_000)
+    assert len(reads) == 1  # a round for each piece of the passage before
+    place = suffixes.place_of(suffixes.eights(np.frombuffer(passage.encode(), np.uint8)), last)
+    assert (place >> np.uint64(59) >= 2).all()  # 1,500 of each, under 2 ** 3 times what may be in class 0
+    # of a sample the classes are about the same, also if it cuts the texts
+    monkeypatch.setattr(suffixes, "SAMPLE", total // 3)
+    monkeypatch.setattr(suffixes, "SLICE", 70)
+    some = suffixes.heavy_counters(rows, total, 1 << 14, 20_000)
+    place = suffixes.place_of(suffixes.eights(np.frombuffer(passage.encode(), np.uint8)), some)
+    assert (place >> np.uint64(59) >= 1).all()
+    monkeypatch.setattr(suffixes, "FLUSH", 5000)
+    got = by_id(suffixes.removal_digests(rows, heavy=20_000), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    got.pop(None)
+    assert got == removed([r for r in data if r[0] is not None])
+
+
 def test_difference_cover():
     inside = np.isin(np.arange(31), suffixes._COVER)
     for i in range(31):
