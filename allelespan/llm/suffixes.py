@@ -44,7 +44,7 @@ SAMPLE, COUNTED, COUNT_TASK = 256 << 20, 64, 16 << 20
 #: Letters of a text that are in the sample or not as a whole.
 SLICE = 1 << 16
 #: Text that a task gathers before it writes to the buckets, and works on at once.
-FLUSH, CHUNK = 16 << 20, 1 << 20
+FLUSH, CHUNK = 16 << 20, 1 << 17
 _PIECE = 8
 #: The longest stretch around one place of a piece.
 _AROUND = 2 * WIDTH - _PIECE
@@ -270,8 +270,7 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
 def _count_pieces(texts: list[bytes], counts: np.ndarray) -> None:
     """Add the pieces of the texts to the counts by counter."""
     for x, *_ in _chunks([t for t in texts if len(t) >= WIDTH]):
-        place = place_of(eights(x), None)
-        counts += np.bincount((place % np.uint64(len(counts))).view(np.int64), minlength=len(counts)).astype(counts.dtype)
+        np.add.at(counts, (place_of(eights(x), None) % np.uint64(len(counts))).view(np.int64), 1)
 
 
 def _to_buckets(rows: list[tuple[int, int, bytes]], buckets: int, last: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
